@@ -109,12 +109,23 @@ def prepare(train: DataFrame, spec: FeatureSpec, layout_keys: Sequence[str] | No
     columns and the unscaled vector are dropped before persisting.
     """
     ensure_checkpoint_dir(train.sparkSession)
+    raw = None
     if layout_keys:
-        train = canonical_layout(train, layout_keys, layout_partitions)
+        # The index and scaler fits each read the training rows; keep the
+        # laid-out rows (only the columns the features need) so the scan,
+        # hash and shuffle run once instead of once per fit.
+        needed = [c for c in dict.fromkeys([spec.label, *spec.numeric, *spec.categorical, *layout_keys])
+                  if c in train.columns]
+        raw = canonical_layout(train.select(*needed), layout_keys, layout_partitions).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        train = raw
     prep = fit_features(train, spec)
     model_input = (prep.transform(train)
                    .select(F.col(spec.label).cast("double").alias(spec.label), spec.scaled_col)
                    .persist(StorageLevel.MEMORY_AND_DISK))
+    if raw is not None:
+        model_input.count()   # materialise before the raw rows are released
+        raw.unpersist()
     return Prepared(prep, model_input, spec)
 
 

@@ -64,7 +64,7 @@ def _prepared(spark: SparkSession, sf_dir: str) -> TR.Prepared:
     """Preprocessing fitted on the training part, input cached, layout canonical."""
     def make():
         train, _ = _split(spark, sf_dir)
-        return TR.prepare(train, fx.SPEC, layout_keys=fx.OBS_COLUMNS)
+        return TR.prepare(train, fx.SPEC, layout_keys=fx.LAYOUT_KEYS)
     return _memoised(spark, sf_dir, "prepared", make)
 
 
@@ -434,7 +434,7 @@ def q_compare_runs(spark, sf_dir):
     def other():
         train, test = _split(spark, sf_dir)
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        prepared = TR.prepare(train, fx.SPEC, layout_keys=fx.OBS_COLUMNS,
+        prepared = TR.prepare(train, fx.SPEC, layout_keys=fx.LAYOUT_KEYS,
                               layout_partitions=max(1, n // 2))
         try:
             return R.experiment_table(

@@ -59,7 +59,7 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _is_missing_path(err: AnalysisException) -> bool:
-    cls = getattr(err, "getErrorClass", lambda: None)() or ""
+    cls = getattr(err, "getCondition", lambda: None)() or ""
     return cls == "PATH_NOT_FOUND" or "Path does not exist" in str(err)
 
 

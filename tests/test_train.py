@@ -1,0 +1,92 @@
+import math
+
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from errlens.operators import prep as P
+from errlens.operators import score as S
+from errlens.operators import train as TR
+from errlens.plans import fixtures as fx
+from errlens.session import scratch_path
+from errlens.sources import models as MD
+
+RF_SMALL = TR.ModelConfig(TR.RF, depth=4, trees=5, max_bins=64)
+GBT_SMALL = TR.ModelConfig(TR.GBT, depth=3, iters=5, max_bins=64)
+
+
+@pytest.fixture(scope="module")
+def split(spark, sf_small):
+    # a noisy label (not separable) so models differ when they can
+    o = fx.obs(spark, sf_small).withColumn("label", F.when((F.col("f2") % 7) < 3.5, 0).otherwise(1))
+    return P.hash_split(o, [], bucket_col="bucket")
+
+
+def _preds(spark, train, test, cfg):
+    model = TR.train_pipeline(train, fx.SPEC, cfg, seed=42, layout_keys=fx.LAYOUT_KEYS, layout_partitions=4)
+    s = S.score_pipelines(test, {"m": model}, keep=["uid", "bucket", "day", "f1", "f2"])
+    imp = model.stages[-1].featureImportances.toArray().tolist()
+    rows = sorted((r.uid, r.bucket, r.day, r.f1, r.f2, r.prediction, tuple(r.probability.toArray()))
+                  for r in s.collect())
+    return rows, imp
+
+
+@pytest.mark.parametrize("cfg", [RF_SMALL, GBT_SMALL], ids=["rf", "gbt"])
+def test_canonical_layout_reproduces_model(spark, split, cfg):
+    train, test = split
+    a, ia = _preds(spark, train, test, cfg)
+    b, ib = _preds(spark, train.repartition(7, "uid"), test, cfg)
+    c, ic = _preds(spark, train.coalesce(1), test, cfg)
+    assert a == b == c
+    assert ia == ib == ic
+
+
+def test_probabilities_and_importances(spark, split):
+    train, test = split
+    model = TR.train_pipeline(train, fx.SPEC, RF_SMALL, layout_keys=fx.LAYOUT_KEYS)
+    s = S.score_pipelines(test, {"rf": model}, keep=["label"])
+    arr = s.select("prediction", vector_to_array("probability").alias("p")).collect()
+    for r in arr:
+        assert math.isclose(sum(r.p), 1.0, rel_tol=1e-9)
+        assert r.prediction == float(max(range(len(r.p)), key=lambda i: r.p[i]))
+    imp = TR.feature_importances(spark, model).collect()
+    assert [r.feature for r in imp] == fx.SPEC.vector_names
+    assert math.isclose(sum(r.importance for r in imp), 1.0, rel_tol=1e-9)
+
+
+def test_save_load_scores_equal(spark, split):
+    train, test = split
+    model = TR.train_pipeline(train, fx.SPEC, GBT_SMALL)
+    path = scratch_path(spark, "test_pipeline")
+    MD.save_pipeline(model, path)
+    MD.save_pipeline(model, path)   # overwrite
+    loaded = MD.load_pipeline(path)
+    a = S.score_pipelines(test, {"m": model}, keep=["uid", "bucket", "f1", "f2"])
+    b = S.score_pipelines(test, {"m": loaded}, keep=["uid", "bucket", "f1", "f2"])
+    cols = ["uid", "bucket", "f1", "f2", "prediction"]
+    assert a.select(cols).exceptAll(b.select(cols)).count() == 0
+
+
+def test_two_models_one_pass_equals_separate(spark, split):
+    train, test = split
+    prepared = TR.prepare(train, fx.SPEC)
+    try:
+        rf = TR.full_pipeline(prepared, TR.fit_classifier(prepared, RF_SMALL))
+        gbt = TR.full_pipeline(prepared, TR.fit_classifier(prepared, GBT_SMALL))
+    finally:
+        prepared.unpersist()
+    both = S.score_pipelines(test, {"RF": rf, "GBT": gbt}, keep=["uid", "bucket", "f2"])
+    sep = S.score_pipelines(test, {"RF": rf}, keep=["uid", "bucket", "f2"]).unionByName(
+        S.score_pipelines(test, {"GBT": gbt}, keep=["uid", "bucket", "f2"]))
+    cols = ["model", "uid", "bucket", "f2", "prediction"]
+    assert both.count() == 2 * test.count()
+    assert both.select(cols).exceptAll(sep.select(cols)).count() == 0
+
+
+def test_grid_rows(spark, split):
+    train, test = split
+    g = TR.run_grid(train, test, fx.SPEC, TR.rf_grid((3, 5), (2, 3), max_bins=64) + [GBT_SMALL])
+    rows = g.orderBy("seq").collect()
+    assert [r.model for r in rows] == ["RF"] * 4 + ["GBT"]
+    assert rows[0].params == "Trees:3, Depth:2" and rows[-1].params == "Depth:3, Iter:5"
+    assert all(0.0 <= r.accuracy <= 1.0 and r.train_time > 0 for r in rows)
