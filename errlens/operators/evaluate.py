@@ -122,39 +122,35 @@ def row_counts(df: DataFrame, bucket: str = "bucket", test_from: int = 8000,
     return df.agg(*aggs)
 
 
-def _class_grid(df: DataFrame, label: str, prediction: str, by: list[str]) -> DataFrame:
-    """(by, actual, predicted) for every pair of classes seen in the data.
-
-    Classes are the union of label and prediction values per group; the
-    grid is built from that (bounded) set by exploding it twice in one row
-    per group — no join against the data.
-    """
-    classes = (df.select(*by, F.col(label).cast("double").alias("c"))
-               .unionByName(df.select(*by, F.col(prediction).cast("double").alias("c")))
-               .filter(F.col("c").isNotNull())
-               .groupBy(*by).agg(F.array_sort(F.collect_set("c")).alias("cs")))
-    checked = classes.withColumn(
-        "cs", F.when(F.size("cs") <= MAX_CLASSES, F.col("cs"))
-        .otherwise(F.raise_error(F.lit(f"more than {MAX_CLASSES} classes"))))
-    return (checked.select(*by, F.explode("cs").alias("actual"), "cs")
-            .select(*by, "actual", F.explode("cs").alias("predicted")))
-
-
 def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction",
                      by: Sequence[str] | str | None = None) -> DataFrame:
     """Dense confusion table ``(*by, actual, predicted, n)``; zero cells kept.
 
-    Rows with a null prediction are not counted (as in the accuracy).
+    One scan and one partially aggregated shuffle of the data give the
+    non-empty cells.  Each group's cells (at most classes² + classes) are
+    then gathered into one row: the class set is the union of its label and
+    prediction values, the grid is that set exploded twice, and each grid
+    cell looks its count up in the group's cell map.  No join, and nothing
+    proportional to the data is collected.  Rows with a null prediction are
+    not counted (as in the accuracy), but their label still counts as a
+    class.
     """
     by = _cols(by)
-    counts = (df.filter(F.col(prediction).isNotNull())
-              .groupBy(*by, F.col(label).cast("double").alias("actual"),
-                       F.col(prediction).cast("double").alias("predicted"))
+    counts = (df.groupBy(*by, F.col(label).cast("double").alias("actual"),
+                         F.col(prediction).cast("double").alias("predicted"))
               .agg(F.count(F.lit(1)).alias("n")))
-    grid = _class_grid(df, label, prediction, by)
-    keys = by + ["actual", "predicted"]
-    return (grid.join(counts, keys, "left")
-            .select(*keys, F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
+    pair = F.struct(F.col("actual"), F.col("predicted"))
+    per_group = counts.groupBy(*by).agg(
+        F.array_sort(F.array_distinct(F.filter(
+            F.flatten(F.collect_list(F.array("actual", "predicted"))), lambda c: c.isNotNull()))).alias("cs"),
+        F.map_from_entries(F.collect_list(F.struct(pair.alias("k"), F.col("n")))).alias("cells"))
+    checked = per_group.withColumn(
+        "cs", F.when(F.size("cs") <= MAX_CLASSES, F.col("cs"))
+        .otherwise(F.raise_error(F.lit(f"more than {MAX_CLASSES} classes"))))
+    grid = (checked.select(*by, F.explode("cs").alias("actual"), "cs", "cells")
+            .select(*by, "actual", F.explode("cs").alias("predicted"), "cells"))
+    return grid.select(*by, "actual", "predicted",
+                       F.coalesce(F.element_at("cells", pair), F.lit(0)).cast("bigint").alias("n"))
 
 
 def confusion_pivot(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -212,7 +208,13 @@ def histogram(df: DataFrame, value: str, bins: int = 30, by: Sequence[str] | str
     idx = (i0 - F.when(F.col("_x") < _edge(lo, hi, i0, bins), 1).otherwise(0)
            + F.when((F.col("_x") >= _edge(lo, hi, i0 + 1, bins)) & (i0 != bins - 1), 1).otherwise(0))
     counts = binned.groupBy(*by, idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    grid = stats.select(*by, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    if by:
+        grid = stats.select(*by, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    else:
+        # bin numbers only; the range enters through the same (merged)
+        # scalar subquery as in the counting pass
+        grid = _attach(df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")),
+                       stats, by, ["_lo", "_hi"])
     b = F.col("bin")
     return (grid.join(counts, by + ["bin"], "left")
             .select(*by, b, _edge(lo, hi, b, bins).alias("bin_lo"), _edge(lo, hi, b + 1, bins).alias("bin_hi"),
