@@ -33,7 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observation-shaped view of ``lineitem`` (see FIXTURES.md §6)."""
-    li = table(spark, sf_dir, "lineitem")
+    return obs_from_lineitem(table(spark, sf_dir, "lineitem"))
+
+
+def obs_from_lineitem(li: DataFrame) -> DataFrame:
+    """Row-wise derivation of ``obs``; works on a batch or a streaming frame."""
     return li.select(
         F.md5(F.col("l_suppkey").cast("string")).alias("uid"),
         F.date_format("l_shipdate", "yyyyMMdd").cast("int").alias("day"),
