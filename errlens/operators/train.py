@@ -60,11 +60,19 @@ class ModelConfig:
         return f"D:{self.depth}, I:{self.iters}" if short else f"Depth:{self.depth}, Iter:{self.iters}"
 
 
-def rf_grid(trees: Sequence[int] = (10, 50), depths: Sequence[int] = (3, 6), max_bins: int = 32) -> list[ModelConfig]:
+# Grids of the reference's experiment scripts (fixed values): the small
+# 2×2 grids, and the larger 3×3 grids of the full-data analysis.
+SMALL_RF = dict(trees=(10, 50), depths=(3, 6))
+SMALL_GBT = dict(depths=(3, 6), iters=(10, 25))
+LARGE_RF = dict(trees=(10, 50, 100), depths=(3, 5, 10))
+LARGE_GBT = dict(depths=(3, 5, 10), iters=(10, 20, 50))
+
+
+def rf_grid(trees: Sequence[int] = SMALL_RF["trees"], depths: Sequence[int] = SMALL_RF["depths"], max_bins: int = 32) -> list[ModelConfig]:
     return [ModelConfig(RF, depth=d, trees=t, max_bins=max_bins) for t in trees for d in depths]
 
 
-def gbt_grid(depths: Sequence[int] = (3, 6), iters: Sequence[int] = (10, 25), max_bins: int = 32) -> list[ModelConfig]:
+def gbt_grid(depths: Sequence[int] = SMALL_GBT["depths"], iters: Sequence[int] = SMALL_GBT["iters"], max_bins: int = 32) -> list[ModelConfig]:
     return [ModelConfig(GBT, depth=d, iters=i, max_bins=max_bins) for d in depths for i in iters]
 
 
@@ -161,24 +169,34 @@ GRID_SCHEMA = T.StructType([
 def run_grid(train: DataFrame, test: DataFrame, spec: FeatureSpec, configs: Sequence[ModelConfig],
              seed: int = 42, layout_keys: Sequence[str] | None = None,
              layout_partitions: int | None = None, short_params: bool = False,
-             prepared: Prepared | None = None) -> DataFrame:
+             prepared: Prepared | None = None, parallelism: int = 1) -> DataFrame:
     """Fit every configuration on the same prepared training table, then
     score all of them on the test part in a single pass.
 
     Returns ``(seq, model, params, accuracy, train_time)``; ``train_time``
-    is the wall time of each ``fit`` (configurations run one after the
-    other so the times do not overlap).
+    is the wall time of each ``fit``.  With ``parallelism > 1`` that many
+    fits are submitted at once from driver threads (Spark runs their jobs
+    side by side, useful when one fit cannot fill a large cluster); the
+    times then overlap.
     """
     spark = train.sparkSession
     own = prepared is None
     if own:
         prepared = prepare(train, spec, layout_keys, layout_partitions)
     try:
-        fitted, times = [], []
-        for cfg in configs:
+        def fit_one(cfg):
             t0 = time.perf_counter()
-            fitted.append(fit_classifier(prepared, cfg, seed))
-            times.append(time.perf_counter() - t0)
+            m = fit_classifier(prepared, cfg, seed)
+            return m, time.perf_counter() - t0
+
+        if parallelism > 1:
+            from concurrent.futures import ThreadPoolExecutor
+            with ThreadPoolExecutor(max_workers=parallelism) as pool:
+                results = list(pool.map(fit_one, configs))
+        else:
+            results = [fit_one(cfg) for cfg in configs]
+        fitted = [m for m, _ in results]
+        times = [t for _, t in results]
         scored = prepared.prep.transform(test).select(
             F.col(spec.label).cast("double").alias(spec.label), spec.scaled_col)
         cols = []

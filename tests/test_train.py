@@ -90,3 +90,22 @@ def test_grid_rows(spark, split):
     assert [r.model for r in rows] == ["RF"] * 4 + ["GBT"]
     assert rows[0].params == "Trees:3, Depth:2" and rows[-1].params == "Depth:3, Iter:5"
     assert all(0.0 <= r.accuracy <= 1.0 and r.train_time > 0 for r in rows)
+
+
+def test_grid_parallel_equals_sequential(spark, split):
+    train, test = split
+    configs = TR.rf_grid((3,), (2, 3), max_bins=64) + TR.gbt_grid((2,), (3,), max_bins=64)
+    prepared = TR.prepare(train, fx.SPEC, layout_keys=fx.LAYOUT_KEYS, layout_partitions=4)
+    try:
+        a = TR.run_grid(train, test, fx.SPEC, configs, prepared=prepared).orderBy("seq").collect()
+        b = TR.run_grid(train, test, fx.SPEC, configs, prepared=prepared, parallelism=3).orderBy("seq").collect()
+    finally:
+        prepared.unpersist()
+    assert [(r.model, r.params, r.accuracy) for r in a] == [(r.model, r.params, r.accuracy) for r in b]
+
+
+def test_grid_presets():
+    assert len(TR.rf_grid(**TR.LARGE_RF)) == 9 and len(TR.gbt_grid(**TR.LARGE_GBT)) == 9
+    assert [c.label() for c in TR.rf_grid()] == ["Trees:10, Depth:3", "Trees:10, Depth:6",
+                                                 "Trees:50, Depth:3", "Trees:50, Depth:6"]
+    assert [c.label(short=True) for c in TR.gbt_grid()] == ["D:3, I:10", "D:3, I:25", "D:6, I:10", "D:6, I:25"]
