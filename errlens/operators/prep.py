@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from errlens.functions.columns import binarize, stable_bucket
@@ -69,6 +69,24 @@ def hash_split(df: DataFrame, keys: Sequence[str], weights: Sequence[float] = (0
     return parts
 
 
+def split_part(keys: Sequence[str], weights: Sequence[float] = (0.8, 0.2),
+               names: Sequence[str] = ("train", "test"), seed: int = 42,
+               bucket_col: str | None = None) -> Column:
+    """The name of the ``hash_split`` part each row falls in, as a column.
+
+    Same bounds as :func:`hash_split`; lets one pass handle every part
+    (e.g. ``groupBy(split_part(...))``) instead of one filtered scan per part.
+    """
+    if len(names) != len(weights):
+        raise ValueError("one name per weight")
+    b = F.col(bucket_col) if bucket_col else stable_bucket(list(keys), seed, BUCKETS)
+    edges = _bounds(weights)
+    expr = F.lit(names[-1])
+    for name, hi in reversed(list(zip(names[:-1], edges[1:-1]))):
+        expr = F.when(b < hi, F.lit(name)).otherwise(expr)
+    return expr
+
+
 def holdout(df: DataFrame, keys: Sequence[str], test_fraction: float = 0.2, seed: int = 42,
             bucket_col: str | None = None) -> DataFrame:
     """The test part of ``hash_split(df, keys, (1-f, f), seed)``, re-selected

@@ -167,10 +167,9 @@ def q_sample_hash(spark, sf_dir):
 
 
 def q_split_hash(spark, sf_dir):
-    train, test = P.hash_split(fx.obs(spark, sf_dir), fx.SPLIT_KEYS, (0.8, 0.2), bucket_col="bucket")
-    agg = [F.count(F.lit(1)).alias("n"), F.sum("f1").alias("sum_f1")]
-    return (train.agg(*agg).select(F.lit("train").alias("part"), "*")
-            .unionByName(test.agg(*agg).select(F.lit("test").alias("part"), "*")))
+    part = P.split_part(fx.SPLIT_KEYS, (0.8, 0.2), ("train", "test"), bucket_col="bucket")
+    return (fx.obs(spark, sf_dir).groupBy(part.alias("part"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("f1").alias("sum_f1")))
 
 
 def q_holdout_hash(spark, sf_dir):

@@ -51,3 +51,13 @@ def test_bernoulli_and_random_split(spark, sf_small):
     assert 0.2 < P.bernoulli_sample(o, 0.3, 42).count() / n < 0.4
     a, b = P.random_split(o, (0.8, 0.2), 42)
     assert a.count() + b.count() == n
+
+
+def test_split_part_matches_hash_split(spark, sf_small):
+    li = fx.table(spark, sf_small, "lineitem")
+    w, names = (0.6, 0.25, 0.15), ("a", "b", "c")
+    parts = P.hash_split(li, fx.SPLIT_KEYS, w, seed=3)
+    labelled = li.withColumn("part", P.split_part(fx.SPLIT_KEYS, w, names, seed=3))
+    for name, part in zip(names, parts):
+        assert labelled.filter(F.col("part") == name).drop("part").exceptAll(part).count() == 0
+        assert labelled.filter(F.col("part") == name).count() == part.count()
