@@ -96,15 +96,16 @@ def load_models(model_dir: str, names: Sequence[str] = tuple(FINAL_MODELS)) -> d
 
 def inference(df: DataFrame, models: Mapping[str, PipelineModel], out_dir: str,
               spec: FeatureSpec = OBSERVATION_SPEC, cols: Columns = Columns(), seed: int = 42,
-              test_fraction: float = 0.2, null_label: str = "one", worst_k: int = 10,
+              test_fraction: float | None = 0.2, null_label: str = "one", worst_k: int = 10,
               bins: int = 30, kde_points: int = 200) -> dict[str, DataFrame]:
     """Score the stable hold-out with every model (one pass), write the long
     prediction table partitioned by model, and build the error-analysis
     tables from it.  The monthly table is also written as headerless CSV.
+    ``test_fraction=None`` scores ``df`` as given (already the hold-out).
     """
     spark = df.sparkSession
     data = _labelled(df, spec, cols, null_label)
-    test = P.holdout(data, cols.split_keys, test_fraction, seed)
+    test = data if test_fraction is None else P.holdout(data, cols.split_keys, test_fraction, seed)
     keep = list(dict.fromkeys([cols.user, cols.day, cols.category, spec.label]))
     scored = S.score_pipelines(test, models, keep=keep)
     out = out_dir.rstrip("/")
