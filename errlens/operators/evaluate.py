@@ -77,6 +77,27 @@ def bottom_k(df: DataFrame, key: str, k: int = 10, label: str = "label",
     return accuracy_by(df, key, label, prediction, count_col, "asc", True, min_samples).limit(k)
 
 
+def bottom_k_by(df: DataFrame, by: Sequence[str] | str, key: str, k: int = 10, label: str = "label",
+                prediction: str = "prediction", count_col: str = "samples", min_samples: int = 0,
+                salt_buckets: int = 64) -> DataFrame:
+    """The ``k`` lowest-accuracy ``key`` groups within each ``by`` group
+    (ties by key), with their rank.
+
+    Exact two-stage top-k: each ``(by, hash(key) mod salt_buckets)`` bucket
+    first keeps its own k lowest, then the at most ``k × salt_buckets``
+    survivors per ``by`` group are ranked.  A ``by`` group with millions of
+    keys is thus ranked in ``salt_buckets`` tasks, never in one.
+    """
+    by = _cols(by)
+    per_key = accuracy_by(df, by + [key], label, prediction, count_col, order=None, min_samples=min_samples)
+    order = [F.asc("accuracy"), F.asc(key)]
+    salted = per_key.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salt_buckets)))
+    first = salted.withColumn("_r", F.row_number().over(Window.partitionBy(*by, "_salt").orderBy(*order)))
+    kept = first.filter(F.col("_r") <= k).drop("_r", "_salt")
+    ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    return ranked.filter(F.col("rank") <= k)
+
+
 def accuracy_overall(df: DataFrame, by: Sequence[str] | str | None = None, label: str = "label",
                      prediction: str = "prediction") -> DataFrame:
     """Share of rows with ``label == prediction``, per group in one pass."""

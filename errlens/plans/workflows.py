@@ -119,7 +119,7 @@ def inference(df: DataFrame, models: Mapping[str, PipelineModel], out_dir: str,
         "accuracy": E.accuracy_overall(pred, by="model", label=label),
         "by_month": E.accuracy_by(pred, ["model", "month"], label=label, count_col="total_samples",
                                   order="keys"),
-        "worst_users": _bottom_per_model(pred, cols.user, worst_k, label),
+        "worst_users": E.bottom_k_by(pred, "model", cols.user, worst_k, label=label),
         "by_category": E.accuracy_by(pred, ["model", cols.category], label=label, count_col=None, order=None)
                         .orderBy("model", F.desc("accuracy"), cols.category),
         "all_groupings": E.accuracy_grouping_sets(pred, ["month", cols.user, cols.category], label=label,
@@ -138,17 +138,6 @@ def inference(df: DataFrame, models: Mapping[str, PipelineModel], out_dir: str,
     return tables
 
 
-def _bottom_per_model(pred: DataFrame, user: str, k: int, label: str) -> DataFrame:
-    """Worst ``k`` users of each model (ties by user id).
-
-    ``row_number`` over the per-user table: one row per (model, user), so
-    the window sorts a table bounded by the number of users, split by model.
-    """
-    per_user = E.accuracy_by(pred, ["model", user], label=label, order=None)
-    ranked = E.rank_within(per_user, "model", [F.asc("accuracy"), F.asc(user)])
-    return ranked.filter(F.col("rank") <= k)
-
-
 def experiments(df: DataFrame, spec: FeatureSpec = OBSERVATION_SPEC, cols: Columns = Columns(),
                 rf: Sequence[TR.ModelConfig] | None = None, gbt: Sequence[TR.ModelConfig] | None = None,
                 sample_fraction: float | None = 0.3, sample_seed: int = 7, seed: int = 42,

@@ -75,3 +75,15 @@ def test_layout_balanced_with_hot_user(spark, sf_small):
     laid = TR.canonical_layout(o, fx.LAYOUT_KEYS, 8)
     sizes = [r[1] for r in laid.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) == 8 and max(sizes) < 1.5 * (sum(sizes) / 8)
+
+
+def test_salted_bottom_k_by_equals_brute_force(spark, sf_small):
+    two = fx.scored_two(spark, sf_small)
+    got = E.bottom_k_by(two, "model", "uid", k=7, salt_buckets=5).toPandas()
+    pdf = two.toPandas()
+    pdf["correct"] = (pdf.label == pdf.prediction).astype(int)
+    per = pdf.groupby(["model", "uid"]).agg(accuracy=("correct", "mean"), samples=("correct", "size")).reset_index()
+    for m, g in per.groupby("model"):
+        want = g.sort_values(["accuracy", "uid"]).head(7).uid.tolist()
+        have = got[got.model == m].sort_values("rank").uid.tolist()
+        assert have == want
