@@ -243,7 +243,8 @@ def histogram(df: DataFrame, value: str, bins: int = 30, by: Sequence[str] | str
 
 
 def kde(df: DataFrame, value: str, by: Sequence[str] | str | None = None, grid_size: int = 200,
-        cut: float = 3.0, decimals: int | None = None) -> DataFrame:
+        cut: float = 3.0, decimals: int | None = None, method: str = "auto",
+        distinct_ratio: float = 0.1) -> DataFrame:
     """Gaussian kernel density per group on an evenly spaced grid.
 
     Bandwidth by Scott's rule, ``h = stddev_samp · n^(-1/5)``; the grid runs
@@ -251,28 +252,51 @@ def kde(df: DataFrame, value: str, by: Sequence[str] | str | None = None, grid_s
     defaults of common plotting libraries).  Groups with zero spread or
     fewer than two values have no bandwidth and give no rows.
 
-    Exact, with the work cut down: rows are first reduced to
-    ``(group, distinct value, count)`` with a partial aggregate, and the
-    kernel sum runs over distinct values weighted by their counts.  Each
-    distinct value is expanded over the grid inside its task, and the
-    partial ``sum`` per ``(group, grid point)`` runs before the shuffle.
+    Exact in every method; they differ in where the work goes:
+
+    * ``'distinct'`` — rows are reduced to ``(group, distinct value, count)``
+      first (partial aggregate, then a shuffle of the distinct values), and
+      the kernel sums run over distinct values weighted by their counts.
+      Cheap when values repeat (tree-ensemble probabilities).
+    * ``'rows'`` — every row is expanded over the grid inside its own task
+      and summed per ``(group, grid point)`` before the shuffle, so only
+      ``groups × grid_size`` partial sums per task move; no shuffle of the
+      data.  Right for near-continuous values.
+    * ``'auto'`` — one small job computes the per-group statistics (one row
+      per group) with an approximate distinct count, and picks
+      ``'distinct'`` when every group has at most ``distinct_ratio`` distinct
+      values per row, else ``'rows'``.  The collected statistics feed the
+      main plan, so the data is still read twice in total.
 
     Output ``(*by, point, x, density)``.
     """
     by = _cols(by)
+    spark = df.sparkSession
     x = F.col(value).cast("double")
     data = df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    distinct = data.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_w"))
     # count / spread / range straight from the rows: stddev_samp merges
     # partial moments stably (no sum-of-squares cancellation).
-    sd = data.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"),
-                               F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
+    aggs = [F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"),
+            F.min("_x").alias("_mn"), F.max("_x").alias("_mx")]
+    if method == "auto":
+        per_group = data.groupBy(*by).agg(*aggs, F.approx_count_distinct("_x", 0.05).alias("_nd"))
+        rows = per_group.collect()          # one row per group
+        method = "distinct" if all(r["_nd"] <= distinct_ratio * r["_n"] for r in rows) else "rows"
+        sd = spark.createDataFrame(rows, per_group.schema).drop("_nd")
+    elif method in ("distinct", "rows"):
+        sd = data.groupBy(*by).agg(*aggs)
+    else:
+        raise ValueError("method must be 'auto', 'distinct' or 'rows'")
     bw = (sd.withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
           .filter((F.col("_n") >= 2) & (F.col("_h") > 0))
           .select(*by, "_n", "_h",
                   (F.col("_mn") - F.lit(cut) * F.col("_h")).alias("_lo"),
                   (F.col("_mx") + F.lit(cut) * F.col("_h")).alias("_hi")))
-    joined = _attach(distinct, bw, by, ["_n", "_h", "_lo", "_hi"])
+    if method == "distinct":
+        weighted = data.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_w"))
+    else:
+        weighted = data.withColumn("_w", F.lit(1))
+    joined = _attach(weighted, bw, by, ["_n", "_h", "_lo", "_hi"])
     pts = joined.select(*by, "_x", "_w", "_n", "_h", "_lo", "_hi",
                         F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("point"))
     step = (F.col("_hi") - F.col("_lo")) / F.lit(float(grid_size - 1))

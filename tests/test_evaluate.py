@@ -100,11 +100,15 @@ def _kde_numpy(xs, grid_size, cut=3.0):
     return grid, dens
 
 
-def test_kde_brute_force_and_integral(spark):
+@pytest.mark.parametrize("method", ["auto", "distinct", "rows"])
+@pytest.mark.parametrize("digits", [2, None])
+def test_kde_brute_force_and_integral(spark, method, digits):
     rng = np.random.default_rng(3)
-    xs = np.round(rng.beta(2, 5, 400), 2)   # repeated values exercise the weighting
+    xs = rng.beta(2, 5, 400)
+    if digits:
+        xs = np.round(xs, digits)   # repeated values exercise the weighting
     df = spark.createDataFrame([("m", float(x)) for x in xs], "model string, p double")
-    got = E.kde(df, "p", by="model", grid_size=50).orderBy("point").collect()
+    got = E.kde(df, "p", by="model", grid_size=50, method=method).orderBy("point").collect()
     grid, dens = _kde_numpy(xs, 50)
     assert np.allclose([r.x for r in got], grid, rtol=0, atol=1e-12)
     assert np.allclose([r.density for r in got], dens, rtol=1e-9, atol=1e-12)
@@ -113,9 +117,10 @@ def test_kde_brute_force_and_integral(spark):
 
 def test_kde_zero_spread_gives_no_rows(spark):
     df = spark.createDataFrame([("a", 0.5)] * 4 + [("b", 0.1), ("b", 0.2)], "model string, p double")
-    got = E.kde(df, "p", by="model", grid_size=5).collect()
-    assert {r.model for r in got} == {"b"} and len(got) == 5
-    assert E.kde(df.filter("model = 'a'"), "p", grid_size=5).count() == 0
+    for method in ("auto", "distinct", "rows"):
+        got = E.kde(df, "p", by="model", grid_size=5, method=method).collect()
+        assert {r.model for r in got} == {"b"} and len(got) == 5
+        assert E.kde(df.filter("model = 'a'"), "p", grid_size=5, method=method).count() == 0
 
 
 def test_histogram_counts_sum_to_rows(spark, sf_small):
@@ -128,3 +133,10 @@ def test_histogram_counts_sum_to_rows(spark, sf_small):
 def test_row_counts(spark, sf_small):
     r = E.row_counts(fx.obs(spark, sf_small)).first()
     assert r.total_rows == r.test_rows + r.train_rows
+
+
+def test_kde_and_histogram_empty_input(spark):
+    df = spark.createDataFrame([], "model string, p double")
+    assert E.kde(df, "p", by="model", grid_size=5).count() == 0
+    assert E.histogram(df, "p", bins=5).count() == 0
+    assert E.histogram(df, "p", bins=5, by="model").count() == 0
