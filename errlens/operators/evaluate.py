@@ -81,7 +81,16 @@ def bottom_k_by(df: DataFrame, by: Sequence[str] | str, key: str, k: int = 10, l
                 prediction: str = "prediction", count_col: str = "samples", min_samples: int = 0,
                 salt_buckets: int = 64) -> DataFrame:
     """The ``k`` lowest-accuracy ``key`` groups within each ``by`` group
-    (ties by key), with their rank.
+    (ties by key), with their rank.  See :func:`lowest_k_by`."""
+    by = _cols(by)
+    per_key = accuracy_by(df, by + [key], label, prediction, count_col, order=None, min_samples=min_samples)
+    return lowest_k_by(per_key, by, key, k, salt_buckets=salt_buckets)
+
+
+def lowest_k_by(per_key: DataFrame, by: Sequence[str] | str, key: str, k: int = 10,
+                metric: str = "accuracy", salt_buckets: int = 64) -> DataFrame:
+    """Rows with the ``k`` lowest ``metric`` within each ``by`` group of an
+    already aggregated table (ties by ``key``), with a ``rank`` column.
 
     Exact two-stage top-k: each ``(by, hash(key) mod salt_buckets)`` bucket
     first keeps its own k lowest, then the at most ``k × salt_buckets``
@@ -89,8 +98,7 @@ def bottom_k_by(df: DataFrame, by: Sequence[str] | str, key: str, k: int = 10, l
     keys is thus ranked in ``salt_buckets`` tasks, never in one.
     """
     by = _cols(by)
-    per_key = accuracy_by(df, by + [key], label, prediction, count_col, order=None, min_samples=min_samples)
-    order = [F.asc("accuracy"), F.asc(key)]
+    order = [F.asc(metric), F.asc(key)]
     salted = per_key.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salt_buckets)))
     first = salted.withColumn("_r", F.row_number().over(Window.partitionBy(*by, "_salt").orderBy(*order)))
     kept = first.filter(F.col("_r") <= k).drop("_r", "_salt")

@@ -56,6 +56,16 @@ def _memoised(spark: SparkSession, sf_dir: str, name: str, make: Callable):
     return _memo[k]
 
 
+def reset() -> None:
+    """Drop memoised models and release their cached training inputs."""
+    for v in _memo.values():
+        if isinstance(v, TR.Prepared):
+            v.unpersist()
+        elif isinstance(v, DataFrame):
+            v.unpersist()
+    _memo.clear()
+
+
 def _split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return P.hash_split(fx.labelled(spark, sf_dir), [], bucket_col="bucket")
 

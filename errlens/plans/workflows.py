@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -114,16 +115,25 @@ def inference(df: DataFrame, models: Mapping[str, PipelineModel], out_dir: str,
     pred = RD.read_parquet(spark, f"{out}/predictions").withColumn("month", month_key(cols.day))
 
     label = spec.label
+    # One scan, one shuffle: accuracy by month, user and category and overall,
+    # per model.  The result is one row per (model, group value) — small
+    # next to the predictions — and is kept so the per-dimension tables below
+    # read it instead of the predictions.
+    groupings = E.accuracy_grouping_sets(pred, ["month", cols.user, cols.category], label=label,
+                                         by="model").persist(StorageLevel.MEMORY_AND_DISK)
+
+    def dim(name: str, col: str) -> DataFrame:
+        return groupings.filter(F.col("dim") == name).select("model", F.col("value").alias(col),
+                                                             "accuracy", "samples")
+
     tables = {
-        "row_counts": pred.groupBy("model").agg(F.count(F.lit(1)).alias("scored_rows")),
-        "accuracy": E.accuracy_overall(pred, by="model", label=label),
-        "by_month": E.accuracy_by(pred, ["model", "month"], label=label, count_col="total_samples",
-                                  order="keys"),
-        "worst_users": E.bottom_k_by(pred, "model", cols.user, worst_k, label=label),
-        "by_category": E.accuracy_by(pred, ["model", cols.category], label=label, count_col=None, order=None)
-                        .orderBy("model", F.desc("accuracy"), cols.category),
-        "all_groupings": E.accuracy_grouping_sets(pred, ["month", cols.user, cols.category], label=label,
-                                                  by="model"),
+        "all_groupings": groupings,
+        "accuracy": groupings.filter(F.col("dim") == "all").select("model", "accuracy", "samples"),
+        "row_counts": groupings.filter(F.col("dim") == "all").select("model", F.col("samples").alias("scored_rows")),
+        "by_month": dim("month", "month").withColumnRenamed("samples", "total_samples").orderBy("model", "month"),
+        "worst_users": E.lowest_k_by(dim(cols.user, cols.user), "model", cols.user, worst_k),
+        "by_category": dim(cols.category, cols.category).drop("samples")
+                       .orderBy("model", F.desc("accuracy"), cols.category),
         "confusion": E.confusion_matrix(pred, label=label, by="model"),
         "confidence_histogram": E.histogram(pred.select("model", confidence("probability").alias("confidence")),
                                             "confidence", bins=bins, by="model"),
