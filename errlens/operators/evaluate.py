@@ -78,32 +78,28 @@ def bottom_k(df: DataFrame, key: str, k: int = 10, label: str = "label",
 
 
 def bottom_k_by(df: DataFrame, by: Sequence[str] | str, key: str, k: int = 10, label: str = "label",
-                prediction: str = "prediction", count_col: str = "samples", min_samples: int = 0,
-                salt_buckets: int = 64) -> DataFrame:
+                prediction: str = "prediction", count_col: str = "samples",
+                min_samples: int = 0) -> DataFrame:
     """The ``k`` lowest-accuracy ``key`` groups within each ``by`` group
     (ties by key), with their rank.  See :func:`lowest_k_by`."""
     by = _cols(by)
     per_key = accuracy_by(df, by + [key], label, prediction, count_col, order=None, min_samples=min_samples)
-    return lowest_k_by(per_key, by, key, k, salt_buckets=salt_buckets)
+    return lowest_k_by(per_key, by, key, k)
 
 
 def lowest_k_by(per_key: DataFrame, by: Sequence[str] | str, key: str, k: int = 10,
-                metric: str = "accuracy", salt_buckets: int = 64) -> DataFrame:
+                metric: str = "accuracy") -> DataFrame:
     """Rows with the ``k`` lowest ``metric`` within each ``by`` group of an
     already aggregated table (ties by ``key``), with a ``rank`` column.
 
-    Exact two-stage top-k: each ``(by, hash(key) mod salt_buckets)`` bucket
-    first keeps its own k lowest, then the at most ``k × salt_buckets``
-    survivors per ``by`` group are ranked.  A ``by`` group with millions of
-    keys is thus ranked in ``salt_buckets`` tasks, never in one.
+    ``row_number`` filtered to ``<= k`` is planned as a two-stage group
+    limit: every task keeps its own k lowest per group before the shuffle
+    (``WindowGroupLimit Partial``), so a group with millions of keys sends
+    at most k rows per task to its final ranking task.
     """
     by = _cols(by)
-    order = [F.asc(metric), F.asc(key)]
-    salted = per_key.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salt_buckets)))
-    first = salted.withColumn("_r", F.row_number().over(Window.partitionBy(*by, "_salt").orderBy(*order)))
-    kept = first.filter(F.col("_r") <= k).drop("_r", "_salt")
-    ranked = kept.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
-    return ranked.filter(F.col("rank") <= k)
+    w = Window.partitionBy(*by).orderBy(F.asc(metric), F.asc(key))
+    return per_key.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def accuracy_overall(df: DataFrame, by: Sequence[str] | str | None = None, label: str = "label",

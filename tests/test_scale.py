@@ -77,9 +77,11 @@ def test_layout_balanced_with_hot_user(spark, sf_small):
     assert len(sizes) == 8 and max(sizes) < 1.5 * (sum(sizes) / 8)
 
 
-def test_salted_bottom_k_by_equals_brute_force(spark, sf_small):
+def test_bottom_k_by_equals_brute_force_with_partial_limit(spark, sf_small):
     two = fx.scored_two(spark, sf_small)
-    got = E.bottom_k_by(two, "model", "uid", k=7, salt_buckets=5).toPandas()
+    top = E.bottom_k_by(two, "model", "uid", k=7)
+    got = top.toPandas()
+    assert "WindowGroupLimit" in _plan(top) and "Partial" in _plan(top)
     pdf = two.toPandas()
     pdf["correct"] = (pdf.label == pdf.prediction).astype(int)
     per = pdf.groupby(["model", "uid"]).agg(accuracy=("correct", "mean"), samples=("correct", "size")).reset_index()
