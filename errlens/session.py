@@ -58,13 +58,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     path = spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
+    current = sc._jsc.sc().getCheckpointDir()
+    if not path and current.isDefined():
+        return current.get()          # the caller already chose a folder
     if not path:
         if not _is_local(spark):
             raise RuntimeError(
                 f"{_CHECKPOINT_KEY} is not set; point it at a shared folder")
         path = tempfile.mkdtemp(prefix="errlens-ckpt-", dir="/tmp")
         spark.conf.set(_CHECKPOINT_KEY, path)
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
+    if current.isEmpty():
         sc.setCheckpointDir(path)
     return path
 
