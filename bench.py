@@ -60,7 +60,7 @@ def main() -> None:
     train, test = P.hash_split(fx.labelled(spark, sf_dir), [], bucket_col="bucket")
 
     def featurize():
-        prepared = TR.prepare(train, fx.SPEC, layout_keys=fx.LAYOUT_KEYS)
+        prepared = TR.prepare(train, fx.SPEC, layout_keys=fx.LAYOUT_KEYS, layout_partitions=int(cpus))
         prepared.train.count()
         return prepared
 
