@@ -53,9 +53,22 @@ def read_csv_headerless(spark: SparkSession, path: str,
     return spark.read.option("header", "false").schema(schema).csv(path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """A whole Parquet dataset folder (all part files; partition columns too)."""
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, fallback_glob: str | None = "part-*.parquet") -> DataFrame:
+    """A whole Parquet dataset folder (all part files; partition columns too).
+
+    If the folder does not read as one dataset (e.g. stray non-Parquet files
+    next to the parts), its ``fallback_glob`` files are read instead; a
+    missing path is still an error (see :func:`read_optional`).
+    """
+    try:
+        return spark.read.parquet(path)
+    except Exception as err:
+        if fallback_glob is None or (isinstance(err, AnalysisException) and _is_missing_path(err)):
+            raise
+        try:
+            return spark.read.parquet(f"{path.rstrip('/')}/{fallback_glob}")
+        except AnalysisException:
+            raise err from None
 
 
 def _is_missing_path(err: AnalysisException) -> bool:

@@ -47,3 +47,15 @@ def test_predictions_partitioned_by_model(spark):
     back = RD.read_parquet(spark, path)
     assert back.filter("model = 'GBT'").count() == 1
     assert set(back.columns) == {"model", "uid", "day", "label", "prediction"}
+
+
+def test_parquet_folder_with_stray_file_falls_back_to_parts(spark):
+    import os
+    path = scratch_path(spark, "stray")
+    spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").write.parquet(path)
+    with open(os.path.join(path, "notes.txt"), "w") as f:
+        f.write("not parquet")
+    back = RD.read_parquet(spark, path)
+    assert sorted(map(tuple, back.collect())) == [(1, "a"), (2, "b")]
+    with pytest.raises(AnalysisException):
+        RD.read_parquet(spark, "/tmp/errlens-no-such-folder-abc")
