@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from errlens.functions.columns import correct
+from errlens.session import ensure_checkpoint_dir
 
 # Largest number of classes the dense confusion matrix accepts; the class
 # grid is classes², so it must stay bounded.
@@ -269,8 +270,9 @@ def kde(df: DataFrame, value: str, by: Sequence[str] | str | None = None, grid_s
     * ``'auto'`` — one small job computes the per-group statistics (one row
       per group) with an approximate distinct count, and picks
       ``'distinct'`` when every group has at most ``distinct_ratio`` distinct
-      values per row, else ``'rows'``.  The collected statistics feed the
-      main plan, so the data is still read twice in total.
+      values per row, else ``'rows'``.  The statistics are checkpointed to
+      ``spark.checkpoint.dir`` and feed the main plan, so the data is still
+      read twice in total and only one row reaches the driver.
 
     Output ``(*by, point, x, density)``.
     """
@@ -284,9 +286,14 @@ def kde(df: DataFrame, value: str, by: Sequence[str] | str | None = None, grid_s
             F.min("_x").alias("_mn"), F.max("_x").alias("_mx")]
     if method == "auto":
         per_group = data.groupBy(*by).agg(*aggs, F.approx_count_distinct("_x", 0.05).alias("_nd"))
-        rows = per_group.collect()          # one row per group
-        method = "distinct" if all(r["_nd"] <= distinct_ratio * r["_n"] for r in rows) else "rows"
-        sd = spark.createDataFrame(rows, per_group.schema).drop("_nd")
+        # The statistics (one row per group, however many groups there are)
+        # are written once to the shared checkpoint folder; the decision is
+        # a one-row aggregate over them, and the main plan reads them back.
+        ensure_checkpoint_dir(spark)
+        per_group = per_group.checkpoint(eager=True)
+        excess = per_group.agg(F.max(F.col("_nd") - F.lit(distinct_ratio) * F.col("_n"))).first()[0]
+        method = "distinct" if excess is None or excess <= 0 else "rows"
+        sd = per_group.drop("_nd")
     elif method in ("distinct", "rows"):
         sd = data.groupBy(*by).agg(*aggs)
     else:

@@ -9,7 +9,10 @@ Design points for large inputs:
   content before fitting.  MLlib's bootstrap (RF) and split-candidate
   sampling (RF and GBT) draw per partition, so a seed alone reproduces a
   model only on an identical layout; a content-defined layout makes the
-  fit independent of how the source files happen to be split.
+  fit independent of how the source files happen to be split.  Exact
+  copies of a row are counted first and spread over all partitions, so a
+  repeated row holding a large share of the data does not make one task
+  hold it.
 * Grid points are evaluated in one pass: every fitted model scores the
   same cached test table with its own output columns, and one aggregate
   computes all accuracies.
@@ -76,16 +79,41 @@ def gbt_grid(depths: Sequence[int] = SMALL_GBT["depths"], iters: Sequence[int] =
     return [ModelConfig(GBT, depth=d, iters=i, max_bins=max_bins) for d in depths for i in iters]
 
 
-def canonical_layout(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Content-defined layout: hash-partition on ``keys`` into a fixed number
-    of partitions, then sort each partition by ``keys``.
+def canonical_layout(df: DataFrame, keys: Sequence[str], partitions: int | None = None,
+                     spread: int = 16) -> DataFrame:
+    """Content-defined layout: a fixed number of partitions whose contents
+    and row order depend only on the rows, not on the input files.
+
+    Identical rows are first counted (a hash aggregate with a map-side
+    partial step, so a row repeated a billion times leaves every task as one
+    record).  Each distinct row's copies are then split into
+    ``min(copies, spread · partitions)`` chunks of near-equal size, chunks
+    are placed by a hash of the row and the chunk number, sorted by
+    ``keys`` then the other columns, and expanded back into their copies in
+    place.  A group of copies holding a third of the data is therefore
+    spread over all partitions instead of landing in one task, and rows
+    that differ anywhere (including outside ``keys``) never collide.
 
     ``partitions`` defaults to ``spark.sql.shuffle.partitions``; keep it
-    fixed between runs that must reproduce each other.  A repartition to an
-    explicit number is not coalesced by AQE.
+    fixed between runs that must reproduce each other (an explicit
+    repartition is not coalesced by AQE).  Grouping normalises ``-0.0`` to
+    ``0.0`` and NaN payloads, as any Spark aggregate does.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys).sortWithinPartitions(*keys)
+    cols = df.columns
+    order = list(dict.fromkeys([*keys, *cols]))
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
+    copies = F.col("_copies")
+    k = F.least(copies, F.lit(spread * n))
+    chunks = counted.select(*cols, copies, k.alias("_k"),
+                            F.explode(F.sequence(F.lit(0).cast("long"), k - 1)).alias("_chunk"))
+    # chunk j of k holds copies // k rows, plus one for the first copies % k chunks
+    size = (F.expr("_copies div _k")
+            + F.when(F.col("_chunk") < copies % F.col("_k"), 1).otherwise(0))
+    placed = (chunks.select(*cols, "_chunk", size.alias("_m"))
+              .repartition(n, *cols, "_chunk")
+              .sortWithinPartitions(*order, "_chunk"))
+    return placed.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_m"))).alias("_copy")).drop("_copy")
 
 
 def make_classifier(cfg: ModelConfig, spec: FeatureSpec, seed: int = 42):
