@@ -93,8 +93,10 @@ def main() -> None:
         obs = fx.obs(spark, sf_dir)
         # the stable hold-out of obs is selected by its precomputed bucket
         held = obs.filter(F.col("bucket") >= fx.TEST_FROM)
+        # the test files are one Parquet row group each (one scan task), so
+        # the hold-out is spread over the cores before scoring
         tables = W.inference(held, models, scratch_path(spark, "bench-inference"), spec=fx.SPEC,
-                             cols=cols, test_fraction=None)
+                             cols=cols, test_fraction=None, partitions=int(cpus))
         return {k: v.collect() for k, v in tables.items()}
 
     timed("inference_reports", inference_reports)

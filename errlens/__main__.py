@@ -29,6 +29,8 @@ def main(argv=None) -> None:
     sub.choices["train"].add_argument("--models", required=True)
     sub.choices["inference"].add_argument("--models", required=True)
     sub.choices["inference"].add_argument("--out", required=True)
+    sub.choices["inference"].add_argument("--partitions", type=int, default=None,
+                                          help="spread the hold-out over this many tasks before scoring")
     sub.choices["experiments"].add_argument("--out", required=True)
     sub.choices["experiments"].add_argument("--sample", type=float, default=0.3)
     sub.choices["experiments"].add_argument("--large", action="store_true")
@@ -40,7 +42,7 @@ def main(argv=None) -> None:
         res = W.train(df, a.models, seed=a.seed)
         res["accuracy"].show()
     elif a.cmd == "inference":
-        tables = W.inference(df, W.load_models(a.models), a.out, seed=a.seed)
+        tables = W.inference(df, W.load_models(a.models), a.out, seed=a.seed, partitions=a.partitions)
         for name in ("accuracy", "by_month", "worst_users", "by_category"):
             tables[name].show(40, truncate=False)
     else:

@@ -98,15 +98,23 @@ def load_models(model_dir: str, names: Sequence[str] = tuple(FINAL_MODELS)) -> d
 def inference(df: DataFrame, models: Mapping[str, PipelineModel], out_dir: str,
               spec: FeatureSpec = OBSERVATION_SPEC, cols: Columns = Columns(), seed: int = 42,
               test_fraction: float | None = 0.2, null_label: str = "one", worst_k: int = 10,
-              bins: int = 30, kde_points: int = 200) -> dict[str, DataFrame]:
+              bins: int = 30, kde_points: int = 200, partitions: int | None = None) -> dict[str, DataFrame]:
     """Score the stable hold-out with every model (one pass), write the long
     prediction table partitioned by model, and build the error-analysis
     tables from it.  The monthly table is also written as headerless CSV.
     ``test_fraction=None`` scores ``df`` as given (already the hold-out).
+
+    Scoring is narrow and CPU-heavy (every tree of every model per row), so
+    it runs in as many tasks as the source has splits.  ``partitions``
+    spreads the hold-out round-robin over that many tasks first, for
+    sources with few splits (gzip CSV, one large Parquet row group); leave
+    it ``None`` when the scan already yields enough splits.
     """
     spark = df.sparkSession
     data = _labelled(df, spec, cols, null_label)
     test = data if test_fraction is None else P.holdout(data, cols.split_keys, test_fraction, seed)
+    if partitions:
+        test = test.repartition(partitions)
     keep = list(dict.fromkeys([cols.user, cols.day, cols.category, spec.label]))
     scored = S.score_pipelines(test, models, keep=keep)
     out = out_dir.rstrip("/")

@@ -84,7 +84,7 @@ def test_layout_spreads_a_group_of_copies_and_stays_reproducible(spark, sf_small
     o = fx.labelled(spark, sf_small)
     n = o.count()
     hot = o.orderBy(*fx.LAYOUT_KEYS).limit(1)
-    copies = hot.crossJoin(spark.range(n // 2).select(F.col("id").alias("_i"))).drop("_i")
+    copies = hot.select("*", F.explode(F.sequence(F.lit(1), F.lit(n // 2))).alias("_i")).drop("_i")
     data = o.unionByName(copies)
     layouts = []
     for inp in (data, data.repartition(5), data.repartition(3, "uid").sortWithinPartitions("f2")):
@@ -99,6 +99,18 @@ def test_layout_spreads_a_group_of_copies_and_stays_reproducible(spark, sf_small
     assert sorted(r for p in layouts[0] for r in p) == sorted(tuple(r) for r in data.collect())
 
 
+def test_layout_counts_copies_before_the_first_shuffle(spark, sf_small):
+    laid = TR.canonical_layout(fx.labelled(spark, sf_small), fx.LAYOUT_KEYS, 8)
+    laid.write.format("noop").mode("overwrite").save()
+    plan = laid._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    exchanges = [i for i, line in enumerate(lines) if "Exchange" in line]
+    assert len(exchanges) == 2
+    # the partial count sits below (after, in the text) the first exchange
+    assert "partial_count" in "\n".join(lines[exchanges[-1]:])
+    assert "REPARTITION_BY_NUM" in lines[exchanges[0]]
+
+
 def test_bottom_k_by_equals_brute_force_with_partial_limit(spark, sf_small):
     two = fx.scored_two(spark, sf_small)
     top = E.bottom_k_by(two, "model", "uid", k=7)

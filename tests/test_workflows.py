@@ -54,6 +54,14 @@ def test_train_then_inference(spark, obs_csv):
     dens = tables["class1_density"].collect()
     assert all(r.density >= 0 for r in dens)
 
+    # spreading the hold-out over more tasks before scoring changes nothing
+    spread = W.inference(df, W.load_models(model_dir), scratch_path(spark, "inference"), kde_points=21,
+                         partitions=4)
+    for name in ("all_groupings", "confusion", "confidence_histogram"):
+        a = sorted(map(tuple, tables[name].collect()), key=repr)
+        b = sorted(map(tuple, spread[name].collect()), key=repr)
+        assert a == b, name
+
 
 def test_experiments_table(spark, obs_csv):
     df = RD.read_csv(spark, obs_csv, schema=RD.OBSERVATION_SCHEMA)
