@@ -72,7 +72,9 @@ def main() -> None:
     gbt = timed("fit_gbt_6x25", lambda: TR.fit_classifier(prepared, Q.GBT_FINAL, fx.SEED))
 
     def score_eval():
-        s = S.score_long(test, prepared.prep, {"RF": rf, "GBT": gbt}, keep=["uid", "day", "race", "label"])
+        # one scan task (single row group): spread before the per-row scoring
+        s = S.score_long(test.repartition(int(cpus)), prepared.prep, {"RF": rf, "GBT": gbt},
+                         keep=["uid", "day", "race", "label"])
         s = s.withColumn("month", month_key("day"))
         return E.accuracy_grouping_sets(s, ["month", "uid", "race"], by="model").collect()
 

@@ -143,6 +143,12 @@ def prepare(train: DataFrame, spec: FeatureSpec, layout_keys: Sequence[str] | No
 
     Only the label and the scaled vector are kept in the cache; the raw
     columns and the unscaled vector are dropped before persisting.
+
+    With ``layout_keys`` the training rows get the canonical layout first.
+    The layout is defined on the columns the model sees (label, numeric and
+    categorical inputs): rows equal in those are copies to the model, and
+    the layout spreads copies.  ``layout_keys`` gives the sort order; keys
+    outside those columns (ids, dates) are not needed and are ignored.
     """
     ensure_checkpoint_dir(train.sparkSession)
     raw = None
@@ -150,9 +156,10 @@ def prepare(train: DataFrame, spec: FeatureSpec, layout_keys: Sequence[str] | No
         # The index and scaler fits each read the training rows; keep the
         # laid-out rows (only the columns the features need) so the scan,
         # hash and shuffle run once instead of once per fit.
-        needed = [c for c in dict.fromkeys([spec.label, *spec.numeric, *spec.categorical, *layout_keys])
+        needed = [c for c in dict.fromkeys([spec.label, *spec.numeric, *spec.categorical])
                   if c in train.columns]
-        raw = canonical_layout(train.select(*needed), layout_keys, layout_partitions).persist(
+        keys = [k for k in layout_keys if k in needed]
+        raw = canonical_layout(train.select(*needed), keys, layout_partitions).persist(
             StorageLevel.MEMORY_AND_DISK)
         train = raw
     prep = fit_features(train, spec)

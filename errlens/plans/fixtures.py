@@ -19,8 +19,9 @@ TEST_FROM = 8000  # buckets 8000..9999 are the 20 % hold-out
 
 SPLIT_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 OBS_COLUMNS = ["uid", "day", "stress", "f1", "f2", "f3", "f4", "f5", "gender", "race", "bucket"]
-# Canonical training layout: every column of obs (a total order on rows),
-# the integer bucket first so most sort comparisons end on an int.
+# Sort order of the canonical training layout (every column of obs, the
+# integer bucket first).  ``train.prepare`` lays out only the columns the
+# model sees, so it keeps the feature columns of this list in this order.
 LAYOUT_KEYS = ["bucket", "day", "stress", "f1", "f2", "f3", "f4", "f5", "gender", "race", "uid"]
 NUMERIC = ("f1", "f2", "f3", "f4", "f5")
 CATEGORICAL = ("gender", "race")
