@@ -156,8 +156,9 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
     non-empty cells.  Each group's cells (at most classes² + classes) are
     then gathered into one row: the class set is the union of its label and
     prediction values, the grid is that set exploded twice, and each grid
-    cell looks its count up in the group's cell map.  No join, and nothing
-    proportional to the data is collected.  Rows with a null prediction are
+    cell looks its count up in the group's cell map.  The cell count of each
+    group is checked before the gathering step.  Nothing proportional to the
+    data is collected.  Rows with a null prediction are
     not counted (as in the accuracy), but their label still counts as a
     class.
     """
@@ -165,6 +166,17 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
     counts = (df.groupBy(*by, F.col(label).cast("double").alias("actual"),
                          F.col(prediction).cast("double").alias("predicted"))
               .agg(F.count(F.lit(1)).alias("n")))
+    # Bound what each group gathers before it is gathered: the number of
+    # non-empty cells per group, counted by a window over the (small,
+    # aggregated) cell table, must stay within MAX_CLASSES², else the query
+    # fails before any list is built.  The window's shuffle by group is the
+    # one the gathering step needs anyway, and its row buffer can spill.
+    limit = MAX_CLASSES * MAX_CLASSES
+    cells = F.count(F.lit(1)).over(Window.partitionBy(*by))
+    counts = counts.select(
+        *by, "actual", "predicted",
+        F.when(cells <= limit, F.col("n"))
+        .otherwise(F.raise_error(F.lit(f"more than {limit} confusion cells in a group"))).alias("n"))
     pair = F.struct(F.col("actual"), F.col("predicted"))
     per_group = counts.groupBy(*by).agg(
         F.array_sort(F.array_distinct(F.filter(

@@ -71,6 +71,17 @@ def test_confusion_matrix_unseen_class_pairs(spark):
     assert len(cm) == 9 and cm[(2.0, 1.0)] == 1 and cm[(1.0, 1.0)] == 0
 
 
+def test_confusion_matrix_refuses_unbounded_cells(spark, monkeypatch):
+    """A continuous 'prediction' would make every group gather one cell per
+    row; the cell count is checked (and the query fails) before gathering."""
+    monkeypatch.setattr(E, "MAX_CLASSES", 3)
+    df = spark.range(40).select((F.col("id") % 2).alias("label"), (F.col("id") / 7.0).alias("prediction"))
+    with pytest.raises(Exception, match="confusion cells"):
+        E.confusion_matrix(df).collect()
+    ok = spark.createDataFrame([(0, 0.0), (1, 1.0), (1, 0.0)], "label int, prediction double")
+    assert len(E.confusion_matrix(ok).collect()) == 4
+
+
 @pytest.mark.parametrize("seed", [0, 1])
 def test_histogram_equals_numpy(spark, seed):
     rng = np.random.default_rng(seed)
