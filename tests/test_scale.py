@@ -123,3 +123,22 @@ def test_bottom_k_by_equals_brute_force_with_partial_limit(spark, sf_small):
         want = g.sort_values(["accuracy", "uid"]).head(7).uid.tolist()
         have = got[got.model == m].sort_values("rank").uid.tolist()
         assert have == want
+
+
+@pytest.mark.parametrize("q, unread", [
+    ("accuracy_by_month", {"l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_returnflag"}),
+    ("worst_users_top10", {"l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_shipdate"}),
+    ("confusion_matrix", {"l_extendedprice", "l_discount", "l_tax", "l_linestatus", "l_returnflag",
+                          "l_shipdate"}),
+    ("row_counts", {"l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus",
+                    "l_returnflag", "l_shipdate"}),
+])
+def test_scan_reads_only_needed_columns(spark, sf_small, q, unread):
+    from errlens.plans.queries import QUERIES
+    df = QUERIES[q](spark, sf_small)
+    df.collect()
+    scans = [line for line in _plan(df).splitlines() if "FileScan parquet" in line]
+    assert scans
+    for line in scans:
+        read = {c.split("#")[0].strip() for c in line.split("FileScan parquet [", 1)[1].split("]", 1)[0].split(",")}
+        assert "l_orderkey" in read and not unread & read, (q, read)
