@@ -72,3 +72,18 @@ def test_experiments_table(spark, obs_csv):
     assert [r.model for r in sorted(rows, key=lambda r: (r.model != "RF", r.seq))] == ["RF", "RF", "GBT"]
     back = RD.read_csv(spark, out, schema="seq INT, model STRING, params STRING, accuracy DOUBLE, train_time DOUBLE")
     assert back.count() == 3
+
+
+def test_command_line_train_then_inference(spark, obs_csv, monkeypatch):
+    import functools
+
+    from errlens import __main__ as cli
+    # the CLI trains the final model settings; small ones keep the test short
+    monkeypatch.setattr(W, "train", functools.partial(W.train, models=SMALL))
+    model_dir, out = scratch_path(spark, "cli-models"), scratch_path(spark, "cli-out")
+    cli.main(["train", "--input", obs_csv, "--models", model_dir])
+    cli.main(["inference", "--input", obs_csv, "--models", model_dir, "--out", out, "--partitions", "4"])
+    pred = RD.read_parquet(spark, f"{out}/predictions")
+    assert {r.model for r in pred.select("model").distinct().collect()} == {"RF", "GBT"}
+    monthly = RD.read_csv_headerless(spark, f"{out}/analysis_monthly_gbt", ["month", "accuracy", "samples"])
+    assert monthly.count() > 0
