@@ -91,8 +91,9 @@ def canonical_layout(df: DataFrame, keys: Sequence[str], partitions: int | None
     are placed by a hash of the row and the chunk number, sorted by
     ``keys`` then the other columns, and expanded back into their copies in
     place.  A group of copies holding a third of the data is therefore
-    spread over all partitions instead of landing in one task, and rows
-    that differ anywhere (including outside ``keys``) never collide.
+    spread over all partitions instead of landing in one task.  Rows that
+    differ in any column (including outside ``keys``) are never counted as
+    copies of each other.
 
     ``partitions`` defaults to ``spark.sql.shuffle.partitions``; keep it
     fixed between runs that must reproduce each other (an explicit
@@ -113,7 +114,8 @@ def canonical_layout(df: DataFrame, keys: Sequence[str], partitions: int | None
     placed = (chunks.select(*cols, "_chunk", size.alias("_m"))
               .repartition(n, *cols, "_chunk")
               .sortWithinPartitions(*order, "_chunk"))
-    return placed.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_m"))).alias("_copy")).drop("_copy")
+    expanded = placed.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_m"))).alias("_copy"))
+    return expanded.drop("_copy")
 
 
 def make_classifier(cfg: ModelConfig, spec: FeatureSpec, seed: int = 42):
