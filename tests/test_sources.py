@@ -59,3 +59,32 @@ def test_parquet_folder_with_stray_file_falls_back_to_parts(spark):
     assert sorted(map(tuple, back.collect())) == [(1, "a"), (2, "b")]
     with pytest.raises(AnalysisException):
         RD.read_parquet(spark, "/tmp/errlens-no-such-folder-abc")
+
+
+# Golden rows of the stored monthly accuracy table (headerless CSV), as
+# printed in FIXTURES.md §3 (fixed values).
+MONTHLY_ROWS = ["202003,0.6496268325626793,101429",
+                "202004,0.7217763666611993,170708",
+                "202204,0.6727472584993065,38209"]
+
+
+def test_golden_monthly_table_reads_typed(spark):
+    """The stored monthly table read by position with its types: every
+    accuracy × samples is a whole number of correct rows, and the
+    count-weighted accuracy of the rows equals correct ÷ samples."""
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from errlens.functions.columns import month_label
+    path = scratch_path(spark, "golden_monthly")
+    spark.createDataFrame([(r,) for r in MONTHLY_ROWS], "value string").coalesce(1).write.text(path)
+    schema = T.StructType([T.StructField("month", T.StringType()), T.StructField("accuracy", T.DoubleType()),
+                           T.StructField("samples", T.LongType())])
+    back = RD.read_csv_headerless(spark, path, schema)
+    rows = back.select("month", month_label("month").alias("label"), "accuracy", "samples",
+                       (F.col("accuracy") * F.col("samples")).alias("correct")).orderBy("month").collect()
+    assert [(r.month, r.label, r.samples) for r in rows] == [
+        ("202003", "2020-03", 101429), ("202004", "2020-04", 170708), ("202204", "2022-04", 38209)]
+    assert all(abs(r.correct - round(r.correct)) < 1e-6 for r in rows)
+    total = back.agg((F.sum(F.col("accuracy") * F.col("samples")) / F.sum("samples")).alias("a")).first().a
+    assert total == pytest.approx((65891 + 123213 + 25705) / (101429 + 170708 + 38209), rel=1e-12)
