@@ -26,6 +26,9 @@ def main(argv=None) -> None:
         p.add_argument("--infer-schema", action="store_true")
         p.add_argument("--seed", type=int, default=42)
         p.add_argument("--master", default=None)
+    for name in ("train", "experiments"):
+        sub.choices[name].add_argument("--reliable-input", action="store_true",
+                                       help="write the model input to spark.checkpoint.dir before fitting")
     sub.choices["train"].add_argument("--models", required=True)
     sub.choices["inference"].add_argument("--models", required=True)
     sub.choices["inference"].add_argument("--out", required=True)
@@ -39,7 +42,7 @@ def main(argv=None) -> None:
     spark = get_session(master=a.master)
     df = _read(spark, a.input, a.infer_schema)
     if a.cmd == "train":
-        res = W.train(df, a.models, seed=a.seed)
+        res = W.train(df, a.models, seed=a.seed, reliable_input=a.reliable_input)
         res["accuracy"].show()
     elif a.cmd == "inference":
         tables = W.inference(df, W.load_models(a.models), a.out, seed=a.seed, partitions=a.partitions)
@@ -49,7 +52,8 @@ def main(argv=None) -> None:
         from errlens.operators import train as TR
         rf = TR.rf_grid(**TR.LARGE_RF) if a.large else TR.rf_grid()
         gbt = TR.gbt_grid(**TR.LARGE_GBT) if a.large else TR.gbt_grid()
-        W.experiments(df, rf=rf, gbt=gbt, sample_fraction=a.sample, seed=a.seed, out_csv=a.out).show(truncate=False)
+        W.experiments(df, rf=rf, gbt=gbt, sample_fraction=a.sample, seed=a.seed, out_csv=a.out,
+                      reliable_input=a.reliable_input).show(truncate=False)
 
 
 if __name__ == "__main__":

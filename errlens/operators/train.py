@@ -140,7 +140,7 @@ class Prepared:
 
 
 def prepare(train: DataFrame, spec: FeatureSpec, layout_keys: Sequence[str] | None = None,
-            layout_partitions: int | None = None) -> Prepared:
+            layout_partitions: int | None = None, reliable: bool = False) -> Prepared:
     """Fit index/assemble/scale on ``train`` once and persist the model input.
 
     Only the label and the scaled vector are kept in the cache; the raw
@@ -151,6 +151,12 @@ def prepare(train: DataFrame, spec: FeatureSpec, layout_keys: Sequence[str] | No
     categorical inputs): rows equal in those are copies to the model, and
     the layout spreads copies.  ``layout_keys`` gives the sort order; keys
     outside those columns (ids, dates) are not needed and are ignored.
+
+    ``reliable=True`` also writes the model input once to
+    ``spark.checkpoint.dir`` (shared storage) and caches the written copy,
+    so cached blocks lost with an executor during long fits are re-read
+    from those files instead of re-running the scan and the layout's
+    shuffles.  Partitions and row order are kept, so the fits are the same.
     """
     ensure_checkpoint_dir(train.sparkSession)
     raw = None
@@ -166,8 +172,10 @@ def prepare(train: DataFrame, spec: FeatureSpec, layout_keys: Sequence[str] | No
         train = raw
     prep = fit_features(train, spec)
     model_input = (prep.transform(train)
-                   .select(F.col(spec.label).cast("double").alias(spec.label), spec.scaled_col)
-                   .persist(StorageLevel.MEMORY_AND_DISK))
+                   .select(F.col(spec.label).cast("double").alias(spec.label), spec.scaled_col))
+    if reliable:
+        model_input = model_input.checkpoint(eager=True)
+    model_input = model_input.persist(StorageLevel.MEMORY_AND_DISK)
     if raw is not None:
         model_input.count()   # materialise before the raw rows are released
         raw.unpersist()

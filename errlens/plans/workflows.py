@@ -61,7 +61,7 @@ def _labelled(df: DataFrame, spec: FeatureSpec, cols: Columns, null_label: str)
 def train(df: DataFrame, model_dir: str | None = None, spec: FeatureSpec = OBSERVATION_SPEC,
           models: Mapping[str, TR.ModelConfig] = FINAL_MODELS, cols: Columns = Columns(),
           seed: int = 42, test_fraction: float = 0.2, layout_partitions: int | None = None,
-          null_label: str = "one") -> dict:
+          null_label: str = "one", reliable_input: bool = False) -> dict:
     """Fit every model on the stable training part, evaluate on the hold-out,
     and (with ``model_dir``) save each whole pipeline plus its importances.
 
@@ -72,7 +72,8 @@ def train(df: DataFrame, model_dir: str | None = None, spec: FeatureSpec = OBSER
     data = _labelled(df, spec, cols, null_label)
     train_part, test_part = P.hash_split(data, cols.split_keys, (1 - test_fraction, test_fraction), seed)
     layout = list(dict.fromkeys([*cols.split_keys, spec.label, *spec.numeric, *spec.categorical]))
-    prepared = TR.prepare(train_part, spec, layout_keys=layout, layout_partitions=layout_partitions)
+    prepared = TR.prepare(train_part, spec, layout_keys=layout, layout_partitions=layout_partitions,
+                          reliable=reliable_input)
     try:
         fitted = {name: TR.full_pipeline(prepared, TR.fit_classifier(prepared, cfg, seed))
                   for name, cfg in models.items()}
@@ -160,7 +161,7 @@ def experiments(df: DataFrame, spec: FeatureSpec = OBSERVATION_SPEC, cols: Colum
                 rf: Sequence[TR.ModelConfig] | None = None, gbt: Sequence[TR.ModelConfig] | None = None,
                 sample_fraction: float | None = 0.3, sample_seed: int = 7, seed: int = 42,
                 out_csv: str | None = None, short_params: bool = False, parallelism: int = 1,
-                null_label: str = "one") -> DataFrame:
+                null_label: str = "one", reliable_input: bool = False) -> DataFrame:
     """Hyper-parameter grids on one shared preprocessing.
 
     Optional stable sample first (a seed independent of the split's), then
@@ -174,7 +175,7 @@ def experiments(df: DataFrame, spec: FeatureSpec = OBSERVATION_SPEC, cols: Colum
     data = _labelled(data, spec, cols, null_label)
     train_part, test_part = P.hash_split(data, cols.split_keys, (0.8, 0.2), seed)
     layout = list(dict.fromkeys([*cols.split_keys, spec.label, *spec.numeric, *spec.categorical]))
-    prepared = TR.prepare(train_part, spec, layout_keys=layout)
+    prepared = TR.prepare(train_part, spec, layout_keys=layout, reliable=reliable_input)
     try:
         parts = [TR.run_grid(train_part, test_part, spec, grid, seed, prepared=prepared,
                              short_params=short_params, parallelism=parallelism)

@@ -109,3 +109,25 @@ def test_grid_presets():
     assert [c.label() for c in TR.rf_grid()] == ["Trees:10, Depth:3", "Trees:10, Depth:6",
                                                  "Trees:50, Depth:3", "Trees:50, Depth:6"]
     assert [c.label(short=True) for c in TR.gbt_grid()] == ["D:3, I:10", "D:3, I:25", "D:6, I:10", "D:6, I:25"]
+
+
+@pytest.mark.parametrize("cfg", [RF_SMALL, GBT_SMALL], ids=["rf", "gbt"])
+def test_reliable_input_cuts_lineage_and_keeps_the_model(spark, split, cfg):
+    train, test = split
+    plain = TR.prepare(train, fx.SPEC, layout_keys=fx.LAYOUT_KEYS, layout_partitions=4)
+    kept = TR.prepare(train, fx.SPEC, layout_keys=fx.LAYOUT_KEYS, layout_partitions=4, reliable=True)
+    try:
+        # the written copy has no shuffle (nor scan of the source) left in its lineage
+        plan = kept.train._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "FileScan" not in plan
+        a = TR.fit_classifier(plain, cfg, 42)
+        b = TR.fit_classifier(kept, cfg, 42)
+        assert a.featureImportances.toArray().tolist() == b.featureImportances.toArray().tolist()
+        sa = S.score_long(test, plain.prep, {"m": a}, keep=["uid", "bucket", "f2"])
+        sb = S.score_long(test, kept.prep, {"m": b}, keep=["uid", "bucket", "f2"])
+        key = lambda r: (r.uid, r.bucket, r.f2)
+        assert ([(key(r), r.prediction, tuple(r.probability)) for r in sorted(sa.collect(), key=key)]
+                == [(key(r), r.prediction, tuple(r.probability)) for r in sorted(sb.collect(), key=key)])
+    finally:
+        plain.unpersist()
+        kept.unpersist()
