@@ -32,8 +32,9 @@ def main(argv=None) -> None:
     sub.choices["train"].add_argument("--models", required=True)
     sub.choices["inference"].add_argument("--models", required=True)
     sub.choices["inference"].add_argument("--out", required=True)
-    sub.choices["inference"].add_argument("--partitions", type=int, default=None,
-                                          help="spread the hold-out over this many tasks before scoring")
+    for name in ("inference", "experiments"):
+        sub.choices[name].add_argument("--partitions", type=int, default=None,
+                                       help="spread the scored rows over this many tasks before scoring")
     sub.choices["experiments"].add_argument("--out", required=True)
     sub.choices["experiments"].add_argument("--sample", type=float, default=0.3)
     sub.choices["experiments"].add_argument("--large", action="store_true")
@@ -53,7 +54,7 @@ def main(argv=None) -> None:
         rf = TR.rf_grid(**TR.LARGE_RF) if a.large else TR.rf_grid()
         gbt = TR.gbt_grid(**TR.LARGE_GBT) if a.large else TR.gbt_grid()
         W.experiments(df, rf=rf, gbt=gbt, sample_fraction=a.sample, seed=a.seed, out_csv=a.out,
-                      reliable_input=a.reliable_input).show(truncate=False)
+                      reliable_input=a.reliable_input, partitions=a.partitions).show(truncate=False)
 
 
 if __name__ == "__main__":

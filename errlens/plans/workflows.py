@@ -161,19 +161,23 @@ def experiments(df: DataFrame, spec: FeatureSpec = OBSERVATION_SPEC, cols: Colum
                 rf: Sequence[TR.ModelConfig] | None = None, gbt: Sequence[TR.ModelConfig] | None = None,
                 sample_fraction: float | None = 0.3, sample_seed: int = 7, seed: int = 42,
                 out_csv: str | None = None, short_params: bool = False, parallelism: int = 1,
-                null_label: str = "one", reliable_input: bool = False) -> DataFrame:
+                null_label: str = "one", reliable_input: bool = False,
+                partitions: int | None = None) -> DataFrame:
     """Hyper-parameter grids on one shared preprocessing.
 
     Optional stable sample first (a seed independent of the split's), then
     the stable split, then every RF and GBT configuration; one result table
     ``(seq, model, params, accuracy, train_time)``, optionally written as one
-    headed CSV.
+    headed CSV.  ``partitions`` spreads the test part before the one-pass
+    evaluation of every configuration, as in :func:`inference`.
     """
     data = df
     if sample_fraction is not None and sample_fraction < 1:
         data = P.hash_sample(data, cols.split_keys, sample_fraction, sample_seed)
     data = _labelled(data, spec, cols, null_label)
     train_part, test_part = P.hash_split(data, cols.split_keys, (0.8, 0.2), seed)
+    if partitions:
+        test_part = test_part.repartition(partitions)
     layout = list(dict.fromkeys([*cols.split_keys, spec.label, *spec.numeric, *spec.categorical]))
     prepared = TR.prepare(train_part, spec, layout_keys=layout, reliable=reliable_input)
     try:

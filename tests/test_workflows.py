@@ -72,6 +72,11 @@ def test_experiments_table(spark, obs_csv):
     assert [r.model for r in sorted(rows, key=lambda r: (r.model != "RF", r.seq))] == ["RF", "RF", "GBT"]
     back = RD.read_csv(spark, out, schema="seq INT, model STRING, params STRING, accuracy DOUBLE, train_time DOUBLE")
     assert back.count() == 3
+    # spreading the test part before the evaluation pass changes no accuracy
+    spread = W.experiments(df, rf=TR.rf_grid((3,), (2, 3), max_bins=64), gbt=TR.gbt_grid((2,), (3,), max_bins=64),
+                           sample_fraction=0.5, partitions=3)
+    assert sorted((r.seq, r.model, r.accuracy) for r in spread.collect()) == sorted(
+        (r.seq, r.model, r.accuracy) for r in rows)
 
 
 def test_command_line_train_then_inference(spark, obs_csv, monkeypatch):
