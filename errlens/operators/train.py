@@ -193,9 +193,9 @@ def full_pipeline(prepared: Prepared, classifier_model) -> PipelineModel:
 
 def train_pipeline(train: DataFrame, spec: FeatureSpec, cfg: ModelConfig, seed: int = 42,
                    layout_keys: Sequence[str] | None = None,
-                   layout_partitions: int | None = None) -> PipelineModel:
+                   layout_partitions: int | None = None, reliable: bool = False) -> PipelineModel:
     """index → assemble → scale → classifier, fitted on ``train`` only."""
-    prepared = prepare(train, spec, layout_keys, layout_partitions)
+    prepared = prepare(train, spec, layout_keys, layout_partitions, reliable)
     try:
         return full_pipeline(prepared, fit_classifier(prepared, cfg, seed))
     finally:
@@ -214,7 +214,8 @@ GRID_SCHEMA = T.StructType([
 def run_grid(train: DataFrame, test: DataFrame, spec: FeatureSpec, configs: Sequence[ModelConfig],
              seed: int = 42, layout_keys: Sequence[str] | None = None,
              layout_partitions: int | None = None, short_params: bool = False,
-             prepared: Prepared | None = None, parallelism: int = 1) -> DataFrame:
+             prepared: Prepared | None = None, parallelism: int = 1,
+             reliable: bool = False) -> DataFrame:
     """Fit every configuration on the same prepared training table, then
     score all of them on the test part in a single pass.
 
@@ -227,7 +228,7 @@ def run_grid(train: DataFrame, test: DataFrame, spec: FeatureSpec, configs: Sequ
     spark = train.sparkSession
     own = prepared is None
     if own:
-        prepared = prepare(train, spec, layout_keys, layout_partitions)
+        prepared = prepare(train, spec, layout_keys, layout_partitions, reliable)
     try:
         def fit_one(cfg):
             t0 = time.perf_counter()
