@@ -151,3 +151,17 @@ def test_kde_and_histogram_empty_input(spark):
     assert E.kde(df, "p", by="model", grid_size=5).count() == 0
     assert E.histogram(df, "p", bins=5).count() == 0
     assert E.histogram(df, "p", bins=5, by="model").count() == 0
+
+
+def test_kde_auto_with_many_groups_equals_both_methods(spark, sf_small):
+    """Per-user densities: the automatic choice (statistics checkpointed,
+    one-row decision) gives the same curves as either explicit method."""
+    s = fx.scored(spark, sf_small).select("uid", "p1")
+    n_users = s.select("uid").distinct().count()
+    auto = E.kde(s, "p1", by="uid", grid_size=11, decimals=9).collect()
+    assert len({r.uid for r in auto}) > 0.9 * n_users
+    key = lambda r: (r.uid, r.point)
+    got = sorted(((key(r), r.x, r.density) for r in auto))
+    for method in ("distinct", "rows"):
+        other = E.kde(s, "p1", by="uid", grid_size=11, decimals=9, method=method).collect()
+        assert got == sorted(((key(r), r.x, r.density) for r in other)), method
