@@ -44,10 +44,11 @@ def test_entry_runs(spark):
 def test_every_query_has_an_oracle_or_is_known_rows_only():
     q, o = se.queries(), se.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"sample_bernoulli", "split_random", "importance_rf"}
+    own = {name for name in q if name not in se.LLM_QUERIES}
+    assert own - set(o) == {"sample_bernoulli", "split_random", "importance_rf"}
 
 
-@pytest.mark.parametrize("name", sorted(se.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(set(se.oracle_sql()) - set(se.LLM_QUERIES)))
 def test_query_matches_oracle(spark, duck, sf_small, name):
     got = se.queries()[name](spark, sf_small).toPandas()
     want = duck.execute(se.oracle_sql()[name]).df()
