@@ -9,8 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from errlens.llm import bpe, exact_dedup, packing, token_counts
+from errlens.llm import bpe, exact_dedup, packing, simhash, token_counts, warc
 from errlens.llm.common import read_table, ship
+from errlens.session import scratch_path
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
@@ -24,6 +25,17 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, distance=3)
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"), min_revisit=0)
+    back = warc.read_archives(manifest, payloads=False)
+    return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BYTE_BPE)
     both = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), path), path)
@@ -52,12 +64,23 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: _shipped(q) for q in (
         op1_packing,
+        op2_simhash,
+        op5_warc,
         op6_bpe,
         op7_token_counts,
         op10_exact_dedup,
     )}
 
 ORACLE: dict[str, str] = {
+    "op5_warc": r"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+        d AS (SELECT page_id, t, sha1(t) AS h, max(page_id) OVER (PARTITION BY t) AS last FROM p)
+        SELECT page_id, strlen(t) AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   (((('0x' || substr(h, (i // 4 * 5 + 1)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1)::INT, 1)), '') AS payload_digest,
+               CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+        FROM d""",
     "op10_exact_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
