@@ -6,10 +6,10 @@ from collections.abc import Callable
 from functools import wraps
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from errlens.llm import bpe, exact_dedup, packing, simhash, token_counts, warc
+from errlens.llm import bpe, exact_dedup, langid, packing, simhash, token_counts, topk, toxicity, warc
 from errlens.llm.common import read_table, ship
 from errlens.session import scratch_path
 
@@ -18,6 +18,12 @@ WORD_BPE = "word_bpe_49k.json"
 END_ID = 2
 
 
+def _fold(doc_id: str) -> Column:
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
+
+
+
+
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     cut = packing.pieces(docs, public_tokenizers.path(BYTE_BPE), END_ID)
@@ -30,6 +36,19 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"), _fold("id") != 0)
+    return toxicity.tag(docs, model).select(F.col("id").alias("doc_id"), (F.coalesce(_fold("id"), F.lit(1)) == 0).alias("held_out"), "score",
+                                            (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.fit(docs, _fold("id") != 0)
+    return langid.identify(docs, model).select(F.col("id").alias("doc_id"), (F.coalesce(_fold("id"), F.lit(1)) == 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(read_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"), min_revisit=0)
     back = warc.read_archives(manifest, payloads=False)
@@ -48,6 +67,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.over(counts, 2048).withColumnRenamed("id", "doc_id")
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.dedup(read_table(spark, sf_dir, "documents"), carry={"text_sha256": F.sha2("t", 256)})
     return found.withColumnRenamed("id", "doc_id")
@@ -65,9 +89,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     q.__name__: _shipped(q) for q in (
         op1_packing,
         op2_simhash,
+        op3_toxicity,
+        op4_langid,
         op5_warc,
         op6_bpe,
         op7_token_counts,
+        op8_topk,
         op10_exact_dedup,
     )}
 
@@ -81,6 +108,14 @@ ORACLE: dict[str, str] = {
                CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
                CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
         FROM d""",
+    "op8_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+              FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
+        SELECT query_id, (row_number() OVER w)::INT AS rank, vec_id, score FROM s
+        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5""",
     "op10_exact_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
