@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from errlens.llm import bpe, exact_dedup, langid, packing, simhash, token_counts, topk, toxicity, warc
+from errlens.llm import bpe, exact_dedup, langid, packing, simhash, suffix_dedup, token_counts, topk, toxicity, warc
 from errlens.llm.common import read_table, ship
 from errlens.session import scratch_path
 
@@ -72,6 +72,12 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return cut.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.dedup(read_table(spark, sf_dir, "documents"), carry={"text_sha256": F.sha2("t", 256)})
     return found.withColumnRenamed("id", "doc_id")
@@ -95,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_bpe,
         op7_token_counts,
         op8_topk,
+        op9_suffix_dedup,
         op10_exact_dedup,
     )}
 
