@@ -14,9 +14,7 @@ groups per salt, so a group with a third of all rows reaches the join as
 many keys.  No group is gathered.
 
 Cases: null counts as empty; texts that are equal after each run of white
-space becomes one blank are equal; of equal texts the smallest id stays (a
-null id only if the group has no other); all rows that carry the id that
-stays are marked kept; an empty table gives an empty result.
+space becomes one X
 """
 
 from __future__ import annotations
@@ -58,29 +56,32 @@ def _among(bitmap: Column, keys: list[str], words: int) -> Column:
 
 
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefix: int = PREFIX, words: int = WORDS,
-          carry: dict[str, Column] | None = None) -> DataFrame:
+          carry: dict[str, Column] | None = None, columns: tuple[str, ...] = ()) -> DataFrame:
     """``id``, ``keep_id``, ``group_size``, ``kept``, one row per row of ``df``.
 
-    ``carry`` adds columns computed from ``t``, the normalised text, or
-    from ``text``, in the last scan.
+    ``carry`` adds columns computed from ``t``, the normalised text, in the
+    last scan; ``columns`` names columns of ``df`` that stay with their rows.
     """
-    rows = pick(df, id=id_col, text=text_col).withColumn("t", normalised(F.col("text"))).withColumn("size", F.length("t"))
+    own = {f"x{k}": c for k, c in enumerate(columns)}
+    rows = pick(df, id=id_col, text=text_col, **own).withColumn("t", normalised(F.col("text"))).withColumn("size", F.length("t"))
     by_size = _survivors(rows.select("size"), ["size"], words)
     headed = (rows.filter(_among(by_size, ["size"], words))
               .select("size", F.xxhash64(F.substring("t", 1, prefix)).alias("head")))
     by_head = _survivors(headed, ["size", "head"], words)
     last = rows.withColumn("head", F.xxhash64(F.substring("t", 1, prefix)))
     full = F.when(_among(by_head, ["size", "head"], words), F.sha2("t", 256))
-    extra = carry or {}
-    level = stored(last.select("id", salt(F.col("id")).alias("salt"), full.alias("full"),
-                               *(c.alias(n) for n, c in extra.items())), "exact-level")
+    extra = [*(carry or {}), *own]
+    # a row is told apart from its repetitions by its place in the stored table
+    who = F.struct(F.col("id").isNull().alias("none"), "id", F.monotonically_increasing_id().alias("at"))
+    level = stored(last.select("id", full.alias("full"), *(c.alias(n) for n, c in (carry or {}).items()), *own)
+                   .withColumn("who", who).withColumn("salt", salt(F.col("who.at"))), "exact-level")
     open_ = level.filter("full IS NOT NULL")
-    groups = group_stats(open_, ["full"], "id").filter("group_size > 1")
+    groups = group_stats(open_.select("full", "salt", "who"), ["full"], "who").filter("group_size > 1")
     found = open_.join(groups, ["full", "salt"], "left")
-    columns = ["id", "full", *extra]
-    alone = (level.filter("full IS NULL")
-             .select(*columns, F.col("id").alias("lowest"), F.lit(1).cast("long").alias("group_size")))
-    both = alone.unionByName(found.select(*columns, F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("lowest")).alias("lowest"),
-                                          F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size")))
-    return both.select("id", F.col("lowest").alias("keep_id"), "group_size",
-                       F.col("id").eqNullSafe(F.col("lowest")).alias("kept"), *extra)
+    alone = level.filter("full IS NULL").select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
+                                                F.lit(True).alias("kept"), *extra)
+    single = F.col("group_size").isNull()
+    both = found.select("id", F.when(single, F.col("id")).otherwise(F.col("lowest.id")).alias("keep_id"),
+                        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+                        (single | F.col("who").eqNullSafe(F.col("lowest"))).alias("kept"), *extra)
+    return alone.unionByName(both).withColumnsRenamed(own)

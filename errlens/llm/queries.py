@@ -18,7 +18,7 @@ WORD_BPE = "word_bpe_49k.json"
 END_ID = 2
 
 
-def _fold(doc_id: str) -> Column:
+def fold(doc_id: str) -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
 
 
@@ -38,15 +38,15 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"), _fold("id") != 0)
-    return toxicity.tag(docs, model).select(F.col("id").alias("doc_id"), (F.coalesce(_fold("id"), F.lit(1)) == 0).alias("held_out"), "score",
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"), fold("id") != 0)
+    return toxicity.tag(docs, model).select(F.col("id").alias("doc_id"), (F.coalesce(fold("id"), F.lit(1)) == 0).alias("held_out"), "score",
                                             (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    model = langid.fit(docs, _fold("id") != 0)
-    return langid.identify(docs, model).select(F.col("id").alias("doc_id"), (F.coalesce(_fold("id"), F.lit(1)) == 0).alias("held_out"), "lang_pred", "score", "rejected")
+    model = langid.fit(docs, fold("id") != 0)
+    return langid.identify(docs, model).select(F.col("id").alias("doc_id"), (F.coalesce(fold("id"), F.lit(1)) == 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

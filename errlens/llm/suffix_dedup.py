@@ -389,12 +389,14 @@ def repeated_ranges(rows: DataFrame, words: int = WORDS, crowd: int = CROWD) ->
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, crowd: int = CROWD,
-                   carry: tuple[str, ...] = ()) -> DataFrame:
-    """``id``, ``n_bytes``, ``n_removed``, ``spans`` (start, end of the removed runs), ``kept`` (bytes), one row per row of ``df``.
+                   columns: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+    """``id``, ``n_bytes``, ``n_removed``, ``spans`` (start, end of the removed runs), ``kept``, one row per row of ``df``.
 
-    ``carry`` names further columns of ``df`` that stay with their rows.
+    ``kept`` holds the bytes that stay, or with ``as_text`` those as text
+    without the rest of characters that were cut through.  ``columns`` names
+    columns of ``df`` that stay with their rows.
     """
-    extra = {f"x{k}": c for k, c in enumerate(carry)}
+    extra = {f"x{k}": c for k, c in enumerate(columns)}
     rows = pick(df, id=id_col, text=text_col, **extra).withColumn("text", F.coalesce("text", F.lit("")))
     rows = rows.withColumn("h", F.xxhash64("text"))
     ranges = repeated_ranges(rows.select("id", "h", "text"), words, crowd)
@@ -419,9 +421,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 size.append(len(t))
                 removed.append(len(t) - len(kept[-1]))
             yield out_batch(id=b.column("id"), **{x: b.column(x) for x in extra}, n_bytes=np.array(size, np.int64),
-                            n_removed=np.array(removed, np.int64), spans=pa.array(spans, pa.list_(span)), kept=pa.array(kept, pa.binary()))
+                            n_removed=np.array(removed, np.int64), spans=pa.array(spans, pa.list_(span)), kept=pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary()))
 
     id_type = rows.schema["id"].dataType.simpleString()
     more = "".join(f"{x} {rows.schema[x].dataType.simpleString()}, " for x in extra)
-    out = both.mapInArrow(cut, f"id {id_type}, {more}n_bytes long, n_removed long, spans array<struct<s:long,e:long>>, kept binary")
+    out = both.mapInArrow(cut, f"id {id_type}, {more}n_bytes long, n_removed long, spans array<struct<s:long,e:long>>, kept {'string' if as_text else 'binary'}")
     return out.withColumnsRenamed(extra)

@@ -318,9 +318,13 @@ def fit(docs: DataFrame, labels: DataFrame, is_train: Column, id_col: str = "doc
     return model
 
 
-def tag(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``score`` and ``spans`` (start, end, probability), one row per row of ``docs``."""
-    rows = pick(docs, id=id_col, text=text_col)
+def tag(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", columns: tuple[str, ...] = ()) -> DataFrame:
+    """``id``, ``score`` and ``spans`` (start, end, probability), one row per row of ``docs``.
+
+    ``columns`` names columns of ``docs`` that stay with their rows.
+    """
+    own = {f"x{k}": c for k, c in enumerate(columns)}
+    rows = pick(docs, id=id_col, text=text_col, **own)
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,7 +336,9 @@ def tag(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
                 at, p = tagger.marginals(words)
                 score.append(tagger.score(tagger.features(words, p)))
                 spans.append([dict(zip(("start", "end", "p"), s)) for s in tagger.spans(t, at, p)])
-            yield out_batch(id=b.column("id"), score=score, spans=pa.array(spans, pa.list_(span)))
+            yield out_batch(id=b.column("id"), score=score, spans=pa.array(spans, pa.list_(span)), **{x: b.column(x) for x in own})
 
-    id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {id_type}, score double, spans array<struct<start:int,end:int,p:double>>")
+    kind = {n: rows.schema[n].dataType.simpleString() for n in ("id", *own)}
+    more = "".join(f", {x} {kind[x]}" for x in own)
+    return (rows.mapInArrow(run, f"id {kind['id']}, score double, spans array<struct<start:int,end:int,p:double>>{more}")
+            .withColumnsRenamed(own))
