@@ -35,7 +35,8 @@ from errlens.llm.common import out_batch, pick, text_batches, texts_of
 
 SAMPLE = 1500
 EXCERPT = 1500
-BUCKETS = 1 << 15
+BITS = 15
+BUCKETS = 1 << BITS
 WIDTH = 16
 REJECT = 0.01
 UNKNOWN = "und"
@@ -53,20 +54,26 @@ class Model:
     threshold: float = 0.0
 
 
-def grams(data: np.ndarray) -> np.ndarray:
-    """[3, n]: bucket of the 2, 3 and 4 bytes that start at each place (the last places wrap into padding)."""
+def grams(data: np.ndarray, ends: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For 2, 3 and 4 bytes: places where a gram starts that stays within its text, and the buckets."""
     x = data.astype(np.uint32)
-    a = np.concatenate([x, np.full(3, 32, np.uint32)])
     n = len(x)
-    two = (a[:n] << 8) | a[1:n + 1]
-    three = (two << 8) | a[2:n + 2]
-    four = (three << 8) | a[3:n + 3]
-    out = np.empty((3, n), np.uint32)
-    for k, (v, m) in enumerate(((two, 2654435761), (three, 2246822519), (four, 3266489917))):
-        out[k] = ((v + np.uint32(k)) * np.uint32(m)) >> np.uint32(32 - 15)
+    room = np.repeat(ends, np.diff(np.r_[0, ends])) - np.arange(n)
+    a = np.concatenate([x, np.zeros(3, np.uint32)])
+    value, out = a[:n], []
+    for size, factor in ((2, 2654435761), (3, 2246822519), (4, 3266489917)):
+        value = (value << np.uint32(8)) | a[size - 1:n + size - 1]
+        at = np.flatnonzero(room >= size)
+        out.append((at, (value[at] * np.uint32(factor)) >> np.uint32(32 - BITS)))
     return out
 
 
+def grams_of(text: bytes) -> np.ndarray:
+    """Buckets of all grams of one text (one blank before it; an empty text has the blank's own bucket)."""
+    g = np.concatenate([k for _, k in grams(*fold([text]))])
+    return g if len(g) else np.zeros(1, np.uint32)
+
+
 def fold(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Folded bytes of all texts end to end, each after one blank, runs of blanks as one; and each text's end."""
     raw = _FOLD[np.frombuffer(b" " + b" ".join(texts), np.uint8)]
@@ -82,7 +89,7 @@ def train(texts: list[bytes], y: np.ndarray, langs: list[str], epochs: int = 4,
     k = len(langs)
     emb = rng.normal(0, 0.1, (BUCKETS, WIDTH))
     w, b = rng.normal(0, 0.1, (WIDTH, k)), np.zeros(k)
-    gram = [grams(fold([t])[0]).reshape(-1) for t in texts]
+    gram = [grams_of(t) for t in texts]
     held = np.arange(len(texts)) % 5 == 0 if len(texts) >= 50 else np.zeros(len(texts), bool)
     rows = np.flatnonzero(~held)
     balance = len(rows) / (k * np.maximum(np.bincount(y[rows], minlength=k), 1))
@@ -101,7 +108,7 @@ def train(texts: list[bytes], y: np.ndarray, langs: list[str], epochs: int = 4,
             w -= np.outer(mean, p)
             b -= p
             np.subtract.at(emb, g, back * (16.0 / len(g)))      # rows of a mean get small gradients: scaled steps
-    model = Model(langs, emb @ w, b)
+    model = Model(langs, np.asfortranarray(emb @ w), b)
     check = np.flatnonzero(held) if held.any() else rows
     z = np.stack([model.table[gram[i]].mean(0) + b for i in check]) if len(check) else np.zeros((0, k))
     if len(check):
@@ -124,16 +131,15 @@ def softmax(z: np.ndarray) -> np.ndarray:
 def score(model: Model, texts: list[str]) -> np.ndarray:
     """Probabilities [text, language]."""
     data, ends = fold([t.encode() for t in texts])
-    total = np.zeros((len(texts), len(model.langs)))
-    starts = np.r_[0, ends[:-1]]
-    g = grams(data)
-    for k in range(len(model.langs)):
-        column = np.ascontiguousarray(model.table[:, k])
-        s = column[g[0]]
-        s += column[g[1]]
-        s += column[g[2]]
-        total[:, k] = np.add.reduceat(s, starts)
-    mean = total / (3 * (ends - starts))[:, None]
+    total, count = np.zeros((len(texts), len(model.langs))), np.zeros(len(texts))
+    for at, bucket in grams(data, ends):
+        text = np.searchsorted(ends, at, "right")
+        first = np.flatnonzero(np.r_[True, np.diff(text) > 0]) if len(at) else at
+        own = text[first]
+        count[own] += np.diff(np.r_[first, len(at)])
+        for k in range(len(model.langs)):
+            total[own, k] += np.add.reduceat(model.table[:, k][bucket], first) if len(at) else 0
+    mean = total / np.maximum(count, 1)[:, None]
     return softmax((mean + model.bias) / model.temperature)
 
 

@@ -65,6 +65,7 @@ def _rotl(x: np.ndarray, r: int) -> np.ndarray:
 def xxh64(buf: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int = SEED) -> np.ndarray:
     """XXH64 of every slice ``buf[start:start + size]``; ``buf`` has 8 spare bytes at its end."""
     words = np.ndarray((len(buf) - 7,), "<u8", buf.data, 0, (1,))
+    lane_seeds = [np.uint64((seed + k) % (1 << 64)) for k in (int(P1) + int(P2), int(P2), 0, -int(P1))]
     seed = np.uint64(seed)
     acc = np.full(len(start), seed + P5, np.uint64)
     at, left = start.astype(np.int64), size.astype(np.int64)
@@ -74,7 +75,7 @@ def xxh64(buf: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int = SEED
 
     long = np.flatnonzero(left >= 32)
     if len(long):
-        lanes = [np.full(len(long), v, np.uint64) for v in (seed + P1 + P2, seed + P2, seed, seed - P1)]
+        lanes = [np.full(len(long), v, np.uint64) for v in lane_seeds]
         live = np.arange(len(long))
         while len(live):
             who = long[live]
