@@ -55,6 +55,20 @@ def stable_bucket(keys: list[ColumnOrName], seed: int = 42, modulus: int = 10000
     return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % F.lit(modulus))
 
 
+HASH_RANGE = 1 << 32
+
+
+def stable_hash(keys: list[ColumnOrName], seed: int = 42, purpose: str = "") -> Column:
+    """Deterministic 32-bit value from row content.
+
+    ``md5("k1:k2:...:seed:purpose")``, first 8 hex digits as an integer.
+    Different purposes (a sample, a split) give unrelated values of the same
+    row and seed.
+    """
+    text = F.concat_ws(":", *[_c(k).cast("string") for k in keys], F.lit(str(seed)), F.lit(purpose))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+
+
 def vector_column(*cols: ColumnOrName) -> Column:
     """Dense ML vector from numeric columns (JVM-side)."""
     return array_to_vector(F.array(*[_c(c).cast("double") for c in cols]))

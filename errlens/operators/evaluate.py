@@ -2,10 +2,11 @@
 
 All aggregations are hash aggregates with a map-side partial step, so a hot
 group (one user holding a third of the rows) is pre-reduced in every task
-before the shuffle and never lands whole in one task.  Per-group statistics
-needed by a second step (histogram range, KDE bandwidth) are small tables
-— one row per group — joined back; Spark's size-checked broadcast picks
-the join strategy.
+before the shuffle and never lands whole in one task.  Where a second step
+needs per-group statistics (histogram range, KDE bandwidth), rows are first
+reduced to (group, value, count) and meet the statistics, one row per
+group, in a null-safe join on a salted key, so neither unreduced rows nor a
+hot group's values gather in one task.
 """
 
 from __future__ import annotations
@@ -18,11 +19,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from errlens.functions.columns import correct
-from errlens.session import ensure_checkpoint_dir
 
-# Largest number of classes the dense confusion matrix accepts; the class
-# grid is classes², so it must stay bounded.
-MAX_CLASSES = 1000
+# Keys into which the distinct values of one group are dealt for a join.
+SALTS = 32
 
 
 def _cols(keys: Sequence[str] | str | None) -> list[str]:
@@ -125,9 +124,36 @@ def accuracy_grouping_sets(df: DataFrame, dims: Sequence[str], label: str = "lab
     by = _cols(by)
     dims = list(dims)
     sets = [by + [d] for d in dims] + [by]
-    g = df.groupingSets(sets, *(by + dims)).agg(
-        F.avg(correct(label, prediction)).alias("accuracy"),
-        F.count(F.lit(1)).alias("samples"),
+    # the raw rows are reduced once; only the reduced ones are repeated per set
+    ok = correct(label, prediction)
+    reduced = df.groupBy(*by, *dims).agg(F.sum(ok).alias("_ok"), F.count(ok).alias("_scored"), F.count(F.lit(1)).alias("_n"))
+    return _accuracy_of_reduced(reduced, by, dims, sets)
+
+
+def reduce_predictions(df: DataFrame, dims: Sequence[str], label: str = "label", prediction: str = "prediction",
+                       by: Sequence[str] | str | None = None) -> DataFrame:
+    """``(*by, *dims, actual, predicted, n)``: all that accuracy tables and confusion matrices need of the rows."""
+    return (df.groupBy(*_cols(by), *dims, F.col(label).cast("double").alias("actual"), F.col(prediction).cast("double").alias("predicted"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def grouping_sets_of(reduced: DataFrame, dims: Sequence[str], by: Sequence[str] | str | None = None) -> DataFrame:
+    """:func:`accuracy_grouping_sets` from the table of :func:`reduce_predictions`."""
+    by, dims = _cols(by), list(dims)
+    ok = (F.col("actual") == F.col("predicted")).cast("int")
+    counted = reduced.select(*by, *dims, (ok * F.col("n")).alias("_ok"), F.when(ok.isNotNull(), F.col("n")).alias("_scored"), F.col("n").alias("_n"))
+    return _accuracy_of_reduced(counted, by, dims, [by + [d] for d in dims] + [by])
+
+
+def confusion_of(reduced: DataFrame, by: Sequence[str] | str | None = None) -> DataFrame:
+    """:func:`confusion_matrix` from the table of :func:`reduce_predictions`."""
+    by = _cols(by)
+    return _confusion_grid(reduced.groupBy(*by, "actual", "predicted").agg(F.sum("n").alias("n")), by)
+
+
+def _accuracy_of_reduced(reduced: DataFrame, by: list[str], dims: list[str], sets: list[list[str]]) -> DataFrame:
+    g = reduced.groupingSets(sets, *(by + dims)).agg(
+        (F.sum("_ok") / F.sum("_scored")).alias("accuracy"), F.sum("_n").alias("samples"),
         *[F.grouping(d).alias(f"_g_{d}") for d in dims])
     dim_expr = F.lit("all")
     val_expr = F.lit(None).cast("string")
@@ -152,43 +178,38 @@ def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "pre
                      by: Sequence[str] | str | None = None) -> DataFrame:
     """Dense confusion table ``(*by, actual, predicted, n)``; zero cells kept.
 
-    One scan and one partially aggregated shuffle of the data give the
-    non-empty cells.  Each group's cells (at most classes² + classes) are
-    then gathered into one row: the class set is the union of its label and
-    prediction values, the grid is that set exploded twice, and each grid
-    cell looks its count up in the group's cell map.  The cell count of each
-    group is checked before the gathering step.  Nothing proportional to the
-    data is collected.  Rows with a null prediction are
-    not counted (as in the accuracy), but their label still counts as a
-    class.
+    One partially aggregated shuffle of the data gives the non-empty cells.
+    The classes of a group are the distinct labels and predictions of those
+    cells, the grid is that table joined with itself on the group, and the
+    counts join the grid: no list is gathered and any number of classes
+    works (the grid has classes² cells, which is the result asked for).
+    Rows with a null prediction are not counted (as in the accuracy), but
+    their label still counts as a class.
     """
     by = _cols(by)
     counts = (df.groupBy(*by, F.col(label).cast("double").alias("actual"),
                          F.col(prediction).cast("double").alias("predicted"))
               .agg(F.count(F.lit(1)).alias("n")))
-    # Bound what each group gathers before it is gathered: the number of
-    # non-empty cells per group, counted by a window over the (small,
-    # aggregated) cell table, must stay within MAX_CLASSES², else the query
-    # fails before any list is built.  The window's shuffle by group is the
-    # one the gathering step needs anyway, and its row buffer can spill.
-    limit = MAX_CLASSES * MAX_CLASSES
-    cells = F.count(F.lit(1)).over(Window.partitionBy(*by))
-    counts = counts.select(
-        *by, "actual", "predicted",
-        F.when(cells <= limit, F.col("n"))
-        .otherwise(F.raise_error(F.lit(f"more than {limit} confusion cells in a group"))).alias("n"))
-    pair = F.struct(F.col("actual"), F.col("predicted"))
-    per_group = counts.groupBy(*by).agg(
-        F.array_sort(F.array_distinct(F.filter(
-            F.flatten(F.collect_list(F.array("actual", "predicted"))), lambda c: c.isNotNull()))).alias("cs"),
-        F.map_from_entries(F.collect_list(F.struct(pair.alias("k"), F.col("n")))).alias("cells"))
-    checked = per_group.withColumn(
-        "cs", F.when(F.size("cs") <= MAX_CLASSES, F.col("cs"))
-        .otherwise(F.raise_error(F.lit(f"more than {MAX_CLASSES} classes"))))
-    grid = (checked.select(*by, F.explode("cs").alias("actual"), "cs", "cells")
-            .select(*by, "actual", F.explode("cs").alias("predicted"), "cells"))
-    return grid.select(*by, "actual", "predicted",
-                       F.coalesce(F.element_at("cells", pair), F.lit(0)).cast("bigint").alias("n"))
+    return _confusion_grid(counts, by)
+
+
+def _confusion_grid(counts: DataFrame, by: list[str]) -> DataFrame:
+    one = counts if by else counts.withColumn("_all", F.lit(0))
+    keys = by or ["_all"]
+    cls = one.select(*keys, F.explode(F.array("actual", "predicted")).alias("c")).filter("c IS NOT NULL").distinct()
+    a, p, n = cls.alias("a"), cls.alias("p"), one.alias("n")
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"p.{k}")) for k in keys]
+    grid = a.join(p, _all(same)).select(*[F.col(f"a.{k}").alias(k) for k in keys], F.col("a.c").alias("actual"), F.col("p.c").alias("predicted")).alias("g")
+    cell = [F.col(f"g.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys] + [F.col(f"g.{k}") == F.col(f"n.{k}") for k in ("actual", "predicted")]
+    return grid.join(n, _all(cell), "left").select(*[F.col(f"g.{k}").alias(k) for k in by], "g.actual", "g.predicted",
+                                                   F.coalesce(F.col("n.n"), F.lit(0)).cast("bigint").alias("n"))
+
+
+def _all(conditions: Sequence[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out & c
+    return out
 
 
 def confusion_pivot(df: DataFrame, label: str = "label", prediction: str = "prediction",
@@ -196,23 +217,40 @@ def confusion_pivot(df: DataFrame, label: str = "label", prediction: str = "pred
                     by: Sequence[str] | str | None = None) -> DataFrame:
     """Confusion matrix as one row per true class and one column per
     predicted class (``pred_<k>``); the class list is given, so the pivot
-    needs no extra pass to discover it."""
+    needs no extra pass to discover it.
+
+    Every row is accounted for: ``pred_other`` counts predictions outside
+    the list (and missing ones), and labels outside it (and missing ones)
+    share one row whose ``actual`` is null.
+    """
     by = _cols(by)
-    aggs = [F.count_if(F.col(prediction).cast("double") == F.lit(float(c))).alias(f"pred_{int(c)}")
-            for c in classes]
-    counts = df.groupBy(*by, F.col(label).cast("double").alias("actual")).agg(*aggs)
-    return counts.filter(F.col("actual").isin([float(c) for c in classes]))
+    given = [float(c) for c in classes]
+    p, a = F.col(prediction).cast("double"), F.col(label).cast("double")
+    aggs = [F.count_if(p == F.lit(c)).alias(f"pred_{int(c)}") for c in given]
+    other = F.count_if(~F.coalesce(p.isin(given), F.lit(False))).alias("pred_other")
+    return df.groupBy(*by, F.when(a.isin(given), a).alias("actual")).agg(*aggs, other)
+
+
+def _reduced(df: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """``(*by, _x, _w)``: the distinct values of each group and their counts."""
+    x = F.col(value).cast("double")
+    return (df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+            .groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_w")))
 
 
 def _attach(data: DataFrame, stats: DataFrame, by: list[str], cols: list[str]) -> DataFrame:
-    """Add per-group statistics to every row.
+    """Add per-group statistics to the reduced rows.
 
-    With group keys: an equi-join against the one-row-per-group table.
-    Without: the single statistics row enters as scalar subqueries (merged
-    into one subquery by the optimizer), so no join is planned at all.
+    With group keys: a null-safe join on the key and a salt of the value
+    (the statistics, one row per group, are repeated per salt).  Without:
+    the single statistics row enters as scalar subqueries (merged into one
+    subquery by the optimizer), so no join is planned at all.
     """
     if by:
-        return data.join(stats, by, "inner")
+        d = data.withColumn("_salt", F.pmod(F.xxhash64("_x"), F.lit(SALTS))).alias("d")
+        t = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))).alias("t")
+        on = [F.col(f"d.{k}").eqNullSafe(F.col(f"t.{k}")) for k in by] + [F.col("d._salt") == F.col("t._salt")]
+        return d.join(t, _all(on)).select("d.*", *[F.col(f"t.{c}") for c in cols]).drop("_salt")
     return data.select("*", *[stats.select(c).scalar().alias(c) for c in cols]).filter(
         F.col(cols[0]).isNotNull())
 
@@ -227,12 +265,12 @@ def histogram(df: DataFrame, value: str, bins: int = 30, by: Sequence[str] | str
     rules: the last bin is closed, and ``min == max`` widens the range to
     ``[v - 0.5, v + 0.5]``.  All ``bins`` bins are returned, empty ones with 0.
 
-    Output ``(*by, bin, bin_lo, bin_hi, n)``.  Two passes over the input:
-    one aggregate for the range (one row per group), one for the counts.
+    Output ``(*by, bin, bin_lo, bin_hi, n)``; a null group key is a group.
+    Rows are reduced to distinct values first; range and counts come from
+    those.
     """
     by = _cols(by)
-    x = F.col(value).cast("double")
-    data = df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    data = _reduced(df, value, by)
     raw = data.groupBy(*by).agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
     stats = raw.select(*by,
                        F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
@@ -241,11 +279,11 @@ def histogram(df: DataFrame, value: str, bins: int = 30, by: Sequence[str] | str
     joined = _attach(data, stats, by, ["_lo", "_hi"])
     # First guess as numpy: (x - lo) * (bins / (hi - lo)), then correct by the edges.
     guess = F.least(F.floor((F.col("_x") - lo) * (F.lit(float(bins)) / (hi - lo))).cast("int"), F.lit(bins - 1))
-    binned = joined.select(*by, "_x", "_lo", "_hi", guess.alias("_i0"))
+    binned = joined.select(*by, "_x", "_w", "_lo", "_hi", guess.alias("_i0"))
     i0 = F.col("_i0")
     idx = (i0 - F.when(F.col("_x") < _edge(lo, hi, i0, bins), 1).otherwise(0)
            + F.when((F.col("_x") >= _edge(lo, hi, i0 + 1, bins)) & (i0 != bins - 1), 1).otherwise(0))
-    counts = binned.groupBy(*by, idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = binned.groupBy(*by, idx.alias("bin")).agg(F.sum("_w").alias("n"))
     if by:
         grid = stats.select(*by, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     else:
@@ -254,94 +292,65 @@ def histogram(df: DataFrame, value: str, bins: int = 30, by: Sequence[str] | str
         grid = _attach(df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")),
                        stats, by, ["_lo", "_hi"])
     b = F.col("bin")
-    return (grid.join(counts, by + ["bin"], "left")
-            .select(*by, b, _edge(lo, hi, b, bins).alias("bin_lo"), _edge(lo, hi, b + 1, bins).alias("bin_hi"),
+    g, c = grid.alias("g"), counts.alias("c")
+    on = [F.col(f"g.{k}").eqNullSafe(F.col(f"c.{k}")) for k in by] + [F.col("g.bin") == F.col("c.bin")]
+    both = g.join(c, _all(on), "left").select("g.*", F.col("c.n").alias("n"))
+    return (both.select(*by, b, _edge(lo, hi, b, bins).alias("bin_lo"), _edge(lo, hi, b + 1, bins).alias("bin_hi"),
                     F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
 def kde(df: DataFrame, value: str, by: Sequence[str] | str | None = None, grid_size: int = 200,
-        cut: float = 3.0, decimals: int | None = None, method: str = "auto",
-        distinct_ratio: float = 0.1) -> DataFrame:
-    """Gaussian kernel density per group on an evenly spaced grid.
+        cut: float = 3.0, decimals: int | None = None, counts_bins: int | None = None) -> DataFrame:
+    """Gaussian kernel density per group on an evenly spaced grid, exact.
 
     Bandwidth by Scott's rule, ``h = stddev_samp · n^(-1/5)``; the grid runs
     from ``min - cut·h`` to ``max + cut·h`` in ``grid_size`` points (the
     defaults of common plotting libraries).  Groups with zero spread or
-    fewer than two values have no bandwidth and give no rows.
-
-    Exact in every method; they differ in where the work goes:
-
-    * ``'distinct'`` — rows are reduced to ``(group, distinct value, count)``
-      first (partial aggregate, then a shuffle of the distinct values), and
-      the kernel sums run over distinct values weighted by their counts.
-      Cheap when values repeat (tree-ensemble probabilities).
-    * ``'rows'`` — every row is expanded over the grid inside its own task
-      and summed per ``(group, grid point)`` before the shuffle, so only
-      ``groups × grid_size`` partial sums per task move; no shuffle of the
-      data.  Right for near-continuous values.
-    * ``'auto'`` — one small job computes the per-group statistics (one row
-      per group) with an approximate distinct count, and picks
-      ``'distinct'`` when every group has at most ``distinct_ratio`` distinct
-      values per row, else ``'rows'``.  The statistics are checkpointed to
-      ``spark.checkpoint.dir`` and feed the main plan, so the data is still
-      read twice in total and only one row reaches the driver.
+    fewer than two values have no bandwidth and give no rows; a null group
+    key is a group.
+
+    Rows are reduced to ``(group, distinct value, count)``, and each group's
+    kernel sums, one per grid point, are the columns of one aggregate over
+    those, so nothing is multiplied out and only ``groups × grid_size``
+    partial sums per task move.  ``counts_bins`` scales the density to the
+    counts of a histogram with that many bins (the overlay of a histogram,
+    together with ``cut=0``).
 
     Output ``(*by, point, x, density)``.
     """
     by = _cols(by)
-    spark = df.sparkSession
     x = F.col(value).cast("double")
-    data = df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    # count / spread / range straight from the rows: stddev_samp merges
-    # partial moments stably (no sum-of-squares cancellation).
-    aggs = [F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"),
-            F.min("_x").alias("_mn"), F.max("_x").alias("_mx")]
-    if method == "auto":
-        per_group = data.groupBy(*by).agg(*aggs, F.approx_count_distinct("_x", 0.05).alias("_nd"))
-        # The statistics (one row per group, however many groups there are)
-        # are written once to the shared checkpoint folder; the decision is
-        # a one-row aggregate over them, and the main plan reads them back.
-        ensure_checkpoint_dir(spark)
-        per_group = per_group.checkpoint(eager=True)
-        excess = per_group.agg(F.max(F.col("_nd") - F.lit(distinct_ratio) * F.col("_n"))).first()[0]
-        method = "distinct" if excess is None or excess <= 0 else "rows"
-        sd = per_group.drop("_nd")
-    elif method in ("distinct", "rows"):
-        sd = data.groupBy(*by).agg(*aggs)
-    else:
-        raise ValueError("method must be 'auto', 'distinct' or 'rows'")
+    rows = df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    # spread straight from the rows: stddev_samp merges partial moments
+    # stably (no sum-of-squares cancellation)
+    sd = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"),
+                               F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
+    scale = (F.col("_mx") - F.col("_mn")) * F.col("_n") / F.lit(counts_bins) if counts_bins else F.lit(1.0)
     bw = (sd.withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
           .filter((F.col("_n") >= 2) & (F.col("_h") > 0))
-          .select(*by, "_n", "_h",
+          .select(*by, "_n", "_h", scale.alias("_scale"),
                   (F.col("_mn") - F.lit(cut) * F.col("_h")).alias("_lo"),
                   (F.col("_mx") + F.lit(cut) * F.col("_h")).alias("_hi")))
-    if method == "distinct":
-        weighted = data.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_w"))
-    else:
-        weighted = data.withColumn("_w", F.lit(1))
-    joined = _attach(weighted, bw, by, ["_n", "_h", "_lo", "_hi"])
-    pts = joined.select(*by, "_x", "_w", "_n", "_h", "_lo", "_hi",
-                        F.explode(F.sequence(F.lit(0), F.lit(grid_size - 1))).alias("point"))
+    joined = _attach(_reduced(df, value, by), bw, by, ["_n", "_h", "_scale", "_lo", "_hi"])
     step = (F.col("_hi") - F.col("_lo")) / F.lit(float(grid_size - 1))
-    g = F.when(F.col("point") == grid_size - 1, F.col("_hi")).otherwise(
-        F.col("_lo") + F.col("point").cast("double") * step)
-    z = (g - F.col("_x")) / F.col("_h")
-    dens = pts.groupBy(*by, "point").agg(
-        F.first(g).alias("x"),
-        (F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z))
-         / (F.first("_n") * F.first("_h") * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
+
+    def at(i: int) -> Column:
+        return F.col("_hi") if i == grid_size - 1 else F.col("_lo") + F.lit(float(i)) * step
+
+    def kernel(i: int) -> Column:
+        z = (at(i) - F.col("_x")) / F.col("_h")
+        return F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z)).alias(f"_k{i}")
+
+    stats = ["_n", "_h", "_scale", "_lo", "_hi"]
+    sums = joined.groupBy(*by, *stats).agg(*[kernel(i) for i in range(grid_size)])
+    points = F.array(*[F.struct(F.lit(i).alias("point"), at(i).alias("x"), F.col(f"_k{i}").alias("k")) for i in range(grid_size)])
+    dens = (sums.select(*by, *stats, F.inline(points))
+            .select(*by, "point", "x", (F.col("k") / (F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi))) * F.col("_scale")).alias("density")))
     if decimals is not None:
         dens = dens.select(*by, "point", F.round("x", decimals).alias("x"),
                            F.round("density", decimals).alias("density"))
-    return dens.select(*by, "point", "x", "density")
+    return dens
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
-
-
-def rank_within(df: DataFrame, partition: Sequence[str] | str, order: Sequence[str | Column],
-                out: str = "rank") -> DataFrame:
-    """``row_number`` within each partition key (ties broken by ``order``)."""
-    w = Window.partitionBy(*_cols(partition)).orderBy(*order)
-    return df.withColumn(out, F.row_number().over(w))

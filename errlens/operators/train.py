@@ -14,8 +14,9 @@ Design points for large inputs:
   repeated row holding a large share of the data does not make one task
   hold it.
 * Grid points are evaluated in one pass: every fitted model scores the
-  same cached test table with its own output columns, and one aggregate
-  computes all accuracies.
+  test part with its own output columns, and one aggregate computes all
+  accuracies.  ``Prepared.cache_test`` keeps the featurised test part for
+  several grids.
 * Long GBT runs checkpoint to ``spark.checkpoint.dir`` every
   ``checkpointInterval`` iterations (set on the context by
   :func:`errlens.session.ensure_checkpoint_dir`), so a lost executor does
@@ -37,6 +38,7 @@ from pyspark.sql import types as T
 
 from errlens.operators.features import FeatureSpec, fit_features
 from errlens.session import ensure_checkpoint_dir
+from errlens.sources.readers import table_from_rows
 
 RF = "RF"
 GBT = "GBT"
@@ -80,7 +82,7 @@ def gbt_grid(depths: Sequence[int] = SMALL_GBT["depths"], iters: Sequence[int] =
 
 
 def canonical_layout(df: DataFrame, keys: Sequence[str], partitions: int | None = None,
-                     spread: int = 16) -> DataFrame:
+                     spread: int = 16, unique_keys: Sequence[str] = ()) -> DataFrame:
     """Content-defined layout: a fixed number of partitions whose contents
     and row order depend only on the rows, not on the input files.
 
@@ -95,12 +97,21 @@ def canonical_layout(df: DataFrame, keys: Sequence[str], partitions: int | None
     differ in any column (including outside ``keys``) are never counted as
     copies of each other.
 
+    ``unique_keys`` names columns that hold no combination twice: counting
+    is then left out, rows are placed by those keys in a single shuffle, and
+    the keys are dropped.
+
     ``partitions`` defaults to ``spark.sql.shuffle.partitions``; keep it
     fixed between runs that must reproduce each other (an explicit
     repartition is not coalesced by AQE).  Grouping normalises ``-0.0`` to
     ``0.0`` and NaN payloads, as any Spark aggregate does.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if unique_keys:
+        # rows are told apart by these keys, so one shuffle places them and
+        # rows that the model cannot tell apart are spread by their keys
+        order = list(dict.fromkeys([*keys, *(c for c in df.columns if c not in unique_keys), *unique_keys]))
+        return df.repartition(n, *unique_keys).sortWithinPartitions(*order).drop(*unique_keys)
     cols = df.columns
     order = list(dict.fromkeys([*keys, *cols]))
     counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
@@ -134,13 +145,27 @@ class Prepared:
     prep: PipelineModel
     train: DataFrame
     spec: FeatureSpec
+    prep_seconds: float = 0.0
+    test: DataFrame | None = None
+
+    def cache_test(self, test: DataFrame) -> DataFrame:
+        """Featurise the test part once and keep it for every grid."""
+        self.test = self.features(test).persist(StorageLevel.MEMORY_AND_DISK)
+        return self.test
+
+    def features(self, df: DataFrame) -> DataFrame:
+        return self.prep.transform(df).select(F.col(self.spec.label).cast("double").alias(self.spec.label), self.spec.scaled_col)
 
     def unpersist(self) -> None:
         self.train.unpersist()
+        if self.test is not None:
+            self.test.unpersist()
+            self.test = None
 
 
 def prepare(train: DataFrame, spec: FeatureSpec, layout_keys: Sequence[str] | None = None,
-            layout_partitions: int | None = None, reliable: bool = False) -> Prepared:
+            layout_partitions: int | None = None, reliable: bool = False,
+            unique_keys: Sequence[str] = ()) -> Prepared:
     """Fit index/assemble/scale on ``train`` once and persist the model input.
 
     Only the label and the scaled vector are kept in the cache; the raw
@@ -159,7 +184,7 @@ def prepare(train: DataFrame, spec: FeatureSpec, layout_keys: Sequence[str] | No
     shuffles.  Partitions and row order are kept, so the fits are the same.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    raw = None
+    began, raw = time.perf_counter(), None
     if layout_keys:
         # The index and scaler fits each read the training rows; keep the
         # laid-out rows (only the columns the features need) so the scan,
@@ -167,19 +192,22 @@ def prepare(train: DataFrame, spec: FeatureSpec, layout_keys: Sequence[str] | No
         needed = [c for c in dict.fromkeys([spec.label, *spec.numeric, *spec.categorical])
                   if c in train.columns]
         keys = [k for k in layout_keys if k in needed]
-        raw = canonical_layout(train.select(*needed), keys, layout_partitions).persist(
+        own = [k for k in unique_keys if k not in needed]
+        raw = canonical_layout(train.select(*needed, *own), keys, layout_partitions, unique_keys=own).persist(
             StorageLevel.MEMORY_AND_DISK)
         train = raw
+    if train.isEmpty():
+        raise ValueError("the training part is empty")
     prep = fit_features(train, spec)
     model_input = (prep.transform(train)
                    .select(F.col(spec.label).cast("double").alias(spec.label), spec.scaled_col))
     if reliable:
         model_input = model_input.checkpoint(eager=True)
     model_input = model_input.persist(StorageLevel.MEMORY_AND_DISK)
+    model_input.count()   # materialise before the raw rows are released
     if raw is not None:
-        model_input.count()   # materialise before the raw rows are released
         raw.unpersist()
-    return Prepared(prep, model_input, spec)
+    return Prepared(prep, model_input, spec, time.perf_counter() - began)
 
 
 def fit_classifier(prepared: Prepared, cfg: ModelConfig, seed: int = 42):
@@ -208,6 +236,7 @@ GRID_SCHEMA = T.StructType([
     T.StructField("params", T.StringType(), False),
     T.StructField("accuracy", T.DoubleType(), True),
     T.StructField("train_time", T.DoubleType(), False),
+    T.StructField("fit_time", T.DoubleType(), False),
 ])
 
 
@@ -219,8 +248,10 @@ def run_grid(train: DataFrame, test: DataFrame, spec: FeatureSpec, configs: Sequ
     """Fit every configuration on the same prepared training table, then
     score all of them on the test part in a single pass.
 
-    Returns ``(seq, model, params, accuracy, train_time)``; ``train_time``
-    is the wall time of each ``fit``.  With ``parallelism > 1`` that many
+    Returns ``(seq, model, params, accuracy, train_time, fit_time)``:
+    ``fit_time`` is the wall time of each classifier's ``fit``,
+    ``train_time`` that of the whole pipeline (the shared preprocessing fit
+    and the classifier's).  An empty test part is an error.  With ``parallelism > 1`` that many
     fits are submitted at once from driver threads (Spark runs their jobs
     side by side, useful when one fit cannot fill a large cluster); the
     times then overlap.
@@ -243,8 +274,7 @@ def run_grid(train: DataFrame, test: DataFrame, spec: FeatureSpec, configs: Sequ
             results = [fit_one(cfg) for cfg in configs]
         fitted = [m for m, _ in results]
         times = [t for _, t in results]
-        scored = prepared.prep.transform(test).select(
-            F.col(spec.label).cast("double").alias(spec.label), spec.scaled_col)
+        scored = prepared.test if prepared.test is not None else prepared.features(test)
         cols = []
         for i, m in enumerate(fitted):
             m = m.copy()
@@ -252,13 +282,15 @@ def run_grid(train: DataFrame, test: DataFrame, spec: FeatureSpec, configs: Sequ
             m.setPredictionCol(f"_p{i}").setRawPredictionCol(f"_r{i}").setProbabilityCol(f"_q{i}")
             scored = m.transform(scored)
             cols.append(F.avg((F.col(spec.label) == F.col(f"_p{i}")).cast("int")).alias(f"a{i}"))
-        accs = scored.agg(*cols).first()   # one row, one value per configuration
+        accs = scored.agg(F.count(F.lit(1)).alias("n"), *cols).first()   # one row, one value per configuration
+        if not accs["n"]:
+            raise ValueError("the test part is empty")
     finally:
         if own:
             prepared.unpersist()
-    rows = [(i, cfg.kind, cfg.label(short_params), accs[f"a{i}"], float(t))
+    rows = [(i, cfg.kind, cfg.label(short_params), accs[f"a{i}"], float(t) + prepared.prep_seconds, float(t))
             for i, (cfg, t) in enumerate(zip(configs, times))]
-    return spark.createDataFrame(rows, GRID_SCHEMA)
+    return table_from_rows(spark, rows, GRID_SCHEMA)
 
 
 IMPORTANCE_SCHEMA = T.StructType([
@@ -282,4 +314,18 @@ def feature_importances(spark: SparkSession, model: PipelineModel) -> DataFrame:
     values = model.stages[-1].featureImportances.toArray()
     if len(values) != len(names):
         raise ValueError(f"{len(values)} importances for {len(names)} features")
-    return spark.createDataFrame([(n, float(v)) for n, v in zip(names, values)], IMPORTANCE_SCHEMA)
+    return table_from_rows(spark, [(n, float(v)) for n, v in zip(names, values)], IMPORTANCE_SCHEMA)
+
+
+SHAPE_SCHEMA = T.StructType([
+    T.StructField("trees", T.IntegerType(), False),
+    T.StructField("depth", T.IntegerType(), False),
+    T.StructField("deepest", T.IntegerType(), False),
+])
+
+
+def model_shape(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """``(trees, depth, deepest)`` of a fitted ensemble: its trees, the depth
+    limit it was fitted under, and the depth of its deepest tree."""
+    clf = model.stages[-1]
+    return table_from_rows(spark, [(len(clf.trees), clf.getMaxDepth(), max(t.depth for t in clf.trees))], SHAPE_SCHEMA)

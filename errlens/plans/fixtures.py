@@ -52,12 +52,29 @@ def obs_from_lineitem(li: DataFrame) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return obs(spark, sf_dir).withColumn("label", binarize("stress", 2))
+    """``obs`` with a label whose rule differs between the parts.
+
+    Training rows have ``stress <= 2`` as class 0, hold-out rows
+    ``stress <= 3``.  A model that learned the training rows is right on the
+    hold-out exactly where both rules agree, which SQL can work out and
+    which is not all rows; one that saw hold-out rows is right elsewhere.
+    """
+    label = F.when(F.col("bucket") < TEST_FROM, binarize("stress", 2)).otherwise(binarize("stress", 3))
+    return obs(spark, sf_dir).withColumn("label", label)
+
+
+def noisy(spark: SparkSession, sf_dir: str, share: float = 0.1) -> DataFrame:
+    """``obs`` with ``stress <= 2`` as class 0 and a fixed share of labels flipped by content (bench)."""
+    flip = stable_bucket(["uid", "day", "f1", "f2", "f3", "f4", "f5"], 5) < F.lit(int(share * 10_000))
+    rule = binarize("stress", 2)
+    return obs(spark, sf_dir).withColumn("label", F.when(flip, 1 - rule).otherwise(rule))
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hold-out rows scored by a fixed rule: ``p1 = f1 / 51``, class 1 above 0.5."""
-    o = obs(spark, sf_dir).filter(F.col("bucket") >= TEST_FROM)
+def scored(spark: SparkSession, sf_dir: str, holdout: bool = True) -> DataFrame:
+    """Rows (the hold-out, or all) scored by a fixed rule: ``p1 = f1 / 51``, class 1 above 0.5."""
+    o = obs(spark, sf_dir)
+    if holdout:
+        o = o.filter(F.col("bucket") >= TEST_FROM)
     p1 = F.col("f1") / 51
     return o.select("uid", "day", "race",
                     binarize("stress", 2).alias("label"),
@@ -65,17 +82,19 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
                     p1.alias("p1"))
 
 
-def scored_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scored_vector(spark: SparkSession, sf_dir: str, holdout: bool = True) -> DataFrame:
     """``scored`` with an ML probability vector ``[1 - p1, p1]``."""
-    return scored(spark, sf_dir).withColumn("probability", vector_column(1 - F.col("p1"), "p1"))
+    return scored(spark, sf_dir, holdout).withColumn("probability", vector_column(1 - F.col("p1"), "p1"))
 
 
-def scored_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scored_two(spark: SparkSession, sf_dir: str, holdout: bool = True) -> DataFrame:
     """Two fixed rules as two 'models' in one long table (``model`` first).
 
     ``rule_a``: p1 = f1/51; ``rule_b``: p1 = f1/41 (threshold 0.5 both).
     """
-    o = obs(spark, sf_dir).filter(F.col("bucket") >= TEST_FROM)
+    o = obs(spark, sf_dir)
+    if holdout:
+        o = o.filter(F.col("bucket") >= TEST_FROM)
     lab = binarize("stress", 2)
     rows = F.array(*[
         F.struct(F.lit(name).alias("model"), (F.col("f1") / d).alias("p1"))

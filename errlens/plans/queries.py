@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.feature import StringIndexer, VectorAssembler, StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +25,7 @@ from errlens.operators import prep as P
 from errlens.operators import report as R
 from errlens.operators import score as S
 from errlens.operators import train as TR
-from errlens.operators.features import FeatureSpec
+from errlens.operators.features import FeatureSpec, fit_features
 from errlens.plans import fixtures as fx
 from errlens.session import scratch_path
 from errlens.sources import readers as RD
@@ -109,18 +108,28 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_scan_parquet(spark, sf_dir):
     path = scratch_path(spark, "predictions")
-    WR.write_predictions(fx.scored_two(spark, sf_dir), path,
+    WR.write_predictions(fx.scored_two(spark, sf_dir, holdout=False), path,
                          columns=("uid", "day", "label", "prediction", "p1"), partition_by=["model"])
-    back = RD.read_parquet(spark, path).filter(F.col("model") == "rule_a")  # partition pruning
+    back = RD.read_parquet(spark, path)
     return back.groupBy("model", "label").agg(F.count(F.lit(1)).alias("n"),
                                               F.sum("prediction").alias("pred_pos"))
 
 
-def q_scan_csv(spark, sf_dir):
+def _nation_csv(spark, sf_dir) -> str:
+    """A headed file with the columns in another order and one more."""
     path = scratch_path(spark, "nation_csv")
-    WR.write_single_csv(fx.table(spark, sf_dir, "nation"), path)
-    schema = "n_nationkey INT, n_name STRING, n_regionkey INT"
-    return RD.read_csv(spark, path, schema=schema)
+    nation = fx.table(spark, sf_dir, "nation").select("n_name", F.lit("x").alias("note"), "n_regionkey", "n_nationkey")
+    WR.write_single_csv(nation, path)
+    return path
+
+
+def q_scan_csv(spark, sf_dir):
+    return RD.read_csv(spark, _nation_csv(spark, sf_dir), schema="n_nationkey INT, n_name STRING, n_regionkey INT")
+
+
+def q_scan_csv_inferred(spark, sf_dir):
+    back = RD.read_csv(spark, _nation_csv(spark, sf_dir), infer=True)
+    return back.select("n_nationkey", "n_name", "n_regionkey", (F.col("n_nationkey") + 1).alias("next_key"))
 
 
 def q_scan_csv_headerless(spark, sf_dir):
@@ -148,12 +157,12 @@ def q_binarize_label_null(spark, sf_dir):
 
 
 def q_correct_flag(spark, sf_dir):
-    s = E.with_correct(fx.scored(spark, sf_dir))
+    s = E.with_correct(fx.scored(spark, sf_dir, holdout=False))
     return s.groupBy("label", "prediction", "correct").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_accuracy_null_pred(spark, sf_dir):
-    o = fx.obs(spark, sf_dir).filter(F.col("bucket") >= fx.TEST_FROM)
+    o = fx.obs(spark, sf_dir)
     p1 = F.col("f1") / 51
     s = o.select(C.binarize("stress").alias("label"),
                  F.when(F.col("f3") == 0, F.lit(None).cast("double"))
@@ -163,7 +172,7 @@ def q_accuracy_null_pred(spark, sf_dir):
 
 
 def q_prediction_project(spark, sf_dir):
-    return fx.scored(spark, sf_dir).select("uid", "day", "label", "prediction", "p1")
+    return fx.scored(spark, sf_dir, holdout=False).select("uid", "day", "label", "prediction", "p1")
 
 
 def q_prediction_preview(spark, sf_dir):
@@ -193,15 +202,39 @@ def q_holdout_hash(spark, sf_dir):
                                             F.sum("l_linenumber").cast("bigint").alias("sum_linenumber"))
 
 
+def q_sample_fine(spark, sf_dir):
+    """A share finer than 1e-4."""
+    s = P.hash_sample(fx.table(spark, sf_dir, "lineitem"), fx.SPLIT_KEYS, 0.00375, seed=7)
+    return s.agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("sum_orderkey"))
+
+
+def q_sample_then_split(spark, sf_dir):
+    """Sample and split with one seed: the split of the sample keeps its shares."""
+    s = P.hash_sample(fx.table(spark, sf_dir, "lineitem"), fx.SPLIT_KEYS, 0.3, seed=fx.SEED)
+    part = P.split_part(fx.SPLIT_KEYS, (0.8, 0.2), seed=fx.SEED)
+    return s.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("sum_orderkey"))
+
+
 def q_sample_bernoulli(spark, sf_dir):
-    s = P.bernoulli_sample(fx.obs(spark, sf_dir), 0.3, seed=fx.SEED)
-    return s.agg(F.count(F.lit(1)).alias("n"))
+    """What holds for any seeded sample: a sub-bag of the rows, of about the asked size."""
+    o = fx.obs(spark, sf_dir)
+    s = P.bernoulli_sample(o, 0.3, seed=fx.SEED)
+    total, n = o.agg(F.count(F.lit(1))).scalar(), F.count(F.lit(1))
+    extra = s.exceptAll(o).agg(F.count(F.lit(1))).scalar()
+    # six standard deviations
+    return s.agg(total.alias("n_all"), extra.alias("n_not_in_input"),
+                 (F.abs(n - 0.3 * total) <= 6 * F.sqrt(0.21 * total)).alias("size_ok"))
 
 
 def q_split_random(spark, sf_dir):
-    train, test = P.random_split(fx.obs(spark, sf_dir), (0.8, 0.2), seed=fx.SEED)
-    return (train.agg(F.count(F.lit(1)).alias("n")).select(F.lit("train").alias("part"), "n")
-            .unionByName(test.agg(F.count(F.lit(1)).alias("n")).select(F.lit("test").alias("part"), "n")))
+    """What holds for any random split: parts that together are the input, of about the asked sizes."""
+    o = fx.obs(spark, sf_dir)
+    train, test = P.random_split(o, (0.8, 0.2), seed=fx.SEED)
+    total, n_test = (x.agg(F.count(F.lit(1))).scalar() for x in (o, test))
+    both = train.unionByName(test)
+    lost = o.exceptAll(both).agg(F.count(F.lit(1))).scalar()
+    return both.agg(F.count(F.lit(1)).alias("n_parts"), lost.alias("n_lost"),
+                    (F.abs(n_test - 0.2 * total) <= 6 * F.sqrt(0.16 * total)).alias("size_ok"))
 
 
 # ---------------------------------------------------------------- month scalars
@@ -252,18 +285,39 @@ def q_confusion_pivot(spark, sf_dir):
     return E.confusion_pivot(fx.scored(spark, sf_dir), classes=(0.0, 1.0))
 
 
+def q_confusion_other(spark, sf_dir):
+    """Labels and predictions outside the given classes are counted as others."""
+    o = fx.obs(spark, sf_dir)
+    three = o.select((F.col("stress") % 3).alias("label"),
+                     F.when(F.col("f3") > 0, (F.col("f5") % 4)).alias("prediction"))
+    return E.confusion_pivot(three, classes=(0.0, 1.0))
+
+
+def q_confusion_many_classes(spark, sf_dir):
+    """A matrix with over a thousand classes, summed up."""
+    li = fx.table(spark, sf_dir, "lineitem")
+    m = E.confusion_matrix(li.select((F.col("l_orderkey") % 1100).alias("label"), (F.col("l_partkey") * 7 % 1100).alias("prediction")))
+    return m.agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("filled"),
+                 F.sum(F.col("n") * F.col("actual")).alias("by_actual"), F.sum(F.col("n") * F.col("predicted")).alias("by_predicted"))
+
+
+def q_evaluator_accuracy(spark, sf_dir):
+    value = E.evaluator_accuracy(fx.scored(spark, sf_dir, holdout=False).withColumn("label", F.col("label").cast("double")))
+    return RD.table_from_rows(spark, [(value,)], "accuracy DOUBLE")
+
+
 def q_class1_probability(spark, sf_dir):
-    s = fx.scored_vector(spark, sf_dir)
+    s = fx.scored_vector(spark, sf_dir, holdout=False)
     return s.select("uid", "day", C.class_probability("probability", 1).alias("p_class1"))
 
 
 def q_confidence_max(spark, sf_dir):
-    s = fx.scored_vector(spark, sf_dir)
+    s = fx.scored_vector(spark, sf_dir, holdout=False)
     return s.select("uid", "day", C.confidence("probability").alias("confidence"))
 
 
 def q_threshold_decision(spark, sf_dir):
-    s = fx.scored_vector(spark, sf_dir)
+    s = fx.scored_vector(spark, sf_dir, holdout=False)
     d = s.select("label", C.threshold_decision(C.class_probability("probability", 1)).alias("decision"))
     return d.groupBy("label", "decision").agg(F.count(F.lit(1)).alias("n"))
 
@@ -277,6 +331,26 @@ def q_probability_kde(spark, sf_dir):
     return E.kde(fx.scored_two(spark, sf_dir), "p1", by="model", grid_size=21, decimals=6)
 
 
+def _nullable_groups(spark, sf_dir):
+    """Scored rows with a group key that is null for some."""
+    o = fx.obs(spark, sf_dir)
+    return o.select(F.when(F.col("f4") > 0, F.col("gender")).alias("gender"), (F.col("f1") / 51).alias("p1"))
+
+
+def q_histogram_by_group(spark, sf_dir):
+    return E.histogram(_nullable_groups(spark, sf_dir), "p1", bins=30, by="gender")
+
+
+def q_kde_by_group(spark, sf_dir):
+    return E.kde(_nullable_groups(spark, sf_dir), "p1", by="gender", grid_size=21, decimals=6)
+
+
+def q_confidence_overlay(spark, sf_dir):
+    """The curve over the confidence histogram: density within the range, scaled to counts."""
+    s = fx.scored_vector(spark, sf_dir, holdout=False).select(C.confidence("probability").alias("confidence"))
+    return E.kde(s, "confidence", grid_size=21, cut=0.0, counts_bins=30, decimals=4)
+
+
 # ---------------------------------------------------------------- top-k / reports
 
 def q_worst_users_top10(spark, sf_dir):
@@ -289,7 +363,7 @@ def q_worst_users_report(spark, sf_dir):
 
 
 def q_union_predictions(spark, sf_dir):
-    two = fx.scored_two(spark, sf_dir)
+    two = fx.scored_two(spark, sf_dir, holdout=False)
     a = two.filter(F.col("model") == "rule_a")
     b = two.filter(F.col("model") == "rule_b")
     u = R.experiment_table(a, b)
@@ -297,41 +371,43 @@ def q_union_predictions(spark, sf_dir):
 
 
 def q_model_comparison(spark, sf_dir):
-    return R.model_comparison(E.accuracy_overall(fx.scored_two(spark, sf_dir), by="model"))
+    return R.model_comparison(E.accuracy_overall(fx.scored_two(spark, sf_dir, holdout=False), by="model"))
 
 
 # ---------------------------------------------------------------- featurisation
 
 def q_string_index(spark, sf_dir):
+    """Index fitted on training rows without one category, applied to rows with it and with nulls."""
     o = fx.obs(spark, sf_dir)
-    model = StringIndexer(inputCol="race", outputCol="race_index", handleInvalid="keep").fit(o)
-    return (model.transform(o).groupBy(F.col("race").alias("value"), F.col("race_index").alias("index"))
+    train = o.filter((F.col("bucket") < fx.TEST_FROM) & (F.col("race") != "R"))
+    rest = o.filter(F.col("bucket") >= fx.TEST_FROM).withColumn("race", F.when(F.col("f4") > 0, F.col("race")))
+    model = fit_features(train, FeatureSpec(numeric=(), categorical=("race",)))
+    return (model.transform(rest).groupBy(F.col("race").alias("value"), F.col("race_index").alias("index"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def _vector(df: DataFrame, spec: FeatureSpec, col: str) -> DataFrame:
+    return fit_features(df, spec).transform(df).withColumn("arr", vector_to_array(col))
+
+
 def q_assemble_features(spark, sf_dir):
-    o = fx.obs(spark, sf_dir)
-    v = VectorAssembler(inputCols=list(fx.NUMERIC), outputCol="features").transform(o)
-    arr = vector_to_array("features")
-    return v.select("uid", "day", *[arr.getItem(i).alias(f"v{i}") for i in range(len(fx.NUMERIC))])
+    spec = FeatureSpec(numeric=fx.NUMERIC)
+    v = _vector(fx.obs(spark, sf_dir), spec, spec.features_col)
+    return v.select("uid", "day", *[F.col("arr")[i].alias(f"v{i}") for i in range(len(fx.NUMERIC))])
 
 
 def q_assemble_skip(spark, sf_dir):
     o = fx.obs(spark, sf_dir).withColumn(
         "f1", F.when(F.col("f4") == 0, F.lit(None).cast("double")).otherwise(F.col("f1")))
-    v = VectorAssembler(inputCols=list(fx.NUMERIC), outputCol="features", handleInvalid="skip").transform(o)
-    arr = vector_to_array("features")
-    return v.agg(F.count(F.lit(1)).alias("n"), F.sum(arr.getItem(0)).alias("sum_v0"))
+    spec = FeatureSpec(numeric=fx.NUMERIC, assemble_invalid="skip")
+    v = _vector(o, spec, spec.features_col)
+    return v.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("arr")[0]).alias("sum_v0"))
 
 
 def q_standard_scale(spark, sf_dir):
-    o = fx.obs(spark, sf_dir)
-    v = VectorAssembler(inputCols=list(fx.NUMERIC), outputCol="features").transform(o)
-    scaled = StandardScaler(inputCol="features", outputCol="scaled", withMean=False,
-                            withStd=True).fit(v).transform(v)
-    arr = vector_to_array("scaled")
-    return scaled.select("uid", "day", *[F.round(arr.getItem(i), 6).alias(f"s{i}")
-                                         for i in range(len(fx.NUMERIC))])
+    spec = FeatureSpec(numeric=fx.NUMERIC)
+    v = _vector(fx.obs(spark, sf_dir), spec, spec.scaled_col)
+    return v.select("uid", "day", *[F.round(F.col("arr")[i], 6).alias(f"s{i}") for i in range(len(fx.NUMERIC))])
 
 
 # ---------------------------------------------------------------- training / scoring
@@ -390,6 +466,36 @@ def q_grid_gbt(spark, sf_dir):
     return _grid(spark, sf_dir, "GBT").select("model", "params", "accuracy")
 
 
+def _large_grid(spark, sf_dir, configs):
+    train, test = _split(spark, sf_dir)
+    return TR.run_grid(train, test, fx.SPEC, configs, seed=fx.SEED, prepared=_prepared(spark, sf_dir)).select("model", "params", "accuracy")
+
+
+def q_grid_rf_large(spark, sf_dir):
+    return _large_grid(spark, sf_dir, TR.rf_grid(**TR.LARGE_RF, max_bins=64))
+
+
+def q_grid_gbt_large(spark, sf_dir):
+    return _large_grid(spark, sf_dir, TR.gbt_grid(**TR.LARGE_GBT, max_bins=64))
+
+
+def q_grid_shapes(spark, sf_dir):
+    """Trees and depth limits that the fitted models have, next to what was asked for."""
+    out = None
+    for cfg in (RF_FINAL, GBT_FINAL, FLAGSHIP):
+        shape = TR.model_shape(spark, _fitted(spark, sf_dir, cfg))
+        row = shape.select(F.lit(cfg.label()).alias("params"), "trees", "depth", (F.col("deepest") <= F.col("depth")).alias("within"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_experiment_csv(spark, sf_dir):
+    """The experiment table as one headed CSV file, read back by name."""
+    path = scratch_path(spark, "experiments_csv")
+    WR.write_single_csv(_experiments(spark, sf_dir).orderBy(F.desc("model"), "seq"), path)
+    return RD.read_csv(spark, path, schema="model STRING, params STRING, accuracy DOUBLE, seq INT")
+
+
 def _importances(spark, sf_dir, cfg):
     return TR.feature_importances(spark, _fitted(spark, sf_dir, cfg))
 
@@ -399,7 +505,10 @@ def q_importance_gbt(spark, sf_dir):
 
 
 def q_importance_rf(spark, sf_dir):
-    return _importances(spark, sf_dir, RF_FINAL).select("feature", F.round("importance", 6).alias("importance"))
+    """What holds for any forest here: seven features, shares that sum to one, the rule's feature on top."""
+    imp = _importances(spark, sf_dir, RF_FINAL)
+    return imp.agg(F.sort_array(F.collect_list("feature")).cast("string").alias("features"), F.round(F.sum("importance"), 9).alias("total"),
+                   F.max_by("feature", "importance").alias("top"))
 
 
 def q_importance_report(spark, sf_dir):
@@ -463,6 +572,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagship_accuracy_by_month": flagship,
     "scan_parquet": q_scan_parquet,
     "scan_csv": q_scan_csv,
+    "scan_csv_inferred": q_scan_csv_inferred,
     "scan_csv_headerless": q_scan_csv_headerless,
     "binarize_label": q_binarize_label,
     "binarize_label_null": q_binarize_label_null,
@@ -473,6 +583,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_hash": q_sample_hash,
     "split_hash": q_split_hash,
     "holdout_hash": q_holdout_hash,
+    "sample_fine": q_sample_fine,
+    "sample_then_split": q_sample_then_split,
     "sample_bernoulli": q_sample_bernoulli,
     "split_random": q_split_random,
     "month_key": q_month_key,
@@ -485,11 +597,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_counts": q_row_counts,
     "confusion_matrix": q_confusion_matrix,
     "confusion_pivot": q_confusion_pivot,
+    "confusion_other": q_confusion_other,
+    "confusion_many_classes": q_confusion_many_classes,
+    "evaluator_accuracy": q_evaluator_accuracy,
     "class1_probability": q_class1_probability,
     "confidence_max": q_confidence_max,
     "threshold_decision": q_threshold_decision,
     "confidence_histogram": q_confidence_histogram,
     "probability_kde": q_probability_kde,
+    "histogram_by_group": q_histogram_by_group,
+    "kde_by_group": q_kde_by_group,
+    "confidence_overlay": q_confidence_overlay,
     "worst_users_top10": q_worst_users_top10,
     "worst_users_report": q_worst_users_report,
     "union_predictions": q_union_predictions,
@@ -504,6 +622,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_roundtrip": q_model_roundtrip,
     "grid_rf": q_grid_rf,
     "grid_gbt": q_grid_gbt,
+    "grid_rf_large": q_grid_rf_large,
+    "grid_gbt_large": q_grid_gbt_large,
+    "grid_shapes": q_grid_shapes,
+    "experiment_csv": q_experiment_csv,
     "importance_gbt": q_importance_gbt,
     "importance_rf": q_importance_rf,
     "importance_report": q_importance_report,

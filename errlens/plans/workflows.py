@@ -31,12 +31,13 @@ from errlens.sources import models as MD
 from errlens.sources import readers as RD
 from errlens.sources import writers as WR
 
-# The observation table's feature columns, in the order the models use them.
+# The observation table's feature columns, in the order the models use them
+# (fixed values).
 OBSERVATION_SPEC = FeatureSpec(
     numeric=("phq4_score", "social_level", "sleep_duration", "daily_steps", "covid_total"),
     categorical=("gender", "race"),
 )
-# The reference's final model settings.
+# The final model settings (fixed values).
 FINAL_MODELS = {
     "RF": TR.ModelConfig(TR.RF, depth=6, trees=50),
     "GBT": TR.ModelConfig(TR.GBT, depth=6, iters=25),
@@ -61,10 +62,13 @@ def _labelled(df: DataFrame, spec: FeatureSpec, cols: Columns, null_label: str)
 def train(df: DataFrame, model_dir: str | None = None, spec: FeatureSpec = OBSERVATION_SPEC,
           models: Mapping[str, TR.ModelConfig] = FINAL_MODELS, cols: Columns = Columns(),
           seed: int = 42, test_fraction: float = 0.2, layout_partitions: int | None = None,
-          null_label: str = "one", reliable_input: bool = False) -> dict:
+          null_label: str = "one", reliable_input: bool = False, unique_rows: bool = False) -> dict:
     """Fit every model on the stable training part, evaluate on the hold-out,
     and (with ``model_dir``) save each whole pipeline plus its importances.
 
+    ``unique_rows`` says that the split keys hold no combination twice, so
+    the layout needs one shuffle instead of two.
+
     Returns ``{"models": {name: PipelineModel}, "accuracy": DataFrame,
     "importances": DataFrame}``.
     """
@@ -73,7 +77,7 @@ def train(df: DataFrame, model_dir: str | None = None, spec: FeatureSpec = OBSER
     train_part, test_part = P.hash_split(data, cols.split_keys, (1 - test_fraction, test_fraction), seed)
     layout = list(dict.fromkeys([*cols.split_keys, spec.label, *spec.numeric, *spec.categorical]))
     prepared = TR.prepare(train_part, spec, layout_keys=layout, layout_partitions=layout_partitions,
-                          reliable=reliable_input)
+                          reliable=reliable_input, unique_keys=cols.split_keys if unique_rows else ())
     try:
         fitted = {name: TR.full_pipeline(prepared, TR.fit_classifier(prepared, cfg, seed))
                   for name, cfg in models.items()}
@@ -124,12 +128,12 @@ def inference(df: DataFrame, models: Mapping[str, PipelineModel], out_dir: str,
     pred = RD.read_parquet(spark, f"{out}/predictions").withColumn("month", month_key(cols.day))
 
     label = spec.label
-    # One scan, one shuffle: accuracy by month, user and category and overall,
-    # per model.  The result is one row per (model, group value) — small
-    # next to the predictions — and is kept so the per-dimension tables below
-    # read it instead of the predictions.
-    groupings = E.accuracy_grouping_sets(pred, ["month", cols.user, cols.category], label=label,
-                                         by="model").persist(StorageLevel.MEMORY_AND_DISK)
+    # One scan, one shuffle: the predictions reduced to what the accuracy
+    # tables and the confusion matrix need; it is kept, and those read it
+    # instead of the predictions.  ``release`` frees it.
+    dims = ["month", cols.user, cols.category]
+    reduced = E.reduce_predictions(pred, dims, label=label, by="model").persist(StorageLevel.MEMORY_AND_DISK)
+    groupings = E.grouping_sets_of(reduced, dims, by="model").persist(StorageLevel.MEMORY_AND_DISK)
 
     def dim(name: str, col: str) -> DataFrame:
         return groupings.filter(F.col("dim") == name).select("model", F.col("value").alias(col),
@@ -137,15 +141,18 @@ def inference(df: DataFrame, models: Mapping[str, PipelineModel], out_dir: str,
 
     tables = {
         "all_groupings": groupings,
+        "reduced": reduced,
         "accuracy": groupings.filter(F.col("dim") == "all").select("model", "accuracy", "samples"),
         "row_counts": groupings.filter(F.col("dim") == "all").select("model", F.col("samples").alias("scored_rows")),
         "by_month": dim("month", "month").withColumnRenamed("samples", "total_samples").orderBy("model", "month"),
         "worst_users": E.lowest_k_by(dim(cols.user, cols.user), "model", cols.user, worst_k),
         "by_category": dim(cols.category, cols.category).drop("samples")
                        .orderBy("model", F.desc("accuracy"), cols.category),
-        "confusion": E.confusion_matrix(pred, label=label, by="model"),
+        "confusion": E.confusion_of(reduced, by="model"),
         "confidence_histogram": E.histogram(pred.select("model", confidence("probability").alias("confidence")),
                                             "confidence", bins=bins, by="model"),
+        "confidence_overlay": E.kde(pred.select("model", confidence("probability").alias("confidence")),
+                                    "confidence", by="model", grid_size=kde_points, cut=0.0, counts_bins=bins),
         "class1_density": E.kde(pred.select("model", class_probability("probability", 1).alias("p1")),
                                 "p1", by="model", grid_size=kde_points),
     }
@@ -157,16 +164,23 @@ def inference(df: DataFrame, models: Mapping[str, PipelineModel], out_dir: str,
     return tables
 
 
+def release(tables: Mapping[str, DataFrame]) -> None:
+    """Free what :func:`inference` keeps in memory for its tables."""
+    tables["all_groupings"].unpersist()
+    tables["reduced"].unpersist()
+
+
 def experiments(df: DataFrame, spec: FeatureSpec = OBSERVATION_SPEC, cols: Columns = Columns(),
                 rf: Sequence[TR.ModelConfig] | None = None, gbt: Sequence[TR.ModelConfig] | None = None,
                 sample_fraction: float | None = 0.3, sample_seed: int = 7, seed: int = 42,
                 out_csv: str | None = None, short_params: bool = False, parallelism: int = 1,
                 null_label: str = "one", reliable_input: bool = False,
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, layout_partitions: int | None = None,
+                unique_rows: bool = False) -> DataFrame:
     """Hyper-parameter grids on one shared preprocessing.
 
-    Optional stable sample first (a seed independent of the split's), then
-    the stable split, then every RF and GBT configuration; one result table
+    Optional stable sample first (its hash has nothing to do with the
+    split's), then the stable split, then every RF and GBT configuration; one result table
     ``(seq, model, params, accuracy, train_time)``, optionally written as one
     headed CSV.  ``partitions`` spreads the test part before the one-pass
     evaluation of every configuration, as in :func:`inference`.
@@ -179,8 +193,10 @@ def experiments(df: DataFrame, spec: FeatureSpec = OBSERVATION_SPEC, cols: Colum
     if partitions:
         test_part = test_part.repartition(partitions)
     layout = list(dict.fromkeys([*cols.split_keys, spec.label, *spec.numeric, *spec.categorical]))
-    prepared = TR.prepare(train_part, spec, layout_keys=layout, reliable=reliable_input)
+    prepared = TR.prepare(train_part, spec, layout_keys=layout, layout_partitions=layout_partitions,
+                          reliable=reliable_input, unique_keys=cols.split_keys if unique_rows else ())
     try:
+        prepared.cache_test(test_part)
         parts = [TR.run_grid(train_part, test_part, spec, grid, seed, prepared=prepared,
                              short_params=short_params, parallelism=parallelism)
                  for grid in (rf if rf is not None else TR.rf_grid(),

@@ -7,9 +7,10 @@ when that setting is unset *and* the master is local (tests, bench).
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import SparkSession
 
@@ -17,30 +18,28 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "errlens") -> SparkSession:
-    """Build (or reuse) a session with defaults suited to this library.
+                app_name: str = "errlens", driver_memory: str | None = None) -> SparkSession:
+    """Build (or reuse) a session.
 
-    AQE is on so shuffle partitions are coalesced and skewed joins split at
-    runtime; the UI is off (no server is started).
+    Master, shuffle partitions and memory are left to ``spark-submit`` or
+    the session's owner unless given here (tests, bench).  Dates are read
+    in UTC, the UI is off (no server is started), and reliable checkpoints
+    are removed once the frame that owns them is garbage-collected.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
     builder = (
         SparkSession.builder
-        .master(master or f"local[{cpus}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("ERRLENS_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # reliable checkpoints (KDE group statistics) are removed once the
-        # frame that owns them is garbage-collected
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -76,6 +75,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for written tables."""
+    """A fresh folder under the shared checkpoint folder for written tables.
+
+    All scratch folders of an application lie in one folder, which
+    :func:`clear_scratch` removes; the driver also does so when it exits.
+    """
+    root = _scratch_root(spark)
+    if root not in _roots:
+        _roots.add(root)
+        weak = weakref.ref(spark)
+        atexit.register(lambda: (s := weak()) and _still_running(s) and clear_scratch(s))
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_roots: set[str] = set()
+
+
+def _scratch_root(spark: SparkSession) -> str:
     base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base.rstrip('/')}/scratch/{spark.sparkContext.applicationId}"
+
+
+def _still_running(spark: SparkSession) -> bool:
+    return spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped()
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the written tables of this application (frames that read them end here)."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)

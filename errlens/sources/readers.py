@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -17,7 +18,8 @@ from pyspark.sql import types as T
 OBSERVATION_SCHEMA = T.StructType([
     T.StructField("uid", T.StringType(), False),
     T.StructField("day", T.IntegerType(), False),
-    T.StructField("stress", T.IntegerType(), True),
+    # a double: a column with gaps is usually written as 1.0, 4.0, ...
+    T.StructField("stress", T.DoubleType(), True),
     T.StructField("phq4_score", T.DoubleType(), True),
     T.StructField("social_level", T.DoubleType(), True),
     T.StructField("sleep_duration", T.DoubleType(), True),
@@ -29,15 +31,29 @@ OBSERVATION_SCHEMA = T.StructType([
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             infer: bool = False) -> DataFrame:
-    """Headed CSV.  With ``schema`` the header only names columns; with
-    ``infer=True`` and no schema Spark samples the file to guess types."""
-    reader = spark.read.option("header", "true")
-    if schema is not None:
-        reader = reader.schema(schema)
-    elif infer:
-        reader = reader.option("inferSchema", "true")
-    return reader.csv(path)
+             infer: bool = False, mode: str = "FAILFAST") -> DataFrame:
+    """Headed CSV.
+
+    With ``schema`` columns are matched by **name**: the header of the file
+    gives the order, further columns are left out, a column that the schema
+    names and the file lacks is an error, and so is a file of the folder
+    with another header.  ``mode`` says what happens to a cell that does not
+    parse: ``FAILFAST`` (default) ends the job, ``PERMISSIVE`` gives null,
+    ``DROPMALFORMED`` drops the row.  With ``infer=True`` and no schema
+    Spark reads the input once more to find types.
+    """
+    if schema is None:
+        return spark.read.option("header", "true").option("inferSchema", str(infer).lower()).csv(path)
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    # without inference only the header line is read
+    header = spark.read.option("header", "true").option("inferSchema", "false").csv(path).columns
+    missing = [f.name for f in wanted if header.count(f.name) != 1]
+    if missing:
+        raise ValueError(f"columns {missing} are not (or not once) in the header {header} of {path}")
+    types = {f.name: f.dataType for f in wanted}
+    in_file = T.StructType([T.StructField(c, types.get(c, T.StringType()), True) for c in header])
+    reader = spark.read.option("header", "true").option("enforceSchema", "false").option("mode", mode)
+    return reader.schema(in_file).csv(path).select(*types)
 
 
 def read_csv_headerless(spark: SparkSession, path: str,
@@ -56,19 +72,15 @@ def read_csv_headerless(spark: SparkSession, path: str,
 def read_parquet(spark: SparkSession, path: str, fallback_glob: str | None = "part-*.parquet") -> DataFrame:
     """A whole Parquet dataset folder (all part files; partition columns too).
 
-    If the folder does not read as one dataset (e.g. stray non-Parquet files
-    next to the parts), its ``fallback_glob`` files are read instead; a
-    missing path is still an error (see :func:`read_optional`).
+    If a stray file next to the parts has no Parquet footer, the folder's
+    ``fallback_glob`` files are read instead; any other failure is raised.
     """
     try:
         return spark.read.parquet(path)
-    except Exception as err:
-        if fallback_glob is None or (isinstance(err, AnalysisException) and _is_missing_path(err)):
+    except (PySparkException, Py4JJavaError) as err:
+        if fallback_glob is None or "CANNOT_READ_FILE_FOOTER" not in str(err):
             raise
-        try:
-            return spark.read.parquet(f"{path.rstrip('/')}/{fallback_glob}")
-        except AnalysisException:
-            raise err from None
+        return spark.read.parquet(f"{path.rstrip('/')}/{fallback_glob}")
 
 
 def _is_missing_path(err: AnalysisException) -> bool:

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Tables with at most this many rows may be written as a single file.
-SINGLE_FILE_MAX_ROWS = 100_000
+
+# Column names of the stored predictions (fixed values: a data contract).
+PREDICTION_COLUMNS = ("uid", "day", "label", "prediction", "probability")
 
 
 def write_predictions(df: DataFrame, path: str,
-                      columns: Sequence[str] = ("uid", "day", "label", "prediction", "probability"),
+                      columns: Sequence[str] = PREDICTION_COLUMNS,
                       partition_by: Sequence[str] = ()) -> None:
     """Project the prediction columns and overwrite a Parquet dataset.
 
@@ -32,17 +33,14 @@ def write_csv_headerless(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "false").csv(path)
 
 
-def write_single_csv(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_MAX_ROWS) -> None:
-    """One headed CSV file, for small result tables only.
+def write_single_csv(df: DataFrame, path: str) -> None:
+    """One headed CSV file, meant for small result tables.
 
-    ``coalesce(1)`` funnels everything through one task, so the row count
-    is checked first (bounded tables: importances, grids, monthly
-    summaries).
+    The rows meet in one writing task through a shuffle, so everything
+    above it keeps its own tasks; the file streams out, in no order but that
+    of ``df`` if it is sorted into one partition already.
     """
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows is too many for a single-file CSV (max {max_rows})")
-    df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    df.repartition(1).write.mode("overwrite").option("header", "true").csv(path)
 
 
 def preview(df: DataFrame, n: int = 20, order_by: Sequence[str | F.Column] = ()) -> DataFrame:

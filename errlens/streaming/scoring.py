@@ -7,9 +7,9 @@ row per group (month, user, category): ``sum`` of correct rows, rows with a
 prediction, and all rows — partial aggregates that merge across
 micro-batches, so a hot group never needs more than one state row.
 
-Progress and state live under the query's checkpoint location, which must be
-on shared storage (by default a folder under ``spark.checkpoint.dir``), so a
-restarted driver or a lost executor resumes from the last committed batch.
+Progress and state live under the query's checkpoint location, which the
+caller names and which must be on shared storage: a query started again with
+the same location resumes from its last committed batch.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from errlens.functions.columns import correct
 from errlens.operators.score import score_pipelines
-from errlens.session import scratch_path
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
@@ -55,14 +54,12 @@ def accuracy_stream(scored: DataFrame, keys: Sequence[str], label: str = "label"
     return agg.select(*keys, (F.col("_ok") / F.col("_scored")).alias("accuracy"), "samples")
 
 
-def start(df: DataFrame, name: str, fmt: str = "memory", path: str | None = None,
-          output_mode: str = "update", checkpoint_location: str | None = None,
-          available_now: bool = True, options: Mapping[str, str] | None = None) -> StreamingQuery:
+def start(df: DataFrame, name: str, checkpoint_location: str, fmt: str = "memory", path: str | None = None,
+          output_mode: str = "update", available_now: bool = True, options: Mapping[str, str] | None = None) -> StreamingQuery:
     """Start a streaming query.  ``available_now`` processes what is there
     and stops (batch-like catch-up); otherwise it runs until stopped."""
-    spark = df.sparkSession
     writer = (df.writeStream.format(fmt).outputMode(output_mode).queryName(name)
-              .option("checkpointLocation", checkpoint_location or scratch_path(spark, f"stream-{name}")))
+              .option("checkpointLocation", checkpoint_location))
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
     if available_now:

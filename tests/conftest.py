@@ -11,7 +11,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from errlens.session import get_session
-    s = get_session(master="local[*]", shuffle_partitions=8, app_name="errlens-tests")
+    s = get_session(master="local[*]", shuffle_partitions=8, app_name="errlens-tests", driver_memory="8g")
     yield s
     s.stop()
 

@@ -71,15 +71,32 @@ def test_confusion_matrix_unseen_class_pairs(spark):
     assert len(cm) == 9 and cm[(2.0, 1.0)] == 1 and cm[(1.0, 1.0)] == 0
 
 
-def test_confusion_matrix_refuses_unbounded_cells(spark, monkeypatch):
-    """A continuous 'prediction' would make every group gather one cell per
-    row; the cell count is checked (and the query fails) before gathering."""
-    monkeypatch.setattr(E, "MAX_CLASSES", 3)
-    df = spark.range(40).select((F.col("id") % 2).alias("label"), (F.col("id") / 7.0).alias("prediction"))
-    with pytest.raises(Exception, match="confusion cells"):
-        E.confusion_matrix(df).collect()
-    ok = spark.createDataFrame([(0, 0.0), (1, 1.0), (1, 0.0)], "label int, prediction double")
-    assert len(E.confusion_matrix(ok).collect()) == 4
+def test_confusion_matrix_takes_any_number_of_classes(spark):
+    df = spark.range(3000).select((F.col("id") % 1500).alias("label"), (F.col("id") * 7 % 1500).alias("prediction"))
+    cm = E.confusion_matrix(df)
+    assert cm.count() == 1500 * 1500 and cm.agg(F.sum("n")).first()[0] == 3000
+
+
+def test_confusion_matrix_of_null_groups(spark):
+    df = spark.createDataFrame([(None, 0, 0.0), (None, 1, 0.0), ("a", 1, 1.0), ("a", 0, None)], "g string, label int, prediction double")
+    cm = {(r.g, r.actual, r.predicted): r.n for r in E.confusion_matrix(df, by="g").collect()}
+    assert len(cm) == 8 and cm[(None, 1.0, 0.0)] == 1 and cm[("a", 0.0, 0.0)] == 0 and sum(cm.values()) == 3
+
+
+def test_confusion_pivot_counts_every_row(spark):
+    df = spark.createDataFrame([(0, 0.0), (1, 2.0), (2, 1.0), (None, 0.0), (1, None)], "label int, prediction double")
+    piv = {r.actual: (r.pred_0, r.pred_1, r.pred_other) for r in E.confusion_pivot(df).collect()}
+    assert piv == {0.0: (1, 0, 0), 1.0: (0, 0, 2), None: (1, 1, 0)}
+
+
+def test_reduced_predictions_give_the_same_tables(spark, sf_small):
+    s = fx.scored_two(spark, sf_small).withColumn("prediction", F.when(F.col("race") != "R", F.col("prediction")))
+    reduced = E.reduce_predictions(s, ["uid", "race"], by="model")
+
+    def bag(df):
+        return sorted(map(tuple, df.collect()), key=repr)
+    assert bag(E.grouping_sets_of(reduced, ["uid", "race"], by="model")) == bag(E.accuracy_grouping_sets(s, ["uid", "race"], by="model"))
+    assert bag(E.confusion_of(reduced, by="model")) == bag(E.confusion_matrix(s, by="model"))
 
 
 @pytest.mark.parametrize("seed", [0, 1])
@@ -111,15 +128,14 @@ def _kde_numpy(xs, grid_size, cut=3.0):
     return grid, dens
 
 
-@pytest.mark.parametrize("method", ["auto", "distinct", "rows"])
 @pytest.mark.parametrize("digits", [2, None])
-def test_kde_brute_force_and_integral(spark, method, digits):
+def test_kde_brute_force_and_integral(spark, digits):
     rng = np.random.default_rng(3)
     xs = rng.beta(2, 5, 400)
     if digits:
         xs = np.round(xs, digits)   # repeated values exercise the weighting
     df = spark.createDataFrame([("m", float(x)) for x in xs], "model string, p double")
-    got = E.kde(df, "p", by="model", grid_size=50, method=method).orderBy("point").collect()
+    got = E.kde(df, "p", by="model", grid_size=50).orderBy("point").collect()
     grid, dens = _kde_numpy(xs, 50)
     assert np.allclose([r.x for r in got], grid, rtol=0, atol=1e-12)
     assert np.allclose([r.density for r in got], dens, rtol=1e-9, atol=1e-12)
@@ -128,10 +144,9 @@ def test_kde_brute_force_and_integral(spark, method, digits):
 
 def test_kde_zero_spread_gives_no_rows(spark):
     df = spark.createDataFrame([("a", 0.5)] * 4 + [("b", 0.1), ("b", 0.2)], "model string, p double")
-    for method in ("auto", "distinct", "rows"):
-        got = E.kde(df, "p", by="model", grid_size=5, method=method).collect()
-        assert {r.model for r in got} == {"b"} and len(got) == 5
-        assert E.kde(df.filter("model = 'a'"), "p", grid_size=5, method=method).count() == 0
+    got = E.kde(df, "p", by="model", grid_size=5).collect()
+    assert {r.model for r in got} == {"b"} and len(got) == 5
+    assert E.kde(df.filter("model = 'a'"), "p", grid_size=5).count() == 0
 
 
 def test_histogram_counts_sum_to_rows(spark, sf_small):
@@ -153,15 +168,49 @@ def test_kde_and_histogram_empty_input(spark):
     assert E.histogram(df, "p", bins=5, by="model").count() == 0
 
 
-def test_kde_auto_with_many_groups_equals_both_methods(spark, sf_small):
-    """Per-user densities: the automatic choice (statistics checkpointed,
-    one-row decision) gives the same curves as either explicit method."""
+def test_kde_with_many_groups(spark, sf_small):
     s = fx.scored(spark, sf_small).select("uid", "p1")
-    n_users = s.select("uid").distinct().count()
-    auto = E.kde(s, "p1", by="uid", grid_size=11, decimals=9).collect()
-    assert len({r.uid for r in auto}) > 0.9 * n_users
-    key = lambda r: (r.uid, r.point)
-    got = sorted(((key(r), r.x, r.density) for r in auto))
-    for method in ("distinct", "rows"):
-        other = E.kde(s, "p1", by="uid", grid_size=11, decimals=9, method=method).collect()
-        assert got == sorted(((key(r), r.x, r.density) for r in other)), method
+    got = E.kde(s, "p1", by="uid", grid_size=11).collect()
+    by_user = {}
+    for r in s.collect():
+        by_user.setdefault(r.uid, []).append(r.p1)
+    assert len({r.uid for r in got}) > 0.9 * len(by_user)
+    uid = got[0].uid
+    grid, dens = _kde_numpy(by_user[uid], 11)
+    mine = sorted((r.point, r.x, r.density) for r in got if r.uid == uid)
+    assert np.allclose([m[1] for m in mine], grid) and np.allclose([m[2] for m in mine], dens)
+
+
+def test_null_group_keys_are_groups(spark):
+    df = spark.createDataFrame([(None, float(k) / 7) for k in range(10)] + [("a", float(k)) for k in range(5)], "g string, x double")
+    h = E.histogram(df, "x", bins=4, by="g")
+    assert {r.g: r.n for r in h.groupBy("g").agg(F.sum("n").alias("n")).collect()} == {None: 10, "a": 5}
+    curves = E.kde(df, "x", by="g", grid_size=7).filter("g IS NULL").orderBy("point").collect()
+    grid, dens = _kde_numpy([k / 7 for k in range(10)], 7)
+    assert np.allclose([r.x for r in curves], grid) and np.allclose([r.density for r in curves], dens)
+
+
+def test_overlay_scales_to_counts(spark):
+    xs = np.random.default_rng(1).random(300)
+    got = E.kde(spark.createDataFrame([(float(x),) for x in xs], "x double"), "x", grid_size=40, cut=0.0, counts_bins=30).orderBy("point").collect()
+    grid, dens = _kde_numpy(xs, 40, cut=0.0)
+    assert np.allclose([r.x for r in got], grid)
+    assert np.allclose([r.density for r in got], dens * len(xs) * (xs.max() - xs.min()) / 30)
+
+
+@pytest.mark.parametrize("make", [lambda d: E.histogram(d, "x", by="g"), lambda d: E.kde(d, "x", by="g", grid_size=5)])
+def test_no_unreduced_rows_are_shuffled_by_the_group(spark, make):
+    """Every exchange by the group key alone is above an aggregate that reduced the rows."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(1000).select((F.col("id") % 2).alias("g"), (F.col("id") % 50).cast("double").alias("x"))
+        plan = make(df)._jdf.queryExecution().sparkPlan().toString()
+        full = make(df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    lines = full.splitlines()
+    for k, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            assert any("HashAggregate" in x or "Aggregate" in x for x in lines[k + 1:k + 8]), line

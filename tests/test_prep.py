@@ -61,3 +61,24 @@ def test_split_part_matches_hash_split(spark, sf_small):
     for name, part in zip(names, parts):
         assert labelled.filter(F.col("part") == name).drop("part").exceptAll(part).count() == 0
         assert labelled.filter(F.col("part") == name).count() == part.count()
+
+
+def test_sample_and_split_with_one_seed_are_independent(spark, sf_small):
+    li = fx.table(spark, sf_small, "lineitem")
+    for seed in (7, 42):
+        s = P.hash_sample(li, fx.SPLIT_KEYS, 0.3, seed)
+        assert 0.15 < P.holdout(s, fx.SPLIT_KEYS, 0.2, seed).count() / s.count() < 0.25
+
+
+def test_fine_fractions(spark):
+    df = spark.range(200_000)
+    n = P.hash_sample(df, ["id"], 0.00004).count()
+    assert 0 < n < 30
+    a, b = P.hash_split(df, ["id"], (0.99996, 0.00004))
+    assert a.count() + b.count() == 200_000 and 0 < b.count() < 30
+
+
+def test_buckets_refuse_shares_they_do_not_have(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        P.hash_sample(spark.range(3), [], 0.00004, bucket_col="id")

@@ -17,15 +17,13 @@ def test_read_optional_other_errors_raise(spark):
         RD.read_optional(lambda: RD.read_parquet(spark, path).select("nope"))
 
 
-def test_single_csv_roundtrip_and_limit(spark):
+def test_single_csv_roundtrip(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     path = scratch_path(spark, "single")
     WR.write_single_csv(df, path)
     back = RD.read_csv(spark, path, schema="k INT, v STRING")
     assert sorted(map(tuple, back.collect())) == [(1, "a"), (2, "b")]
     assert back.rdd.getNumPartitions() == 1
-    with pytest.raises(ValueError):
-        WR.write_single_csv(df, scratch_path(spark, "single2"), max_rows=1)
     inferred = RD.read_csv(spark, path, infer=True)
     assert dict(inferred.dtypes)["k"] == "int"
 
@@ -88,3 +86,73 @@ def test_golden_monthly_table_reads_typed(spark):
     assert all(abs(r.correct - round(r.correct)) < 1e-6 for r in rows)
     total = back.agg((F.sum(F.col("accuracy") * F.col("samples")) / F.sum("samples")).alias("a")).first().a
     assert total == pytest.approx((65891 + 123213 + 25705) / (101429 + 170708 + 38209), rel=1e-12)
+
+
+def _csv(spark, name, text):
+    import os
+    path = scratch_path(spark, name)
+    os.makedirs(path)
+    with open(os.path.join(path, "a.csv"), "w") as f:
+        f.write(text)
+    return path
+
+
+def test_csv_columns_are_matched_by_name(spark):
+    path = _csv(spark, "named", "day,note,uid,stress\n20200301,x,u1,3.0\n20200302,,u2,\n")
+    back = RD.read_csv(spark, path, schema="uid STRING, day INT, stress DOUBLE")
+    assert back.columns == ["uid", "day", "stress"]
+    assert sorted(map(tuple, back.collect())) == [("u1", 20200301, 3.0), ("u2", 20200302, None)]
+    from errlens.operators import prep as P
+    assert sorted((r.uid, r.label) for r in P.with_label(back).collect()) == [("u1", 1), ("u2", 1)]
+
+
+def test_observation_schema_takes_decimal_cells(spark):
+    head = "stress,race,gender,covid_total,daily_steps,sleep_duration,social_level,phq4_score,day,uid,extra"
+    path = _csv(spark, "obs", head + "\n1.0,a,F,0,100,7.5,2,3,20200301,u1,z\n4.0,b,M,1,50,6,1,,20200302,u2,z\n")
+    rows = RD.read_csv(spark, path, schema=RD.OBSERVATION_SCHEMA).collect()
+    assert sorted((r.uid, r.stress, r.sleep_duration, r.phq4_score) for r in rows) == [("u1", 1.0, 7.5, 3.0), ("u2", 4.0, 6.0, None)]
+
+
+def test_csv_missing_column_is_an_error(spark):
+    path = _csv(spark, "missing", "a,b\n1,2\n")
+    with pytest.raises(ValueError, match="nope"):
+        RD.read_csv(spark, path, schema="a INT, nope INT")
+
+
+def test_csv_cells_that_do_not_parse(spark):
+    path = _csv(spark, "cells", "a,b\n1,2\nx,3\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        RD.read_csv(spark, path, schema="a INT, b INT").collect()
+    back = RD.read_csv(spark, path, schema="a INT, b INT", mode="PERMISSIVE").collect()
+    assert sorted(map(tuple, back), key=repr) == [(1, 2), (None, 3)]
+
+
+def test_csv_files_with_another_header_are_refused(spark):
+    import os
+    path = _csv(spark, "headers", "a,b\n1,2\n")
+    with open(os.path.join(path, "b.csv"), "w") as f:
+        f.write("b,a\n1,2\n")
+    with pytest.raises(Exception):
+        RD.read_csv(spark, path, schema="a INT, b INT").collect()
+
+
+def test_scratch_folders_are_removed(spark):
+    import os
+    from errlens.session import clear_scratch
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file://")
+    assert os.path.isdir(local)
+    clear_scratch(spark)
+    assert not os.path.isdir(local)
+
+
+def test_the_callers_settings_survive(spark):
+    from errlens.session import get_session
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        again = get_session()
+        assert again.conf.get("spark.sql.shuffle.partitions") == "5" and again.sparkContext.master == spark.sparkContext.master
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

@@ -8,6 +8,7 @@ from errlens.operators import prep as P
 from errlens.operators import train as TR
 from errlens.operators import score as S
 from errlens.plans import fixtures as fx
+from errlens.session import scratch_path
 from errlens.streaming import accuracy_stream, read_stream, score_stream, start
 
 
@@ -18,10 +19,10 @@ def test_stream_scoring_matches_batch(spark, sf_small):
 
     schema = fx.table(spark, sf_small, "lineitem").schema
     li = read_stream(spark, f"{sf_small}/lineitem*.parquet", schema)
-    obs = fx.obs_from_lineitem(li).withColumn("label", F.when(F.col("stress") <= 2, 0).otherwise(1))
+    obs = fx.obs_from_lineitem(li).withColumn("label", F.when(F.col("stress") <= 3, 0).otherwise(1))  # the hold-out rule
     held = P.holdout(obs, [], bucket_col="bucket")
     scored = score_stream(held, {"GBT": model}, keep=["day", "label"]).withColumn("month", month_key("day"))
-    q = start(accuracy_stream(scored, ["model", "month"]), "acc_month", output_mode="complete")
+    q = start(accuracy_stream(scored, ["model", "month"]), "acc_month", scratch_path(spark, "stream"), output_mode="complete")
     q.awaitTermination(120)
     got = {(r.model, r.month): (r.accuracy, r.samples) for r in spark.table("acc_month").collect()}
     q.stop()

@@ -131,3 +131,40 @@ def test_reliable_input_cuts_lineage_and_keeps_the_model(spark, split, cfg):
     finally:
         plain.unpersist()
         kept.unpersist()
+
+
+def test_unique_rows_need_one_shuffle(spark, sf_small):
+    """Placed by the unique keys once; the layout and the model do not depend on the input's partitions."""
+    li = fx.table(spark, sf_small, "lineitem")
+    keys = ["l_orderkey", "l_linenumber"]
+    rows = fx.obs(spark, sf_small).select("f1", "f2", "gender", "race").limit(0)
+    df = li.select(*keys, F.col("l_quantity").alias("f1"), F.col("l_returnflag").alias("race"))
+    laid = [TR.canonical_layout(x, ["race", "f1"], 4, unique_keys=keys) for x in (df, df.repartition(9))]
+    assert laid[0].columns == ["f1", "race"] and rows.columns
+    parts = [[tuple(r) for r in x.withColumn("p", F.spark_partition_id()).collect()] for x in laid]
+    assert parts[0] == parts[1] and len(parts[0]) == li.count()
+    plan = laid[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "HashAggregate" not in plan
+
+
+def test_empty_parts_are_errors(spark, sf_small):
+    data = fx.labelled(spark, sf_small)
+    with pytest.raises(ValueError, match="training part"):
+        TR.prepare(data.filter("false"), TR.FeatureSpec(numeric=("f1",)))
+    prepared = TR.prepare(data, TR.FeatureSpec(numeric=("f1",)))
+    with pytest.raises(ValueError, match="test part"):
+        TR.run_grid(data, data.filter("false"), prepared.spec, [TR.ModelConfig(TR.RF, depth=2, trees=2)], prepared=prepared)
+    prepared.unpersist()
+
+
+def test_cached_test_part_gives_the_same_grid_and_is_released(spark, sf_small):
+    train, test = fx.labelled(spark, sf_small).randomSplit([0.5, 0.5], 1)
+    prepared = TR.prepare(train, TR.FeatureSpec(numeric=("f1", "f2")))
+    cfg = [TR.ModelConfig(TR.RF, depth=2, trees=3)]
+    plain = TR.run_grid(train, test, prepared.spec, cfg, prepared=prepared).first()
+    cached = prepared.cache_test(test)
+    again = TR.run_grid(train, test, prepared.spec, cfg, prepared=prepared).first()
+    assert plain.accuracy == again.accuracy and cached.is_cached
+    assert again.train_time >= again.fit_time > 0
+    prepared.unpersist()
+    assert prepared.test is None and not cached.is_cached
