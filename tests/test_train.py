@@ -168,3 +168,14 @@ def test_cached_test_part_gives_the_same_grid_and_is_released(spark, sf_small):
     assert again.train_time >= again.fit_time > 0
     prepared.unpersist()
     assert prepared.test is None and not cached.is_cached
+
+
+def test_the_training_oracle_notices_a_fit_on_the_hold_out(spark, sf_small):
+    """The registered answers hold for the training rule only: a model fitted on hold-out rows scores otherwise."""
+    train, test = P.hash_split(fx.labelled(spark, sf_small), [], bucket_col="bucket")
+    cfg = TR.ModelConfig(TR.GBT, depth=3, iters=3, max_bins=64)
+    right, wrong = (S.score_pipelines(test, {"m": TR.train_pipeline(part, fx.SPEC, cfg, layout_keys=fx.LAYOUT_KEYS)}, keep=["label"])
+                    for part in (train, test))
+    share = test.agg(F.avg((F.col("stress") != 3).cast("int"))).first()[0]
+    got = [x.agg(F.avg((F.col("label") == F.col("prediction")).cast("int"))).first()[0] for x in (right, wrong)]
+    assert math.isclose(got[0], share) and share < 0.9 and not math.isclose(got[1], share)
