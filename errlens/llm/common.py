@@ -7,7 +7,7 @@ tables go to the shared folder named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import tempfile
+import io
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -15,10 +15,11 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from errlens.session import scratch_path
+from errlens.session import ensure_checkpoint_dir, scratch_path
 
 SALTS = 64
 
@@ -103,14 +104,19 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give executors this package (once per application), as ``--py-files`` would."""
+    """Give executors this package (once per application), as ``--py-files`` would, by way of the shared folder."""
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
     package = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp()) / f"{package.name}.zip"
-    with zipfile.ZipFile(target, "w") as z:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
         for f in sorted(package.rglob("*.py")):
             z.write(f, f.relative_to(package.parent))
-    sc.addPyFile(str(target))
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/code/{sc.applicationId}"
+    store, root = pafs.FileSystem.from_uri(folder)
+    store.create_dir(root)
+    with store.open_output_stream(f"{root}/{package.name}.zip", compression=None) as out:
+        out.write(packed.getvalue())
+    sc.addPyFile(f"{folder}/{package.name}.zip")
     _shipped.add(sc.applicationId)
