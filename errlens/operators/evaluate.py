@@ -22,6 +22,8 @@ from errlens.functions.columns import correct
 
 # Keys into which the distinct values of one group are dealt for a join.
 SALTS = 32
+# Grid points of a density that one row of sums holds.
+LANE = 20
 
 
 def _cols(keys: Sequence[str] | str | None) -> list[str]:
@@ -310,9 +312,9 @@ def kde(df: DataFrame, value: str, by: Sequence[str] | str | None = None, grid_s
     key is a group.
 
     Rows are reduced to ``(group, distinct value, count)``, and each group's
-    kernel sums, one per grid point, are the columns of one aggregate over
-    those, so nothing is multiplied out and only ``groups × grid_size``
-    partial sums per task move.  ``counts_bins`` scales the density to the
+    kernel sums, ``LANE`` grid points to a row, are the columns of one
+    aggregate over those, so a value is repeated once per lane and only
+    ``groups × grid_size`` partial sums per task move.  ``counts_bins`` scales the density to the
     counts of a histogram with that many bins (the overlay of a histogram,
     together with ``cut=0``).
 
@@ -331,20 +333,26 @@ def kde(df: DataFrame, value: str, by: Sequence[str] | str | None = None, grid_s
           .select(*by, "_n", "_h", scale.alias("_scale"),
                   (F.col("_mn") - F.lit(cut) * F.col("_h")).alias("_lo"),
                   (F.col("_mx") + F.lit(cut) * F.col("_h")).alias("_hi")))
-    joined = _attach(_reduced(df, value, by), bw, by, ["_n", "_h", "_scale", "_lo", "_hi"])
+    stats = ["_n", "_h", "_scale", "_lo", "_hi"]
+    joined = _attach(_reduced(df, value, by), bw, by, stats)
+    # a lane holds LANE neighbouring grid points: few enough sums for
+    # generated code, and each value is repeated once per lane, not per point
+    lanes = -(-grid_size // LANE)
+    lane = F.col("_lane").cast("double") * F.lit(float(LANE))
     step = (F.col("_hi") - F.col("_lo")) / F.lit(float(grid_size - 1))
 
-    def at(i: int) -> Column:
-        return F.col("_hi") if i == grid_size - 1 else F.col("_lo") + F.lit(float(i)) * step
+    def at(j: int) -> Column:
+        i = lane + F.lit(float(j))
+        return F.when(i == grid_size - 1, F.col("_hi")).otherwise(F.col("_lo") + i * step)
 
-    def kernel(i: int) -> Column:
-        z = (at(i) - F.col("_x")) / F.col("_h")
-        return F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z)).alias(f"_k{i}")
+    def kernel(j: int) -> Column:
+        z = (at(j) - F.col("_x")) / F.col("_h")
+        return F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z)).alias(f"_k{j}")
 
-    stats = ["_n", "_h", "_scale", "_lo", "_hi"]
-    sums = joined.groupBy(*by, *stats).agg(*[kernel(i) for i in range(grid_size)])
-    points = F.array(*[F.struct(F.lit(i).alias("point"), at(i).alias("x"), F.col(f"_k{i}").alias("k")) for i in range(grid_size)])
-    dens = (sums.select(*by, *stats, F.inline(points))
+    repeated = joined.withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    sums = repeated.groupBy(*by, *stats, "_lane").agg(*[kernel(j) for j in range(LANE)])
+    points = F.array(*[F.struct((F.col("_lane") * LANE + j).alias("point"), at(j).alias("x"), F.col(f"_k{j}").alias("k")) for j in range(LANE)])
+    dens = (sums.select(*by, *stats, F.inline(points)).filter(F.col("point") < grid_size)
             .select(*by, "point", "x", (F.col("k") / (F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi))) * F.col("_scale")).alias("density")))
     if decimals is not None:
         dens = dens.select(*by, "point", F.round("x", decimals).alias("x"),
