@@ -52,6 +52,16 @@ def tasks_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def low_hashes(id_col: str, rows: int, wanted: int) -> Column:
+    """Condition that keeps about four times ``wanted`` of ``rows`` rows, those of the smallest id hashes.
+
+    The smallest hashes can then be sorted without every task sending
+    ``wanted`` rows of its own.
+    """
+    share = min(1.0, 4 * wanted / max(rows, 1))
+    return F.xxhash64(id_col) <= F.lit(min((1 << 63) - 1, int(-(1 << 63) + share * (1 << 64))))
+
+
 def salt(*cols: Column, salts: int = SALTS) -> Column:
     """A stable salt of a row."""
     return F.pmod(F.xxhash64(*cols), F.lit(salts)).cast("int")

@@ -4,8 +4,8 @@ Method: a linear-chain conditional random field over the words of a text,
 with two tags (other, toxic).
 
 * Training sample: at most ``SAMPLE`` toxic and ``SAMPLE`` clean documents
-  (the smallest hashes of the id), each up to ``SAMPLE_WORDS`` words.  This
-  bounds fitting only.
+  (the smallest hashes of the id), each up to ``SAMPLE_CHARS`` characters.
+  This bounds fitting only.
 * Labelled tokens: a word is labelled toxic if it stands in a toxic
   document and one of its forms (the word, its 4 and 5 letter openings) is
   strongly tied to toxic documents; all other words are labelled other.
@@ -30,6 +30,7 @@ length are scored whole.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -41,10 +42,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from errlens.llm.common import out_batch, pick, text_batches, texts_of
+from errlens.llm.common import low_hashes, out_batch, pick, text_batches, texts_of
 
-SAMPLE = 2500               # training documents of each class, at most
-SAMPLE_WORDS = 4000         # words of a training document, at most
+SAMPLE = 1500               # training documents of each class, at most
+SAMPLE_CHARS = 8000         # characters of a training document, at most
 WINDOW = 21                 # labelled tokens of a training window
 CHANCE = -11.0              # log of the chance above which a form is no sign
 KEEP = 300_000              # distinct words whose weight a worker remembers
@@ -91,10 +92,11 @@ def lexicon(docs: list[tuple[list[str], int]]) -> set[str]:
     Counted once per family of near copies, which share their rare words.
     """
     family = families([w for w, _ in docs])
+    own = {w: forms(w) for w in {w for words, _ in docs for w in words}}      # each form once in memory
     members: tuple[dict[int, set[str]], dict[int, set[str]]] = ({}, {})
     for (words, y), f in zip(docs, family):
-        members[y].setdefault(f, set()).update(x for w in set(words) for x in forms(w))
-    seen = [Counter(x for own in m.values() for x in own) for m in members]
+        members[y].setdefault(f, set()).update(x for w in set(words) for x in own[w])
+    seen = [Counter(x for forms_ in m.values() for x in forms_) for m in members]
     n = [len(m) for m in members]
     share = n[1] / sum(n)
     out = set()
@@ -301,10 +303,11 @@ def fit(docs: DataFrame, labels: DataFrame, is_train: Column, id_col: str = "doc
     texts = pick(docs, id=id_col, text=text_col)
     some = None
     for y in (0, 1):
-        few = marked.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
+        few = marked.filter((F.col("y") == y) & low_hashes("id", total.get(y, 0), SAMPLE)).orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
         some = few if some is None else some.union(few)
-    rows = texts.join(F.broadcast(some), "id").select("y", F.coalesce("text", F.lit("")).alias("text")).collect()   # at most 2 * SAMPLE ids
-    sample = [(words_of(r["text"])[:SAMPLE_WORDS], int(r["y"] > 0)) for r in rows]
+    rows = texts.join(F.broadcast(some), "id").select("y", F.coalesce(F.substring("text", 1, SAMPLE_CHARS), F.lit("")).alias("text")).collect()   # at most 2 * SAMPLE ids
+    sample = [([sys.intern(w) for w in words_of(r["text"])], int(r["y"] > 0)) for r in rows]
+    del rows
     n = Counter(y for _, y in sample)
     if not n[0] or not n[1]:
         return Model(constant=float(bool(n[1])))
