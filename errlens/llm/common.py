@@ -15,7 +15,6 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -124,9 +123,9 @@ def ship(spark: SparkSession) -> None:
         for f in sorted(package.rglob("*.py")):
             z.write(f, f.relative_to(package.parent))
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/code/{sc.applicationId}"
-    store, root = pafs.FileSystem.from_uri(folder)
-    store.create_dir(root)
-    with store.open_output_stream(f"{root}/{package.name}.zip", compression=None) as out:
-        out.write(packed.getvalue())
-    sc.addPyFile(f"{folder}/{package.name}.zip")
+    at = sc._jvm.org.apache.hadoop.fs.Path(f"{folder}/{package.name}.zip")
+    out = at.getFileSystem(sc._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(at.toString())
     _shipped.add(sc.applicationId)
