@@ -9,8 +9,9 @@ closes first.
 
 Documents longer than a sequence are cut: the first piece takes the
 remainder, all others fill a sequence each.  Pieces (not ids) are dealt to
-packers by a hash, and every packer reads its pieces in hash order, so the
-result depends only on the rows and the number of packers.
+packers by a hash, and every packer reads its pieces longest first, so the
+result depends only on the rows and the number of packers, and short pieces
+come when there are gaps for them.
 
 Cases: null and empty texts still have their end token, one piece of one
 token; ids may be null or repeat (rows are kept apart by their own place in
@@ -32,7 +33,7 @@ from errlens.llm.bpe import _binaries, encode_texts
 from errlens.llm.common import out_batch, pick, stored, text_batches, texts_of
 
 CAPACITY = 1024
-OPEN_BINS = 2048
+OPEN_BINS = 1 << 16
 PIECES_PER_PACKER = 100_000
 
 
@@ -104,7 +105,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS,
     items = stored(items, "pack-items")
     packers = max(1, -(-items.count() // per_packer))
     dealt = (items.withColumn("deal", F.xxhash64("id", "piece", "start"))
-             .repartition(packers, "deal").sortWithinPartitions("deal", "id", "piece", "start", "length"))
+             .repartition(packers, "deal").sortWithinPartitions(F.desc("length"), "deal", "id", "piece", "start"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(capacity, open_bins)
