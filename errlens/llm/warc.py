@@ -164,7 +164,8 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
             yield out_batch(**{n: b.column(n) for n in b.schema.names}, shard=pa.array(at, pa.int32()))
 
     fields = "id long, digest string, kind int, url string, payload binary, response long"
-    dealt = (both.mapInArrow(place, fields + ", shard int").repartition("shard")
+    # as many tasks as shards, whatever the session's shuffle partitions
+    dealt = (both.mapInArrow(place, fields + ", shard int").repartition(len(cuts) + 1, "shard")
              .sortWithinPartitions("shard", "id", "digest", "kind", "url"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
