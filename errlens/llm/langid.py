@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from errlens.llm.common import out_batch, pick, text_batches, texts_of
+from errlens.llm.common import low_hashes, out_batch, pick, text_batches, texts_of
 
 SAMPLE = 1500
 EXCERPT = 1500
@@ -146,10 +146,12 @@ def score(model: Model, texts: list[str]) -> np.ndarray:
 def fit(docs: DataFrame, is_train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on rows with a language for which ``is_train`` (a condition on ``id``) holds."""
     rows = pick(docs, id=id_col, text=text_col, lang=lang_col).filter("text IS NOT NULL AND lang IS NOT NULL").filter(is_train)
-    langs = sorted(r[0] for r in rows.select("lang").distinct().collect())      # as many as there are languages
+    total = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}     # a row per language
+    langs = sorted(total)
     some = None
     for lang in langs:
-        few = (rows.filter(F.col("lang") == lang).select("lang", F.substring("text", 1, EXCERPT).alias("text"), F.xxhash64("id").alias("h"), "id")
+        few = (rows.filter((F.col("lang") == lang) & low_hashes("id", total[lang], SAMPLE))
+               .select("lang", F.substring("text", 1, EXCERPT).alias("text"), F.xxhash64("id").alias("h"), "id")
                .orderBy("h", "id").limit(SAMPLE).select("lang", "text"))
         some = few if some is None else some.union(few)
     sample = sorted((r["lang"], r["text"]) for r in some.collect()) if some is not None else []
