@@ -113,6 +113,8 @@ def segments(x: np.ndarray, doc_end: np.ndarray) -> tuple[np.ndarray, ...]:
     if len(x) < LENGTH:
         return none
     h = gram_hashes(x, GRAM)
+    if len(h) - 1 > _PLACE:
+        raise ValueError(f"{len(h)} places do not fit the low bits of a key")
     key = (h & ~_PLACE) | np.arange(len(h), dtype=np.uint64)
     anchor = (sliding_min(key, LENGTH - GRAM + 1) & _PLACE).astype(np.int64)
     # a window may not pass the end of its text
@@ -141,7 +143,14 @@ class Scan:
                 base.append(k)
         self.x = np.frombuffer(b"".join(pieces), np.uint8)
         ends = np.cumsum([len(p) for p in pieces]).astype(np.int64)
-        self.first, self.count, self.anchor, self.hash = segments(self.x, ends)
+        # places of an anchor are numbered within a few stretches, so that they fit the low bits of a key
+        cut = np.flatnonzero(np.diff(ends // STRETCH)) + 1
+        found = []
+        for i, j in zip(np.r_[0, cut], np.r_[cut, len(ends)]):
+            a = int(ends[i - 1]) if i else 0
+            first, count, anchor, hash_ = segments(self.x[a:ends[j - 1] if j else 0], ends[i:j] - a)
+            found.append((first + a, count, anchor + a, hash_))
+        self.first, self.count, self.anchor, self.hash = (np.concatenate(c) for c in zip(*found))
         piece = np.searchsorted(ends, self.first, "right")
         self.row = np.array(row, np.int64)[piece] if len(piece) else piece
         self.start = self.first - (np.r_[0, ends[:-1]][piece] - np.array(base, np.int64)[piece] if len(piece) else 0)

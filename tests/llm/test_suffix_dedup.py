@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -77,6 +78,29 @@ def test_long_texts_are_scanned_in_stretches(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_passages_late_in_long_texts():
+    r = np.random.default_rng(9)
+    passage = prose(60, 90)[:300].encode()
+    noise = [r.integers(97, 123, n, np.uint8).tobytes() for n in (4_500_000, 300_000, 3_400_000, 1_200_000)]
+    texts = [noise[0] + passage + noise[1], noise[2], noise[3] + passage]       # the last lies after long texts of its slice
+    s = D.Scan(pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.binary())}))
+    assert sorted(set(s.row)) == [0, 1, 2]
+    hashes = [D.gram_hashes(np.frombuffer(t, np.uint8), D.GRAM) for t in texts]
+    place = s.anchor - s.first + s.start
+    assert all(hashes[k][p] == h for k, p, h in zip(s.row.tolist(), place.tolist(), s.hash))
+    assert ((s.first <= s.anchor) & (s.anchor + D.GRAM <= s.end)).all()
+    inside = [s.hash[(s.row == k) & (s.start < at + 101) & (s.start + s.count > at)] for k, at in ((0, 4_500_000), (2, 1_200_000))]
+    assert len(inside[0]) and set(inside[0]) == set(inside[1])
+
+
+def test_late_repeats_go(spark):
+    r = np.random.default_rng(8)
+    passage = "<" + prose(61, 90)[:300] + ">"
+    noise = [r.integers(97, 123, n, np.uint8).tobytes().decode() for n in (4_500_000, 900)]
+    got = {r["id"]: r for r in D.remove_repeats(documents(spark, [(1, noise[0] + passage), (2, passage + noise[1])])).collect()}
+    assert [bytes(got[k]["kept"]).decode() for k in (1, 2)] == noise
+
+
 def test_cases(spark):
     assert run(spark, CASES) == brute(CASES)
 
