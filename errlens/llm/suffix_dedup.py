@@ -14,8 +14,8 @@ linear grouping construction), dealt to tasks so that each is bounded:
    anchors; a false hit costs work only).  Segments that occur twice or more
    as a whole are covered as a whole: they are counted by content hash, per
    salt, so copies of a document in any number are reduced before they meet.
-3. An anchor with different segments needs more: the bytes of its distinct
-   segments go to one task, are cut into blocks aligned to the anchor, and the
+3. An anchor with different segments needs more: its segments are reduced to
+   one row for each content, the bytes of these go to one task, are cut into blocks aligned to the anchor, and the
    blocks are the symbols of a text whose suffix array is built.  Suffixes
    that share enough blocks are neighbours there; the bytes left and right of
    those blocks are then compared exactly for every window.
@@ -55,6 +55,7 @@ BLOCK = 25                  # bytes of a symbol
 CROWD = 8192                # distinct segments of an anchor that one task takes
 WORDS = 1 << 17             # longs in a bitmap
 STRETCH = 1 << 20           # bytes scanned at once
+TASKS = 1024                # scan tasks whose copies of a segment are reduced together
 SYMBOLS = 1 << 16           # symbols of one suffix array, about
 _PLACE = np.uint64((1 << 22) - 1)
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -181,9 +182,9 @@ def all_segments(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, _key(rows) + ", anchor long, content long, start long, count int")
 
 
-def _bitmap(df: DataFrame, words: int) -> np.ndarray:
-    """Fixed-size bitmap of the ``anchor`` values of ``df`` (for tasks)."""
-    at = F.pmod(F.col("anchor"), F.lit(64 * words))
+def _bitmap(df: DataFrame, words: int, col: str = "anchor") -> np.ndarray:
+    """Fixed-size bitmap of the ``anchor`` (or other hash) values of ``df`` (for tasks)."""
+    at = F.pmod(F.col(col), F.lit(64 * words))
     cells = (df.select(F.shiftright(at, 6).alias("word"), F.pmod(at, F.lit(64)).cast("int").alias("b"))
              .groupBy("word").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("b"))).alias("bits"))).toPandas()
     out = np.zeros(words, np.int64)
@@ -275,18 +276,18 @@ def _ranges(seg: np.ndarray, win: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def compare_segments(segs: DataFrame, key: str) -> DataFrame:
-    """``id``, ``h``, ``s``, ``e``: repeated ranges inside segments whose anchor has different segments."""
-    dealt = segs.repartition("anchor").sortWithinPartitions("anchor", "content", "empty")
+    """``id``, ``h``, ``s``, ``e``: repeated ranges inside segments whose anchor has different segments.
+
+    ``segs`` has one row for each (anchor, content), see ``distinct_segments``.
+    """
+    dealt = segs.repartition("anchor").sortWithinPartitions("anchor", "content")
 
     def flush(groups: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(groups).combine_chunks()
-        anchor, content = t.column("anchor").to_numpy(), t.column("content").to_numpy()
-        lead = np.r_[True, (np.diff(anchor) != 0) | (np.diff(content) != 0)]
-        at = np.flatnonzero(lead)
-        copies = np.add.reduceat(t.column("copies").to_numpy(), at)
-        group = np.cumsum(np.r_[True, np.diff(anchor[at]) != 0]) - 1
-        several = np.bincount(group)[group] > 1
-        at, copies, group = at[several], copies[several], group[several]
+        anchor, copies = t.column("anchor").to_numpy(), t.column("copies").to_numpy()
+        group = np.cumsum(np.r_[True, np.diff(anchor) != 0]) - 1
+        at = np.flatnonzero(np.bincount(group)[group] > 1)
+        copies, group = copies[at], group[at]
         if not len(at):
             return
         part = t.take(pa.array(at))
@@ -329,30 +330,51 @@ def compare_segments(segs: DataFrame, key: str) -> DataFrame:
     return dealt.mapInArrow(run, key + ", s long, e long")
 
 
-def segments_with_bytes(rows: DataFrame, mixed: np.ndarray, crowded: np.ndarray) -> DataFrame:
-    """Segments of anchors with several distinct segments, with their bytes; a task gives each content once."""
+def segments_with_bytes(rows: DataFrame, mixed: np.ndarray, crowded: np.ndarray, repeated: np.ndarray, again: bool) -> DataFrame:
+    """Segments of anchors with several distinct segments, with their bytes.
+
+    With ``again`` those whose content may occur twice or more (``repeated``);
+    a batch gives each content once, and a task its bytes once or seldom more
+    often.  Otherwise those that occur once.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[tuple[int, int]] = set()
         for b, s in _scans(batches):
-            pick_ = np.flatnonzero(_in(mixed, s.hash) & ~_in(crowded, s.hash))
+            pick_ = np.flatnonzero(_in(mixed, s.hash) & ~_in(crowded, s.hash) & (_in(repeated, s.content) == again))
             if not len(pick_):
                 continue
             pair = np.stack([s.hash[pick_], s.content[pick_]], 1).view("V16").reshape(-1)
             _, first, copies = np.unique(pair, return_index=True, return_counts=True)
             k = pick_[first]
-            if len(given) > 500_000:
-                given.clear()
-            # a content given before still counts, without its bytes: one empty stand-in sorts with it
             data = s.x.tobytes()
-            names = list(zip(s.hash[k].tolist(), s.content[k].tolist()))
-            blobs = [b"" if n in given else data[i:j] for n, i, j in zip(names, s.first[k].tolist(), s.end[k].tolist())]
-            given.update(names)
+            blobs = [data[i:j] for i, j in zip(s.first[k].tolist(), s.end[k].tolist())]
+            if again:
+                # a content given before still counts, without its bytes
+                if len(given) > 500_000:
+                    given.clear()
+                names = list(zip(s.hash[k].tolist(), s.content[k].tolist()))
+                blobs = [None if n in given else x for n, x in zip(names, blobs)]
+                given.update(names)
             at = pa.array(s.row[k])
             yield out_batch(id=b.column("id").take(at), h=b.column("h").take(at), anchor=s.hash[k].view(np.int64),
-                            content=s.content[k].view(np.int64), empty=np.array([not x for x in blobs]), start=s.start[k],
-                            lead=(s.anchor[k] - s.first[k]).astype(np.int32), copies=copies.astype(np.int64), bytes=pa.array(blobs, pa.binary()))
+                            content=s.content[k].view(np.int64), start=s.start[k], lead=(s.anchor[k] - s.first[k]).astype(np.int32),
+                            copies=copies.astype(np.int64), bytes=pa.array(blobs, pa.binary()))
 
-    return rows.mapInArrow(run, _key(rows) + ", anchor long, content long, empty boolean, start long, lead int, copies long, bytes binary")
+    return rows.mapInArrow(run, _key(rows) + ", anchor long, content long, start long, lead int, copies long, bytes binary")
+
+
+def distinct_segments(rows: DataFrame, mixed: np.ndarray, crowded: np.ndarray, repeated: np.ndarray) -> DataFrame:
+    """One row for each (anchor, content) of ``segments_with_bytes``, with the number of its copies.
+
+    Contents that may repeat are reduced per block of scan tasks, with
+    map-side combine, then over the blocks; the others are alone as they are.
+    """
+    alone = segments_with_bytes(rows, mixed, crowded, repeated, False)
+    many = segments_with_bytes(rows, mixed, crowded, repeated, True).withColumn("block", F.floor(F.spark_partition_id() / F.lit(TASKS)))
+    # id, h and start are of use where the content has one row only
+    for keys in (["anchor", "content", "block"], ["anchor", "content"]):
+        many = many.groupBy(*keys).agg(*(F.first(c).alias(c) for c in ("id", "h", "start", "lead")), F.sum("copies").alias("copies"), F.max("bytes").alias("bytes"))
+    return alone.unionByName(many.select(*alone.columns))
 
 
 def crowded_windows(rows: DataFrame, crowded: np.ndarray) -> DataFrame:
@@ -388,7 +410,8 @@ def repeated_ranges(rows: DataFrame, words: int = WORDS, crowd: int = CROWD) ->
              .agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"))
     kinds = stored(kinds, "mixed-anchors")
     mixed, crowded = _bitmap(kinds, words), _bitmap(kinds.filter(F.col("kinds") > crowd), words)
-    inside = compare_segments(segments_with_bytes(rows, mixed, crowded), _key(rows))
+    repeated = _bitmap(twice, words, "content")
+    inside = compare_segments(distinct_segments(rows, mixed, crowded, repeated), _key(rows))
     ranges = whole.unionByName(inside)
     if crowded.any():
         windows = stored(crowded_windows(rows, crowded).withColumn("salt", salt(F.col("id"), F.col("h"), F.col("start"))), "crowded-windows")

@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from errlens.llm import suffix_dedup as D
 from errlens.llm.suffix_array import suffix_array
@@ -101,6 +102,22 @@ def test_late_repeats_go(spark):
     assert [bytes(got[k]["kept"]).decode() for k in (1, 2)] == noise
 
 
+def test_one_row_of_a_segment_reaches_its_task(spark, monkeypatch):
+    edge = [prose(70 + k, 60) for k in range(3)]
+    rows = [(k, prose(4000 + k, 20) + " " + prose(64, 90)[:400] + " " + edge[k % 3]) for k in range(90)]
+    rows += [(900 + k, prose(64, 90)[20:380] + f" {k}") for k in range(3)]
+    seen, compare = [], D.compare_segments
+
+    def spy(segs, key):
+        seen.extend(segs.groupBy("anchor", "content").agg(F.count(F.lit(1)).alias("n"), F.max("copies").alias("copies")).collect())
+        return compare(segs, key)
+
+    monkeypatch.setattr(D, "compare_segments", spy)
+    got = D.remove_repeats(documents(spark, rows).repartition(6)).collect()
+    assert sorted((repr(r["id"]), r["n_bytes"], r["n_removed"], len(r["spans"]), bytes(r["kept"])) for r in got) == brute(rows)
+    assert {r["n"] for r in seen} == {1} and max(r["copies"] for r in seen) == 30      # of an edge
+
+
 def test_cases(spark):
     assert run(spark, CASES) == brute(CASES)
 
