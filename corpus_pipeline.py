@@ -2,7 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that its
 predecessor kept.  All but the last return the columns of ``documents``.
-A document is known by its ``doc_id``.
+Rows are kept or dropped one by one; ``doc_id`` may be null or repeat.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from errlens.llm import exact_dedup, packing, simhash, suffix_dedup, toxicity
-from errlens.llm.common import read_table, ship, stored
+from errlens.llm.common import group_stats, read_table, salt, ship, stored
 from errlens.llm.queries import BYTE_BPE, END_ID, fold
 from errlens.session import ensure_checkpoint_dir
 
@@ -32,11 +32,31 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest doc_id."""
+    """Of each group of linked fingerprints the row with the smallest doc_id (null last).
+
+    Rows are told apart by doc_id and 128 bits of all their columns, so no
+    text is stored again; of equal rows one stays.
+    """
     ship(spark)
-    found = simhash.near_duplicates(docs, shingle=3, distance=3)
-    others = found.filter("id <> component_id").select(F.col("id").alias("doc_id"))
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    marked = docs.withColumns({"row_a": F.xxhash64(*docs.columns), "row_b": F.xxhash64(F.lit(1), *docs.columns)})
+    key = ["doc_id", "row_a", "row_b"]
+    found = simhash.near_duplicates(marked, shingle=3, distance=3, columns=("row_a", "row_b"))
+    who = F.struct(F.col("id").isNull().alias("none"), "id", "row_a", "row_b")
+    found = stored(found.withColumn("who", who).withColumn("salt", salt(F.col("row_a"))), "near-copies")
+    first = found.join(group_stats(found, ["root"], "who").select("root", "salt", "lowest"), ["root", "salt"])
+    others = first.filter(~F.col("who").eqNullSafe(F.col("lowest"))).select(F.col("id").alias("doc_id"), "row_a", "row_b").distinct()
+    equal = (first.filter(F.col("who").eqNullSafe(F.col("lowest"))).groupBy(F.col("id").alias("doc_id"), "row_a", "row_b")
+             .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
+    equal = stored(equal, "equal-rows")
+
+    def among(rows: DataFrame, kind: str) -> DataFrame:
+        on = [F.col(f"d.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
+        return marked.alias("d").join(rows.alias("r"), on, kind)
+
+    if equal.isEmpty():
+        return among(others, "left_anti").select(*docs.columns)
+    rest = among(others.union(equal), "left_anti").select(*docs.columns)
+    return rest.union(among(equal, "left_semi").dropDuplicates(key).select(*docs.columns))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

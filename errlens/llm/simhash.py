@@ -158,17 +158,20 @@ def simhash(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``id``, ``fp`` (the 64 bits as a signed long)."""
-    rows = pick(df, id=id_col, text=text_col)
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                 columns: tuple[str, ...] = ()) -> DataFrame:
+    """``id``, ``fp`` (the 64 bits as a signed long), and the named ``columns`` of ``df`` as ``x0``, ``x1``, ..."""
+    own = {f"x{k}": c for k, c in enumerate(columns)}
+    rows = pick(df, id=id_col, text=text_col, **own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_batches(batches):
             texts = [t or b"" for t in b.column("text").cast(pa.binary()).to_pylist()]
-            yield out_batch(id=b.column("id"), fp=simhash(texts, shingle).view(np.int64))
+            yield out_batch(id=b.column("id"), fp=simhash(texts, shingle).view(np.int64), **{x: b.column(x) for x in own})
 
-    id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {id_type}, fp long")
+    kind = {n: rows.schema[n].dataType.simpleString() for n in ("id", *own)}
+    more = "".join(f", {x} {kind[x]}" for x in own)
+    return rows.mapInArrow(run, f"id {kind['id']}, fp long{more}")
 
 
 # ---------------------------------------------------------------- generalised pigeonhole
@@ -439,9 +442,15 @@ def connect(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    distance: int = DISTANCE) -> DataFrame:
-    """``id``, ``fp``, ``component_id`` (smallest id reachable), one row per row of ``df``."""
-    rows = stored(fingerprints(df, id_col, text_col, shingle).withColumn("salt", salt(F.col("id"))), "fingerprints")
+                    distance: int = DISTANCE, columns: tuple[str, ...] = ()) -> DataFrame:
+    """``id``, ``fp``, ``component_id`` (smallest id reachable), ``root``, one row per row of ``df``.
+
+    ``root`` is a fingerprint that names the component, also where ids are
+    null or repeat.  ``columns`` names columns of ``df`` that stay with their
+    rows.
+    """
+    own = {f"x{k}": c for k, c in enumerate(columns)}
+    rows = stored(fingerprints(df, id_col, text_col, shingle, columns).withColumn("salt", salt(F.col("id"))), "fingerprints")
     groups = stored(group_stats(rows, ["fp"], "id").select("fp", "salt", "lowest"), "fingerprint-groups")
     fps = stored(groups.groupBy("fp").agg(F.min("lowest").alias("lowest")), "distinct-fingerprints")
     n, both = bit_counts(fps)
@@ -450,7 +459,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     members = stars.union(stars.select("root", "root").distinct()).toDF("fp", "root")
     members = members.join(fps, "fp").withColumnRenamed("lowest", "id").withColumn("salt", salt(F.col("fp")))
     low = group_stats(members, ["root"], "id").select("root", "salt", F.col("lowest").alias("component_id"))
-    component = members.join(low, ["root", "salt"]).select("fp", "component_id")
+    component = members.join(low, ["root", "salt"]).select("fp", "root", "component_id")
     resolved = (groups.join(component, "fp", "left")
-                .select("fp", "salt", F.coalesce("component_id", "lowest").alias("component_id")))
-    return rows.join(resolved, ["fp", "salt"]).select("id", "fp", "component_id")
+                .select("fp", "salt", F.coalesce("component_id", "lowest").alias("component_id"), F.coalesce("root", "fp").alias("root")))
+    return rows.join(resolved, ["fp", "salt"]).select("id", "fp", "component_id", "root", *own).withColumnsRenamed(own)

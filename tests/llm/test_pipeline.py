@@ -7,6 +7,7 @@ import pytest
 
 import corpus_pipeline
 from errlens.llm.common import stored
+from tests.llm.conftest import prose
 from tests.llm.test_simhash import components, fingerprint
 from tests.llm.test_suffix_dedup import brute as cut_by_windows
 
@@ -68,6 +69,38 @@ def test_packing(stages):
     assert max(fill.values()) <= 1024
 
 
+def test_null_and_repeated_ids(spark, sf_small):
+    """Each stage decides per row, not per doc_id."""
+    schema = spark.read.parquet(f"{sf_small}/documents.parquet").schema
+
+    def table(rows):
+        own = {"text": 1, "doc_id": 0}
+        return spark.createDataFrame([tuple(r[own[f.name]] if f.name in own else len(r[1] or "") if f.name == "n_chars" else None for f in schema) for r in rows],
+                                     type(schema)([type(f)(f.name, f.dataType, True) for f in schema]))
+
+    def after(name, rows):
+        return sorted(((r["doc_id"], r["text"]) for r in dict(corpus_pipeline.STAGES)[name](spark, table(rows), sf_small).collect()), key=repr)
+
+    a, b, c, d, e = (prose(600 + k, 400) for k in range(5))
+    near = [t.upper() for t in (a, b, c, d)]
+    rows = [(1, a), (None, near[0]),                      # the row with an id stays
+            (None, b), (None, near[1]),                   # one of two rows without
+            (5, c), (5, near[2]),                         # one of two with the same id
+            (3, d), (7, near[3]), (7, prose(700, 300)),   # a unique text beside a near copy's id
+            (9, e), (9, e), (None, None), (None, "")]
+    got = after("simhash_dedup", rows)
+    assert len(got) == 7
+    assert (1, a) in got and (3, d) in got and (7, prose(700, 300)) in got and (9, e) in got
+    assert sum(x in got for x in [(None, b), (None, near[1])]) == sum(x in got for x in [(5, c), (5, near[2])]) == 1
+    assert got == after("simhash_dedup", rows[::-1])
+    few = [(None, a), (None, b), (5, c), (5, d), (5, d), (7, None)]
+    assert after("toxicity", few) == sorted(few, key=repr)
+    assert after("exact_dedup", [*few, (8, a), (None, b)]) == sorted([(8, a), (None, b), (5, c), (5, d), (7, None)], key=repr)
+    assert after("suffix_dedup", few) == sorted([(None, a), (None, b), (5, c), (5, ""), (5, ""), (7, "")], key=repr)
+    placed = corpus_pipeline.pack(spark, table(few), sf_small).collect()
+    assert sorted(((r["doc_id"], r["piece"]) for r in placed if r["piece"] == 0), key=repr) == sorted([(i, 0) for i, _ in few], key=repr)
+
+
 def test_run_gives_the_last_stage(spark, stages, sf_small):
     key = ["doc_id", "piece", "start", "length", "ids_crc32"]
     got = corpus_pipeline.run(spark, sf_small)
