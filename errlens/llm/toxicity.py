@@ -4,8 +4,9 @@ Method: a linear-chain conditional random field over the words of a text,
 with two tags (other, toxic).
 
 * Training sample: at most ``SAMPLE`` toxic and ``SAMPLE`` clean documents
-  (the smallest hashes of the id), each up to ``SAMPLE_CHARS`` characters.
-  This bounds fitting only.
+  (the smallest hashes of the id), with their whole texts.  This bounds
+  fitting only; executors read the texts, and the driver gets the lexicon,
+  labelled windows and features of the sample.
 * Labelled tokens: a word is labelled toxic if it stands in a toxic
   document and one of its forms (the word, its 4 and 5 letter openings) is
   strongly tied to toxic documents; all other words are labelled other.
@@ -30,7 +31,6 @@ length are scored whole.
 from __future__ import annotations
 
 import re
-import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -42,10 +42,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from errlens.llm.common import low_hashes, out_batch, pick, text_batches, texts_of
+from errlens.llm.common import low_hashes, out_batch, pick, stored, text_batches, texts_of
 
-SAMPLE = 1500               # training documents of each class, at most
-SAMPLE_CHARS = 8000         # characters of a training document, at most
+SAMPLE = 2500               # training documents of each class, at most
 WINDOW = 21                 # labelled tokens of a training window
 CHANCE = -11.0              # log of the chance above which a form is no sign
 KEEP = 300_000              # distinct words whose weight a worker remembers
@@ -67,8 +66,14 @@ class Model:
 
 # ---------------------------------------------------------------- fitting
 
-def families(docs: list[list[str]]) -> list[int]:
-    """Copies and near copies of the sample in one family: shared minima of hashed 3-word shingles."""
+def minima(words: list[str]) -> list[int]:
+    """Minima of the hashed 3-word shingles of a text under several salts."""
+    h = np.array([zlib.crc32(" ".join(words[i:i + 3]).encode()) for i in range(max(1, len(words) - 2))], np.uint64)
+    return [int((h * np.uint64(salt) % np.uint64(4294967291)).min()) for salt in (2654435761, 2246822519, 3266489917, 668265263, 374761393, 1640531527)]
+
+
+def families(docs: list[list[int]]) -> list[int]:
+    """Copies and near copies of the sample in one family: shared ``minima``."""
     parent = list(range(len(docs)))
 
     def root(k: int) -> int:
@@ -78,36 +83,50 @@ def families(docs: list[list[str]]) -> list[int]:
         return k
 
     first: dict[tuple, int] = {}
-    for k, words in enumerate(docs):
-        h = np.array([zlib.crc32(" ".join(words[i:i + 3]).encode()) for i in range(max(1, len(words) - 2))], np.uint64)
-        for salt in (2654435761, 2246822519, 3266489917, 668265263, 374761393, 1640531527):
-            key = (salt, int((h * np.uint64(salt) % np.uint64(4294967291)).min()))
+    for k, low in enumerate(docs):
+        for key in enumerate(low):
             parent[root(k)] = root(first.setdefault(key, k))
     return [root(k) for k in range(len(docs))]
 
 
+def tied(a: int, b: int, n: list[int]) -> bool:
+    """Whether a form in ``a`` toxic and ``b`` clean of ``n`` (clean, toxic) families is tied to toxic ones beyond chance."""
+    if a < 3 or a / n[1] <= 8 * b / n[0]:
+        return False
+    share = n[1] / sum(n)
+    # log of the chance that a of a + b documents are toxic
+    return lgamma(a + b + 1) - lgamma(a + 1) - lgamma(b + 1) + a * np.log(share) + b * np.log(1 - share) < CHANCE
+
+
 def lexicon(docs: list[tuple[list[str], int]]) -> set[str]:
     """Forms that stand in more toxic documents, and fewer clean ones, than chance gives.
 
     Counted once per family of near copies, which share their rare words.
     """
-    family = families([w for w, _ in docs])
-    own = {w: forms(w) for w in {w for words, _ in docs for w in words}}      # each form once in memory
     members: tuple[dict[int, set[str]], dict[int, set[str]]] = ({}, {})
-    for (words, y), f in zip(docs, family):
-        members[y].setdefault(f, set()).update(x for w in set(words) for x in own[w])
+    for (words, y), f in zip(docs, families([minima(w) for w, _ in docs])):
+        members[y].setdefault(f, set()).update(x for w in set(words) for x in forms(w))
     seen = [Counter(x for forms_ in m.values() for x in forms_) for m in members]
-    n = [len(m) for m in members]
-    share = n[1] / sum(n)
-    out = set()
-    for f, a in seen[1].items():
-        b = seen[0][f]
-        if a >= 3 and a / n[1] > 8 * b / n[0]:
-            # log of the chance that a of a + b documents are toxic
-            chance = lgamma(a + b + 1) - lgamma(a + 1) - lgamma(b + 1) + a * np.log(share) + b * np.log(1 - share)
-            if chance < CHANCE:
-                out.add(f)
-    return out
+    return {f for f, a in seen[1].items() if tied(a, seen[0][f], [len(m) for m in members])}
+
+
+def sample_lexicon(train: DataFrame, family: dict[int, int], n: list[int]) -> list[str]:
+    """``lexicon`` of the stored sample, counted over whole texts by Spark; only the forms reach the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_batches(batches):
+            seen = {(x, y, family[k]) for k, y, t in zip(b.column("k").to_pylist(), b.column("y").to_pylist(), texts_of(b))
+                    for w in set(words_of(t)) for x in forms(w)}
+            if seen:
+                form, y, f = zip(*seen)
+                yield out_batch(form=form, y=np.array(y, np.int32), family=np.array(f, np.int64))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([tied(a, c, n) for a, c in zip(b.column("a").to_pylist(), b.column("b").to_pylist())], pa.bool_())).select(["form"])
+
+    counts = (train.select("k", "y", "text").mapInArrow(run, "form string, y int, family long").distinct()
+              .groupBy("form").agg(F.count_if(F.col("y") == 1).alias("a"), F.count_if(F.col("y") == 0).alias("b")).filter("a >= 3"))
+    return sorted(r["form"] for r in counts.mapInArrow(keep, "form string").collect())
 
 
 def chain(emission: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,28 +151,26 @@ def chain(emission: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return marginal.transpose(1, 0, 2), pairs
 
 
-def fit_tagger(docs: list[tuple[list[str], int]], rounds: int = 30, rate: float = 0.3, seed: int = 7) -> Model:
-    """CRF weights from windows of labelled tokens."""
-    lex = lexicon(docs)
-    names = sorted(lex)
-    index = {f: k for k, f in enumerate(names)}
+def windows_of(words: list[str], index: dict[str, int], seed: int) -> list[list[list[int]]]:
+    """Windows of a text, around its first words with a form of ``index`` and two words by chance: the forms at each place."""
+    own = {w: [index[f] for f in forms(w) if f in index] for w in set(words)}
+    hits = [k for k, w in enumerate(words) if own[w]]
+    rng = np.random.default_rng((7, seed))
+    out = []
+    for c in [*hits[:8], *(rng.integers(0, len(words), 2) if words else [])]:
+        a = max(0, min(int(c) - WINDOW // 2, len(words) - WINDOW))
+        part = [own[w] for w in words[a:a + WINDOW]]
+        out.append(part + [[]] * (WINDOW - len(part)))
+    return out
+
+
+def fit_tagger(names: list[str], windows: list[tuple[list[list[int]], int]], rounds: int = 30, rate: float = 0.3, seed: int = 7) -> Model:
+    """CRF weights of the forms ``names`` from windows and the classes of their texts."""
     rng = np.random.default_rng(seed)
-    cells, tags, spans = [], [], []
-    for words, y in docs:
-        hits = [k for k, w in enumerate(words) if any(f in lex for f in forms(w))]
-        centres = [*hits[:8], *(rng.integers(0, len(words), 2) if words else [])]
-        for c in centres:
-            a = max(0, min(int(c) - WINDOW // 2, len(words) - WINDOW))
-            part = words[a:a + WINDOW]
-            if len(part) < WINDOW:
-                part = part + [""] * (WINDOW - len(part))
-            row = len(spans)
-            spans.append(row)
-            own = [[index[f] for f in forms(w) if f in index] for w in part]
-            cells += [(row, k, f) for k, fs in enumerate(own) for f in fs]
-            tags.append([int(bool(fs) and y == 1) for fs in own])
+    cells = [(row, k, f) for row, (part, _) in enumerate(windows) for k, fs in enumerate(part) for f in fs]
+    tags = [[int(bool(fs) and y == 1) for fs in part] for part, y in windows]
     model = Model(bias=-4.0)
-    if not spans:
+    if not windows:
         return model
     y = np.array(tags)
     cell = np.array(cells, np.int64).reshape(-1, 3)
@@ -185,7 +202,7 @@ def fit_tagger(docs: list[tuple[list[str], int]], rounds: int = 30, rate: float
             w += rate * gw / np.sqrt(grow[0])
             bias += rate * gb / np.sqrt(grow[1])
             trans += rate * gt / np.sqrt(grow[2])
-    model.weights = {f: float(w[k]) for f, k in index.items()}
+    model.weights = {f: float(w[k]) for k, f in enumerate(names)}
     model.bias, model.trans = float(bias), trans.tolist()
     return model
 
@@ -305,16 +322,41 @@ def fit(docs: DataFrame, labels: DataFrame, is_train: Column, id_col: str = "doc
     for y in (0, 1):
         few = marked.filter((F.col("y") == y) & low_hashes("id", total.get(y, 0), SAMPLE)).orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
         some = few if some is None else some.union(few)
-    rows = texts.join(F.broadcast(some), "id").select("y", F.coalesce(F.substring("text", 1, SAMPLE_CHARS), F.lit("")).alias("text")).collect()   # at most 2 * SAMPLE ids
-    sample = [([sys.intern(w) for w in words_of(r["text"])], int(r["y"] > 0)) for r in rows]
-    del rows
-    n = Counter(y for _, y in sample)
+    rows = texts.join(F.broadcast(some), "id").select(F.col("y").cast("boolean").cast("int").alias("y"), F.coalesce("text", F.lit("")).alias("text"))
+    # the whole texts of at most 2 * SAMPLE ids, which the driver never holds; k names a row
+    train = stored(rows.withColumn("k", F.monotonically_increasing_id()).withColumn("h", F.xxhash64("text")), "toxicity-sample")
+
+    def low(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_batches(batches):
+            yield out_batch(k=b.column("k"), y=b.column("y"), low=pa.array([minima(words_of(t)) for t in texts_of(b)], pa.list_(pa.int64())))
+
+    sample = train.select("k", "y", "text").mapInArrow(low, "k long, y int, low array<long>").collect()
+    n = Counter(r["y"] for r in sample)
     if not n[0] or not n[1]:
         return Model(constant=float(bool(n[1])))
-    model = fit_tagger(sample)
-    tagger = Tagger(model)
-    x = np.array([tagger.features(w, tagger.marginals(w)[1]) for w, _ in sample])
-    y = np.array([c for _, c in sample], float)
+    family = dict(zip((r["k"] for r in sample), families([r["low"] for r in sample])))
+    names = sample_lexicon(train, family, [len({family[r["k"]] for r in sample if r["y"] == c}) for c in (0, 1)])
+    index = {f: k for k, f in enumerate(names)}
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_batches(batches):
+            found = [windows_of(words_of(t), index, h % (1 << 64)) for t, h in zip(texts_of(b), b.column("h").to_pylist())]
+            yield out_batch(h=b.column("h"), y=b.column("y"), windows=pa.array(found, pa.list_(pa.list_(pa.list_(pa.int32())))))
+
+    parts = train.select("h", "y", "text").mapInArrow(cut, "h long, y int, windows array<array<array<int>>>").collect()
+    parts.sort(key=lambda r: (r["h"], r["y"]))                          # the fit does not depend on the order of rows
+    model = fit_tagger(names, [(w, r["y"]) for r in parts for w in r["windows"]])
+    del parts
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tagger = Tagger(model)
+        for b in text_batches(batches):
+            words = [words_of(t) for t in texts_of(b)]
+            yield out_batch(h=b.column("h"), y=b.column("y"), x=pa.array([tagger.features(w, tagger.marginals(w)[1]) for w in words], pa.list_(pa.float64())))
+
+    scored = sorted(train.select("h", "y", "text").mapInArrow(weigh, "h long, y int, x array<double>").collect(), key=lambda r: (r["h"], r["y"]))
+    x = np.array([r["x"] for r in scored])
+    y = np.array([r["y"] for r in scored], float)
     share = {c: total.get(c, 0) / max(n[c], 1) for c in (0, 1)}        # the classes' shares of all training rows
     weight = np.where(y == 1, share[1], share[0])
     model.doc = fit_documents(x, y, weight / weight.mean()).tolist()

@@ -68,6 +68,15 @@ def test_copies_make_no_toxic_words():
     assert "w:nasty" in toxicity.lexicon(docs) and "w:rare" not in toxicity.lexicon(docs)
 
 
+def test_toxic_words_late_in_long_texts_are_learnt(spark):
+    rows = [(k, prose(k, 2500) + " nasty " + prose(k + 500, 20)) for k in range(30)] + [(k, prose(k, 2500)) for k in range(30, 60)]
+    assert min(len(t) for _, t in rows) > 10_000
+    labels = spark.createDataFrame([(k, int(k < 30)) for k, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(documents(spark, rows), labels, F.lit(True))
+    assert model.weights.get("w:nasty", 0) > 1
+    assert all((r["score"] >= 0.5) == (r["id"] < 30) for r in toxicity.tag(documents(spark, rows), model).collect())
+
+
 def test_languages_on_held_out_rows(spark):
     rows = {r["doc_id"]: r for r in QUERIES["op4_langid"](spark, MEDIUM).collect()}
     langs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{MEDIUM}/documents.parquet").collect()}
