@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, and SQL where SQL can express one."""
+"""Registered queries of the operators, and SQL where SQL can express one."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from errlens.llm import bpe, exact_dedup, langid, packing, simhash, suffix_dedup, token_counts, topk, toxicity, warc
+from errlens.llm import bpe, exact_dedup, fim, langid, packing, simhash, suffix_dedup, token_counts, topk, toxicity, warc
 from errlens.llm.common import read_table, ship
 from errlens.session import scratch_path
 
@@ -83,6 +83,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = fim.round_trip(read_table(spark, sf_dir, "documents"))
+    return both.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_topk,
         op9_suffix_dedup,
         op10_exact_dedup,
+        op12_fim,
     )}
 
 ORACLE: dict[str, str] = {
@@ -128,4 +134,19 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)""",
+    "op12_fim": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+                          sha256('1:' || doc_id::VARCHAR) AS h FROM documents),
+        n AS (SELECT *, len(u)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+                     ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+        c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                     CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                          WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM n),
+        p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM c)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                      ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+               sha256(t) AS restored_sha256
+        FROM p""",
 }
