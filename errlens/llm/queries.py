@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from errlens.llm import bpe, exact_dedup, fim, langid, packing, simhash, suffix_dedup, token_counts, topk, toxicity, warc
+from errlens.llm import bpe, exact_dedup, fim, langid, packing, sharding, simhash, suffix_dedup, token_counts, topk, toxicity, warc
 from errlens.llm.common import read_table, ship
 from errlens.session import scratch_path
 
@@ -83,6 +83,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(read_table(spark, sf_dir, "documents"), shards=40)
+    return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = fim.round_trip(read_table(spark, sf_dir, "documents"))
     return both.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
@@ -108,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_topk,
         op9_suffix_dedup,
         op10_exact_dedup,
+        op11_sharding,
         op12_fim,
     )}
 
