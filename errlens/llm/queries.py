@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from errlens.llm import bpe, exact_dedup, fim, langid, packing, sharding, simhash, suffix_dedup, token_counts, topk, toxicity, warc
+from errlens.llm import bpe, divergence, exact_dedup, fim, langid, packing, sharding, simhash, suffix_dedup, token_counts, topk, toxicity, warc
 from errlens.llm.common import read_table, ship
 from errlens.session import scratch_path
 
@@ -94,6 +94,10 @@ def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_exact_dedup,
         op11_sharding,
         op12_fim,
+        op13_divergence,
     )}
 
 ORACLE: dict[str, str] = {
@@ -156,4 +161,28 @@ ORACLE: dict[str, str] = {
                       ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
                sha256(t) AS restored_sha256
         FROM p""",
+    "op13_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+        t AS (SELECT k, lang, source, unnest(w) AS term FROM d),
+        kept AS (SELECT lang, term, count(*) AS n_lang FROM t GROUP BY ALL HAVING count(DISTINCT k) >= 30),
+        cell AS (SELECT t.lang, t.source, t.term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+        v AS (SELECT lang, count(*) AS v, sum(n_lang) AS whole FROM kept GROUP BY lang),
+        g AS (SELECT lang, source, coalesce(own, 0) AS own FROM (SELECT DISTINCT lang, source FROM d)
+              LEFT JOIN (SELECT lang, source, sum(n) AS own FROM cell GROUP BY ALL) USING (lang, source)),
+        p AS (SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n,
+                     1 + 1000000000::HUGEINT * (coalesce(n, 0) + 5) // (own + 5 * v) AS p,
+                     1 + 1000000000::HUGEINT * (n_lang + 5) // (whole + 5 * v) AS q
+              FROM g JOIN v USING (lang) JOIN kept USING (lang) LEFT JOIN cell USING (lang, source, term)),
+        pair AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+                 FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        both_parts AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+            UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, value, (row_number() OVER w)::INT AS rank FROM both_parts
+        WINDOW w AS (PARTITION BY lang, source, part ORDER BY value DESC, item)
+        QUALIFY part = 'pair' OR row_number() OVER w <= 50""",
 }
