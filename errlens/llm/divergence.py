@@ -18,8 +18,9 @@ by pair.
 * Terms are counted in each task by (language, source), up to a bounded
   number of entries, so a term, source or language that most documents
   share reaches the shuffle as one row a task.
-* Blocks of terms hold ``CELLS`` (term, group) cells; the group sizes reach
-  them in a cogroup.  A pair leaves a block as one number.
+* Blocks of terms hold ``CELLS`` (term, group) cells, and as many terms as
+  groups at least; the group sizes reach them in a cogroup.  A pair leaves a
+  block as one number.
 
 The result has a row for each ordered pair of sources of a language, so the
 number of sources of a language must be one that can be squared.
@@ -47,7 +48,7 @@ SMOOTH = 5
 PARTS = 1_000_000_000
 TOP = 50
 ENTRIES = 400_000           # counters of a task before they are sent on
-CELLS = 1 << 19             # (term, group) cells of a block
+CELLS = 1 << 16             # (term, group) cells of a block, or the square of the groups if that is more
 COLUMNS = 1024              # columns of a factor of a product
 TERMS = 8192                # most terms of a product
 # ASCII letters in lower case and all bytes of other characters; the rest are blanks
@@ -192,7 +193,8 @@ def priced(levels: np.ndarray, whole: np.ndarray, smooth: int) -> np.ndarray:
 
 def _blocks(cells: DataFrame, sizes: DataFrame, cells_per_block: int) -> tuple[DataFrame, DataFrame]:
     """Cells and group sizes by ``lang`` and ``block``."""
-    counted = sizes.withColumn("blocks", F.greatest(F.ceil(F.col("v") * F.col("groups") / cells_per_block), F.lit(1)).cast("long"))
+    counted = sizes.withColumn("blocks", F.greatest(F.ceil(
+        F.col("v") * F.col("groups") / F.greatest(F.lit(cells_per_block), F.col("groups") * F.col("groups"))), F.lit(1)).cast("long"))
     salted = counted.select("lang", "source", "g", "blocks", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     left = (cells.withColumn("salt", F.pmod(F.xxhash64("term"), F.lit(SALTS)).cast("int")).join(salted, ["lang", "source", "salt"])
             .select("lang", F.pmod(F.xxhash64(F.lit(7), F.col("term")), F.col("blocks")).alias("block"), "term", F.col("g").alias("place"), "n"))
