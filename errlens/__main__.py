@@ -1,4 +1,4 @@
-"""Command line: ``python -m errlens {train,inference,experiments} ...``.
+"""Command line: ``python -m errlens {train,inference,experiments,tune} ...``.
 
 Input is the observation CSV (headed; columns are matched by name).  Paths
 may be any Hadoop-supported URI (``hdfs://``, ``s3a://``, local).
@@ -26,7 +26,7 @@ def _show_all(df) -> None:
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="errlens")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    for name in ("train", "inference", "experiments"):
+    for name in ("train", "inference", "experiments", "tune"):
         p = sub.add_parser(name)
         p.add_argument("--input", required=True)
         p.add_argument("--infer-schema", action="store_true")
@@ -36,7 +36,7 @@ def main(argv=None) -> None:
                        help="what a cell that does not parse does: end the job, become null, drop its row")
         p.add_argument("--null-features", choices=("error", "skip", "keep"), default="error",
                        help="rows with a null numeric feature: end the job, leave the row out, or score it as NaN")
-    for name in ("train", "experiments"):
+    for name in ("train", "experiments", "tune"):
         sub.choices[name].add_argument("--reliable-input", action="store_true",
                                        help="write the model input to spark.checkpoint.dir before fitting")
         sub.choices[name].add_argument("--layout-partitions", type=int, default=None,
@@ -49,10 +49,12 @@ def main(argv=None) -> None:
     for name in ("inference", "experiments"):
         sub.choices[name].add_argument("--partitions", type=int, default=None,
                                        help="spread the scored rows over this many tasks before scoring")
-    sub.choices["experiments"].add_argument("--out", required=True)
-    sub.choices["experiments"].add_argument("--sample", type=float, default=None,
-                                            help="share of rows taken first (default 0.3; with --large all rows)")
-    sub.choices["experiments"].add_argument("--large", action="store_true", help="the 3x3 grids on all rows")
+    for name in ("experiments", "tune"):
+        sub.choices[name].add_argument("--out", required=True)
+        sub.choices[name].add_argument("--sample", type=float, default=None,
+                                       help="share of rows taken first (default 0.3; with --large all rows)")
+        sub.choices[name].add_argument("--large", action="store_true", help="the 3x3 grids on all rows")
+    sub.choices["tune"].add_argument("--models", default=None, help="folder for the chosen pipeline")
     a = ap.parse_args(argv)
 
     spark = get_session(master=a.master)
@@ -72,6 +74,10 @@ def main(argv=None) -> None:
         rf = TR.rf_grid(**TR.LARGE_RF) if a.large else TR.rf_grid()
         gbt = TR.gbt_grid(**TR.LARGE_GBT) if a.large else TR.gbt_grid()
         sample = a.sample if a.sample is not None else (1.0 if a.large else 0.3)
+        if a.cmd == "tune":
+            _show_all(W.tune(df, spec=spec, configs=[*rf, *gbt], sample_fraction=sample, seed=a.seed, model_dir=a.models, out_csv=a.out,
+                             reliable_input=a.reliable_input, layout_partitions=a.layout_partitions, unique_rows=a.unique_rows).table)
+            return
         _show_all(W.experiments(df, spec=spec, rf=rf, gbt=gbt, sample_fraction=sample, seed=a.seed, out_csv=a.out,
                                 reliable_input=a.reliable_input, partitions=a.partitions,
                                 layout_partitions=a.layout_partitions, unique_rows=a.unique_rows))

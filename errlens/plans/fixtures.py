@@ -63,6 +63,29 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return obs(spark, sf_dir).withColumn("label", label)
 
 
+# Rules of the staged grid: class 1 above the first number up to the second
+# and above the third, another rule for each part.
+BANDS = {"train": (8, 20, 33), "validation": (8, 20, 30), "test": (10, 20, 33)}
+THREE_PARTS = (0.6, 0.2, 0.2)
+
+
+def banded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``obs`` in three parts with a label in bands of ``f1``.
+
+    One stump, one tree of depth two and many stumps get different shares of
+    the bands right, so the accuracies of a grid differ; the rules of the
+    parts differ too, so a model that saw another part is right elsewhere.
+    """
+    f1, bucket = F.col("f1"), F.col("bucket")
+
+    def rule(a: int, b: int, c: int):
+        return F.when((f1 > c) | ((f1 > a) & (f1 <= b)), 1).otherwise(0)
+
+    label = (F.when(bucket < 6000, rule(*BANDS["train"])).when(bucket < TEST_FROM, rule(*BANDS["validation"]))
+             .otherwise(rule(*BANDS["test"])))
+    return obs(spark, sf_dir).withColumn("label", label)
+
+
 def noisy(spark: SparkSession, sf_dir: str, share: float = 0.1) -> DataFrame:
     """``obs`` with ``stress <= 2`` as class 0 and a fixed share of labels flipped by content (bench)."""
     flip = stable_bucket(["uid", "day", "f1", "f2", "f3", "f4", "f5"], 5) < F.lit(int(share * 10_000))

@@ -24,6 +24,7 @@ from errlens.operators import evaluate as E
 from errlens.operators import prep as P
 from errlens.operators import report as R
 from errlens.operators import score as S
+from errlens.operators import staged as SG
 from errlens.operators import train as TR
 from errlens.operators.features import FeatureSpec, fit_features
 from errlens.plans import fixtures as fx
@@ -479,6 +480,17 @@ def q_grid_gbt_large(spark, sf_dir):
     return _large_grid(spark, sf_dir, TR.gbt_grid(**TR.LARGE_GBT, max_bins=64))
 
 
+STAGED_SPEC = FeatureSpec(numeric=("f1", "f4"), categorical=("gender",))
+STAGED_GRID = TR.gbt_grid((1, 2), (1, 20), max_bins=64)
+
+
+def q_staged_grid(spark, sf_dir):
+    """Four configurations off two fits, chosen on the validation part, the chosen one scored on the test part."""
+    train, validation, test = P.hash_split(fx.banded(spark, sf_dir), [], fx.THREE_PARTS, bucket_col="bucket")
+    found = SG.staged_grid(train, validation, test, STAGED_SPEC, STAGED_GRID, fx.SEED, fx.LAYOUT_KEYS, LAYOUT_PARTITIONS)
+    return found.table.select("seq", "model", "params", "accuracy", "chosen", "test_accuracy")
+
+
 def q_grid_shapes(spark, sf_dir):
     """Trees and depth limits that the fitted models have, next to what was asked for."""
     out = None
@@ -624,6 +636,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "grid_gbt": q_grid_gbt,
     "grid_rf_large": q_grid_rf_large,
     "grid_gbt_large": q_grid_gbt_large,
+    "staged_grid": q_staged_grid,
     "grid_shapes": q_grid_shapes,
     "experiment_csv": q_experiment_csv,
     "importance_gbt": q_importance_gbt,

@@ -25,6 +25,7 @@ from errlens.operators import evaluate as E
 from errlens.operators import prep as P
 from errlens.operators import report as R
 from errlens.operators import score as S
+from errlens.operators import staged as SG
 from errlens.operators import train as TR
 from errlens.operators.features import FeatureSpec
 from errlens.sources import models as MD
@@ -207,3 +208,35 @@ def experiments(df: DataFrame, spec: FeatureSpec = OBSERVATION_SPEC, cols: Colum
     if out_csv:
         WR.write_single_csv(table.orderBy(F.desc("model"), "seq"), out_csv)
     return table
+
+
+def tune(df: DataFrame, spec: FeatureSpec = OBSERVATION_SPEC, cols: Columns = Columns(),
+         configs: Sequence[TR.ModelConfig] | None = None, weights: Sequence[float] = (0.6, 0.2, 0.2),
+         sample_fraction: float | None = None, sample_seed: int = 7, seed: int = 42, model_dir: str | None = None,
+         out_csv: str | None = None, null_label: str = "one", reliable_input: bool = False,
+         layout_partitions: int | None = None, unique_rows: bool = False) -> SG.Staged:
+    """Grids over three parts: fit on the first, choose on the second, report on the third.
+
+    Unlike :func:`experiments`, whose accuracies are those of the test part,
+    the test part is read once, for the chosen configuration.  With
+    ``model_dir`` its whole pipeline is saved as ``chosen_pipeline``.
+    """
+    data = df
+    if sample_fraction is not None and sample_fraction < 1:
+        data = P.hash_sample(data, cols.split_keys, sample_fraction, sample_seed)
+    if len(weights) != 3:
+        raise ValueError("weights of three parts: training, validation, test")
+    data = _labelled(data, spec, cols, null_label)
+    train_part, validation, test = P.hash_split(data, cols.split_keys, weights, seed)
+    layout = list(dict.fromkeys([*cols.split_keys, spec.label, *spec.numeric, *spec.categorical]))
+    prepared = TR.prepare(train_part, spec, layout_keys=layout, layout_partitions=layout_partitions,
+                          reliable=reliable_input, unique_keys=cols.split_keys if unique_rows else ())
+    try:
+        found = SG.staged_grid(train_part, validation, test, spec, configs, seed, prepared=prepared)
+    finally:
+        prepared.unpersist()
+    if model_dir:
+        MD.save_pipeline(found.pipeline, f"{model_dir.rstrip('/')}/chosen_pipeline")
+    if out_csv:
+        WR.write_single_csv(found.table.orderBy("seq"), out_csv)
+    return found
