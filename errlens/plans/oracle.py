@@ -125,6 +125,10 @@ SELECT substr(cast(day AS varchar), 1, 6) AS month, avg(CAST(label = learned AS
 SELECT model, label, count(*) AS n, sum(prediction) AS pred_pos
 FROM scored_two GROUP BY model, label""",
 
+    "table_replace": _w(OBS, SCORED_TWO_ALL) + """
+SELECT model, label, count(*) AS n, sum(prediction) AS pred_pos, CAST(2 AS INT) AS version, true AS failed
+FROM scored_two WHERE label = 1 GROUP BY model, label""",
+
     "scan_csv": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
 
     "scan_csv_inferred": "SELECT n_nationkey, n_name, n_regionkey, n_nationkey + 1 AS next_key FROM nation",

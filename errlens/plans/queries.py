@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from errlens.operators.features import FeatureSpec, fit_features
 from errlens.plans import fixtures as fx
 from errlens.session import scratch_path
 from errlens.sources import readers as RD
+from errlens.sources import tables as TB
 from errlens.sources import writers as WR
 from errlens.sources import models as MD
 
@@ -116,6 +118,25 @@ def q_scan_parquet(spark, sf_dir):
                                               F.sum("prediction").alias("pred_pos"))
 
 
+def q_table_replace(spark, sf_dir):
+    """Predictions replaced by a table made from themselves, then by a write that fails: the second table is read."""
+    path = scratch_path(spark, "replaced")
+    two = fx.scored_two(spark, sf_dir, holdout=False)
+    columns = ("uid", "day", "label", "prediction", "p1")
+    WR.write_predictions(two, path, columns=columns, partition_by=["model"])
+    WR.write_predictions(RD.read_parquet(spark, path).filter("label = 1"), path, columns=columns, partition_by=["model"])
+    broken = two.withColumn("label", F.when(F.col("p1") > 0.9, F.raise_error(F.lit("this write fails"))).otherwise(F.col("label")))
+    try:
+        WR.write_predictions(broken, path, columns=columns, partition_by=["model"])
+        failed = False
+    except PySparkException:
+        failed = True
+    version = TB.current(spark, path).version
+    back = RD.read_parquet(spark, path)
+    return back.groupBy("model", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("prediction").alias("pred_pos"),
+                                              F.lit(version).alias("version"), F.lit(failed).alias("failed"))
+
+
 def _nation_csv(spark, sf_dir) -> str:
     """A headed file with the columns in another order and one more."""
     path = scratch_path(spark, "nation_csv")
@@ -583,6 +604,7 @@ def q_compare_runs(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagship_accuracy_by_month": flagship,
     "scan_parquet": q_scan_parquet,
+    "table_replace": q_table_replace,
     "scan_csv": q_scan_csv,
     "scan_csv_inferred": q_scan_csv_inferred,
     "scan_csv_headerless": q_scan_csv_headerless,

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.sql import SparkSession
+
+from errlens.sources.tables import replace, resolve
 
 
 def save_pipeline(model: PipelineModel, path: str) -> None:
-    """Overwrite ``path`` with the fitted pipeline (all stages)."""
-    model.write().overwrite().save(path)
+    """Replace ``path`` with the fitted pipeline (all stages)."""
+    replace(SparkSession.active(), path, lambda folder: model.write().save(folder))
 
 
 def load_pipeline(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    return PipelineModel.load(resolve(SparkSession.active(), path))

@@ -13,6 +13,8 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from errlens.sources.tables import resolve
+
 # Observation table (one row per user-day) as used by the training and
 # scoring steps.  Types are inferred from use; see FIXTURES.md §1.
 OBSERVATION_SCHEMA = T.StructType([
@@ -42,6 +44,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     ``DROPMALFORMED`` drops the row.  With ``infer=True`` and no schema
     Spark reads the input once more to find types.
     """
+    path = resolve(spark, path)
     if schema is None:
         return spark.read.option("header", "true").option("inferSchema", str(infer).lower()).csv(path)
     wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
@@ -62,6 +65,7 @@ def read_csv_headerless(spark: SparkSession, path: str,
 
     ``columns`` is a schema, or a list of names read as strings.
     """
+    path = resolve(spark, path)
     if isinstance(columns, T.StructType):
         schema = columns
     else:
@@ -75,6 +79,7 @@ def read_parquet(spark: SparkSession, path: str, fallback_glob: str | None = "pa
     If a stray file next to the parts has no Parquet footer, the folder's
     ``fallback_glob`` files are read instead; any other failure is raised.
     """
+    path = resolve(spark, path)
     try:
         return spark.read.parquet(path)
     except (PySparkException, Py4JJavaError) as err:

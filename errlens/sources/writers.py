@@ -1,4 +1,9 @@
-"""Sinks: predictions to Parquet, result tables to CSV, previews."""
+"""Sinks: predictions to Parquet, result tables to CSV, previews.
+
+Every sink replaces its folder as a whole (:mod:`errlens.sources.tables`): a
+write that fails leaves the old table, and it may read the table that it
+replaces.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from errlens.sources.tables import replace
 
 # Column names of the stored predictions (fixed values: a data contract).
 PREDICTION_COLUMNS = ("uid", "day", "label", "prediction", "probability")
@@ -15,22 +21,22 @@ PREDICTION_COLUMNS = ("uid", "day", "label", "prediction", "probability")
 def write_predictions(df: DataFrame, path: str,
                       columns: Sequence[str] = PREDICTION_COLUMNS,
                       partition_by: Sequence[str] = ()) -> None:
-    """Project the prediction columns and overwrite a Parquet dataset.
+    """Project the prediction columns and replace a Parquet dataset.
 
     ``partition_by`` (e.g. ``["model"]``) lays the files out by value so a
     later read of one model prunes the others.  Written in parallel, one file
     per task.
     """
     cols = list(partition_by) + [c for c in columns if c not in partition_by]
-    writer = df.select(*cols).write.mode("overwrite")
+    writer = df.select(*cols).write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    replace(df.sparkSession, path, writer.parquet)
 
 
 def write_csv_headerless(df: DataFrame, path: str) -> None:
-    """Overwrite a folder of headerless CSV part files."""
-    df.write.mode("overwrite").option("header", "false").csv(path)
+    """Replace a folder of headerless CSV part files."""
+    replace(df.sparkSession, path, df.write.option("header", "false").csv)
 
 
 def write_single_csv(df: DataFrame, path: str) -> None:
@@ -40,7 +46,7 @@ def write_single_csv(df: DataFrame, path: str) -> None:
     above it keeps its own tasks; the file streams out, in no order but that
     of ``df`` if it is sorted into one partition already.
     """
-    df.repartition(1).write.mode("overwrite").option("header", "true").csv(path)
+    replace(df.sparkSession, path, df.repartition(1).write.option("header", "true").csv)
 
 
 def preview(df: DataFrame, n: int = 20, order_by: Sequence[str | F.Column] = ()) -> DataFrame:
