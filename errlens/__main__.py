@@ -46,6 +46,8 @@ def main(argv=None) -> None:
     sub.choices["train"].add_argument("--models", required=True)
     sub.choices["inference"].add_argument("--models", required=True)
     sub.choices["inference"].add_argument("--out", required=True)
+    sub.choices["inference"].add_argument("--no-split-check", action="store_true",
+                                          help="do not compare the hold-out with the rows that were trained on")
     for name in ("inference", "experiments"):
         sub.choices[name].add_argument("--partitions", type=int, default=None,
                                        help="spread the scored rows over this many tasks before scoring")
@@ -65,7 +67,8 @@ def main(argv=None) -> None:
                       layout_partitions=a.layout_partitions, unique_rows=a.unique_rows)
         _show_all(res["accuracy"])
     elif a.cmd == "inference":
-        tables = W.inference(df, W.load_models(a.models), a.out, spec=spec, seed=a.seed, partitions=a.partitions)
+        saved = None if a.no_split_check else W.load_fingerprint(spark, a.models)
+        tables = W.inference(df, W.load_models(a.models), a.out, spec=spec, seed=a.seed, partitions=a.partitions, fingerprint=saved)
         for name in ("accuracy", "by_month", "worst_users", "by_category"):
             _show_all(tables[name])
         W.release(tables)

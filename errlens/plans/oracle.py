@@ -59,6 +59,15 @@ MONTHLY = """SELECT substr(cast(day AS varchar), 1, 6) AS month,
 FROM scored GROUP BY 1"""
 
 
+_KEYS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+# Rows with their places in the splits of two seeds and the lanes of their digest.
+_ROW_TEXT = ", ".join(f"coalesce(length({k}::varchar)::varchar || ':' || {k}::varchar, '-')" for k in _KEYS)
+_SPLIT_ROWS = f"""WITH r AS (
+  SELECT l_linenumber, {_hash("'42', 'split'")} AS h42, {_hash("'7', 'split'")} AS h7,
+         {", ".join(f"('0x' || substr(d, {8 * k + 1}, 8))::BIGINT AS l{k}" for k in range(4))}
+  FROM (SELECT *, md5(concat_ws(',', {_ROW_TEXT})) AS d FROM lineitem))"""
+
+
 def _w(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -172,6 +181,26 @@ SELECT CASE WHEN {_hash("'42', 'split'")} < 3435973837 THEN 'train' ELSE 'test'
        CAST(sum(l_orderkey) AS BIGINT) AS sum_orderkey
 FROM lineitem WHERE {_hash("'42', 'sample'")} < 1288490189 GROUP BY 1""",
 
+    "split_fingerprint": _SPLIT_ROWS + """
+SELECT coalesce(part, 'all') AS part, count(*) AS rows,
+       concat_ws('-', CAST(sum(l0) AS varchar), CAST(sum(l1) AS varchar), CAST(sum(l2) AS varchar), CAST(sum(l3) AS varchar)) AS digest
+FROM (SELECT CASE WHEN h42 < 3435973837 THEN 'train' ELSE 'test' END AS part, * FROM r) GROUP BY GROUPING SETS ((part), ())""",
+
+    "split_check": _SPLIT_ROWS + """, c AS (
+  SELECT 'same' AS "case", h42 < 3435973837 AS t, h42 >= 3435973837 AS h, * FROM r
+  UNION ALL SELECT 'other seed', h42 < 3435973837, h7 >= 3435973837, * FROM r
+  UNION ALL SELECT 'smaller share', h42 < 3435973837, h42 >= 3865470566, * FROM r
+  UNION ALL SELECT 'changed file', h42 < 3435973837, h42 >= 3435973837, * FROM r WHERE l_linenumber < 7
+  UNION ALL SELECT 'holdout only', h42 < 3435973837, true, * FROM r WHERE h42 >= 3435973837),
+saved AS (SELECT count(*) AS n, sum(l0) AS s0, sum(l1) AS s1, sum(l2) AS s2, sum(l3) AS s3 FROM r WHERE h42 < 3435973837),
+f AS (SELECT "case", count(*) FILTER (t) AS training_rows, coalesce(sum(l0) FILTER (t), 0) AS d0, coalesce(sum(l1) FILTER (t), 0) AS d1,
+             coalesce(sum(l2) FILTER (t), 0) AS d2, coalesce(sum(l3) FILTER (t), 0) AS d3,
+             count(*) FILTER (h) AS holdout_rows, count(*) FILTER (t AND h) AS seen, count(*) FILTER (NOT t AND NOT h) AS left_out
+      FROM c GROUP BY "case"),
+g AS (SELECT *, training_rows = n AND d0 = s0 AND d1 = s1 AND d2 = s2 AND d3 = s3 AS same_training FROM f, saved)
+SELECT "case", training_rows, same_training, holdout_rows, seen, left_out,
+       seen = 0 AND ("case" = 'holdout only' OR (same_training AND left_out = 0)) AS ok FROM g""",
+
     "sample_bernoulli": "SELECT count(*) AS n_all, CAST(0 AS BIGINT) AS n_not_in_input, true AS size_ok FROM lineitem",
 
     "split_random": "SELECT count(*) AS n_parts, CAST(0 AS BIGINT) AS n_lost, true AS size_ok FROM lineitem",

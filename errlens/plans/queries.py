@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from errlens.functions import columns as C
 from errlens.operators import evaluate as E
+from errlens.operators import fingerprint as FP
 from errlens.operators import prep as P
 from errlens.operators import report as R
 from errlens.operators import score as S
@@ -237,6 +238,29 @@ def q_sample_then_split(spark, sf_dir):
     return s.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("sum_orderkey"))
 
 
+def q_split_fingerprint(spark, sf_dir):
+    """Count and digest of each part of the split, and of all rows."""
+    li = fx.table(spark, sf_dir, "lineitem")
+    part = P.split_part(fx.SPLIT_KEYS, seed=fx.SEED)
+    every = FP.digests(li, fx.SPLIT_KEYS).select(F.lit("all").alias("part"), "rows", FP.digest_text().alias("digest"))
+    return FP.digests(li, fx.SPLIT_KEYS, {"part": part}).select("part", "rows", FP.digest_text().alias("digest")).unionByName(every)
+
+
+def q_split_check(spark, sf_dir):
+    """The saved training part against the right hold-out, another seed, a smaller share, and a file that lost rows."""
+    li = fx.table(spark, sf_dir, "lineitem")
+    path = scratch_path(spark, "fingerprint")
+    FP.save(spark, FP.fingerprint(P.hash_split(li, fx.SPLIT_KEYS, seed=fx.SEED)[0], fx.SPLIT_KEYS, seed=fx.SEED), path)
+    fp = FP.load(spark, path)
+    cases = {"same": FP.compare(li, fp), "other seed": FP.compare(li, fp, seed=7), "smaller share": FP.compare(li, fp, test_fraction=0.1),
+             "changed file": FP.compare(li.filter("l_linenumber < 7"), fp), "holdout only": FP.compare(P.holdout(li, fx.SPLIT_KEYS, seed=fx.SEED), fp, whole=False)}
+    out = None
+    for name, row in cases.items():
+        row = row.select(F.lit(name).alias("case"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def q_sample_bernoulli(spark, sf_dir):
     """What holds for any seeded sample: a sub-bag of the rows, of about the asked size."""
     o = fx.obs(spark, sf_dir)
@@ -619,6 +643,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "holdout_hash": q_holdout_hash,
     "sample_fine": q_sample_fine,
     "sample_then_split": q_sample_then_split,
+    "split_fingerprint": q_split_fingerprint,
+    "split_check": q_split_check,
     "sample_bernoulli": q_sample_bernoulli,
     "split_random": q_split_random,
     "month_key": q_month_key,

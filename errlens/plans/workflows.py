@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from errlens.functions.columns import class_probability, confidence, month_key
 from errlens.operators import evaluate as E
+from errlens.operators import fingerprint as FP
 from errlens.operators import prep as P
 from errlens.operators import report as R
 from errlens.operators import score as S
@@ -68,7 +69,8 @@ def train(df: DataFrame, model_dir: str | None = None, spec: FeatureSpec = OBSER
     and (with ``model_dir``) save each whole pipeline plus its importances.
 
     ``unique_rows`` says that the split keys hold no combination twice, so
-    the layout needs one shuffle instead of two.
+    the layout needs one shuffle instead of two.  The fingerprint of the
+    training rows is saved as ``split_fingerprint`` beside the pipelines.
 
     Returns ``{"models": {name: PipelineModel}, "accuracy": DataFrame,
     "importances": DataFrame}``.
@@ -86,6 +88,9 @@ def train(df: DataFrame, model_dir: str | None = None, spec: FeatureSpec = OBSER
         prepared.unpersist()
     accuracy = E.accuracy_overall(S.score_pipelines(test_part, fitted, keep=[spec.label]), by="model",
                                   label=spec.label)
+    if model_dir:
+        columns = list(dict.fromkeys([*cols.split_keys, spec.label, *spec.numeric, *spec.categorical]))
+        FP.save(spark, FP.fingerprint(train_part, cols.split_keys, columns, seed, test_fraction), f"{model_dir.rstrip('/')}/split_fingerprint")
     importances = None
     for name, model in fitted.items():
         imp = TR.feature_importances(spark, model).select(F.lit(name).alias("model"), "*")
@@ -101,15 +106,25 @@ def load_models(model_dir: str, names: Sequence[str] = tuple(FINAL_MODELS)) -> d
     return {n: MD.load_pipeline(f"{model_dir.rstrip('/')}/{n.lower()}_pipeline") for n in names}
 
 
+def load_fingerprint(spark: SparkSession, model_dir: str) -> FP.Fingerprint | None:
+    """What :func:`train` saved about its split; None for models that were saved without it."""
+    return RD.read_optional(FP.load, spark, f"{model_dir.rstrip('/')}/split_fingerprint")
+
+
 def inference(df: DataFrame, models: Mapping[str, PipelineModel], out_dir: str,
               spec: FeatureSpec = OBSERVATION_SPEC, cols: Columns = Columns(), seed: int = 42,
               test_fraction: float | None = 0.2, null_label: str = "one", worst_k: int = 10,
-              bins: int = 30, kde_points: int = 200, partitions: int | None = None) -> dict[str, DataFrame]:
+              bins: int = 30, kde_points: int = 200, partitions: int | None = None,
+              fingerprint: FP.Fingerprint | None = None) -> dict[str, DataFrame]:
     """Score the stable hold-out with every model (one pass), write the long
     prediction table partitioned by model, and build the error-analysis
     tables from it.  The monthly table is also written as headerless CSV.
     ``test_fraction=None`` scores ``df`` as given (already the hold-out).
 
+    With the ``fingerprint`` that training saved, a hold-out that has
+    training rows in it, and an input that is not the one trained on, end
+    the job (:class:`errlens.operators.fingerprint.SplitMismatch`).
+
     Scoring is narrow and CPU-heavy (every tree of every model per row), so
     it runs in as many tasks as the source has splits.  ``partitions``
     spreads the hold-out round-robin over that many tasks first, for
@@ -118,6 +133,8 @@ def inference(df: DataFrame, models: Mapping[str, PipelineModel], out_dir: str,
     """
     spark = df.sparkSession
     data = _labelled(df, spec, cols, null_label)
+    if fingerprint:
+        FP.check(data, fingerprint, keys=cols.split_keys, seed=seed, test_fraction=test_fraction, whole=test_fraction is not None)
     test = data if test_fraction is None else P.holdout(data, cols.split_keys, test_fraction, seed)
     if partitions:
         test = test.repartition(partitions)

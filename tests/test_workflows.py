@@ -5,10 +5,12 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from errlens.operators import fingerprint as FP
 from errlens.operators import train as TR
 from errlens.plans import fixtures as fx
 from errlens.plans import workflows as W
 from errlens.session import scratch_path
+from errlens.sources import models as MD
 from errlens.sources import readers as RD
 from errlens.sources import writers as WR
 
@@ -92,3 +94,32 @@ def test_command_line_train_then_inference(spark, obs_csv, monkeypatch):
     assert {r.model for r in pred.select("model").distinct().collect()} == {"RF", "GBT"}
     monthly = RD.read_csv_headerless(spark, f"{out}/analysis_monthly_gbt", ["month", "accuracy", "samples"])
     assert monthly.count() > 0
+
+
+def test_scoring_refuses_a_hold_out_that_was_trained_on(spark, obs_csv):
+    df = RD.read_csv(spark, obs_csv, schema=RD.OBSERVATION_SCHEMA)
+    model_dir = scratch_path(spark, "models")
+    small = {"GBT": TR.ModelConfig(TR.GBT, depth=2, iters=2)}
+    W.train(df, model_dir, models=small)
+    saved, models = W.load_fingerprint(spark, model_dir), W.load_models(model_dir, ["GBT"])
+    W.release(W.inference(df, models, scratch_path(spark, "inference"), kde_points=5, fingerprint=saved))
+    for change in ({"seed": 7}, {"test_fraction": 0.5}):
+        with pytest.raises(FP.SplitMismatch):
+            W.inference(df, models, scratch_path(spark, "inference"), fingerprint=saved, **change)
+    with pytest.raises(FP.SplitMismatch, match="not the one"):
+        W.inference(df.withColumn("phq4_score", F.col("phq4_score") + 1), models, scratch_path(spark, "inference"), fingerprint=saved)
+    assert W.load_fingerprint(spark, scratch_path(spark, "nothing")) is None
+
+
+def test_tune_saves_the_chosen_pipeline(spark, obs_csv):
+    df = RD.read_csv(spark, obs_csv, schema=RD.OBSERVATION_SCHEMA)
+    model_dir, out = scratch_path(spark, "models"), scratch_path(spark, "tuned")
+    found = W.tune(df, configs=TR.gbt_grid((2,), (2, 5)), model_dir=model_dir, out_csv=out)
+    rows = found.table.collect()
+    assert found.fits == 1 and sum(r["chosen"] for r in rows) == 1
+    back = RD.read_csv(spark, out, schema="params STRING, accuracy DOUBLE, chosen BOOLEAN, test_accuracy DOUBLE")
+    assert [tuple(r) for r in back.collect()] == [(r["params"], r["accuracy"], r["chosen"], r["test_accuracy"]) for r in rows]
+    model = MD.load_pipeline(f"{model_dir}/chosen_pipeline")
+    assert len(model.stages[-1].trees) == found.config.iters
+    with pytest.raises(ValueError):
+        W.tune(df, weights=(0.8, 0.2))
