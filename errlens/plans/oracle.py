@@ -356,6 +356,16 @@ SELECT t.race AS value, coalesce(index, (SELECT CAST(count(*) AS DOUBLE) FROM fi
 FROM (SELECT CASE WHEN f4 > 0 THEN race END AS race FROM obs WHERE bucket >= 8000) t LEFT JOIN fitted USING (race)
 GROUP BY ALL""".replace("\n,\nfitted", ",\nfitted"),
 
+    "string_index_large": f"""WITH li AS (
+  SELECT l_partkey, l_returnflag, l_tax, {_hash("'42'")} % 10000 AS bucket FROM lineitem),
+train AS (SELECT * FROM li WHERE bucket < 8000 AND l_partkey % 10 <> 3),
+p AS (SELECT l_partkey, row_number() OVER (ORDER BY count(*) DESC, l_partkey::varchar) - 1 AS i FROM train GROUP BY l_partkey),
+m AS (SELECT l_returnflag, row_number() OVER (ORDER BY count(*) DESC, l_returnflag) - 1 AS i FROM train GROUP BY l_returnflag)
+SELECT r.part, CAST(coalesce(p.i, (SELECT count(*) FROM p)) AS DOUBLE) AS part_index,
+       CAST(coalesce(m.i, (SELECT count(*) FROM m)) AS DOUBLE) AS mode_index, count(*) AS n
+FROM (SELECT CASE WHEN l_tax > 0 THEN l_partkey END AS part, l_returnflag FROM li WHERE bucket >= 8000) r
+LEFT JOIN p ON p.l_partkey = r.part LEFT JOIN m ON m.l_returnflag = r.l_returnflag GROUP BY ALL""",
+
     "assemble_features": _w(OBS) + "SELECT uid, day, f1 AS v0, f2 AS v1, f3 AS v2, f4 AS v3, f5 AS v4 FROM obs",
 
     "assemble_skip": _w(OBS) + "SELECT count(*) AS n, sum(f1) AS sum_v0 FROM obs WHERE f4 <> 0",

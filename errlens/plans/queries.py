@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from errlens.functions import columns as C
 from errlens.operators import evaluate as E
 from errlens.operators import fingerprint as FP
+from errlens.operators import indexing as IX
 from errlens.operators import prep as P
 from errlens.operators import report as R
 from errlens.operators import score as S
@@ -432,6 +433,17 @@ def q_string_index(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def q_string_index_large(spark, sf_dir):
+    """Index of a column with many labels as a table, fitted on training rows, applied to the others."""
+    li = fx.table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag", "l_tax", fx.stable_bucket(fx.SPLIT_KEYS, fx.SEED).alias("bucket"))
+    train = li.filter((F.col("bucket") < fx.TEST_FROM) & (F.col("l_partkey") % 10 != 3))
+    rest = li.filter(F.col("bucket") >= fx.TEST_FROM).withColumn("l_partkey", F.when(F.col("l_tax") > 0, F.col("l_partkey")))
+    index = IX.fit_index(train, ["l_partkey", "l_returnflag"])
+    done = IX.apply_index(IX.apply_index(rest, index, "l_partkey"), index, "l_returnflag")
+    return (done.groupBy(F.col("l_partkey").alias("part"), F.col("l_partkey_index").alias("part_index"), F.col("l_returnflag_index").alias("mode_index"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def _vector(df: DataFrame, spec: FeatureSpec, col: str) -> DataFrame:
     return fit_features(df, spec).transform(df).withColumn("arr", vector_to_array(col))
 
@@ -673,6 +685,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "union_predictions": q_union_predictions,
     "model_comparison": q_model_comparison,
     "string_index": q_string_index,
+    "string_index_large": q_string_index_large,
     "assemble_features": q_assemble_features,
     "assemble_skip": q_assemble_skip,
     "standard_scale": q_standard_scale,
