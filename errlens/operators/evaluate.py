@@ -3,10 +3,12 @@
 All aggregations are hash aggregates with a map-side partial step, so a hot
 group (one user holding a third of the rows) is pre-reduced in every task
 before the shuffle and never lands whole in one task.  Where a second step
-needs per-group statistics (histogram range, KDE bandwidth), rows are first
-reduced to (group, value, count) and meet the statistics, one row per
-group, in a null-safe join on a salted key, so neither unreduced rows nor a
-hot group's values gather in one task.
+needs per-group statistics (histogram range, KDE bandwidth), the statistics
+come first.  Of at most ``FEW_GROUPS`` groups they are broadcast to the scan,
+which counts bins or sums moments in place, so no value moves.  With more
+groups, and for the exact density, rows are reduced to (group, value, count)
+and meet the statistics in a null-safe join on a salted key, so neither
+unreduced rows nor a hot group's values gather in one task.
 """
 
 from __future__ import annotations
@@ -19,9 +21,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from errlens.functions.columns import correct
+from errlens.session import scratch_path
 
 # Keys into which the distinct values of one group are dealt for a join.
 SALTS = 32
+# Groups whose statistics (one row each) may be broadcast.
+FEW_GROUPS = 4096
+# Half the width of a moment cell, in bandwidths.
+HALF_CELL = 0.5
 # Grid points of a density that one row of sums holds.
 LANE = 20
 
@@ -257,6 +264,29 @@ def _attach(data: DataFrame, stats: DataFrame, by: list[str], cols: list[str]) -
         F.col(cols[0]).isNotNull())
 
 
+def _values(df: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """``(*by, _x)`` of the rows that have a value."""
+    x = F.col(value).cast("double")
+    return df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+
+
+def _held(stats: DataFrame) -> tuple[DataFrame, bool]:
+    """Statistics of groups, written once, and whether their groups are few."""
+    path = scratch_path(stats.sparkSession, "group-statistics")
+    stats.write.parquet(path)
+    back = stats.sparkSession.read.schema(stats.schema).parquet(path)
+    return back, back.count() <= FEW_GROUPS
+
+
+def _in_place(rows: DataFrame, stats: DataFrame, by: list[str], cols: list[str]) -> DataFrame:
+    """Rows with the statistics of their group (few groups), without moving a row."""
+    if not by:
+        return _attach(rows, stats, by, cols)
+    d, t = rows.alias("d"), F.broadcast(stats).alias("t")
+    on = [F.col(f"d.{k}").eqNullSafe(F.col(f"t.{k}")) for k in by]
+    return d.join(t, _all(on)).select("d.*", *[F.col(f"t.{c}") for c in cols])
+
+
 def _edge(lo: Column, hi: Column, i: Column, bins: int) -> Column:
     # numpy.linspace: lo + i * ((hi - lo) / bins), with the last edge = hi exactly
     return F.when(i >= F.lit(bins), hi).otherwise(lo + i.cast("double") * ((hi - lo) / F.lit(float(bins))))
@@ -268,17 +298,22 @@ def histogram(df: DataFrame, value: str, bins: int = 30, by: Sequence[str] | str
     ``[v - 0.5, v + 0.5]``.  All ``bins`` bins are returned, empty ones with 0.
 
     Output ``(*by, bin, bin_lo, bin_hi, n)``; a null group key is a group.
-    Rows are reduced to distinct values first; range and counts come from
-    those.
+    The ranges come first, then the bins are counted in the scan and only
+    the counters move.  With more than ``FEW_GROUPS`` groups rows are reduced
+    to distinct values, which move.
     """
     by = _cols(by)
-    data = _reduced(df, value, by)
-    raw = data.groupBy(*by).agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
+    rows = _values(df, value, by)
+    raw = rows.groupBy(*by).agg(F.min("_x").alias("_mn"), F.max("_x").alias("_mx"))
     stats = raw.select(*by,
                        F.when(F.col("_mn") == F.col("_mx"), F.col("_mn") - 0.5).otherwise(F.col("_mn")).alias("_lo"),
                        F.when(F.col("_mn") == F.col("_mx"), F.col("_mx") + 0.5).otherwise(F.col("_mx")).alias("_hi"))
+    stats, few = _held(stats) if by else (stats, True)
     lo, hi = F.col("_lo"), F.col("_hi")
-    joined = _attach(data, stats, by, ["_lo", "_hi"])
+    if few:
+        joined = _in_place(rows, stats, by, ["_lo", "_hi"]).withColumn("_w", F.lit(1))
+    else:
+        joined = _attach(_reduced(df, value, by), stats, by, ["_lo", "_hi"])
     # First guess as numpy: (x - lo) * (bins / (hi - lo)), then correct by the edges.
     guess = F.least(F.floor((F.col("_x") - lo) * (F.lit(float(bins)) / (hi - lo))).cast("int"), F.lit(bins - 1))
     binned = joined.select(*by, "_x", "_w", "_lo", "_hi", guess.alias("_i0"))
@@ -301,9 +336,57 @@ def histogram(df: DataFrame, value: str, bins: int = 30, by: Sequence[str] | str
                     F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
+def hermite_order(tolerance: float) -> int:
+    """Terms of the expansion of a kernel about the middle of its cell that keep its error below ``tolerance``.
+
+    For u within the half cell a, ``exp(-(t-u)²/2)`` is the sum over k of
+    ``He_k(t)·exp(-t²/2)·u^k / k!``; Cramér's inequality bounds the first
+    factor by ``1.0865·sqrt(k!)``, so the terms from k on add up to at most
+    ``1.0865·sum(a^k / sqrt(k!))``.
+    """
+    if not 1e-14 <= tolerance < 1:
+        raise ValueError("tolerance must lie between 1e-14, where rounding begins, and 1")
+    terms = [1.0865 * HALF_CELL ** k / math.sqrt(math.factorial(k)) for k in range(60)]
+    return next(p for p in range(1, 60) if sum(terms[p:]) <= tolerance)
+
+
+def _hermite(order: int) -> list[list[float]]:
+    """Coefficients of He_0 to He_(order-1), lowest power first."""
+    polys = [[1.0], [0.0, 1.0]]
+    for k in range(1, order - 1):
+        up, down = [0.0, *polys[k]], [*polys[k - 1], 0.0, 0.0]
+        polys.append([u - k * d for u, d in zip(up, down)])
+    return polys[:order]
+
+
+def _moments(rows: DataFrame, by: list[str], stats: list[str], order: int) -> DataFrame:
+    """``(*by, *stats, _x, _c0 …)``: middle of each cell and the polynomial that its values' kernels add up to."""
+    h = F.col("_h")
+    width = F.lit(2 * HALF_CELL) * h
+    cell = F.floor(F.col("_x") / width)
+    middle = (cell.cast("double") + F.lit(0.5)) * width
+    u = (F.col("_x") - middle) / h
+    cut = rows.select(*by, *stats, "_w", cell.alias("_cell"), u.alias("_u"))
+    power, sums = F.col("_w").cast("double"), []
+    for k in range(order):
+        sums.append(F.sum(power / F.lit(float(math.factorial(k)))).alias(f"_m{k}"))
+        power = power * F.col("_u")
+    cells = cut.groupBy(*by, *stats, "_cell").agg(*sums)
+    polys = _hermite(order)
+    coefficients = []
+    for j in range(order):
+        c = F.lit(0.0)
+        for k in range(j, order):
+            if polys[k][j]:
+                c = c + F.lit(polys[k][j]) * F.col(f"_m{k}")
+        coefficients.append(c.alias(f"_c{j}"))
+    return cells.select(*by, *stats, ((F.col("_cell").cast("double") + F.lit(0.5)) * width).alias("_x"), *coefficients)
+
+
 def kde(df: DataFrame, value: str, by: Sequence[str] | str | None = None, grid_size: int = 200,
-        cut: float = 3.0, decimals: int | None = None, counts_bins: int | None = None) -> DataFrame:
-    """Gaussian kernel density per group on an evenly spaced grid, exact.
+        cut: float = 3.0, decimals: int | None = None, counts_bins: int | None = None,
+        tolerance: float | None = None) -> DataFrame:
+    """Gaussian kernel density per group on an evenly spaced grid, exact unless a ``tolerance`` is given.
 
     Bandwidth by Scott's rule, ``h = stddev_samp · n^(-1/5)``; the grid runs
     from ``min - cut·h`` to ``max + cut·h`` in ``grid_size`` points (the
@@ -318,11 +401,19 @@ def kde(df: DataFrame, value: str, by: Sequence[str] | str | None = None, grid_s
     counts of a histogram with that many bins (the overlay of a histogram,
     together with ``cut=0``).
 
+    With ``tolerance`` the density differs from the exact one by at most that
+    share of ``1 / (h·sqrt(2·pi))``, the height of one kernel and the most a
+    density can be.  The values of a cell one bandwidth wide are then summed
+    up as moments in the scan, and the kernels of the cell's values are read
+    off a Hermite expansion about its middle, so ``groups × cells × order``
+    numbers move instead of the values.  The order follows from the
+    tolerance (:func:`hermite_order`).
+
     Output ``(*by, point, x, density)``.
     """
     by = _cols(by)
-    x = F.col(value).cast("double")
-    rows = df.select(*by, x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    order = None if tolerance is None else hermite_order(tolerance)
+    rows = _values(df, value, by)
     # spread straight from the rows: stddev_samp merges partial moments
     # stably (no sum-of-squares cancellation)
     sd = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"),
@@ -334,7 +425,12 @@ def kde(df: DataFrame, value: str, by: Sequence[str] | str | None = None, grid_s
                   (F.col("_mn") - F.lit(cut) * F.col("_h")).alias("_lo"),
                   (F.col("_mx") + F.lit(cut) * F.col("_h")).alias("_hi")))
     stats = ["_n", "_h", "_scale", "_lo", "_hi"]
-    joined = _attach(_reduced(df, value, by), bw, by, stats)
+    if order is None:
+        joined = _attach(_reduced(df, value, by), bw, by, stats)
+    else:
+        bw, few = _held(bw) if by else (bw, True)
+        placed = _in_place(rows, bw, by, stats).withColumn("_w", F.lit(1)) if few else _attach(_reduced(df, value, by), bw, by, stats)
+        joined = _moments(placed, by, stats, order)
     # a lane holds LANE neighbouring grid points: few enough sums for
     # generated code, and each value is repeated once per lane, not per point
     lanes = -(-grid_size // LANE)
@@ -347,7 +443,14 @@ def kde(df: DataFrame, value: str, by: Sequence[str] | str | None = None, grid_s
 
     def kernel(j: int) -> Column:
         z = (at(j) - F.col("_x")) / F.col("_h")
-        return F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z)).alias(f"_k{j}")
+        peak = F.exp(F.lit(-0.5) * z * z)
+        if order is None:
+            return F.sum(F.col("_w") * peak).alias(f"_k{j}")
+        poly = F.col(f"_c{order - 1}")
+        for k in range(order - 2, -1, -1):
+            poly = poly * z + F.col(f"_c{k}")
+        # beyond 38 bandwidths a kernel is below the smallest double
+        return F.sum(F.when(F.abs(z) < 38, poly * peak).otherwise(F.lit(0.0))).alias(f"_k{j}")
 
     repeated = joined.withColumn("_lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
     sums = repeated.groupBy(*by, *stats, "_lane").agg(*[kernel(j) for j in range(LANE)])

@@ -330,6 +330,22 @@ FROM g LEFT JOIN c ON g.gender IS NOT DISTINCT FROM c.gender AND g.bin = c.bin""
 
     "kde_by_group": _w(OBS) + _kde("SELECT CASE WHEN f4 > 0 THEN gender END AS k, f1 / 51 AS x FROM obs", "k AS gender, ", 3, "1", 6),
 
+    "kde_tolerance": _w(OBS) + _kde("SELECT CASE WHEN f4 > 0 THEN race END AS k, f2 / 1000 AS x FROM obs", "k AS race, ", 3, "1", 7),
+
+    "histogram_distinct": _w(OBS) + f""",
+v AS (SELECT CASE WHEN f4 > 0 THEN race END AS race, f2 / 1000 AS x FROM obs),
+s AS (SELECT race, min(x) AS lo, max(x) AS hi FROM v GROUP BY race),
+b0 AS (SELECT v.race, x, lo, hi,
+              least(CAST(floor((x - lo) * (CAST({HIST_BINS} AS DOUBLE) / (hi - lo))) AS INT), {HIST_BINS - 1}) AS i0
+       FROM v JOIN s ON v.race IS NOT DISTINCT FROM s.race),
+b AS (SELECT race, i0 - CASE WHEN x < {_hist_edge('i0')} THEN 1 ELSE 0 END
+             + CASE WHEN x >= {_hist_edge('(i0 + 1)')} AND i0 <> {HIST_BINS - 1} THEN 1 ELSE 0 END AS bin
+      FROM b0),
+c AS (SELECT race, bin, count(*) AS n FROM b GROUP BY ALL),
+g AS (SELECT race, CAST(range AS INT) AS bin, lo, hi FROM s, range(0, {HIST_BINS}))
+SELECT g.race, g.bin, round({_hist_edge('g.bin')}, 9) AS bin_lo, coalesce(c.n, 0) AS n
+FROM g LEFT JOIN c ON g.race IS NOT DISTINCT FROM c.race AND g.bin = c.bin""".replace("\n,\nv AS", ",\nv AS"),
+
     "confidence_overlay": _w(OBS, SCORED_ALL) + _kde("SELECT 0 AS k, greatest(1 - p1, p1) AS x FROM scored", "", 0, "(mx - mn) * n / 30", 4),
 
     "worst_users_top10": _w(OBS, SCORED) + """

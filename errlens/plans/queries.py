@@ -392,6 +392,21 @@ def q_kde_by_group(spark, sf_dir):
     return E.kde(_nullable_groups(spark, sf_dir), "p1", by="gender", grid_size=21, decimals=6)
 
 
+def _priced(spark, sf_dir):
+    """A value that is nearly all distinct, by a key that is null for some."""
+    return fx.obs(spark, sf_dir).select(F.when(F.col("f4") > 0, F.col("race")).alias("race"), (F.col("f2") / 1000).alias("price"))
+
+
+def q_kde_tolerance(spark, sf_dir):
+    """Densities by moments, next to which SQL has the exact ones."""
+    return E.kde(_priced(spark, sf_dir), "price", by="race", grid_size=21, decimals=7, tolerance=1e-12)
+
+
+def q_histogram_distinct(spark, sf_dir):
+    """A histogram of nearly all distinct values by group, of which only the counters move."""
+    return E.histogram(_priced(spark, sf_dir), "price", bins=30, by="race").select("race", "bin", F.round("bin_lo", 9).alias("bin_lo"), "n")
+
+
 def q_confidence_overlay(spark, sf_dir):
     """The curve over the confidence histogram: density within the range, scaled to counts."""
     s = fx.scored_vector(spark, sf_dir, holdout=False).select(C.confidence("probability").alias("confidence"))
@@ -679,6 +694,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "probability_kde": q_probability_kde,
     "histogram_by_group": q_histogram_by_group,
     "kde_by_group": q_kde_by_group,
+    "kde_tolerance": q_kde_tolerance,
+    "histogram_distinct": q_histogram_distinct,
     "confidence_overlay": q_confidence_overlay,
     "worst_users_top10": q_worst_users_top10,
     "worst_users_report": q_worst_users_report,

@@ -115,7 +115,7 @@ def inference(df: DataFrame, models: Mapping[str, PipelineModel], out_dir: str,
               spec: FeatureSpec = OBSERVATION_SPEC, cols: Columns = Columns(), seed: int = 42,
               test_fraction: float | None = 0.2, null_label: str = "one", worst_k: int = 10,
               bins: int = 30, kde_points: int = 200, partitions: int | None = None,
-              fingerprint: FP.Fingerprint | None = None) -> dict[str, DataFrame]:
+              fingerprint: FP.Fingerprint | None = None, kde_tolerance: float | None = None) -> dict[str, DataFrame]:
     """Score the stable hold-out with every model (one pass), write the long
     prediction table partitioned by model, and build the error-analysis
     tables from it.  The monthly table is also written as headerless CSV.
@@ -124,6 +124,7 @@ def inference(df: DataFrame, models: Mapping[str, PipelineModel], out_dir: str,
     With the ``fingerprint`` that training saved, a hold-out that has
     training rows in it, and an input that is not the one trained on, end
     the job (:class:`errlens.operators.fingerprint.SplitMismatch`).
+    ``kde_tolerance`` allows the densities that error (:func:`errlens.operators.evaluate.kde`).
 
     Scoring is narrow and CPU-heavy (every tree of every model per row), so
     it runs in as many tasks as the source has splits.  ``partitions``
@@ -170,9 +171,9 @@ def inference(df: DataFrame, models: Mapping[str, PipelineModel], out_dir: str,
         "confidence_histogram": E.histogram(pred.select("model", confidence("probability").alias("confidence")),
                                             "confidence", bins=bins, by="model"),
         "confidence_overlay": E.kde(pred.select("model", confidence("probability").alias("confidence")),
-                                    "confidence", by="model", grid_size=kde_points, cut=0.0, counts_bins=bins),
+                                    "confidence", by="model", grid_size=kde_points, cut=0.0, counts_bins=bins, tolerance=kde_tolerance),
         "class1_density": E.kde(pred.select("model", class_probability("probability", 1).alias("p1")),
-                                "p1", by="model", grid_size=kde_points),
+                                "p1", by="model", grid_size=kde_points, tolerance=kde_tolerance),
     }
     tables["comparison"] = R.model_comparison(tables["accuracy"])
     for name in models:

@@ -214,3 +214,64 @@ def test_no_unreduced_rows_are_shuffled_by_the_group(spark, make):
     for k, line in enumerate(lines):
         if "Exchange hashpartitioning" in line:
             assert any("HashAggregate" in x or "Aggregate" in x for x in lines[k + 1:k + 8]), line
+
+
+def _wide(spark, n=4000):
+    """Nearly all distinct values in groups of very different spread, one group null, far outliers."""
+    x = F.rand(7) * F.when(F.col("id") % 3 == 0, 1e6).when(F.col("id") % 3 == 1, 1e-4).otherwise(1.0)
+    return spark.range(n).select(F.when(F.col("id") % 3 < 2, (F.col("id") % 3).cast("string")).alias("g"),
+                                 F.when(F.col("id") == 5, 1e9).when(F.col("id") == 7, float("nan")).otherwise(x).alias("v")).cache()
+
+
+@pytest.mark.parametrize("tolerance", [1e-2, 1e-5, 1e-9, 1e-13])
+@pytest.mark.parametrize("by", [None, "g"])
+def test_kde_keeps_its_tolerance(spark, tolerance, by):
+    df = _wide(spark)
+    exact = {(r["g"] if by else 0, r["point"]): r for r in E.kde(df, "v", by=by, grid_size=37).collect()}
+    loose = {(r["g"] if by else 0, r["point"]): r for r in E.kde(df, "v", by=by, grid_size=37, tolerance=tolerance).collect()}
+    assert exact.keys() == loose.keys() and len(exact) == (111 if by else 37)
+    rows = df.filter("v IS NOT NULL AND NOT isnan(v)").groupBy(*([by] if by else [])).agg(
+        F.count(F.lit(1)).alias("n"), F.stddev_samp("v").alias("sd")).collect()
+    height = {(r["g"] if by else 0): 1 / (r["sd"] * r["n"] ** -0.2 * math.sqrt(2 * math.pi)) for r in rows}
+    errors = [abs(loose[k]["density"] - exact[k]["density"]) / height[k[0]] for k in exact]
+    assert max(errors) <= tolerance + 1e-14
+    if tolerance > 1e-3:
+        assert max(errors) > 0
+    assert all(loose[k]["x"] == exact[k]["x"] for k in exact)
+
+
+def test_kde_order_follows_the_tolerance():
+    orders = [E.hermite_order(t) for t in (0.5, 1e-2, 1e-4, 1e-8, 1e-14)]
+    assert orders == sorted(orders) and orders[-1] < 25
+    for bad in (0, 1e-15, 1.0):
+        with pytest.raises(ValueError):
+            E.hermite_order(bad)
+    # He_4 = x^4 - 6 x^2 + 3
+    assert E._hermite(5)[4] == [3.0, 0.0, -6.0, 0.0, 1.0]
+
+
+def _below_first_aggregate(plan):
+    """Columns of the exchanges of a plan."""
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+
+
+@pytest.mark.parametrize("make", [lambda d: E.histogram(d, "v", 10, by="g"), lambda d: E.kde(d, "v", by="g", grid_size=9, tolerance=1e-4),
+                                  lambda d: E.histogram(d, "v", 10), lambda d: E.kde(d, "v", grid_size=9, tolerance=1e-4)])
+def test_no_value_is_shuffled(spark, make):
+    out = make(_wide(spark))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any("_x" in line.split("ENSURE")[0] for line in _below_first_aggregate(plan))
+    assert "SortMergeJoin" not in plan or "_x" not in plan.split("SortMergeJoin")[1].split("]")[0]
+    out.collect()
+    moved = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_x" not in moved
+
+
+def test_many_groups_take_the_reduced_way(spark, monkeypatch):
+    df = _wide(spark)
+    want = [sorted(map(str, f(df).collect())) for f in (lambda d: E.histogram(d, "v", 10, by="g"),
+                                                        lambda d: E.kde(d, "v", by="g", grid_size=9, tolerance=1e-9, decimals=9))]
+    monkeypatch.setattr(E, "FEW_GROUPS", 1)
+    got = [sorted(map(str, f(df).collect())) for f in (lambda d: E.histogram(d, "v", 10, by="g"),
+                                                       lambda d: E.kde(d, "v", by="g", grid_size=9, tolerance=1e-9, decimals=9))]
+    assert got == want
