@@ -241,6 +241,13 @@ SELECT CASE WHEN grouping(month) = 0 THEN 'month' WHEN grouping(uid) = 0 THEN 'u
 FROM (SELECT *, substr(cast(day AS varchar), 1, 6) AS month FROM scored)
 GROUP BY GROUPING SETS ((month), (uid), (race), ())""",
 
+    "state_accuracy": _w(OBS, SCORED_TWO) + """
+SELECT model, CASE WHEN grouping(month) = 0 THEN 'month' WHEN grouping(race) = 0 THEN 'race' ELSE 'all' END AS dim,
+       CASE WHEN grouping(month) = 0 THEN month WHEN grouping(race) = 0 THEN race END AS value,
+       avg(CAST(label = prediction AS INT)) AS accuracy, count(*) AS samples
+FROM (SELECT *, substr(cast(day AS varchar), 1, 6) AS month FROM scored_two)
+GROUP BY GROUPING SETS ((model, month), (model, race), (model))""",
+
     "row_counts": _w(OBS) + """
 SELECT count(*) AS total_rows, count(*) FILTER (WHERE bucket >= 8000) AS test_rows,
        count(*) FILTER (WHERE bucket < 8000) AS train_rows FROM obs""",
@@ -481,3 +488,5 @@ FROM {_GRID_ROWS}""",
 SELECT model, CAST(trees AS INT) AS trees, CAST(depth AS INT) AS depth, CAST(iters AS INT) AS iters,
        {_PERFECT_ACC} AS accuracy_local, {_PERFECT_ACC} AS accuracy_cluster FROM {_GRID_ROWS}""",
 }
+
+ORACLE["state_confusion"] = ORACLE["confusion_matrix"]

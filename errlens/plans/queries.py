@@ -28,6 +28,7 @@ from errlens.operators import prep as P
 from errlens.operators import report as R
 from errlens.operators import score as S
 from errlens.operators import staged as SG
+from errlens.operators import state as ST
 from errlens.operators import train as TR
 from errlens.operators.features import FeatureSpec, fit_features
 from errlens.plans import fixtures as fx
@@ -318,6 +319,24 @@ def q_accuracy_grouping_sets(spark, sf_dir):
     return E.accuracy_grouping_sets(_with_month(fx.scored(spark, sf_dir)), ["month", "uid", "race"])
 
 
+def _kept_state(spark, sf_dir) -> DataFrame:
+    """Predictions applied in four parts, out of order, one twice, one with wrong predictions first."""
+    rows = _with_month(fx.scored_two(spark, sf_dir)).withColumn("file", F.pmod(F.col("day"), F.lit(4)).cast("string"))
+    path, dims = scratch_path(spark, "state"), ["model", "month", "race"]
+    wrong = rows.withColumn("prediction", 1 - F.col("prediction"))
+    for part in (rows.filter("file = 2"), wrong.filter("file = 3"), rows.filter("file IN (0, 2)"), rows.filter("file = 1"), rows.filter("file = 3")):
+        state = ST.update(part, path, dims, "file")
+    return ST.fold(spark, path, F.col(ST.SOURCE).isin("0", "1"), "before")
+
+
+def q_state_accuracy(spark, sf_dir):
+    return ST.accuracy_tables(_kept_state(spark, sf_dir), ["month", "race"], by="model")
+
+
+def q_state_confusion(spark, sf_dir):
+    return ST.confusion(_kept_state(spark, sf_dir), by="model")
+
+
 def q_row_counts(spark, sf_dir):
     return E.row_counts(fx.obs(spark, sf_dir), "bucket", fx.TEST_FROM)
 
@@ -681,6 +700,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "accuracy_by_category": q_accuracy_by_category,
     "accuracy_overall": q_accuracy_overall,
     "accuracy_grouping_sets": q_accuracy_grouping_sets,
+    "state_accuracy": q_state_accuracy,
+    "state_confusion": q_state_confusion,
     "row_counts": q_row_counts,
     "confusion_matrix": q_confusion_matrix,
     "confusion_pivot": q_confusion_pivot,

@@ -39,6 +39,10 @@ class DamagedTable(RuntimeError):
     """The files of a published attempt are not those that its manifest names."""
 
 
+class StaleTable(RuntimeError):
+    """Another version was published since the one that a new version was made from."""
+
+
 @dataclass(frozen=True)
 class Version:
     """A published state of a table."""
@@ -114,9 +118,13 @@ def resolve(spark: SparkSession, path: str) -> str:
     return folder
 
 
-def replace(spark: SparkSession, path: str, write: Callable[[str], None], grace_s: float = GRACE_S) -> Version:
+def replace(spark: SparkSession, path: str, write: Callable[[str], None], grace_s: float = GRACE_S,
+            after: int | None = None) -> Version:
     """Call ``write`` with a new folder and publish what it wrote as the table ``path``.
 
+    ``after`` is the version that the new one was made from (0: none); if
+    another one was published since, this one is not (:class:`StaleTable`).
+
     Versions that were replaced longer ago than ``grace_s`` are removed,
     but for the last one before.
     """
@@ -126,7 +134,7 @@ def replace(spark: SparkSession, path: str, write: Callable[[str], None], grace_
     try:
         write(folder)
         files, size = _size(spark, folder)
-        done = _publish(spark, root, attempt, files, size)
+        done = _publish(spark, root, attempt, files, size, after)
     except BaseException:
         _remove(spark, folder)
         raise
@@ -134,11 +142,14 @@ def replace(spark: SparkSession, path: str, write: Callable[[str], None], grace_
     return done
 
 
-def _publish(spark: SparkSession, root: str, attempt: str, files: int, size: int) -> Version:
+def _publish(spark: SparkSession, root: str, attempt: str, files: int, size: int, after: int | None) -> Version:
     own, fs = _path(spark, f"{root}/{_MANIFEST}/_{attempt}")
     for _ in range(100):
         # another writer may take the number between listing and renaming; a rename onto a file fails
         number = (versions(spark, root) or [0])[-1] + 1
+        if after is not None and number != after + 1:
+            fs.delete(own, False)
+            raise StaleTable(f"{root} has version {number - 1}, the new one was made from {after}")
         done = Version(number, attempt, files, size)
         out = fs.create(own, True)
         out.write(bytearray(json.dumps(asdict(done)).encode()))
