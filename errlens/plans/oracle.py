@@ -138,6 +138,19 @@ FROM scored_two GROUP BY model, label""",
 SELECT model, label, count(*) AS n, sum(prediction) AS pred_pos, CAST(2 AS INT) AS version, true AS failed
 FROM scored_two WHERE label = 1 GROUP BY model, label""",
 
+    "scan_merged": """
+SELECT count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS k, count(*) FILTER (l_linenumber <= 2) AS n_q,
+       CAST(sum(l_quantity) FILTER (l_linenumber <= 2) AS DOUBLE) AS q, count(l_tax) FILTER (l_linenumber >= 2) AS n_tax,
+       round(sum(l_tax) FILTER (l_linenumber >= 2), 6) AS tax, count(*) FILTER (l_linenumber <> 2) AS n_d,
+       strftime(max(l_shipdate) FILTER (l_linenumber <> 2), '%Y-%m-%d') AS d, 'bigint,double,timestamp_ntz' AS types
+FROM lineitem""",
+
+    "csv_quarantine": """
+SELECT CASE l_linenumber WHEN 3 THEN 'q is no double' WHEN 4 THEN 'n is no int' WHEN 5 THEN 'not 3 fields' ELSE '' END AS reason,
+       count(*) AS lines, CAST(sum(l_orderkey) AS BIGINT) AS k,
+       CAST(sum(l_quantity) FILTER (l_linenumber NOT IN (3, 4, 5)) AS DOUBLE) AS q
+FROM lineitem GROUP BY 1""",
+
     "scan_csv": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
 
     "scan_csv_inferred": "SELECT n_nationkey, n_name, n_regionkey, n_nationkey + 1 AS next_key FROM nation",
@@ -484,6 +497,14 @@ SELECT model, CAST(seq + 1 AS INT) AS step, params, {_PERFECT_ACC} AS accuracy F
 SELECT model, params, CAST(trees AS INT) AS trees, CAST(depth AS INT) AS depth, CAST(iters AS INT) AS iters
 FROM {_GRID_ROWS}""",
 
+    "asof_months": _w(OBS, SCORED_TWO) + """,
+m AS (SELECT model, race, substr(cast(day AS varchar), 1, 6) AS month, avg(CAST(label = prediction AS INT)) AS accuracy
+      FROM scored_two GROUP BY ALL)
+SELECT a.race, a.month, a.accuracy, b.accuracy AS accuracy_asof, b.month AS month_asof
+FROM (SELECT * FROM m WHERE model = 'rule_a') a
+ASOF LEFT JOIN (SELECT * FROM m WHERE model = 'rule_b' AND CAST(substr(month, 5) AS INT) % 3 = 0) b
+  ON a.race = b.race AND a.month >= b.month""".replace("\n,\nm AS", ",\nm AS"),
+
     "compare_runs": _w(OBS, TEST) + f"""
 SELECT model, CAST(trees AS INT) AS trees, CAST(depth AS INT) AS depth, CAST(iters AS INT) AS iters,
        {_PERFECT_ACC} AS accuracy_local, {_PERFECT_ACC} AS accuracy_cluster FROM {_GRID_ROWS}""",

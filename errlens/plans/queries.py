@@ -30,9 +30,11 @@ from errlens.operators import score as S
 from errlens.operators import staged as SG
 from errlens.operators import state as ST
 from errlens.operators import train as TR
+from errlens.operators.asof import asof_join
 from errlens.operators.features import FeatureSpec, fit_features
 from errlens.plans import fixtures as fx
 from errlens.session import scratch_path
+from errlens.sources import merged as MG
 from errlens.sources import readers as RD
 from errlens.sources import tables as TB
 from errlens.sources import writers as WR
@@ -140,6 +142,35 @@ def q_table_replace(spark, sf_dir):
                                               F.lit(version).alias("version"), F.lit(failed).alias("failed"))
 
 
+def q_scan_merged(spark, sf_dir):
+    """Part files of which one has narrower types, one a further column and one lacks a column."""
+    path = scratch_path(spark, "merged")
+    li = fx.table(spark, sf_dir, "lineitem")
+    for n, part in enumerate((
+            li.filter("l_linenumber = 1").select(F.col("l_orderkey").cast("int").alias("k"), F.col("l_quantity").cast("float").alias("q"), F.to_date("l_shipdate").alias("d")),
+            li.filter("l_linenumber = 2").select(F.col("l_orderkey").alias("k"), F.col("l_quantity").cast("double").alias("q"), "l_tax"),
+            li.filter("l_linenumber > 2").select("l_tax", F.col("l_orderkey").alias("k"), F.col("l_shipdate").cast("timestamp_ntz").alias("d")))):
+        part.write.mode("append").parquet(path)
+    both = MG.read_merged(spark, path)
+    return both.agg(F.count(F.lit(1)).alias("n"), F.sum("k").alias("k"), F.count("q").alias("n_q"), F.sum("q").alias("q"),
+                    F.count("l_tax").alias("n_tax"), F.round(F.sum("l_tax"), 6).alias("tax"), F.count("d").alias("n_d"),
+                    F.date_format(F.max("d"), "yyyy-MM-dd").alias("d"),
+                    F.concat_ws(",", F.any_value(F.typeof("k")), F.any_value(F.typeof("q")), F.any_value(F.typeof("d"))).alias("types"))
+
+
+def q_csv_quarantine(spark, sf_dir):
+    """Lines with a cell that is no number and lines with a field too many, set apart from those that parse."""
+    path, line = scratch_path(spark, "lines"), F.col("l_linenumber")
+    q = F.when(line == 3, F.lit("x")).when(line == 5, F.concat(F.col("l_quantity").cast("string"), F.lit(",0"))).otherwise(F.col("l_quantity").cast("string"))
+    text = F.concat_ws(",", F.col("l_orderkey").cast("string"), F.when(line == 4, F.lit("four")).otherwise(line.cast("string")), q)
+    # one column whose name is the header of three
+    (fx.table(spark, sf_dir, "lineitem").select(text.alias("k,n,q")).write.option("header", "true").option("sep", "\t").csv(path))
+    good, bad = RD.split_csv(spark, path, "q DOUBLE, k BIGINT, n INT", scratch_path(spark, "split-csv"))
+    return (good.groupBy(F.lit("").alias("reason")).agg(F.count(F.lit(1)).alias("lines"), F.sum("k").alias("k"), F.sum("q").alias("q"))
+            .unionByName(bad.groupBy("reason").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.substring_index("line", ",", 1).cast("bigint")).alias("k"),
+                                                   F.lit(None).cast("double").alias("q"))))
+
+
 def _nation_csv(spark, sf_dir) -> str:
     """A headed file with the columns in another order and one more."""
     path = scratch_path(spark, "nation_csv")
@@ -653,6 +684,14 @@ def q_params_parse(spark, sf_dir):
     return R.parse_params(_experiments(spark, sf_dir)).select("model", "params", "trees", "depth", "iters")
 
 
+def q_asof_months(spark, sf_dir):
+    """Each month of one rule next to the last quarter's end of the other rule, by category."""
+    months = E.accuracy_by(_with_month(fx.scored_two(spark, sf_dir)), ["model", "race", "month"], count_col=None, order=None)
+    a = months.filter("model = 'rule_a'").drop("model")
+    b = months.filter("model = 'rule_b' AND CAST(substr(month, 5) AS INT) % 3 = 0").drop("model")
+    return asof_join(a, b, ["race"], "month")
+
+
 def q_compare_runs(spark, sf_dir):
     """Pair the experiment table with the same grid spelled the other way
     and run on a different layout (partition count)."""
@@ -675,6 +714,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagship_accuracy_by_month": flagship,
     "scan_parquet": q_scan_parquet,
     "table_replace": q_table_replace,
+    "scan_merged": q_scan_merged,
+    "csv_quarantine": q_csv_quarantine,
     "scan_csv": q_scan_csv,
     "scan_csv_inferred": q_scan_csv_inferred,
     "scan_csv_headerless": q_scan_csv_headerless,
@@ -746,5 +787,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "experiment_series": q_experiment_series,
     "experiment_models": q_experiment_models,
     "params_parse": q_params_parse,
+    "asof_months": q_asof_months,
     "compare_runs": q_compare_runs,
 }

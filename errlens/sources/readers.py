@@ -11,9 +11,10 @@ from collections.abc import Sequence
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from errlens.sources.tables import resolve
+from errlens.sources.tables import replace, resolve
 
 # Observation table (one row per user-day) as used by the training and
 # scoring steps.  Types are inferred from use; see FIXTURES.md §1.
@@ -59,6 +60,42 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return reader.schema(in_file).csv(path).select(*types)
 
 
+def split_csv(spark: SparkSession, path: str, schema: T.StructType | str, out: str) -> tuple[DataFrame, DataFrame]:
+    """Headed CSV in one scan as two tables below ``out``: the rows that parse, and a quarantine of the lines that do not.
+
+    The quarantine has ``file``, ``line`` (its text) and ``reason``: a wrong
+    number of fields, or the columns whose cells are not of their type.
+    Every line but headers and empty lines is in one of the two.  Columns
+    are matched by name as in :func:`read_csv`.
+    """
+    wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    source = resolve(spark, path)
+    header = spark.read.option("header", "true").option("inferSchema", "false").csv(source).columns
+    missing = [f.name for f in wanted if header.count(f.name) != 1]
+    if missing:
+        raise ValueError(f"columns {missing} are not (or not once) in the header {header} of {path}")
+    types = {f.name: f.dataType for f in wanted}
+    bad, texts = "_line", [f"_{i}" for i in range(len(header))]
+    in_file = T.StructType([T.StructField(c, types.get(c, T.StringType()), True) for c in header] + [T.StructField(bad, T.StringType(), True)])
+    rows = (spark.read.option("header", "true").option("enforceSchema", "false").option("mode", "PERMISSIVE")
+            # all fields are parsed, so a line with a wrong number of them is noticed
+            .option("columnPruning", "false").option("columnNameOfCorruptRecord", bad).schema(in_file).csv(source))
+    cells = F.from_csv(F.col(bad), ", ".join([*(f"{t} STRING" for t in texts), "_all STRING"]),
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_all"})
+    wrong = F.filter(F.array(*(
+        F.when(F.col("_cells")[t].isNotNull() & F.col("_cells")[t].try_cast(types[c]).isNull(), F.lit(f"{c} is no {types[c].simpleString()}"))
+        for t, c in zip(texts, header) if c in types)), lambda x: x.isNotNull())
+    reason = (F.when(F.col("_cells")["_all"].isNotNull(), F.lit(f"not {len(header)} fields"))
+              .when(F.size(wrong) > 0, F.concat_ws("; ", wrong)).otherwise(F.lit("does not parse")))
+    told = (rows.withColumn("_cells", F.when(F.col(bad).isNotNull(), cells))
+            .select(*wanted.fieldNames(), F.col("_metadata.file_path").alias("_file"), F.col(bad),
+                    F.when(F.col(bad).isNotNull(), reason).alias("_reason"), F.col(bad).isNotNull().alias("_quarantine")))
+    replace(spark, out, told.write.partitionBy("_quarantine").parquet)
+    both = spark.read.schema(told.schema).parquet(resolve(spark, out))
+    good = both.filter(~F.col("_quarantine")).select(*wanted.fieldNames())
+    return good, both.filter("_quarantine").select(F.col("_file").alias("file"), F.col(bad).alias("line"), F.col("_reason").alias("reason"))
+
+
 def read_csv_headerless(spark: SparkSession, path: str,
                         columns: Sequence[str] | T.StructType) -> DataFrame:
     """Headerless CSV (all part files of a folder), columns named by position.
