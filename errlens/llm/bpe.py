@@ -34,7 +34,10 @@ from errlens.llm.common import out_batch, pick, text_batches, texts_of
 
 NONE = np.int64(1) << 62
 LONG = 256                 # leaves from which a pre-token is merged alone
+# How a byte-level vocabulary file normalises and splits texts (fixed value).
+BYTE_LEVEL = (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True})
 KEEP = 400_000             # distinct pre-tokens that a worker remembers
+KEEP_CHARS = 1 << 25        # and their characters
 
 
 def byte_symbols() -> list[str]:
@@ -51,6 +54,7 @@ class Merges:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
+        self.layout = (spec.get("normalizer"), spec.get("pre_tokenizer"))
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix: str = model.get("end_of_word_suffix") or ""
         self.specials = tuple(t["content"] for t in spec["added_tokens"])
@@ -250,14 +254,15 @@ def merges(path: str) -> Merges:
 
 
 class Encoded:
-    """Distinct pre-tokens encoded so far, by hash; forgotten when there are too many."""
+    """Distinct pre-tokens encoded so far, by their strings; forgotten when there are too many, or too long ones."""
 
     def __init__(self, model: Merges):
         self.model = model
         self._clear()
 
     def _clear(self) -> None:
-        self.slot: dict[int, int] = {}
+        self.slot: dict[str | int, int] = {}
+        self.chars = 0
         self.ids = np.empty(1 << 16, np.uint32)
         self.at = np.empty(1 << 16, np.int64)
         self.n = np.empty(1 << 16, np.int64)
@@ -265,14 +270,15 @@ class Encoded:
 
     def slots(self, tokens: PT.Tokens) -> np.ndarray:
         """Slot of each distinct pre-token of the batch."""
-        if len(self.slot) + len(tokens.hash) > KEEP and self.slot:
+        if self.slot and (len(self.slot) + len(tokens) > KEEP or self.chars > KEEP_CHARS):
             self._clear()
-        keys = tokens.hash.tolist()
+        keys = tokens.keys()
         get = self.slot.get
         slot = np.array([get(k, -1) for k in keys], np.int64)
         new = np.flatnonzero(slot < 0)
         if len(new):
-            words = tokens.strings(new)
+            words = [keys[k] for k in new.tolist()]
+            self.chars += int((tokens.stop[new] - tokens.first[new]).sum())
             special = tokens.cps[tokens.first[new]].astype(np.int64) - PT.SPECIAL
             plain = np.flatnonzero(special < 0)
             n = np.ones(len(new), np.int64)
@@ -284,7 +290,7 @@ class Encoded:
             flat[own] = [self.model.special_ids[k] for k in special[special >= 0].tolist()]
             base = len(self.slot)
             slot[new] = base + np.arange(len(new))
-            self.slot.update(zip(tokens.hash[new].tolist(), slot[new].tolist()))
+            self.slot.update(zip(words, slot[new].tolist()))
             self.ids = _room(self.ids, self.used + len(flat))
             self.ids[self.used:self.used + len(flat)] = flat
             self.at, self.n = _room(self.at, base + len(new)), _room(self.n, base + len(new))
@@ -303,7 +309,10 @@ def _room(a: np.ndarray, n: int) -> np.ndarray:
 
 @lru_cache(maxsize=2)
 def _encoded(path: str) -> Encoded:
-    return Encoded(merges(path))
+    model = merges(path)
+    if model.layout != BYTE_LEVEL:
+        raise ValueError(f"{path} normalises or splits texts in another way than byte-level vocabularies: {model.layout}")
+    return Encoded(model)
 
 
 def encode_texts(texts: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:

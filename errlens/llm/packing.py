@@ -1,6 +1,6 @@
 """Best-fit packing of tokenised documents (operator 1).
 
-Method: bounded-space online best fit.  A packer keeps a fixed number of
+Method: bounded-space best fit.  A packer keeps a fixed number of
 open bins; a bitset (one integer) has a bit for each amount of free space
 that some open bin has.  A piece goes to the open bin with the least
 sufficient free space, found with one shift and one lowest-bit step.  If
@@ -9,9 +9,10 @@ closes first.
 
 Documents longer than a sequence are cut: the first piece takes the
 remainder, all others fill a sequence each.  Pieces (not ids) are dealt to
-packers by a hash, and every packer reads its pieces longest first, so the
-result depends only on the rows and the number of packers, and short pieces
-come when there are gaps for them.
+packers by a hash of id, piece and place in the written table, so rows of a
+null or hot id go to all of them.  Every packer reads its pieces longest
+first, so short pieces come when there are gaps for them; its bound seldom
+binds then.
 
 Cases: null and empty texts still have their end token, one piece of one
 token; ids may be null or repeat (rows are kept apart by their own place in
@@ -104,7 +105,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS,
     """Adds ``sequence_id`` and ``offset`` to rows with ``id``, ``piece``, ``length`` (1 to ``capacity``)."""
     items = stored(items, "pack-items")
     packers = max(1, -(-items.count() // per_packer))
-    dealt = (items.withColumn("deal", F.xxhash64("id", "piece", "start"))
+    dealt = (items.withColumn("deal", F.xxhash64("id", "piece", F.monotonically_increasing_id()))
              .repartition(packers, "deal").sortWithinPartitions(F.desc("length"), "deal", "id", "piece", "start"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

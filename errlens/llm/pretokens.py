@@ -4,7 +4,9 @@ Texts are laid end to end as code points with a separator after each one.
 Character classes come from one table, token starts from the borders of
 class runs, and each token gets a 64-bit hash from a prefix sum of mixed
 code points, so equal tokens are found by sorting integers and only the
-distinct ones become strings.
+distinct ones become strings.  The hash is linear, so there are words that
+share it: every token is compared with the one that stands for its hash, and
+those that differ become tokens of their own.
 
 Two splitters are given, for the two public vocabularies in use:
 
@@ -152,7 +154,10 @@ def hashes(cps: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 class Tokens:
-    """The pre-tokens of a batch: ``word`` (index into the distinct ones) and ``text`` of each token."""
+    """The pre-tokens of a batch: ``word`` (index into the distinct ones) and ``text`` of each token.
+
+    ``first`` and ``stop`` are the bounds of each distinct token.
+    """
 
     def __init__(self, texts: list[str], starts, specials: tuple[str, ...] = (), normal=None):
         self.cps = cps = code_points(texts, specials, normal)
@@ -160,8 +165,47 @@ class Tokens:
         stop = np.r_[at[1:], len(cps)]
         breaks = np.cumsum(cps[at] == SEPARATOR)
         at, stop, self.text = at[keep], stop[keep], breaks[keep]
-        self.hash, first, self.word = np.unique(hashes(cps, at, stop), return_index=True, return_inverse=True)
+        _, first, self.word = np.unique(hashes(cps, at, stop), return_index=True, return_inverse=True)
         self.first, self.stop = at[first], stop[first]
+        self._part(at, stop)
+
+    def _part(self, at: np.ndarray, stop: np.ndarray) -> None:
+        """Give tokens that only share the hash of another one an index of their own."""
+        size = stop - at
+        other = self.first[self.word] - at
+        wrong = size != (self.stop - self.first)[self.word]
+        same_size = np.flatnonzero(~wrong & (other != 0))
+        if len(same_size):
+            n = size[same_size]
+            begin = np.cumsum(n) - n
+            cell = np.repeat(at[same_size] - begin, n) + np.arange(int(n.sum()))
+            differs = self.cps[cell] != self.cps[cell + np.repeat(other[same_size], n)]
+            if differs.any():
+                wrong[same_size[np.add.reduceat(differs, begin) > 0]] = True
+        if not wrong.any():
+            return
+        known: dict[bytes, int] = {}
+        first, end = self.first.tolist(), self.stop.tolist()
+        for k in np.flatnonzero(wrong).tolist():
+            a, b = int(at[k]), int(stop[k])
+            index = known.setdefault(self.cps[a:b].tobytes(), len(first))
+            if index == len(first):
+                first.append(a)
+                end.append(b)
+            self.word[k] = index
+        self.first, self.stop = np.array(first), np.array(end)
+
+    def __len__(self) -> int:
+        """Number of distinct tokens."""
+        return len(self.first)
+
+    def keys(self) -> list[str | int]:
+        """What tells the distinct tokens apart beyond the batch: their strings, for special ones their number."""
+        out: list[str | int] = self.strings(np.arange(len(self)))
+        kind = self.cps[self.first].astype(np.int64) - SPECIAL
+        for k in np.flatnonzero(kind >= 0).tolist():
+            out[k] = int(kind[k])
+        return out
 
     def strings(self, which: np.ndarray) -> list[str]:
         """The distinct tokens ``which`` as strings; a special token is one private character."""

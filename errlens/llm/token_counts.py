@@ -9,7 +9,8 @@ remembers counted pre-tokens up to a bound, so a pre-token is counted again
 only by another worker or after it was forgotten.
 
 Cases: null and empty texts have zero bytes and zero tokens; special
-strings in a text count as one token each; texts of any length are taken
+strings in a text count as one token each; a vocabulary file that normalises
+or splits in another way is refused; texts of any length are taken
 whole; ids may be null or repeat, one output row per input row.
 """
 
@@ -30,7 +31,15 @@ from errlens.llm import pretokens as PT
 from errlens.llm.bpe import Merges, merges
 from errlens.llm.common import out_batch, pick, text_batches, texts_of
 
-KEEP = 500_000
+# How a word-level vocabulary file normalises and splits texts (fixed value).
+WORD_LEVEL = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+)
+KEEP = 500_000              # pre-tokens that a worker remembers
+KEEP_CHARS = 1 << 25        # and their characters
 _SPACES = regex.compile(r"\p{White_Space}+")
 
 
@@ -41,30 +50,36 @@ def normalise(text: str) -> str:
 
 
 class Counted:
-    """Pieces of the distinct pre-tokens seen so far, by hash; forgotten when there are too many."""
+    """Pieces of the distinct pre-tokens seen so far, by their strings; forgotten when there are too many, or too long ones."""
 
     def __init__(self, model: Merges):
         self.model = model
-        self.pieces: dict[int, int] = {}
+        self.pieces: dict[str | int, int] = {}
+        self.chars = 0
 
     def of(self, tokens: PT.Tokens) -> np.ndarray:
-        if len(self.pieces) + len(tokens.hash) > KEEP:
-            self.pieces = {}
+        if len(self.pieces) + len(tokens) > KEEP or self.chars > KEEP_CHARS:
+            self.pieces, self.chars = {}, 0
+        keys = tokens.keys()
         get = self.pieces.get
-        n = np.array([get(k, -1) for k in tokens.hash.tolist()], np.int64)
+        n = np.array([get(k, -1) for k in keys], np.int64)
         new = np.flatnonzero(n < 0)
         if len(new):
             n[new] = 1                                  # special strings
             plain = new[tokens.cps[tokens.first[new]] < PT.SPECIAL]
             if len(plain):
-                n[plain] = self.model.encode_words([w.encode() for w in tokens.strings(plain)])[1]
-            self.pieces.update(zip(tokens.hash[new].tolist(), n[new].tolist()))
+                n[plain] = self.model.encode_words([keys[k].encode() for k in plain.tolist()])[1]
+            self.chars += int((tokens.stop[new] - tokens.first[new]).sum())
+            self.pieces.update(zip([keys[k] for k in new.tolist()], n[new].tolist()))
         return n
 
 
 @lru_cache(maxsize=2)
 def _counted(path: str) -> Counted:
-    return Counted(merges(path))
+    model = merges(path)
+    if model.layout != WORD_LEVEL:
+        raise ValueError(f"{path} normalises or splits texts in another way than word-level vocabularies: {model.layout}")
+    return Counted(model)
 
 
 def count_texts(texts: list[str], path: str) -> np.ndarray:

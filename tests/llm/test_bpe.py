@@ -8,9 +8,11 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from errlens.llm import bpe, packing, token_counts
+from errlens.llm import pretokens as PT
 from tests.llm.conftest import CASES, documents, prose
 
 BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -42,6 +44,63 @@ def test_random_texts_match_the_library(texts):
     assert token_counts.count_texts(texts, WORD).tolist() == [len(x.ids) for x in word.encode_batch(texts, add_special_tokens=False)]
 
 
+def thue_morse(n, a="a", b="b"):
+    """Two words of n letters that every linear hash modulo 2**64 with an odd step confuses for n of 1024 and more."""
+    bits = [bin(k).count("1") & 1 for k in range(n)]
+    return "".join(b if x else a for x in bits), "".join(a if x else b for x in bits)
+
+
+@pytest.mark.parametrize("n", [1024, 2048, 4096])
+@pytest.mark.parametrize("letters", ["ab", "qz", "et"])
+def test_words_with_one_hash_are_told_apart(libraries, n, letters):
+    byte, word = libraries
+    u, v = thue_morse(n, *letters)
+    cps = PT.code_points([u, v])
+    a, b = PT.hashes(cps, np.array([0, n + 1]), np.array([n, 2 * n + 1])).tolist()
+    assert a == b                                             # the case is real
+    for batches in ([[u, v, u + " " + v, v + "x"]], [[u], [v], [u], [v, u]]):
+        bpe._encoded.cache_clear()
+        token_counts._counted.cache_clear()
+        for texts in batches:
+            assert split(*bpe.encode_texts(texts, BYTE)) == [x.ids for x in byte.encode_batch(texts, add_special_tokens=False)]
+            assert token_counts.count_texts(texts, WORD).tolist() == [len(x.ids) for x in word.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_words_with_one_hash_in_all_three_operators(spark, libraries):
+    rows = [(k, t) for k, t in enumerate(x for n in (1024, 2048) for x in thue_morse(n))]
+    docs = documents(spark, rows)
+    byte, word = libraries
+    want = {k: byte.encode(t, add_special_tokens=False).ids for k, t in rows}
+    assert {r["id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in bpe.encode(docs, BYTE).collect()} == want
+    assert {r["id"]: r["n_tokens"] for r in token_counts.count_tokens(docs, WORD).collect()} == {
+        k: len(word.encode(t, add_special_tokens=False).ids) for k, t in rows}
+    pieces = packing.pieces(docs, BYTE, 2).orderBy("id", "piece").collect()
+    assert {k: [i for r in pieces if r["id"] == k for i in np.frombuffer(r["ids"], "<u4").tolist()] for k, _ in rows} == {k: [*x, 2] for k, x in want.items()}
+
+
+@pytest.mark.parametrize("mask", [0, 1, 7])
+def test_any_hash_gives_the_same_tokens(libraries, monkeypatch, mask):
+    """With a hash of few values nearly all words share one."""
+    whole = PT.hashes
+    monkeypatch.setattr(PT, "hashes", lambda *a: whole(*a) & np.uint64(mask))
+    bpe._encoded.cache_clear()
+    texts = [*ODD, prose(3, 60)]
+    assert split(*bpe.encode_texts(texts, BYTE)) == [x.ids for x in libraries[0].encode_batch(texts, add_special_tokens=False)]
+    assert token_counts.count_texts(texts, WORD).tolist() == [len(x.ids) for x in libraries[1].encode_batch(texts, add_special_tokens=False)]
+
+
+def test_long_words_are_forgotten(libraries, monkeypatch):
+    monkeypatch.setattr(bpe, "KEEP_CHARS", 100)
+    monkeypatch.setattr(token_counts, "KEEP_CHARS", 100)
+    bpe._encoded.cache_clear()
+    token_counts._counted.cache_clear()
+    for k in range(4):
+        texts = [chr(97 + k) * 90, prose(k, 10)]
+        assert split(*bpe.encode_texts(texts, BYTE)) == [x.ids for x in libraries[0].encode_batch(texts, add_special_tokens=False)]
+        assert token_counts.count_texts(texts, WORD).tolist() == [len(x.ids) for x in libraries[1].encode_batch(texts, add_special_tokens=False)]
+    assert len(bpe._encoded(BYTE).slot) < 40
+
+
 def test_forgetting_words_changes_nothing(libraries, monkeypatch):
     monkeypatch.setattr(bpe, "KEEP", 3)
     monkeypatch.setattr(token_counts, "KEEP", 3)
@@ -129,3 +188,18 @@ def test_query_digests(spark, sf_small):
         ids = lib.encode(texts[r["doc_id"]], add_special_tokens=False).ids + [2]
         part = np.array(ids[r["start"]:r["start"] + r["length"]], "<u4")
         assert len(part) == r["length"] and zlib.crc32(part.tobytes()) == r["ids_crc32"]
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError, match="another way"):
+        bpe.encode_texts(["a"], WORD)
+    with pytest.raises(ValueError, match="another way"):
+        token_counts.count_texts(["a"], BYTE)
+
+
+def test_rows_of_one_id_go_to_all_packers(spark):
+    rows = [(None, 0, 100 + k % 300) for k in range(2000)] + [(7, 0, 50 + k % 300) for k in range(2000)] + [(k, 0, 60) for k in range(2000)]
+    items = spark.createDataFrame(rows, "id long, piece int, length long").withColumn("start", F.lit(0).cast("long"))
+    placed = packing.pack(items, per_packer=750).withColumn("packer", F.shiftright("sequence_id", 40)).collect()
+    sizes = np.bincount([r["packer"] for r in placed])
+    assert len(sizes) == 8 and sizes.max() < 2 * np.median(sizes) and len(placed) == 6000
