@@ -153,6 +153,30 @@ def hashes(cps: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+_MASKS = np.array([0, 0xFFFF, 0xFFFFFFFF, 0xFFFFFFFFFFFF, 0xFFFFFFFFFFFFFFFF], np.uint64)
+
+
+def _differ(cps: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether ``cps[a:a+size]`` and ``cps[b:b+size]`` differ, four code points at a time."""
+    out = np.zeros(len(a), bool)
+    halves = [cps.astype(np.uint16)]
+    if np.count_nonzero(cps >= 0x10000) > np.count_nonzero(cps == SEPARATOR):     # beyond 16 bits
+        halves.append((cps >> 16).astype(np.uint16))
+    for half in halves:
+        # the 64 bits that begin at each code point
+        four = np.ndarray(len(cps), "<u8", np.r_[half, np.zeros(3, np.uint16)], strides=(2,))
+        at, done = np.arange(len(a)), 0
+        while len(at) and done < 64:
+            mask = _MASKS[np.minimum(size[at] - done, 4)]
+            out[at[((four[a[at] + done] ^ four[b[at] + done]) & mask) != 0]] = True
+            done += 4
+            at = at[size[at] > done]
+    for k in np.flatnonzero((size > 64) & ~out).tolist():
+        n = int(size[k])
+        out[k] = not np.array_equal(cps[a[k]:a[k] + n], cps[b[k]:b[k] + n])
+    return out
+
+
 class Tokens:
     """The pre-tokens of a batch: ``word`` (index into the distinct ones) and ``text`` of each token.
 
@@ -172,16 +196,10 @@ class Tokens:
     def _part(self, at: np.ndarray, stop: np.ndarray) -> None:
         """Give tokens that only share the hash of another one an index of their own."""
         size = stop - at
-        other = self.first[self.word] - at
+        first = self.first[self.word]
         wrong = size != (self.stop - self.first)[self.word]
-        same_size = np.flatnonzero(~wrong & (other != 0))
-        if len(same_size):
-            n = size[same_size]
-            begin = np.cumsum(n) - n
-            cell = np.repeat(at[same_size] - begin, n) + np.arange(int(n.sum()))
-            differs = self.cps[cell] != self.cps[cell + np.repeat(other[same_size], n)]
-            if differs.any():
-                wrong[same_size[np.add.reduceat(differs, begin) > 0]] = True
+        same = np.flatnonzero(~wrong & (first != at))
+        wrong[same[_differ(self.cps, at[same], first[same], size[same])]] = True
         if not wrong.any():
             return
         known: dict[bytes, int] = {}
