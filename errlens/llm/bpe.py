@@ -254,15 +254,14 @@ def merges(path: str) -> Merges:
 
 
 class Encoded:
-    """Distinct pre-tokens encoded so far, by their strings; forgotten when there are too many, or too long ones."""
+    """Distinct pre-tokens encoded so far; forgotten when there are too many, or too long ones."""
 
     def __init__(self, model: Merges):
         self.model = model
         self._clear()
 
     def _clear(self) -> None:
-        self.slot: dict[str | int, int] = {}
-        self.chars = 0
+        self.known = PT.Known()
         self.ids = np.empty(1 << 16, np.uint32)
         self.at = np.empty(1 << 16, np.int64)
         self.n = np.empty(1 << 16, np.int64)
@@ -270,15 +269,12 @@ class Encoded:
 
     def slots(self, tokens: PT.Tokens) -> np.ndarray:
         """Slot of each distinct pre-token of the batch."""
-        if self.slot and (len(self.slot) + len(tokens) > KEEP or self.chars > KEEP_CHARS):
+        if len(self.known) and (len(self.known) + len(tokens) > KEEP or self.known.chars > KEEP_CHARS):
             self._clear()
-        keys = tokens.keys()
-        get = self.slot.get
-        slot = np.array([get(k, -1) for k in keys], np.int64)
-        new = np.flatnonzero(slot < 0)
+        base = len(self.known)
+        slot, new = self.known.numbers(tokens)
         if len(new):
-            words = [keys[k] for k in new.tolist()]
-            self.chars += int((tokens.stop[new] - tokens.first[new]).sum())
+            words = tokens.strings(new)
             special = tokens.cps[tokens.first[new]].astype(np.int64) - PT.SPECIAL
             plain = np.flatnonzero(special < 0)
             n = np.ones(len(new), np.int64)
@@ -288,9 +284,6 @@ class Encoded:
             own = np.repeat(special >= 0, n)
             flat[~own] = ids
             flat[own] = [self.model.special_ids[k] for k in special[special >= 0].tolist()]
-            base = len(self.slot)
-            slot[new] = base + np.arange(len(new))
-            self.slot.update(zip(words, slot[new].tolist()))
             self.ids = _room(self.ids, self.used + len(flat))
             self.ids[self.used:self.used + len(flat)] = flat
             self.at, self.n = _room(self.at, base + len(new)), _room(self.n, base + len(new))

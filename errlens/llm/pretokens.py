@@ -156,31 +156,56 @@ def hashes(cps: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 _MASKS = np.array([0, 0xFFFF, 0xFFFFFFFF, 0xFFFFFFFFFFFF, 0xFFFFFFFFFFFFFFFF], np.uint64)
 
 
-def _differ(cps: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Whether ``cps[a:a+size]`` and ``cps[b:b+size]`` differ, four code points at a time."""
+class Points:
+    """Code points as two arrays of 16-bit halves, compared four at a time."""
+
+    def __init__(self, cps: np.ndarray, astral: bool):
+        pad = np.zeros(3, np.uint16)
+        self.low = np.r_[cps.astype(np.uint16), pad]
+        self.high = np.r_[(cps >> 16).astype(np.uint16), pad] if astral else None     # None: all zero
+
+    def add(self, other: Points, cell: np.ndarray) -> int:
+        """Append the points ``cell`` of ``other``; the number of points before."""
+        n = len(self.low) - 3
+        pad = np.zeros(3, np.uint16)
+        if other.high is not None and self.high is None:
+            self.high = np.zeros(len(self.low), np.uint16)
+        self.low = np.concatenate([self.low[:n], other.low[cell], pad])
+        if self.high is not None:
+            more = other.high[cell] if other.high is not None else np.zeros(len(cell), np.uint16)
+            self.high = np.concatenate([self.high[:n], more, pad])
+        return n
+
+
+def _four(half: np.ndarray | None, at: np.ndarray) -> np.ndarray | int:
+    """The 64 bits that begin at each place."""
+    return np.uint64(0) if half is None else np.ndarray(len(half) - 3, "<u8", half, strides=(2,))[at]
+
+
+def differ(x: Points, a: np.ndarray, y: Points, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` points of ``x`` from ``a`` and those of ``y`` from ``b`` differ."""
     out = np.zeros(len(a), bool)
-    halves = [cps.astype(np.uint16)]
-    if np.count_nonzero(cps >= 0x10000) > np.count_nonzero(cps == SEPARATOR):     # beyond 16 bits
-        halves.append((cps >> 16).astype(np.uint16))
-    for half in halves:
-        # the 64 bits that begin at each code point
-        four = np.ndarray(len(cps), "<u8", np.r_[half, np.zeros(3, np.uint16)], strides=(2,))
+    for of_x, of_y in ((x.low, y.low), (x.high, y.high)):
+        if of_x is None and of_y is None:
+            continue
         at, done = np.arange(len(a)), 0
         while len(at) and done < 64:
             mask = _MASKS[np.minimum(size[at] - done, 4)]
-            out[at[((four[a[at] + done] ^ four[b[at] + done]) & mask) != 0]] = True
+            out[at[((_four(of_x, a[at] + done) ^ _four(of_y, b[at] + done)) & mask) != 0]] = True
             done += 4
             at = at[size[at] > done]
-    for k in np.flatnonzero((size > 64) & ~out).tolist():
-        n = int(size[k])
-        out[k] = not np.array_equal(cps[a[k]:a[k] + n], cps[b[k]:b[k] + n])
+        for k in np.flatnonzero((size > 64) & ~out).tolist():
+            n = int(size[k])
+            u, v = (0 if h is None else h[s:s + n] for h, s in ((of_x, a[k]), (of_y, b[k])))
+            out[k] = bool(np.any(u != v))
     return out
 
 
 class Tokens:
     """The pre-tokens of a batch: ``word`` (index into the distinct ones) and ``text`` of each token.
 
-    ``first`` and ``stop`` are the bounds of each distinct token.
+    ``first`` and ``stop`` are the bounds of each distinct token, ``hash`` its
+    hash, which it may share with others.
     """
 
     def __init__(self, texts: list[str], starts, specials: tuple[str, ...] = (), normal=None):
@@ -189,8 +214,10 @@ class Tokens:
         stop = np.r_[at[1:], len(cps)]
         breaks = np.cumsum(cps[at] == SEPARATOR)
         at, stop, self.text = at[keep], stop[keep], breaks[keep]
-        _, first, self.word = np.unique(hashes(cps, at, stop), return_index=True, return_inverse=True)
+        self.hash, first, self.word = np.unique(hashes(cps, at, stop), return_index=True, return_inverse=True)
         self.first, self.stop = at[first], stop[first]
+        # more than 16 bits in anything but separators
+        self.points = Points(cps, np.count_nonzero(cps >= 0x10000) > np.count_nonzero(cps == SEPARATOR))
         self._part(at, stop)
 
     def _part(self, at: np.ndarray, stop: np.ndarray) -> None:
@@ -199,32 +226,25 @@ class Tokens:
         first = self.first[self.word]
         wrong = size != (self.stop - self.first)[self.word]
         same = np.flatnonzero(~wrong & (first != at))
-        wrong[same[_differ(self.cps, at[same], first[same], size[same])]] = True
+        wrong[same[differ(self.points, at[same], self.points, first[same], size[same])]] = True
         if not wrong.any():
             return
         known: dict[bytes, int] = {}
-        first, end = self.first.tolist(), self.stop.tolist()
+        first, end, own = self.first.tolist(), self.stop.tolist(), self.hash.tolist()
         for k in np.flatnonzero(wrong).tolist():
             a, b = int(at[k]), int(stop[k])
             index = known.setdefault(self.cps[a:b].tobytes(), len(first))
             if index == len(first):
                 first.append(a)
                 end.append(b)
+                own.append(own[int(self.word[k])])
             self.word[k] = index
-        self.first, self.stop = np.array(first), np.array(end)
+        self.first, self.stop, self.hash = np.array(first), np.array(end), np.array(own, np.uint64)
 
     def __len__(self) -> int:
         """Number of distinct tokens."""
         return len(self.first)
 
-    def keys(self) -> list[str | int]:
-        """What tells the distinct tokens apart beyond the batch: their strings, for special ones their number."""
-        out: list[str | int] = self.strings(np.arange(len(self)))
-        kind = self.cps[self.first].astype(np.int64) - SPECIAL
-        for k in np.flatnonzero(kind >= 0).tolist():
-            out[k] = int(kind[k])
-        return out
-
     def strings(self, which: np.ndarray) -> list[str]:
         """The distinct tokens ``which`` as strings; a special token is one private character."""
         whole = self.cps
@@ -236,3 +256,61 @@ class Tokens:
         joined = points.tobytes().decode("utf-32-le")
         ends = np.cumsum(size).tolist()
         return [joined[e - k:e] for e, k in zip(ends, size.tolist())]
+
+
+class Known:
+    """Distinct tokens seen so far, numbered from zero in the order in which they came.
+
+    A token is found by its hash and then compared with the one that has it;
+    those that share the hash of another one are found by their points.
+    """
+
+    def __init__(self) -> None:
+        self.hash, self.at = np.empty(0, np.uint64), np.empty(0, np.int64)        # sorted by hash
+        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.points = Points(np.empty(0, np.uint32), False)
+        self.odd: dict[bytes, int] = {}
+
+    def __len__(self) -> int:
+        return len(self.start)
+
+    @property
+    def chars(self) -> int:
+        return len(self.points.low)
+
+    def numbers(self, tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each distinct token of a batch, and which of them are new (numbered upwards in that order)."""
+        n = len(tokens)
+        size = tokens.stop - tokens.first
+        place = np.searchsorted(self.hash, tokens.hash)
+        number = np.full(n, -1, np.int64)
+        near = np.flatnonzero(place < len(self.hash))
+        near = near[self.hash[place[near]] == tokens.hash[near]]
+        who = self.at[place[near]]
+        same = size[near] == self.size[who]
+        same[same] = ~differ(tokens.points, tokens.first[near[same]], self.points, self.start[who[same]], size[near[same]])
+        number[near[same]] = who[same]
+        taken = np.zeros(n, bool)
+        taken[near[~same]] = True
+        # of tokens that share a hash within the batch the first may stand for it
+        first = np.zeros(n, bool)
+        first[np.unique(tokens.hash, return_index=True)[1]] = True
+        odd = np.flatnonzero((number < 0) & (taken | ~first))
+        for k in odd.tolist():
+            number[k] = self.odd.get(tokens.cps[tokens.first[k]:tokens.stop[k]].tobytes(), -1)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = len(self) + np.arange(len(new))
+            length = size[new]
+            begin = np.cumsum(length) - length
+            cell = np.repeat(tokens.first[new] - begin, length) + np.arange(int(length.sum()))
+            base = self.points.add(tokens.points, cell)
+            self.start, self.size = np.r_[self.start, base + begin], np.r_[self.size, length]
+            plain = new[~np.isin(new, odd)]
+            order = np.argsort(tokens.hash[plain], kind="stable")
+            to = place[plain][order]
+            self.hash = np.insert(self.hash, to, tokens.hash[plain][order])
+            self.at = np.insert(self.at, to, number[plain][order])
+            for k in odd[np.isin(odd, new)].tolist():
+                self.odd[tokens.cps[tokens.first[k]:tokens.stop[k]].tobytes()] = int(number[k])
+        return number, new

@@ -50,28 +50,27 @@ def normalise(text: str) -> str:
 
 
 class Counted:
-    """Pieces of the distinct pre-tokens seen so far, by their strings; forgotten when there are too many, or too long ones."""
+    """Pieces of the distinct pre-tokens seen so far; forgotten when there are too many, or too long ones."""
 
     def __init__(self, model: Merges):
         self.model = model
-        self.pieces: dict[str | int, int] = {}
-        self.chars = 0
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known = PT.Known()
+        self.pieces = np.empty(0, np.int64)
 
     def of(self, tokens: PT.Tokens) -> np.ndarray:
-        if len(self.pieces) + len(tokens) > KEEP or self.chars > KEEP_CHARS:
-            self.pieces, self.chars = {}, 0
-        keys = tokens.keys()
-        get = self.pieces.get
-        n = np.array([get(k, -1) for k in keys], np.int64)
-        new = np.flatnonzero(n < 0)
+        if len(self.known) + len(tokens) > KEEP or self.known.chars > KEEP_CHARS:
+            self._clear()
+        number, new = self.known.numbers(tokens)
         if len(new):
-            n[new] = 1                                  # special strings
-            plain = new[tokens.cps[tokens.first[new]] < PT.SPECIAL]
+            n = np.ones(len(new), np.int64)             # special strings
+            plain = np.flatnonzero(tokens.cps[tokens.first[new]] < PT.SPECIAL)
             if len(plain):
-                n[plain] = self.model.encode_words([keys[k].encode() for k in plain.tolist()])[1]
-            self.chars += int((tokens.stop[new] - tokens.first[new]).sum())
-            self.pieces.update(zip([keys[k] for k in new.tolist()], n[new].tolist()))
-        return n
+                n[plain] = self.model.encode_words([w.encode() for w in tokens.strings(new[plain])])[1]
+            self.pieces = np.r_[self.pieces, n]
+        return self.pieces[number]
 
 
 @lru_cache(maxsize=2)

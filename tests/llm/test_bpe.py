@@ -98,7 +98,7 @@ def test_long_words_are_forgotten(libraries, monkeypatch):
         texts = [chr(97 + k) * 90, prose(k, 10)]
         assert split(*bpe.encode_texts(texts, BYTE)) == [x.ids for x in libraries[0].encode_batch(texts, add_special_tokens=False)]
         assert token_counts.count_texts(texts, WORD).tolist() == [len(x.ids) for x in libraries[1].encode_batch(texts, add_special_tokens=False)]
-    assert len(bpe._encoded(BYTE).slot) < 40
+    assert len(bpe._encoded(BYTE).known) < 40
 
 
 def test_forgetting_words_changes_nothing(libraries, monkeypatch):
