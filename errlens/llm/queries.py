@@ -134,13 +134,13 @@ ORACLE: dict[str, str] = {
                CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
         FROM d""",
     "op8_topk": """
-        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+        WITH v AS (SELECT row_number() OVER () AS place, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
                    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
                      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-        s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
-              FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
+        s AS (SELECT q.place, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+              FROM v q JOIN v c ON q.place <> c.place AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0)
         SELECT query_id, (row_number() OVER w)::INT AS rank, vec_id, score FROM s
-        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5""",
+        WINDOW w AS (PARTITION BY place ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 5""",
     "op10_exact_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,

@@ -12,15 +12,17 @@ only for the survivors.
 
 Components are ``floor(scale * x)``, integers, so exact scores are exact.
 
-Queries are dealt in blocks, candidates in chunks by a hash; each block
+Queries are dealt in blocks, candidates in chunks, both by a hash of the
+row's place in the written table, so rows of one id are spread; each block
 meets each chunk once (fragment and replicate), as a cogroup of bounded
 size, and gives its k best per query; a window takes the k best of those.
 
 Cases: vectors that are null, or hold a null or non-finite component, take
 no part; vectors of different length are never compared; an empty vector
 scores 0 with others; ties go to the smaller id; rows with a null id take
-no part; rows that repeat an id and its vector count once; a query is not its own candidate (rows of the same id are not
-either); scores beyond 64 bits are cut to the 64-bit range.
+no part; a row that repeats an id or a whole row is a row like others, as
+query and as candidate, and only the query's own row is not its candidate;
+scores beyond 64 bits are cut to the 64-bit range.
 """
 
 from __future__ import annotations
@@ -55,11 +57,16 @@ def statistics(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.concatenate([mean, dev], axis=1) * np.sqrt(np.r_[size, size])
 
 
-def best(query: np.ndarray, query_id: np.ndarray, x: np.ndarray, x_id: np.ndarray, k: int) -> tuple[list, list, list]:
-    """The k best of one chunk for each query: positions of queries, ids, scores."""
+def best(query: np.ndarray, query_own: np.ndarray, x: np.ndarray, x_id: np.ndarray, k: int,
+         x_own: np.ndarray | None = None) -> tuple[list, list, list]:
+    """The k best of one chunk for each query: positions of queries, ids, scores.
+
+    A vector whose ``x_own`` (its id unless given) is the query's is left out.
+    """
     dim = x.shape[1]
     exact = max(np.abs(query).max(initial=0), np.abs(x).max(initial=0)) ** 2 * max(dim, 1) < _SAFE
     order = np.argsort(x_id, kind="stable")
+    x_own = (x_id if x_own is None else x_own)[order]
     x, x_id = x[order], x_id[order]
     levels = [(statistics(query, s), statistics(x, s)) for s in segments(dim)] if exact else []
     # |q||x| bounds the rounding error of the statistics
@@ -67,7 +74,7 @@ def best(query: np.ndarray, query_id: np.ndarray, x: np.ndarray, x_id: np.ndarra
     big = None if exact else [[int(v) for v in row] for row in x]
     at, ids, scores = [], [], []
     for j in range(len(query)):
-        live = np.flatnonzero(x_id != query_id[j])
+        live = np.flatnonzero(x_own != query_own[j])
         if not len(live):
             continue
         if exact:
@@ -106,13 +113,6 @@ def _floor(c: Column) -> Column:
     return F.when(F.abs(c) < 2.0 ** 53, F.floor(c).cast("double")).otherwise(c)
 
 
-def _once(rows: pd.DataFrame) -> pd.DataFrame:
-    """Without repeated rows (equal ids are in the same block or chunk)."""
-    if not rows["id"].duplicated().any():
-        return rows
-    return rows[~pd.Series([(i, np.asarray(v, np.float64).tobytes()) for i, v in zip(rows["id"], rows["v"])], index=rows.index).duplicated()]
-
-
 def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id", vector_col: str = "embedding",
           scale: int = SCALE, block: int = QUERY_BLOCK, chunk: int = CHUNK) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``id``, ``score``; ``is_query`` is a condition on ``id`` (an integer)."""
@@ -120,27 +120,28 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, id_col: str = "vec_id",
     usable = (pick(vectors, id=id_col, v=vector_col).withColumn("id", F.col("id").cast("long"))
               .withColumn("v", F.col("v").cast("array<double>")).filter("id IS NOT NULL AND v IS NOT NULL").filter(finite)
               .select("id", F.transform("v", lambda c: _floor(c * F.lit(float(scale)))).alias("v")))
-    usable = stored(usable.withColumn("dim", F.size("v")).withColumn("q", is_query), "vectors")
+    usable = stored(usable.withColumn("dim", F.size("v")).withColumn("q", F.coalesce(is_query, F.lit(False)))
+                    .withColumn("place", F.monotonically_increasing_id()), "vectors")
     n, n_query = usable.agg(F.count(F.lit(1)), F.count_if("q")).first()
     blocks, chunks = max(1, -(-n_query // block)), max(1, -(-n // chunk))
     # every block meets every chunk: queries go to all chunks, candidates to all blocks
-    queries = (usable.filter("q").withColumn("b", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(blocks)))
-               .withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long")))).select("dim", "b", "c", "id", "v"))
-    others = (usable.withColumn("c", F.pmod(F.xxhash64("id", F.lit(2)), F.lit(chunks)))
-              .withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).select("dim", "b", "c", "id", "v"))
+    queries = (usable.filter("q").withColumn("b", F.pmod(F.xxhash64("place", F.lit(1)), F.lit(blocks)))
+               .withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long")))).select("dim", "b", "c", "id", "place", "v"))
+    others = (usable.withColumn("c", F.pmod(F.xxhash64("place", F.lit(2)), F.lit(chunks)))
+              .withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).select("dim", "b", "c", "id", "place", "v"))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": np.empty(0, np.int64), "id": np.empty(0, np.int64), "score": np.empty(0, np.int64)})
+        empty = pd.DataFrame({"query_id": np.empty(0, np.int64), "place": np.empty(0, np.int64), "id": np.empty(0, np.int64), "score": np.empty(0, np.int64)})
         if not len(left) or not len(right):
             return empty
-        left, right = _once(left), _once(right)
         dim = len(left["v"].iloc[0])
         q = np.array(left["v"].tolist(), np.float64).reshape(len(left), dim)
         x = np.array(right["v"].tolist(), np.float64).reshape(len(right), dim)
-        qid = left["id"].to_numpy()
-        at, ids, scores = best(q, qid, x, right["id"].to_numpy(), k)
-        return pd.DataFrame({"query_id": qid[at], "id": np.array(ids, np.int64), "score": np.array(scores, np.int64)}) if at else empty
+        qid, place = left["id"].to_numpy(), left["place"].to_numpy()
+        at, ids, scores = best(q, place, x, right["id"].to_numpy(), k, right["place"].to_numpy())
+        return pd.DataFrame({"query_id": qid[at], "place": place[at], "id": np.array(ids, np.int64), "score": np.array(scores, np.int64)}) if at else empty
 
-    partial = queries.groupBy("dim", "b", "c").cogroup(others.groupBy("dim", "b", "c")).applyInPandas(meet, "query_id long, id long, score long")
-    by = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    partial = queries.groupBy("dim", "b", "c").cogroup(others.groupBy("dim", "b", "c")).applyInPandas(
+        meet, "query_id long, place long, id long, score long")
+    by = Window.partitionBy("place").orderBy(F.desc("score"), "id")
     return partial.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")

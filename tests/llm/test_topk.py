@@ -18,14 +18,14 @@ def frame(spark, rows):
 
 
 def brute(rows, k, is_query):
-    good = {}
+    good = []
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            good[(i, tuple(math.floor(256 * x) for x in v))] = None
+            good.append((i, tuple(math.floor(256 * x) for x in v)))
     out = []
-    for i, v in good:
+    for a, (i, v) in enumerate(good):
         if is_query(i):
-            found = [(-sum(a * b for a, b in zip(v, w)), j) for j, w in good if j != i and len(w) == len(v)]
+            found = [(-sum(x * y for x, y in zip(v, w)), j) for b, (j, w) in enumerate(good) if b != a and len(w) == len(v)]
             found = [(-max(-2 ** 63, min(2 ** 63 - 1, -s)), j) for s, j in found]
             out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(sorted(found)[:k])]
     return sorted(out)
@@ -85,3 +85,21 @@ def test_query_matches_sql(spark, sf_small):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{sf_small}/embeddings.parquet')")
     want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({ORACLE['op8_topk']})").fetchall()
     assert sorted(map(tuple, df.collect())) == sorted(want)
+
+
+def test_repeated_rows_are_candidates_and_agree_with_sql(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    rows = [(k % 120, rng.normal(0, 1, 4).tolist()) for k in range(200)]
+    rows += [(50, rows[0][1])] * 3 + [(7, rows[7][1])] * 40 + [(50, rows[50][1]), (100, rows[50][1])]
+    want = brute(rows, 5, lambda i: i % 50 == 0)
+    got = topk.top_k(frame(spark, rows), F.col("id") % 50 == 0, 5, block=3, chunk=16).collect()
+    assert sorted((r["query_id"], r["rank"], r["id"], r["score"]) for r in got) == want
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    assert sorted(con.execute(f"SELECT query_id, rank, vec_id, score FROM ({ORACLE['op8_topk']})").fetchall()) == want
+
+
+def test_rows_of_one_id_are_spread(spark):
+    rows = [(1, [float(k), 1.0]) for k in range(400)]
+    assert run(spark, rows + [(5, [1.0, 1.0])], block=4, chunk=32) == brute(rows + [(5, [1.0, 1.0])], 3, lambda i: i % 5 == 0)
