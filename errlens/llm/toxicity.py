@@ -46,6 +46,7 @@ from errlens.llm.common import low_hashes, out_batch, pick, stored, text_batches
 
 SAMPLE = 2500               # training documents of each class, at most
 WINDOW = 21                 # labelled tokens of a training window
+HITS = 8                    # windows of a training text around words of the lexicon
 CHANCE = -11.0              # log of the chance above which a form is no sign
 KEEP = 300_000              # distinct words whose weight a worker remembers
 WORD = re.compile(r"[^\W\d_]+")
@@ -152,12 +153,17 @@ def chain(emission: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def windows_of(words: list[str], index: dict[str, int], seed: int) -> list[list[list[int]]]:
-    """Windows of a text, around its first words with a form of ``index`` and two words by chance: the forms at each place."""
+    """Windows of a text, around its words with a form of ``index`` and two words by chance: the forms at each place.
+
+    Of more than ``HITS`` such words, that many are drawn over the whole text.
+    """
     own = {w: [index[f] for f in forms(w) if f in index] for w in set(words)}
     hits = [k for k, w in enumerate(words) if own[w]]
     rng = np.random.default_rng((7, seed))
+    if len(hits) > HITS:
+        hits = sorted(rng.choice(hits, HITS, replace=False).tolist())
     out = []
-    for c in [*hits[:8], *(rng.integers(0, len(words), 2) if words else [])]:
+    for c in [*hits, *(rng.integers(0, len(words), 2) if words else [])]:
         a = max(0, min(int(c) - WINDOW // 2, len(words) - WINDOW))
         part = [own[w] for w in words[a:a + WINDOW]]
         out.append(part + [[]] * (WINDOW - len(part)))
