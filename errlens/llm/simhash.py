@@ -450,7 +450,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows.
     """
     own = {f"x{k}": c for k, c in enumerate(columns)}
-    rows = stored(fingerprints(df, id_col, text_col, shingle, columns).withColumn("salt", salt(F.col("id"))), "fingerprints")
+    rows = stored(fingerprints(df, id_col, text_col, shingle, columns)
+                  .withColumn("salt", salt(F.monotonically_increasing_id())), "fingerprints")
     groups = stored(group_stats(rows, ["fp"], "id").select("fp", "salt", "lowest"), "fingerprint-groups")
     fps = stored(groups.groupBy("fp").agg(F.min("lowest").alias("lowest")), "distinct-fingerprints")
     n, both = bit_counts(fps)
@@ -463,3 +464,35 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     resolved = (groups.join(component, "fp", "left")
                 .select("fp", "salt", F.coalesce("component_id", "lowest").alias("component_id"), F.coalesce("root", "fp").alias("root")))
     return rows.join(resolved, ["fp", "salt"]).select("id", "fp", "component_id", "root", *own).withColumnsRenamed(own)
+
+
+def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """Of each group of linked fingerprints the row with the smallest id (null last), with all columns of ``df``.
+
+    Rows are told apart by id and 128 bits of all their columns, so no text
+    is stored again; of equal rows one stays.  Column names are left as they
+    are and may be any.
+    """
+    names = [f"_d{k}" for k in range(len(df.columns))]
+    rows = df.toDF(*names)
+    own, text = names[df.columns.index(id_col)], names[df.columns.index(text_col)]
+    marked = rows.withColumns({"row_a": F.xxhash64(*names), "row_b": F.xxhash64(F.lit(1), *names)})
+    key = [own, "row_a", "row_b"]
+    found = near_duplicates(marked, own, text, shingle, distance, columns=("row_a", "row_b"))
+    who = F.struct(F.col("id").isNull().alias("none"), "id", "row_a", "row_b")
+    found = stored(found.withColumn("who", who).withColumn("salt", salt(F.col("row_a"))), "near-copies")
+    first = found.join(group_stats(found, ["root"], "who").select("root", "salt", "lowest"), ["root", "salt"])
+    stays = F.col("who").eqNullSafe(F.col("lowest"))
+    others = first.filter(~stays).select(F.col("id").alias(own), "row_a", "row_b").distinct()
+    equal = first.filter(stays).groupBy(F.col("id").alias(own), "row_a", "row_b").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    equal = stored(equal, "equal-rows")
+
+    def among(some: DataFrame, kind: str) -> DataFrame:
+        on = [F.col(f"d.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
+        return marked.alias("d").join(some.alias("r"), on, kind)
+
+    if equal.isEmpty():
+        rest = among(others, "left_anti").select(*names)
+    else:
+        rest = among(others.union(equal), "left_anti").select(*names).union(among(equal, "left_semi").dropDuplicates(key).select(*names))
+    return rest.toDF(*df.columns)
