@@ -12,9 +12,11 @@ Calibration: one temperature, and a rejection threshold, both from training
 rows that the descent did not see; ``rejected`` marks texts whose score is
 below the score that all but ``REJECT`` of the right ones reach.
 
-Training sample: at most ``SAMPLE`` documents per language (the smallest
-hashes of the id), one excerpt of ``EXCERPT`` bytes each.  This bounds
-fitting only; every text is scored whole.
+Training sample: at most ``SAMPLE`` documents per language and ``TOTAL`` in
+all (the smallest hashes of the id), each whole.  The tasks turn a text into
+its grams; of a text with more than ``GRAMS`` of them that many are drawn
+over the whole text, so the driver holds at most ``TOTAL * GRAMS`` numbers
+of two bytes.  This bounds fitting only; every text is scored whole.
 
 Cases: a null text or one without a letter is ``und`` with score 0; null
 languages are no training rows; with no training row every text is ``und``;
@@ -28,13 +30,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from errlens.llm.common import low_hashes, out_batch, pick, text_batches, texts_of
+from errlens.llm.common import out_batch, pick, stored, text_batches, texts_of
 
-SAMPLE = 1500
-EXCERPT = 1500
+SAMPLE = 1500               # training documents of a language
+TOTAL = 30_000              # of all languages together, one of each at least
+GRAMS = 4096                # grams of a training document
 BITS = 15
 BUCKETS = 1 << BITS
 WIDTH = 16
@@ -84,13 +87,13 @@ def fold(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return raw[keep], np.cumsum(keep)[ends - 1]
 
 
-def train(texts: list[bytes], y: np.ndarray, langs: list[str], epochs: int = 4, rate: float = 0.5, seed: int = 3) -> Model:
+def train(gram: list[np.ndarray], y: np.ndarray, langs: list[str], epochs: int = 4, rate: float = 0.5, seed: int = 3) -> Model:
+    """Model from the gram buckets of texts and their languages (indices of ``langs``)."""
     rng = np.random.default_rng(seed)
     k = len(langs)
     emb = rng.normal(0, 0.1, (BUCKETS, WIDTH))
     w, b = rng.normal(0, 0.1, (WIDTH, k)), np.zeros(k)
-    gram = [grams_of(t) for t in texts]
-    held = np.arange(len(texts)) % 5 == 0 if len(texts) >= 50 else np.zeros(len(texts), bool)
+    held = np.arange(len(gram)) % 5 == 0 if len(gram) >= 50 else np.zeros(len(gram), bool)
     rows = np.flatnonzero(~held)
     balance = len(rows) / (k * np.maximum(np.bincount(y[rows], minlength=k), 1))
     for epoch in range(epochs):
@@ -145,21 +148,35 @@ def score(model: Model, texts: list[str]) -> np.ndarray:
 
 def fit(docs: DataFrame, is_train: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on rows with a language for which ``is_train`` (a condition on ``id``) holds."""
-    rows = pick(docs, id=id_col, text=text_col, lang=lang_col).filter("text IS NOT NULL AND lang IS NOT NULL").filter(is_train)
-    total = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}     # a row per language
-    langs = sorted(total)
-    some = None
-    for lang in langs:
-        few = (rows.filter((F.col("lang") == lang) & low_hashes("id", total[lang], SAMPLE))
-               .select("lang", F.substring("text", 1, EXCERPT).alias("text"), F.xxhash64("id").alias("h"), "id")
-               .orderBy("h", "id").limit(SAMPLE).select("lang", "text"))
-        some = few if some is None else some.union(few)
-    sample = sorted((r["lang"], r["text"]) for r in some.collect()) if some is not None else []
-    if not sample:
+    rows = (pick(docs, id=id_col, text=text_col, lang=lang_col).filter("text IS NOT NULL AND lang IS NOT NULL").filter(is_train)
+            .withColumn("h", F.xxhash64("id")))
+    total = stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    n_langs = total.count()
+    if not n_langs:
         return Model()
-    order = np.random.default_rng(1).permutation(len(sample))
+    each = max(1, min(SAMPLE, TOTAL // n_langs))
+    # one scan of the texts for all languages: rows with one of the smallest hashes, about four times as many as wanted
+    share = F.least(F.lit(1.0), 4 * each / F.col("n")) * F.lit(2.0 ** 64) - F.lit(2.0 ** 63)
+    near = rows.join(total.select("lang", share.alias("upto")), "lang").filter(F.col("h") <= F.col("upto"))
+    first = Window.partitionBy("lang").orderBy("h", "id", F.xxhash64("text"))
+    some = near.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= each).select("lang", "k", "text")
+
+    def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in text_batches(batches):
+            out = []
+            for t in texts_of(b):
+                g = grams_of(t.encode())
+                if len(g) > GRAMS:
+                    g = g[np.sort(np.random.default_rng(len(g)).choice(len(g), GRAMS, replace=False))]
+                out.append(g.astype(np.uint16).tobytes())
+            yield out_batch(lang=b.column("lang"), k=b.column("k"), grams=pa.array(out, pa.binary()))
+
+    found = some.mapInArrow(buckets, "lang string, k int, grams binary").toArrow().sort_by([("lang", "ascending"), ("k", "ascending")])
+    langs = sorted(set(found.column("lang").to_pylist()))
     at = {v: k for k, v in enumerate(langs)}
-    return train([sample[i][1].encode() for i in order], np.array([at[sample[i][0]] for i in order]), langs)
+    order = np.random.default_rng(1).permutation(found.num_rows)
+    sample, own = found.column("grams").to_pylist(), found.column("lang").to_pylist()
+    return train([np.frombuffer(sample[i], np.uint16) for i in order], np.array([at[own[i]] for i in order]), langs)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -85,6 +85,38 @@ def test_languages_on_held_out_rows(spark):
     assert np.mean(held) > 0.97
 
 
+def test_language_signal_late_in_a_text_is_learnt(spark):
+    """Texts alike for their first 12,000 characters."""
+    same = prose(9, 2500)
+    rows = [(k, same + " " + (" zorg quix blat " if k % 2 else " mell aero sinn ") * 400, "xx" if k % 2 else "yy") for k in range(60)]
+    assert len(same) > 10_000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.identify(docs, langid.fit(docs, F.col("id") < 40)).collect()
+    assert all(r["lang_pred"] == ("xx" if r["id"] % 2 else "yy") for r in got)
+
+
+def test_many_languages_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "TOTAL", 20)
+    monkeypatch.setattr(langid, "SAMPLE", 3)
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda grams, y, langs: seen.append((len(grams), len(langs))) or langid.Model())
+    docs = spark.createDataFrame([(k, prose(k, 20), f"l{k % 10}") for k in range(200)], "doc_id long, text string, lang string")
+    langid.fit(docs, F.lit(True))
+    assert seen == [(20, 10)]
+
+
+def test_windows_reach_the_whole_text():
+    words = ["bad" if k % 10 == 0 else "x" for k in range(5000)]
+    model = {"w:bad": 0}
+    places = set()
+    for seed in range(40):
+        got = toxicity.windows_of(words, model, seed)
+        assert len(got) == toxicity.HITS + 2
+        places.add(tuple(map(len, map(str, got))))
+    text = ["x"] * 4000 + ["bad"]
+    assert any(any(w) for w in toxicity.windows_of(["bad", *text], model, 1))
+
+
 def test_languages_of_odd_rows(spark):
     docs = documents(spark, [*CASES, (40, "123 ½ ²"), (41, "_")])
     train = spark.createDataFrame([(k, t, v) for k, (t, v) in enumerate([("the of and", "en"), ("le la les", "fr"), (None, "en"), ("x", None)] * 3)],
