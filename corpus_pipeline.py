@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that its
 predecessor kept.  All but the last return the columns of ``documents``.
-Rows are kept or dropped one by one; ``doc_id`` may be null or repeat.
+Rows are kept or dropped one by one; ``doc_id`` may be null or repeat, and
+documents may have further columns of any name.
 """
 
 from __future__ import annotations
@@ -14,66 +15,54 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from errlens.llm import exact_dedup, packing, simhash, suffix_dedup, toxicity
-from errlens.llm.common import group_stats, read_table, salt, ship, stored
+from errlens.llm.common import read_table, ship, stored
 from errlens.llm.queries import BYTE_BPE, END_ID, fold
 from errlens.session import ensure_checkpoint_dir
 
 
+def placed(docs: DataFrame) -> tuple[DataFrame, str, str, tuple[str, ...]]:
+    """``docs`` with columns named by place, so that none can meet a name of an operator; its id, its text, all columns."""
+    names = tuple(f"_d{k}" for k in range(len(docs.columns)))
+    return docs.toDF(*names), names[docs.columns.index("doc_id")], names[docs.columns.index("text")], names
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator does not reject (score under one half)."""
     ship(spark)
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"), fold("id") != 0)
-    return toxicity.tag(docs, model, columns=tuple(docs.columns)).filter("score < 0.5").select(*docs.columns)
+    rows, own, text, names = placed(docs)
+    return toxicity.tag(rows, model, own, text, columns=names).filter("score < 0.5").select(*names).toDF(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the smallest doc_id."""
-    return exact_dedup.dedup(docs, columns=tuple(docs.columns)).filter("kept").select(*docs.columns)
+    rows, own, text, names = placed(docs)
+    return exact_dedup.dedup(rows, own, text, columns=names).filter("kept").select(*names).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the row with the smallest doc_id (null last).
-
-    Rows are told apart by doc_id and 128 bits of all their columns, so no
-    text is stored again; of equal rows one stays.
-    """
+    """Of each group of linked fingerprints the row with the smallest doc_id (null last); of equal rows one stays."""
     ship(spark)
-    marked = docs.withColumns({"row_a": F.xxhash64(*docs.columns), "row_b": F.xxhash64(F.lit(1), *docs.columns)})
-    key = ["doc_id", "row_a", "row_b"]
-    found = simhash.near_duplicates(marked, shingle=3, distance=3, columns=("row_a", "row_b"))
-    who = F.struct(F.col("id").isNull().alias("none"), "id", "row_a", "row_b")
-    found = stored(found.withColumn("who", who).withColumn("salt", salt(F.col("row_a"))), "near-copies")
-    first = found.join(group_stats(found, ["root"], "who").select("root", "salt", "lowest"), ["root", "salt"])
-    others = first.filter(~F.col("who").eqNullSafe(F.col("lowest"))).select(F.col("id").alias("doc_id"), "row_a", "row_b").distinct()
-    equal = (first.filter(F.col("who").eqNullSafe(F.col("lowest"))).groupBy(F.col("id").alias("doc_id"), "row_a", "row_b")
-             .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
-    equal = stored(equal, "equal-rows")
-
-    def among(rows: DataFrame, kind: str) -> DataFrame:
-        on = [F.col(f"d.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
-        return marked.alias("d").join(rows.alias("r"), on, kind)
-
-    if equal.isEmpty():
-        return among(others, "left_anti").select(*docs.columns)
-    rest = among(others.union(equal), "left_anti").select(*docs.columns)
-    return rest.union(among(equal, "left_semi").dropDuplicates(key).select(*docs.columns))
+    return simhash.keep_first(docs, shingle=3, distance=3)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without long repeated strings; every document stays, n_chars follows its text."""
     ship(spark)
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    cut = suffix_dedup.remove_repeats(docs, columns=rest, as_text=True)
-    cut = cut.withColumnsRenamed({"id": "doc_id", "kept": "text"}).withColumn("n_chars", F.length("text").cast("long"))
-    return cut.select(*docs.columns)
+    rows, own, text, names = placed(docs)
+    cut = suffix_dedup.remove_repeats(rows, own, text, columns=tuple(n for n in names if n not in (own, text)), as_text=True)
+    cut = cut.withColumnsRenamed({"id": own, "kept": text})
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn(names[docs.columns.index("n_chars")], F.length(text).cast("long"))
+    return cut.select(*names).toDF(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places of all token pieces in sequences of 1024 tokens."""
     ship(spark)
     cut = packing.pieces(docs, public_tokenizers.path(BYTE_BPE), END_ID)
-    placed = packing.pack(cut.select("id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
-    return placed.withColumnRenamed("id", "doc_id")
+    in_sequences = packing.pack(cut.select("id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    return in_sequences.withColumnRenamed("id", "doc_id")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
