@@ -101,6 +101,20 @@ def test_null_and_repeated_ids(spark, sf_small):
     assert sorted(((r["doc_id"], r["piece"]) for r in placed if r["piece"] == 0), key=repr) == sorted([(i, 0) for i, _ in few], key=repr)
 
 
+def test_columns_of_any_name_come_back_unchanged(spark, sf_small):
+    names = ["id", "score", "spans", "kept", "row_a", "row_b", "root", "h", "x0", "salt", "who", "keep_id", "fp", "t", "size", "_d0", "full", "group_size"]
+    rows = [(k, prose(900 + k, 120), *(f"{n}-{k}" for n in names)) for k in range(30)] + [(40, prose(900, 120).upper(), *(f"{n}-40" for n in names))]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id long", "text string", *(f"{n} string" for n in names)]))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stored(stage(spark, docs, sf_small), f"clash-{name}")
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert len(got) == (30 if name == "simhash_dedup" else 31)
+        for r in got:
+            assert tuple(r)[2:] == tuple(f"{n}-{r['doc_id']}" for n in names)
+    assert corpus_pipeline.pack(spark, docs, sf_small).count() >= 31
+
+
 def test_run_gives_the_last_stage(spark, stages, sf_small):
     key = ["doc_id", "piece", "start", "length", "ids_crc32"]
     got = corpus_pipeline.run(spark, sf_small)
