@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from errlens.llm import pretokens as PT
-from errlens.llm.common import out_batch, pick, text_batches, texts_of
+from errlens.llm.common import out_batch, pick, settled, text_batches, texts_of
 
 NONE = np.int64(1) << 62
 LONG = 256                 # leaves from which a pre-token is merged alone
@@ -339,7 +339,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
             yield out_batch(id=b.column("id"), ids=_binaries(ids, ends))
 
     id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {id_type}, ids binary")
+    return rows.mapInArrow(settled(run), f"id {id_type}, ids binary")
 
 
 def decode(df: DataFrame, path: str) -> DataFrame:
@@ -361,4 +361,4 @@ def decode(df: DataFrame, path: str) -> DataFrame:
                                 text=pa.array([raw[s:e].decode("utf-8", "replace") for s, e in cuts], pa.string()))
 
     id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {id_type}, ids binary, text string")
+    return rows.mapInArrow(settled(run), f"id {id_type}, ids binary, text string")

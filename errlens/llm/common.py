@@ -7,9 +7,10 @@ tables go to the shared folder named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import ctypes
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -104,6 +105,18 @@ def texts_of(batch: pa.RecordBatch) -> list[str]:
     return [t or "" for t in batch.column("text").to_pylist()]
 
 
+def settled(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` that gives memory it has freed back to the system at its end; workers live on between tasks."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):               # another C library
+            pass
+    return wrapped
+
+
 def out_batch(**cols) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, (pa.Array, pa.ChunkedArray)) else pa.array(c) for c in cols.values()],
                                       names=list(cols))

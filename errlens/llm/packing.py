@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from errlens.llm.bpe import _binaries, encode_texts
-from errlens.llm.common import out_batch, pick, stored, text_batches, texts_of
+from errlens.llm.common import out_batch, pick, settled, stored, text_batches, texts_of
 
 CAPACITY = 1024
 OPEN_BINS = 1 << 16
@@ -59,7 +59,7 @@ def pieces(df: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, id_c
                             ids=_binaries(with_end, first[doc] + start + length))
 
     id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {id_type}, piece int, start long, length long, ids binary")
+    return rows.mapInArrow(settled(run), f"id {id_type}, piece int, start long, length long, ids binary")
 
 
 class Packer:
@@ -118,7 +118,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS,
             yield out_batch(**keep, sequence_id=base + seq, offset=np.ascontiguousarray(offset))
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in items.schema)
-    return dealt.mapInArrow(run, f"{fields}, sequence_id long, offset long")
+    return dealt.mapInArrow(settled(run), f"{fields}, sequence_id long, offset long")
 
 
 def sequences(placed: DataFrame) -> DataFrame:

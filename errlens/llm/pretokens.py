@@ -47,17 +47,20 @@ def classes() -> np.ndarray:
 
 
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_KEPT_POWERS = 1 << 18
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the step and of its inverse, at least ``n`` of them (kept between calls)."""
-    if len(_powers[0]) < n:
-        n = 1 << (n - 1).bit_length()
-        for k, base in enumerate((_STEP, pow(_STEP, -1, 1 << 64))):
-            t = np.full(n, base, np.uint64)
-            t[0] = 1
-            _powers[k] = np.multiply.accumulate(t)
-    return _powers[0][:n], _powers[1][:n]
+    """Powers of the step and of its inverse, at least ``n`` of them (short tables are kept between calls)."""
+    if len(_powers[0]) >= n:
+        return _powers[0][:n], _powers[1][:n]
+    tables = []
+    for base in (_STEP, pow(_STEP, -1, 1 << 64)):
+        t = np.full(max(n, _KEPT_POWERS), base, np.uint64)
+        t[0] = 1
+        tables.append(np.multiply.accumulate(t))
+    _powers[:] = [t[:_KEPT_POWERS].copy() for t in tables]
+    return tables[0][:n], tables[1][:n]
 
 
 def code_points(texts: list[str], specials: tuple[str, ...] = (), normal=None) -> np.ndarray:

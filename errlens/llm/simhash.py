@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from errlens.llm.common import group_stats, out_batch, pick, salt, stored, text_batches
+from errlens.llm.common import group_stats, out_batch, pick, salt, settled, stored, text_batches
 
 SHINGLE = 3
 DISTANCE = 3
@@ -171,7 +171,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     kind = {n: rows.schema[n].dataType.simpleString() for n in ("id", *own)}
     more = "".join(f", {x} {kind[x]}" for x in own)
-    return rows.mapInArrow(run, f"id {kind['id']}, fp long{more}")
+    return rows.mapInArrow(settled(run), f"id {kind['id']}, fp long{more}")
 
 
 # ---------------------------------------------------------------- generalised pigeonhole
@@ -191,7 +191,7 @@ def bit_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
         if n:
             yield out_batch(cell=np.arange(4097, dtype=np.int32), n=np.r_[total.reshape(-1), n].astype(np.int64))
 
-    got = dict(fps.select("fp").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n")).collect())
+    got = dict(fps.select("fp").mapInArrow(settled(run), "cell int, n long").groupBy("cell").agg(F.sum("n")).collect())
     if not got:
         return 0, np.zeros((64, 64))
     flat = np.array([got[k] for k in range(4097)], np.float64)
@@ -238,7 +238,7 @@ def value_counts(fps: DataFrame, parts: list[list[int]]) -> np.ndarray:
         at = np.flatnonzero(total)
         yield out_batch(cell=at.astype(np.int32), n=total.reshape(-1)[at])
 
-    counts = fps.select("fp").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    counts = fps.select("fp").mapInArrow(settled(run), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     table = np.zeros(len(parts) << TABLE_BITS, np.int64)       # bounded: parts x 65,536 cells
     got = counts.toPandas()
     table[got["cell"].to_numpy()] = got["n"].to_numpy()
@@ -355,7 +355,7 @@ def candidates(fps: DataFrame, parts: list[list[int]], table: np.ndarray, distan
             for bucket, probe, fp in rows_of(b.column("fp").to_numpy().view(np.uint64)):
                 yield out_batch(bucket=bucket, probe=probe, fp=np.ascontiguousarray(fp).view(np.int64))
 
-    return fps.select("fp").mapInArrow(run, "bucket long, probe boolean, fp long")
+    return fps.select("fp").mapInArrow(settled(run), "bucket long, probe boolean, fp long")
 
 
 def _forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -418,7 +418,7 @@ def links(cands: DataFrame, distance: int) -> DataFrame:
                     yield out_batch(a=u, b=v)
                 rest = [x[cut:] for x in rest]
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(settled(run), "a long, b long").distinct()
 
 
 def connect(edges: DataFrame) -> DataFrame:

@@ -44,7 +44,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from errlens.llm.common import group_stats, out_batch, pick, salt, stored, text_batches
+from errlens.llm.common import group_stats, out_batch, pick, salt, settled, stored, text_batches
 from errlens.llm.exact_dedup import _among, _survivors
 from errlens.llm.pretokens import _power_tables
 from errlens.llm.suffix_array import suffix_array
@@ -179,7 +179,7 @@ def all_segments(rows: DataFrame) -> DataFrame:
             yield out_batch(id=b.column("id").take(at), h=b.column("h").take(at), anchor=s.hash.view(np.int64),
                             content=s.content.view(np.int64), start=s.start, count=s.count.astype(np.int32))
 
-    return rows.mapInArrow(run, _key(rows) + ", anchor long, content long, start long, count int")
+    return rows.mapInArrow(settled(run), _key(rows) + ", anchor long, content long, start long, count int")
 
 
 def _bitmap(df: DataFrame, words: int, col: str = "anchor") -> np.ndarray:
@@ -327,7 +327,7 @@ def compare_segments(segs: DataFrame, key: str) -> DataFrame:
         if held:
             yield from flush(held)
 
-    return dealt.mapInArrow(run, key + ", s long, e long")
+    return dealt.mapInArrow(settled(run), key + ", s long, e long")
 
 
 def segments_with_bytes(rows: DataFrame, mixed: np.ndarray, crowded: np.ndarray, repeated: np.ndarray, again: bool) -> DataFrame:
@@ -360,7 +360,7 @@ def segments_with_bytes(rows: DataFrame, mixed: np.ndarray, crowded: np.ndarray,
                             content=s.content[k].view(np.int64), start=s.start[k], lead=(s.anchor[k] - s.first[k]).astype(np.int32),
                             copies=copies.astype(np.int64), bytes=pa.array(blobs, pa.binary()))
 
-    return rows.mapInArrow(run, _key(rows) + ", anchor long, content long, start long, lead int, copies long, bytes binary")
+    return rows.mapInArrow(settled(run), _key(rows) + ", anchor long, content long, start long, lead int, copies long, bytes binary")
 
 
 def distinct_segments(rows: DataFrame, mixed: np.ndarray, crowded: np.ndarray, repeated: np.ndarray) -> DataFrame:
@@ -392,7 +392,7 @@ def crowded_windows(rows: DataFrame, crowded: np.ndarray) -> DataFrame:
             yield out_batch(id=b.column("id").take(at), h=b.column("h").take(at), start=s.start[seg] + step,
                             w1=range_hashes(s.x, p, p + LENGTH, 0).view(np.int64), w2=range_hashes(s.x, p, p + LENGTH, 1).view(np.int64))
 
-    return rows.mapInArrow(run, _key(rows) + ", start long, w1 long, w2 long")
+    return rows.mapInArrow(settled(run), _key(rows) + ", start long, w1 long, w2 long")
 
 
 # ---------------------------------------------------------------- operator
@@ -457,5 +457,5 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     id_type = rows.schema["id"].dataType.simpleString()
     more = "".join(f"{x} {rows.schema[x].dataType.simpleString()}, " for x in extra)
-    out = both.mapInArrow(cut, f"id {id_type}, {more}n_bytes long, n_removed long, spans array<struct<s:long,e:long>>, kept {'string' if as_text else 'binary'}")
+    out = both.mapInArrow(settled(cut), f"id {id_type}, {more}n_bytes long, n_removed long, spans array<struct<s:long,e:long>>, kept {'string' if as_text else 'binary'}")
     return out.withColumnsRenamed(extra)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from errlens.llm import pretokens as PT
 from errlens.llm.bpe import Merges, merges
-from errlens.llm.common import out_batch, pick, text_batches, texts_of
+from errlens.llm.common import out_batch, pick, settled, text_batches, texts_of
 
 # How a word-level vocabulary file normalises and splits texts (fixed value).
 WORD_LEVEL = (
@@ -103,7 +103,7 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             yield out_batch(id=b.column("id"), n_bytes=size.cast(pa.int64()), n_tokens=count_texts(texts_of(b), path))
 
     id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {id_type}, n_bytes long, n_tokens long")
+    return rows.mapInArrow(settled(run), f"id {id_type}, n_bytes long, n_tokens long")
 
 
 def over(df: DataFrame, limit: int) -> DataFrame:

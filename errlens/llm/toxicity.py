@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from errlens.llm.common import low_hashes, out_batch, pick, stored, text_batches, texts_of
+from errlens.llm.common import low_hashes, out_batch, pick, settled, stored, text_batches, texts_of
 
 SAMPLE = 2500               # training documents of each class, at most
 WINDOW = 21                 # labelled tokens of a training window
@@ -125,7 +125,7 @@ def sample_lexicon(train: DataFrame, family: dict[int, int], n: list[int]) -> li
         for b in batches:
             yield b.filter(pa.array([tied(a, c, n) for a, c in zip(b.column("a").to_pylist(), b.column("b").to_pylist())], pa.bool_())).select(["form"])
 
-    counts = (train.select("k", "y", "text").mapInArrow(run, "form string, y int, family long").distinct()
+    counts = (train.select("k", "y", "text").mapInArrow(settled(run), "form string, y int, family long").distinct()
               .groupBy("form").agg(F.count_if(F.col("y") == 1).alias("a"), F.count_if(F.col("y") == 0).alias("b")).filter("a >= 3"))
     return sorted(r["form"] for r in counts.mapInArrow(keep, "form string").collect())
 
@@ -391,5 +391,5 @@ def tag(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
 
     kind = {n: rows.schema[n].dataType.simpleString() for n in ("id", *own)}
     more = "".join(f", {x} {kind[x]}" for x in own)
-    return (rows.mapInArrow(run, f"id {kind['id']}, score double, spans array<struct<start:int,end:int,p:double>>{more}")
+    return (rows.mapInArrow(settled(run), f"id {kind['id']}, score double, spans array<struct<start:int,end:int,p:double>>{more}")
             .withColumnsRenamed(own))
