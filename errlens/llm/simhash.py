@@ -16,9 +16,13 @@ principle.
 * A fingerprint probes all values within ``t_i`` of its part ``i``;
   candidates are verified on all 64 bits.
 
-A crowded bucket is split into blocks of index rows times blocks of probe
-rows, so a task compares bounded blocks.  Of the verified links of a block
-only a spanning forest leaves the task.  Components come from alternating
+Whole part values of more than BLOCK fingerprints are counted exactly, and
+their buckets split into blocks of index rows times lanes of probe rows; a
+value that is not crowded has one bucket, however full its 16-bit cell is.
+At most 2^18 values a part can be that crowded, so beyond half a billion
+fingerprints a block has up to n / 2^18 rows.  A task holds the index rows of
+one bucket and streams its probes.  Of the verified links only a spanning
+forest leaves the task.  Components come from alternating
 large-star / small-star rounds over tables in the shared folder; hot nodes
 are salted.
 
@@ -30,7 +34,7 @@ or repeat; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -45,6 +49,7 @@ DISTANCE = 3
 SEED = 42
 BLOCK = 2048               # index rows of a bucket that one task compares at once
 TABLE_BITS = 16            # part values are counted by this many bits
+CROWDED_BITS = 18          # at most 2^18 crowded values a part
 PAIRS = 1 << 20            # pairs compared in one numpy step
 
 # XXH64 primes (fixed values of the public algorithm)
@@ -245,6 +250,44 @@ def value_counts(fps: DataFrame, parts: list[list[int]]) -> np.ndarray:
     return table.reshape(len(parts), -1)
 
 
+def crowded_values(fps: DataFrame, parts: list[list[int]], table: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each part the whole values (ascending) that crowd a bucket, with their exact counts.
+
+    A crowded value has more than BLOCK and more than n / 2^CROWDED_BITS
+    fingerprints, so there are at most 2^CROWDED_BITS of them; only values
+    in cells as full as that are counted.
+    """
+    least = max(BLOCK, int(table[0].sum()) >> CROWDED_BITS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = b.column("fp").to_numpy().view(np.uint64)
+            for i, part in enumerate(parts):
+                who = table[i][values_of(fp, part[:TABLE_BITS]).astype(np.int64)] > least
+                if who.any():
+                    value, n = np.unique(values_of(fp[who], part), return_counts=True)
+                    yield out_batch(part=np.full(len(value), i, np.int32), value=value.view(np.int64), n=n.astype(np.int64))
+
+    got = (fps.select("fp").mapInArrow(settled(run), "part int, value long, n long").groupBy("part", "value")
+           .agg(F.sum("n").alias("n")).filter(F.col("n") > least).toPandas())
+    out = []
+    for i in range(len(parts)):
+        mine = got[got["part"] == i]
+        value, n = mine["value"].to_numpy(np.int64).view(np.uint64), mine["n"].to_numpy(np.int64)
+        order = np.argsort(value)
+        out.append((value[order], n[order]))
+    return out
+
+
+def counts_of(value: np.ndarray, crowded: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Exact count of each crowded value, 0 for the others."""
+    known, n = crowded
+    if not len(known):
+        return np.zeros(len(value), np.int64)
+    at = np.minimum(np.searchsorted(known, value), len(known) - 1)
+    return np.where(known[at] == value, n[at], 0)
+
+
 def near_counts(table: np.ndarray, reach: int) -> np.ndarray:
     """[part, t, value]: fingerprints whose part value is within t bits."""
     bits = TABLE_BITS
@@ -315,8 +358,9 @@ def _spread(fp: np.ndarray, n: np.ndarray, seed: np.uint64) -> np.ndarray:
     return (((fp * P1 + seed) >> np.uint64(33)) % np.maximum(n, 1).astype(np.uint64)).astype(np.int64)
 
 
-def candidates(fps: DataFrame, parts: list[list[int]], table: np.ndarray, distance: int) -> DataFrame:
-    """``bucket``, ``probe`` (0 index row, 1 probe row), ``fp``."""
+def candidate_rows(parts: list[list[int]], table: np.ndarray, crowded: list[tuple[np.ndarray, np.ndarray]],
+                   distance: int, block: int = BLOCK) -> Callable[[np.ndarray], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """The function from fingerprints to their index and probe rows: ``bucket``, ``probe``, ``fp``."""
     near = near_counts(table, distance)
     widths = [len(p) for p in parts]
     thin = [2.0 ** max(0, w - TABLE_BITS) for w in widths]
@@ -325,15 +369,16 @@ def candidates(fps: DataFrame, parts: list[list[int]], table: np.ndarray, distan
     def rows_of(fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         value = [values_of(fp, p) for p in parts]
         cell = [values_of(fp, p[:TABLE_BITS]).astype(np.int64) for p in parts]
+        own = [counts_of(v, c) for v, c in zip(value, crowded)]
         cost = np.zeros((len(parts), total + 1, len(fp)))
         for i, w in enumerate(widths):
             signatures = 0.0
             for t in range(total):
                 signatures += _choose(w, t)
-                cost[i, t + 1] = near[i, t, cell[i]] / thin[i] + 8 * signatures
+                cost[i, t + 1] = np.maximum(near[i, t, cell[i]] / thin[i], own[i]) + 8 * signatures
         units = allocate(cost, total)
         for i, w in enumerate(widths):
-            blocks = -(-table[i][cell[i]] // BLOCK)      # of index rows, and as many lanes of probes
+            blocks = np.maximum(-(-own[i] // block), 1)  # of index rows, and as many lanes of probes
             for rows in (np.flatnonzero(blocks == b) for b in np.unique(blocks)):
                 b = int(blocks[rows[0]])
                 for lane in range(b):                    # an index row goes to one block in every lane
@@ -343,14 +388,24 @@ def candidates(fps: DataFrame, parts: list[list[int]], table: np.ndarray, distan
                 for flip in combinations(range(w), t):
                     mask = np.uint64(sum(1 << b for b in flip))
                     probe = value[i][who] ^ mask
-                    here = probe & np.uint64((1 << TABLE_BITS) - 1)
-                    blocks = -(-table[i][here.astype(np.int64)] // BLOCK)
+                    here = (probe & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
+                    blocks = np.where(table[i][here] > 0, np.maximum(-(-counts_of(probe, crowded[i]) // block), 1), 0)
                     for b in range(int(blocks.max(initial=0))):
                         go = blocks > b
                         lane = _spread(fp[who[go]], blocks[go], P4)
                         yield _bucket(i, probe[go], np.full(int(go.sum()), b), lane), np.ones(int(go.sum()), bool), fp[who[go]]
 
+    return rows_of
+
+
+def candidates(fps: DataFrame, parts: list[list[int]], table: np.ndarray, crowded: list[tuple[np.ndarray, np.ndarray]],
+               distance: int) -> DataFrame:
+    """``bucket``, ``probe`` (0 index row, 1 probe row), ``fp``."""
+    # bounded: 2^16 counts and at most 2^18 values a part
+    shipped, block = fps.sparkSession.sparkContext.broadcast((table, crowded)), BLOCK
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows_of = candidate_rows(parts, *shipped.value, distance, block)
         for b in batches:
             for bucket, probe, fp in rows_of(b.column("fp").to_numpy().view(np.uint64)):
                 yield out_batch(bucket=bucket, probe=probe, fp=np.ascontiguousarray(fp).view(np.int64))
@@ -405,18 +460,15 @@ def links(cands: DataFrame, distance: int) -> DataFrame:
     dealt = cands.repartition("bucket").sortWithinPartitions("bucket", "probe")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[np.ndarray] = []
-        for b in (*batches, None):
-            if b is not None:
-                new = [b.column("bucket").to_numpy(), b.column("probe").to_numpy(zero_copy_only=False), b.column("fp").to_numpy().view(np.uint64)]
-                rest = [np.concatenate(x) for x in zip(rest, new)] if rest else new
-            if not rest or not len(rest[0]):
-                continue
-            cut = len(rest[0]) if b is None else int(np.searchsorted(rest[0], rest[0][-1], "left"))
-            if cut:
-                for u, v in _compare(*(x[:cut] for x in rest), distance):
+        held: list[np.ndarray] = []               # index rows of the bucket that the next batch may go on with
+        for b in batches:
+            rows = [b.column("bucket").to_numpy(), b.column("probe").to_numpy(zero_copy_only=False), b.column("fp").to_numpy().view(np.uint64)]
+            rows = [np.concatenate(x) for x in zip(held, rows)] if held else rows
+            if len(rows[0]):
+                for u, v in _compare(*rows, distance):
                     yield out_batch(a=u, b=v)
-                rest = [x[cut:] for x in rest]
+                open_ = (rows[0] == rows[0][-1]) & ~rows[1]
+                held = [x[open_] for x in rows]
 
     return dealt.mapInArrow(settled(run), "a long, b long").distinct()
 
@@ -456,7 +508,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     fps = stored(groups.groupBy("fp").agg(F.min("lowest").alias("lowest")), "distinct-fingerprints")
     n, both = bit_counts(fps)
     parts = group_bits(n, both, parts_for(n, distance))
-    stars = connect(links(candidates(fps, parts, value_counts(fps, parts), distance), distance))
+    table = value_counts(fps, parts)
+    stars = connect(links(candidates(fps, parts, table, crowded_values(fps, parts, table), distance), distance))
     members = stars.union(stars.select("root", "root").distinct()).toDF("fp", "root")
     members = members.join(fps, "fp").withColumnRenamed("lowest", "id").withColumn("salt", salt(F.col("fp")))
     low = group_stats(members, ["root"], "id").select("root", "salt", F.col("lowest").alias("component_id"))

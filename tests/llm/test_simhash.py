@@ -88,12 +88,45 @@ def test_no_link_is_lost(spark, monkeypatch, parts, block):
     assert n == len(fps)
     groups = S.group_bits(n, both, parts)
     assert sorted(b for g in groups for b in g) == list(range(64))
-    stars = S.connect(S.links(S.candidates(df, groups, S.value_counts(df, groups), 3), 3)).collect()
+    table = S.value_counts(df, groups)
+    crowded = S.crowded_values(df, groups, table)
+    for group, (value, count) in zip(groups, crowded):
+        all_values, n = np.unique(S.values_of(np.array(fps, np.uint64), group), return_counts=True)
+        assert value.tolist() == all_values[n > block].tolist() and count.tolist() == n[n > block].tolist()
+    stars = S.connect(S.links(S.candidates(df, groups, table, crowded, 3), 3)).collect()
     root = {r["node"]: r["root"] for r in stars}
     signed = [x - (1 << 64) if x >> 63 else x for x in fps]
     assert [root.get(x, x) for x in signed] == [signed[k] for k in components(fps)]
 
 
+def test_rows_per_fingerprint_do_not_grow_with_the_corpus():
+    fps = np.random.default_rng(5).integers(0, 2 ** 64, 200, dtype=np.uint64)
+    none = (np.empty(0, np.uint64), np.empty(0, np.int64))
+    for n in (10 ** 6, 10 ** 7, 10 ** 8, 10 ** 9, 10 ** 10):
+        m = S.parts_for(n, 3)
+        parts = [x.tolist() for x in np.array_split(np.arange(64), m)]
+        table = np.full((m, 1 << S.TABLE_BITS), n >> S.TABLE_BITS)
+        made = sum(len(fp) for _, _, fp in S.candidate_rows(parts, table, [none] * m, 3)(fps))
+        assert made <= 80 * len(fps)
+
+
+def test_crowded_value_beside_rare_ones(spark, monkeypatch):
+    """A crowded value is split, its neighbours in the same cell are not."""
+    monkeypatch.setattr(S, "BLOCK", 4)
+    base = 0x0123_4567_89AB_CDEF
+    fps = sorted({base ^ (k << 32) for k in range(64)} | {base ^ (1 << 20) ^ (k << 40) for k in range(3)})
+    df = spark.createDataFrame([(x,) for x in fps], "fp long")
+    parts = [list(range(32)), list(range(32, 64))]
+    table = S.value_counts(df, parts)
+    crowded = S.crowded_values(df, parts, table)
+    assert crowded[0][0].tolist() == [base & 0xFFFFFFFF] and crowded[0][1].tolist() == [64]
+    rows = S.candidates(df, parts, table, crowded, 3)
+    largest = rows.filter("not probe").groupBy("bucket").count().agg({"count": "max"}).first()[0]
+    assert largest <= 12                             # about BLOCK, not 64
+    root = {r["node"]: r["root"] for r in S.connect(S.links(rows, 3)).collect()}
+    assert [root.get(x, x) for x in fps] == [fps[k] for k in components(fps)]
+
+
 def test_cases(spark):
     rows = CASES + [(30, prose(9, 400)), (31, prose(9, 400) + " one more"), (32, prose(9, 400).upper())]
     got = S.near_duplicates(documents(spark, rows)).collect()
