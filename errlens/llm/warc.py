@@ -4,10 +4,12 @@ Method
 
 * Payload digests group equal payloads.  Of a group the record with the
   largest id is the response, the others revisit it.
-* Records are sorted by id.  Shards are ranges of ids of about equal bytes,
-  cut by a prefix sum of record sizes over all ids, so the cuts depend on
-  the rows only, not on sampling or partitions.
-* A task writes its shards record by record (one gzip member each, headers
+* Records are sorted by id (null first) and digest.  Shards are ranges of
+  (id, digest) of about equal bytes, cut by a prefix sum of record sizes over
+  all rows, so the cuts depend on the rows only, not on sampling or
+  partitions, and a null or repeated id spans as many shards as its bytes
+  need.
+* Each shard is a task of its own, which writes it record by record (one gzip member each, headers
   and digests made anew) and rolls to the next file of the shard when the
   compressed size would pass the limit.
 * Files get temporary names that no other attempt uses.  The manifest rows
@@ -20,8 +22,9 @@ Files go to the shared folder through pyarrow's file systems, by URI.
 
 Cases: a null payload is empty; a null URL has no target line; a null id
 sorts first; records with the same id and payload are one response and
-revisits of that id; a payload of any size is one record of its own; an
-empty table gives an empty manifest and no file.
+revisits of that id, side by side in one shard, so that rows which repeat
+both make a shard larger than others; a payload of any size is one record of
+its own; an empty table gives an empty manifest and no file.
 """
 
 from __future__ import annotations
@@ -40,9 +43,11 @@ from pyspark.sql import functions as F
 
 from errlens.llm.common import group_stats, out_batch, pick, salt, stored
 
-SHARD_BYTES = 16 << 20      # records of a shard, before compression
-MAX_SHARDS = 100_000        # above that, shards grow; bounds the list of cuts
-FILE_BYTES = 4 << 20        # compressed size at which a shard rolls to its next file
+SHARD_BYTES = 16 << 20      # records of a shard before compression, at least
+LARGE_SHARD = 1 << 30       # and at most (if not less than the former); between them, a 4096th of all bytes
+SHARES = 4096
+FILE_BYTES = 1 << 30        # compressed size at which a shard rolls to its next file
+READ_BYTES = 8 << 20        # compressed bytes of a reading task, where files are smaller
 DATE = "2024-01-01T00:00:00Z"
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 _RECORD = 600               # bytes of headers, about
@@ -82,19 +87,27 @@ def record(page: int | None, url: str | None, payload: bytes, digest: str, refer
 
 # ---------------------------------------------------------------- shards
 
-def shard_cuts(sized: DataFrame, shard_bytes: int) -> list[int]:
-    """Smallest id of each shard after the first, from a prefix sum of ``bytes`` in order of ``id``."""
+def _place(page: int | None, digest: str) -> tuple[int, int]:
+    """Where a record sorts: null ids first, then the first 60 bits of the digest."""
+    return -(1 << 63) - 1 if page is None else page, int(digest[:15], 16)
+
+
+def shard_cuts(sized: DataFrame, shard_bytes: int) -> list[tuple[int, int]]:
+    """Smallest place of each shard after the first, from a prefix sum of ``bytes`` in order of ``id`` and ``digest``."""
     total = sized.agg(F.sum("bytes")).first()[0] or 0
-    per_shard = max(shard_bytes, -(-total // MAX_SHARDS))
-    # equal ids are summed first, so that no id lies in two shards
-    by_id = sized.filter("id IS NOT NULL").groupBy("id").agg(F.sum("bytes").alias("bytes"))
-    ordered = stored(by_id.repartitionByRange("id").withColumn("part", F.spark_partition_id()), "warc-sizes")
+    per_shard = min(max(shard_bytes, total // SHARES), max(shard_bytes, LARGE_SHARD))
+    # equal ids with equal digests are summed first, so that they lie in one shard
+    key = ["id", "digest"]
+    summed = sized.groupBy(*key).agg(F.sum("bytes").alias("bytes"))
+    ordered = stored(summed.repartitionByRange(*key).withColumn("part", F.spark_partition_id()), "warc-sizes")
     parts = ordered.groupBy("part").agg(F.sum("bytes").alias("own"))
     before = parts.select("part", (F.sum("own").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("own")).alias("base"))
-    running = F.sum("bytes").over(Window.partitionBy("part").orderBy("id").rowsBetween(Window.unboundedPreceding, 0))
+    running = F.sum("bytes").over(Window.partitionBy("part").orderBy(*key).rowsBetween(Window.unboundedPreceding, 0))
     at = (ordered.withColumn("upto", running).join(before, "part")
-          .select("id", F.floor((F.col("base") + F.col("upto") - F.col("bytes")) / per_shard).alias("shard")))
-    return sorted(r[0] for r in at.groupBy("shard").agg(F.min("id")).select("min(id)").collect())[1:]
+          .select(F.struct(F.col("id").isNotNull().alias("known"), *key).alias("key"),
+                  F.floor((F.col("base") + F.col("upto") - F.col("bytes")) / per_shard).alias("shard")))
+    first = at.groupBy("shard").agg(F.min("key").alias("key")).select("key.id", "key.digest").collect()
+    return sorted(_place(*r) for r in first)[1:]
 
 
 # ---------------------------------------------------------------- writing
@@ -150,8 +163,9 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
         F.col("id").cast("long").alias("id"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("binary"), F.lit(b"")).alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
-    narrow = stored(rows.select("id", "digest", F.octet_length("payload").cast("long").alias("n"), salt(F.col("id")).alias("salt")), "warc-digests")
-    cuts = shard_cuts(narrow.select("id", (F.col("n") + _RECORD).alias("bytes")), shard_bytes)
+    narrow = stored(rows.select("id", "digest", F.octet_length("payload").cast("long").alias("n"),
+                                salt(F.monotonically_increasing_id()).alias("salt")), "warc-digests")
+    cuts = shard_cuts(narrow.select("id", F.substring("digest", 1, 15).alias("digest"), (F.col("n") + _RECORD).alias("bytes")), shard_bytes)
     shared = group_stats(narrow.filter(F.col("n") >= min_revisit), ["digest"], "id").filter("group_size > 1")
     notes = narrow.join(shared, ["digest", "salt"]).select("id", "digest", F.col("highest").alias("response"))
     both = (rows.select("id", "digest", F.lit(1).alias("kind"), "url", "payload", F.lit(None).cast("long").alias("response"))
@@ -160,12 +174,12 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            at = [0 if k is None else bisect_right(cuts, k) for k in b.column("id").to_pylist()]
+            at = [bisect_right(cuts, _place(*k)) for k in zip(b.column("id").to_pylist(), b.column("digest").to_pylist())]
             yield out_batch(**{n: b.column(n) for n in b.schema.names}, shard=pa.array(at, pa.int32()))
 
     fields = "id long, digest string, kind int, url string, payload binary, response long"
-    # as many tasks as shards, whatever the session's shuffle partitions
-    dealt = (both.mapInArrow(place, fields + ", shard int").repartition(len(cuts) + 1, "shard")
+    # shard s is task s, so no two shards meet in a task
+    dealt = (both.mapInArrow(place, fields + ", shard int").repartitionById(len(cuts) + 1, F.col("shard"))
              .sortWithinPartitions("shard", "id", "digest", "kind", "url"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,6 +280,7 @@ def read_archives(manifest: DataFrame, payloads: bool = True, batch: int = 500)
         if rows:
             yield pa.RecordBatch.from_pylist([{k: r[k] for k in schema.names} for r in rows], schema=schema)
 
-    files = manifest.select("path").repartition(max(1, min(manifest.count(), 10_000)))
+    n, size = manifest.agg(F.count(F.lit(1)), F.sum("bytes")).first()
+    files = manifest.select("path").repartition(max(1, min(n, -(-(size or 0) // READ_BYTES))))
     return files.mapInArrow(run, "id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long"
                             + (", payload binary" if payloads else ""))

@@ -6,6 +6,7 @@ import hashlib
 from pathlib import Path
 
 import duckdb
+from pyspark.sql import functions as F
 
 from errlens.llm import warc
 from errlens.llm.queries import ORACLE, QUERIES
@@ -79,6 +80,29 @@ def test_records_are_sorted_by_id(spark):
     assert order == sorted(order) and len(order) == 101
 
 
+def test_null_and_hot_ids_span_shards(spark):
+    """A third of the rows without id, a third of one id: no shard is much larger than another, and order holds."""
+    rows = [(None if k % 3 == 0 else 1000 if k % 3 == 1 else k, "u", f"{k} " + prose(k, 400)) for k in range(900)]
+    _, manifest = write(spark, rows, shard_bytes=60_000)
+    files = sorted(manifest.collect(), key=lambda r: r["name"])
+    records = sorted(r["records"] for r in files)
+    assert len(files) > 9 and records[-1] < 2 * records[len(records) // 2] and sum(records) == 900
+    order = []
+    for r in files:
+        raw = gzip.decompress(Path(r["path"].removeprefix("file://")).read_bytes()).decode()
+        order += [int(x.split("X-Page-ID: ")[1].split("\r\n")[0]) if "X-Page-ID: " in x else -1 for x in raw.split("WARC-Record-ID: ")[1:]]
+    assert order == sorted(order) and order.count(-1) == order.count(1000) == 300
+    got = warc.read_archives(manifest).collect()
+    assert sorted(bytes(r["payload"]).decode() for r in got) == sorted(t for *_, t in rows)
+
+
+def test_large_inputs_have_large_shards(spark):
+    sized = spark.range(300).select("id", F.lit("0" * 15).alias("digest"), F.lit(1 << 32).alias("bytes"))
+    assert len(warc.shard_cuts(sized, warc.SHARD_BYTES)) == 299       # of 1.2 TB a shard has 300 MB, and a record is never cut
+    sized = spark.range(40960).select("id", F.lit("0" * 15).alias("digest"), F.lit(1 << 27).alias("bytes"))
+    assert len(warc.shard_cuts(sized, warc.SHARD_BYTES)) == 5119      # of 5 TB a shard has 1 GiB
+
+
 def test_damaged_record_is_refused():
     m = gzip.decompress(warc.record(1, "u", b"payload", digest("payload"), None, False))
     assert warc.parse(m)["payload"] == b"payload"
