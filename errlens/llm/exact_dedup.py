@@ -13,8 +13,13 @@ row through that the next level counts as alone.  The last level keeps its
 groups per salt, so a group with a third of all rows reaches the join as
 many keys.  No group is gathered.
 
-Cases: null counts as empty; texts that are equal after each run of white
-space becomes one X
+Cases: null counts as empty; texts are equal if they are so after each run
+of white space becomes one space; of equal texts the smallest id stays, null
+ids last, and of rows that repeat that id the first of the stored table, so
+one row of a group stays in any case; ``keep_id`` is null only where all ids
+of a group are; texts of any length are compared whole (their SHA-256); an
+empty table gives an empty result; extra columns, of whatever names, are left
+out or stay with their rows if named in ``columns``.
 """
 
 from __future__ import annotations
