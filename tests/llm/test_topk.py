@@ -1,9 +1,11 @@
 """Operator 8 against all pairs, and its SQL."""
 
 import math
+from unittest import mock
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +105,55 @@ def test_repeated_rows_are_candidates_and_agree_with_sql(spark, tmp_path):
 def test_rows_of_one_id_are_spread(spark):
     rows = [(1, [float(k), 1.0]) for k in range(400)]
     assert run(spark, rows + [(5, [1.0, 1.0])], block=4, chunk=32) == brute(rows + [(5, [1.0, 1.0])], 3, lambda i: i % 5 == 0)
+
+
+def _boxes(parts):
+    rows = []
+    for n, x in enumerate(parts):
+        s = topk._box_statistics(x)
+        pad = np.full(2 * topk.FINEST - s.shape[1], np.nan)
+        rows.append({"first": n, "last": n, "seq": 0, "low_dim": x.shape[1], "high_dim": x.shape[1], "peak": np.abs(x).max(),
+                     "lo": np.r_[s.min(0), pad], "hi": np.r_[s.max(0), pad]})
+    return topk.Boxes(rows)
+
+
+@pytest.mark.parametrize("dim", [1, 2, 9, 30, 64])
+def test_boxes_never_hide_a_score(dim):
+    rng = np.random.default_rng(dim)
+    parts = [np.floor(rng.normal(m, 40, (30, dim))) for m in (-50, 0, 3, 80)]
+    q = np.floor(rng.normal(0, 60, (20, dim)))
+    top = np.stack([(q @ x.T).max(1) for x in parts], axis=1)
+    for floor in (top.min(1), top.max(1)):
+        assert _boxes(parts).reach(q, floor)[top >= floor[:, None]].all()
+    assert not _boxes(parts).reach(np.ones((2, dim + 1)), np.full(2, -np.inf)).any()      # another length
+
+
+def test_far_chunks_are_not_visited():
+    rng = np.random.default_rng(5)
+    centre = np.repeat(rng.choice([-100, 100], (50, 16)), 4, axis=1)
+    parts = [np.floor(c + rng.normal(0, 2, (40, 64))) for c in centre]
+    q = np.stack([x[0] for x in parts])
+    floor = np.array([np.sort(x @ x[0])[-6] for x in parts])
+    assert _boxes(parts).reach(q, floor).sum() <= 2 * len(q)
+
+
+def test_more_chunks_than_boxes_and_mixed_lengths(spark):
+    rng = np.random.default_rng(7)
+    rows = [(k, rng.normal(0, 1, [64, 64, 3, 0, 33][k % 5]).tolist()) for k in range(150)]
+    rows += [(200 + k, rows[0][1]) for k in range(60)]
+    want = brute(rows, 3, lambda i: i % 7 == 0)
+    assert run(spark, rows, step=7, chunk=20, boxes=2) == want
+    assert run(spark, rows, step=7) == want
+
+
+def test_chunks_of_a_partition_are_bounded():
+    x = [[float(k)] * 3 for k in range(50)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(50), pa.int64()), pa.array(x, pa.list_(pa.float64())), pa.array([3] * 50, pa.int32()),
+                                        pa.array(range(50), pa.int64()), pa.array([False] * 50)], names=["id", "v", "dim", "place", "q"])
+    with mock.patch.object(topk.TaskContext, "get", lambda: mock.Mock(partitionId=lambda: 4)):
+        for cuts in ([50], [7, 7, 36], [1] * 50):
+            starts = np.r_[0, np.cumsum(cuts)]
+            out = pa.Table.from_batches(list(topk._cut(2, 40)(batch.slice(s, n) for s, n in zip(starts.tolist(), cuts)))).to_pandas()
+            assert out["id"].tolist() == list(range(50)) and set(out["pid"]) == {4}
+            assert out.groupby("seq").size().tolist() == [10] * 5                          # a row counts four
+            assert out["peak"].notna().sum() == 5
