@@ -125,6 +125,43 @@ _GRID_ROWS = """(VALUES (0, 'RF', 'Trees:10, Depth:3', 10, 3, NULL), (1, 'RF', '
 # accuracy of the training rule on the hold-out, from the data
 _PERFECT_ACC = "(SELECT avg(CAST(label = learned AS INT)) FROM test)"
 
+# The first boosted tree splits where the sum of squared label sums over
+# counts is largest; many trees learn the bands of the training rows.
+# A forest of one feature has trees that agree with such a tree.
+_BANDED = """, p AS (
+  SELECT f1, CASE WHEN bucket < 6000 THEN 'train' WHEN bucket < 8000 THEN 'validation' ELSE 'test' END AS part,
+         CAST(f1 > 33 OR (f1 > 8 AND f1 <= 20) AS INT) AS learned,
+         CAST(CASE WHEN bucket < 6000 THEN f1 > 33 OR (f1 > 8 AND f1 <= 20)
+                   WHEN bucket < 8000 THEN f1 > 30 OR (f1 > 8 AND f1 <= 20)
+                   ELSE f1 > 33 OR (f1 > 10 AND f1 <= 20) END AS INT) AS label FROM obs),
+h AS (SELECT f1 AS v, count(*) AS n, sum(2 * label - 1) AS s FROM p WHERE part = 'train' GROUP BY f1),
+root AS (SELECT arg_max(cut, gain) AS cut FROM (
+  SELECT a.v AS cut, pow(sum(CASE WHEN b.v <= a.v THEN b.s ELSE 0 END), 2) / sum(CASE WHEN b.v <= a.v THEN b.n ELSE 0 END)
+                     + pow(sum(CASE WHEN b.v > a.v THEN b.s ELSE 0 END), 2) / sum(CASE WHEN b.v > a.v THEN b.n ELSE 0 END) AS gain
+  FROM h a, h b WHERE a.v < (SELECT max(v) FROM h) GROUP BY a.v)),
+sided AS (SELECT h.*, v > cut AS side FROM h, root),
+second AS (SELECT side, arg_max(cut, gain) AS cut FROM (
+  SELECT a.side, a.v AS cut, pow(sum(CASE WHEN b.v <= a.v THEN b.s ELSE 0 END), 2) / sum(CASE WHEN b.v <= a.v THEN b.n ELSE 0 END)
+                             + pow(sum(CASE WHEN b.v > a.v THEN b.s ELSE 0 END), 2) / sum(CASE WHEN b.v > a.v THEN b.n ELSE 0 END) AS gain
+  FROM sided a JOIN sided b ON a.side = b.side
+  WHERE a.v < (SELECT max(c.v) FROM sided c WHERE c.side = a.side) GROUP BY a.side, a.v) GROUP BY side),
+one AS (SELECT side, sum(s) > 0 AS yes FROM sided GROUP BY side),
+two AS (SELECT side, v <= cut AS low, sum(s) > 0 AS yes FROM sided JOIN second USING (side) GROUP BY ALL),
+q AS (SELECT p.part, p.label, p.learned, CAST(one.yes AS INT) AS by_one, CAST(two.yes AS INT) AS by_two
+      FROM p, root JOIN one ON one.side = (p.f1 > root.cut) JOIN second ON second.side = (p.f1 > root.cut)
+      JOIN two ON two.side = (p.f1 > root.cut) AND two.low = (p.f1 <= second.cut))"""
+
+_BANDED_ACC = _BANDED + """,
+g AS (SELECT * FROM (VALUES (0, 'RF', 'Trees:3, Depth:1', 3, 1, NULL), (1, 'RF', 'Trees:3, Depth:2', 3, 2, NULL), (2, 'RF', 'Trees:3, Depth:3', 3, 3, NULL),
+                            (3, 'RF', 'Trees:9, Depth:1', 9, 1, NULL), (4, 'RF', 'Trees:9, Depth:2', 9, 2, NULL), (5, 'RF', 'Trees:9, Depth:3', 9, 3, NULL),
+                            (6, 'GBT', 'Depth:1, Iter:1', NULL, 1, 1), (7, 'GBT', 'Depth:1, Iter:20', NULL, 1, 20),
+                            (8, 'GBT', 'Depth:2, Iter:1', NULL, 2, 1), (9, 'GBT', 'Depth:2, Iter:20', NULL, 2, 20))
+      x(seq, model, params, trees, depth, iters)),
+acc AS (SELECT seq, model, params, trees, depth, iters, part,
+               avg(CAST(label = CASE WHEN iters = 20 OR depth = 3 THEN learned WHEN depth = 1 THEN by_one ELSE by_two END AS INT)) AS a
+        FROM q, g GROUP BY ALL)"""
+
+
 ORACLE: dict[str, str] = {
     "flagship_accuracy_by_month": _w(OBS, TEST) + """
 SELECT substr(cast(day AS varchar), 1, 6) AS month, avg(CAST(label = learned AS INT)) AS accuracy,
@@ -431,30 +468,7 @@ FROM (VALUES (10), (50), (100)) a(t), (VALUES (3), (5), (10)) b(d)""",
 SELECT 'GBT' AS model, 'Depth:' || d || ', Iter:' || i AS params, {_PERFECT_ACC} AS accuracy
 FROM (VALUES (3), (5), (10)) a(d), (VALUES (10), (20), (50)) b(i)""",
 
-    # The first boosted tree splits where the sum of squared label sums over
-    # counts is largest; many trees learn the bands of the training rows.
-    "staged_grid": _w(OBS) + """, p AS (
-  SELECT f1, CASE WHEN bucket < 6000 THEN 'train' WHEN bucket < 8000 THEN 'validation' ELSE 'test' END AS part,
-         CAST(f1 > 33 OR (f1 > 8 AND f1 <= 20) AS INT) AS learned,
-         CAST(CASE WHEN bucket < 6000 THEN f1 > 33 OR (f1 > 8 AND f1 <= 20)
-                   WHEN bucket < 8000 THEN f1 > 30 OR (f1 > 8 AND f1 <= 20)
-                   ELSE f1 > 33 OR (f1 > 10 AND f1 <= 20) END AS INT) AS label FROM obs),
-h AS (SELECT f1 AS v, count(*) AS n, sum(2 * label - 1) AS s FROM p WHERE part = 'train' GROUP BY f1),
-root AS (SELECT arg_max(cut, gain) AS cut FROM (
-  SELECT a.v AS cut, pow(sum(CASE WHEN b.v <= a.v THEN b.s ELSE 0 END), 2) / sum(CASE WHEN b.v <= a.v THEN b.n ELSE 0 END)
-                     + pow(sum(CASE WHEN b.v > a.v THEN b.s ELSE 0 END), 2) / sum(CASE WHEN b.v > a.v THEN b.n ELSE 0 END) AS gain
-  FROM h a, h b WHERE a.v < (SELECT max(v) FROM h) GROUP BY a.v)),
-sided AS (SELECT h.*, v > cut AS side FROM h, root),
-second AS (SELECT side, arg_max(cut, gain) AS cut FROM (
-  SELECT a.side, a.v AS cut, pow(sum(CASE WHEN b.v <= a.v THEN b.s ELSE 0 END), 2) / sum(CASE WHEN b.v <= a.v THEN b.n ELSE 0 END)
-                             + pow(sum(CASE WHEN b.v > a.v THEN b.s ELSE 0 END), 2) / sum(CASE WHEN b.v > a.v THEN b.n ELSE 0 END) AS gain
-  FROM sided a JOIN sided b ON a.side = b.side
-  WHERE a.v < (SELECT max(c.v) FROM sided c WHERE c.side = a.side) GROUP BY a.side, a.v) GROUP BY side),
-one AS (SELECT side, sum(s) > 0 AS yes FROM sided GROUP BY side),
-two AS (SELECT side, v <= cut AS low, sum(s) > 0 AS yes FROM sided JOIN second USING (side) GROUP BY ALL),
-q AS (SELECT p.part, p.label, p.learned, CAST(one.yes AS INT) AS by_one, CAST(two.yes AS INT) AS by_two
-      FROM p, root JOIN one ON one.side = (p.f1 > root.cut) JOIN second ON second.side = (p.f1 > root.cut)
-      JOIN two ON two.side = (p.f1 > root.cut) AND two.low = (p.f1 <= second.cut)),
+    "staged_grid": _w(OBS) + _BANDED + """,
 g AS (SELECT * FROM (VALUES (0, 'Depth:1, Iter:1', 1, 1), (1, 'Depth:1, Iter:20', 1, 20), (2, 'Depth:2, Iter:1', 2, 1),
                             (3, 'Depth:2, Iter:20', 2, 20)) x(seq, params, depth, iters)),
 acc AS (SELECT seq, params, depth, iters, part,
@@ -464,6 +478,17 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY a DESC, iters
 SELECT CAST(r.seq AS INT) AS seq, 'GBT' AS model, r.params, r.a AS accuracy, r.best AS chosen, CASE WHEN r.best THEN t.a END AS test_accuracy
 FROM ranked r JOIN acc t ON t.part = 'test' AND t.seq = r.seq""",
 
+    "grid_banded": _w(OBS) + _BANDED_ACC + """
+SELECT CAST(seq AS INT) AS seq, model, params, a AS accuracy FROM acc WHERE part = 'test'""",
+
+    "grid_cached": _w(OBS) + _BANDED + """
+SELECT part, count(*) AS n, CAST(sum(label) AS DOUBLE) AS positives, true AS in_memory, true AS on_disk
+FROM p WHERE part <> 'validation' GROUP BY part""",
+
+    "grid_timing": """
+SELECT model, CAST(runs AS BIGINT) AS runs, true AS timed, true AS within_run, true AS with_preparation, more_for_more
+FROM (VALUES ('RF', 6, NULL), ('GBT', 4, true)) g(model, runs, more_for_more)""",
+
     "grid_shapes": """
 SELECT params, CAST(trees AS INT) AS trees, CAST(depth AS INT) AS depth, true AS within
 FROM (VALUES ('Trees:50, Depth:6', 50, 6), ('Depth:6, Iter:25', 25, 6), ('Depth:3, Iter:10', 10, 3)) g(params, trees, depth)""",
@@ -510,4 +535,14 @@ SELECT model, CAST(trees AS INT) AS trees, CAST(depth AS INT) AS depth, CAST(ite
        {_PERFECT_ACC} AS accuracy_local, {_PERFECT_ACC} AS accuracy_cluster FROM {_GRID_ROWS}""",
 }
 
+ORACLE["compare_runs_parts"] = _w(OBS) + _BANDED_ACC + """
+SELECT t.model, CAST(t.trees AS INT) AS trees, CAST(t.depth AS INT) AS depth, CAST(t.iters AS INT) AS iters,
+       t.a AS accuracy_test, v.a AS accuracy_validation
+FROM acc t JOIN acc v USING (seq) WHERE t.part = 'test' AND v.part = 'validation'"""
+
+ORACLE["source_guard"] = """
+SELECT 'nation' AS source, true AS found, count(*) AS n_rows FROM nation
+UNION ALL SELECT 'region_csv', true, count(*) FROM region
+UNION ALL SELECT 'no_table', false, NULL UNION ALL SELECT 'no_csv', false, NULL"""
+
 ORACLE["state_confusion"] = ORACLE["confusion_matrix"]

@@ -12,6 +12,7 @@ round trip, importances) fit it once.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
@@ -123,6 +124,27 @@ def q_scan_parquet(spark, sf_dir):
                                               F.sum("prediction").alias("pred_pos"))
 
 
+def q_source_guard(spark, sf_dir):
+    """Optional sources: those that are there are read, those that are not give no table and no failure."""
+    out = None
+    for name, read, path in (("nation", RD.read_parquet, f"{sf_dir}/nation.parquet"),
+                             ("no_table", RD.read_parquet, f"{sf_dir}/no_such_table.parquet"),
+                             ("region_csv", RD.read_csv, _region_csv(spark, sf_dir)),
+                             ("no_csv", RD.read_csv, scratch_path(spark, "never_written"))):
+        df = RD.read_optional(read, spark, path)
+        rows = (spark.range(1).select(F.lit(None).cast("long").alias("n_rows")) if df is None
+                else df.agg(F.count(F.lit(1)).alias("n_rows")))
+        row = rows.select(F.lit(name).alias("source"), F.lit(df is not None).alias("found"), "n_rows")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _region_csv(spark, sf_dir) -> str:
+    path = scratch_path(spark, "region_csv")
+    fx.table(spark, sf_dir, "region").select("r_regionkey", "r_name").write.option("header", "true").csv(path)
+    return path
+
+
 def q_table_replace(spark, sf_dir):
     """Predictions replaced by a table made from themselves, then by a write that fails: the second table is read."""
     path = scratch_path(spark, "replaced")
@@ -613,6 +635,62 @@ def q_staged_grid(spark, sf_dir):
     return found.table.select("seq", "model", "params", "accuracy", "chosen", "test_accuracy")
 
 
+BANDED_SPEC = FeatureSpec(numeric=("f1",), categorical=())
+BANDED_GRID = TR.rf_grid((3, 9), (1, 2, 3), max_bins=64) + STAGED_GRID
+
+
+def _banded_parts(spark, sf_dir) -> list[DataFrame]:
+    return P.hash_split(fx.banded(spark, sf_dir), [], fx.THREE_PARTS, bucket_col="bucket")
+
+
+def _banded_prepared(spark, sf_dir) -> TR.Prepared:
+    """Model input and featurised test part, both cached once for a whole grid."""
+    def make():
+        train, _, test = _banded_parts(spark, sf_dir)
+        prepared = TR.prepare(train, BANDED_SPEC, fx.LAYOUT_KEYS, LAYOUT_PARTITIONS)
+        prepared.cache_test(test)
+        return prepared
+    return _memoised(spark, sf_dir, "banded_prepared", make)
+
+
+def _banded_grid(spark, sf_dir) -> tuple[DataFrame, float]:
+    """Both grids on bands of one feature, and the seconds that they took."""
+    def make():
+        prepared = _banded_prepared(spark, sf_dir)
+        began = time.perf_counter()
+        table = TR.run_grid(*_banded_parts(spark, sf_dir)[::2], BANDED_SPEC, BANDED_GRID, fx.SEED, prepared=prepared)
+        return table, time.perf_counter() - began
+    return _memoised(spark, sf_dir, "banded_grid", make)
+
+
+def q_grid_banded(spark, sf_dir):
+    """Forests of depth 1, 2 and 3 and boosted trees of depth 1 and 2 get different shares of the bands right."""
+    return _banded_grid(spark, sf_dir)[0].select("seq", "model", "params", "accuracy")
+
+
+def q_grid_cached(spark, sf_dir):
+    """The two tables that a grid keeps: their rows and labels, and where they are kept."""
+    prepared = _banded_prepared(spark, sf_dir)
+    out = None
+    for part, df in (("train", prepared.train), ("test", prepared.test)):
+        kept = df.storageLevel
+        row = df.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives")).select(
+            F.lit(part).alias("part"), "n", "positives", F.lit(kept.useMemory).alias("in_memory"), F.lit(kept.useDisk).alias("on_disk"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def q_grid_timing(spark, sf_dir):
+    """What holds for the times of any run: each fit took some, all together not more than the run, twenty iterations more than one."""
+    table, seconds = _banded_grid(spark, sf_dir)
+    prep = _banded_prepared(spark, sf_dir).prep_seconds
+    long, short = (F.sum(F.when(F.col("iters") == i, F.col("fit_time"))) for i in (20, 1))
+    return (R.parse_params(table).groupBy("model")
+            .agg(F.count(F.lit(1)).alias("runs"), (F.min("fit_time") > 0).alias("timed"), (F.sum("fit_time") <= F.lit(seconds)).alias("within_run"),
+                 F.bool_and(F.abs(F.col("train_time") - F.col("fit_time") - F.lit(prep)) < 1e-6).alias("with_preparation"),
+                 (long > short).alias("more_for_more")))
+
+
 def q_grid_shapes(spark, sf_dir):
     """Trees and depth limits that the fitted models have, next to what was asked for."""
     out = None
@@ -710,9 +788,20 @@ def q_compare_runs(spark, sf_dir):
     return R.compare_runs(_experiments(spark, sf_dir), b, ("local", "cluster"), metrics=("accuracy",))
 
 
+def q_compare_runs_parts(spark, sf_dir):
+    """The grid on the test part next to a run of its own on the validation part: the two sides differ."""
+    def other():
+        train, validation, _ = _banded_parts(spark, sf_dir)
+        return TR.run_grid(train, validation, BANDED_SPEC, BANDED_GRID[::-1], fx.SEED, layout_keys=fx.LAYOUT_KEYS,
+                           layout_partitions=LAYOUT_PARTITIONS // 2, short_params=True)
+    b = _memoised(spark, sf_dir, "banded_other", other)
+    return R.compare_runs(_banded_grid(spark, sf_dir)[0], b, ("test", "validation"), metrics=("accuracy",))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagship_accuracy_by_month": flagship,
     "scan_parquet": q_scan_parquet,
+    "source_guard": q_source_guard,
     "table_replace": q_table_replace,
     "scan_merged": q_scan_merged,
     "csv_quarantine": q_csv_quarantine,
@@ -777,6 +866,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "grid_rf_large": q_grid_rf_large,
     "grid_gbt_large": q_grid_gbt_large,
     "staged_grid": q_staged_grid,
+    "grid_banded": q_grid_banded,
+    "grid_cached": q_grid_cached,
+    "grid_timing": q_grid_timing,
     "grid_shapes": q_grid_shapes,
     "experiment_csv": q_experiment_csv,
     "importance_gbt": q_importance_gbt,
@@ -789,4 +881,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "params_parse": q_params_parse,
     "asof_months": q_asof_months,
     "compare_runs": q_compare_runs,
+    "compare_runs_parts": q_compare_runs_parts,
 }
