@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from errlens.sources.tables import replace
+from errlens.sources.tables import open_parts, replace
 
 # Column names of the stored predictions (fixed values: a data contract).
 PREDICTION_COLUMNS = ("uid", "day", "label", "prediction", "probability")
@@ -25,13 +25,15 @@ def write_predictions(df: DataFrame, path: str,
 
     ``partition_by`` (e.g. ``["model"]``) lays the files out by value so a
     later read of one model prunes the others.  Written in parallel, one file
-    per task.
+    per task and value; rows are not sorted by value first
+    (:func:`errlens.sources.tables.open_parts`).
     """
     cols = list(partition_by) + [c for c in columns if c not in partition_by]
     writer = df.select(*cols).write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    replace(df.sparkSession, path, writer.parquet)
+    with open_parts(df.sparkSession):
+        replace(df.sparkSession, path, writer.parquet)
 
 
 def write_csv_headerless(df: DataFrame, path: str) -> None:

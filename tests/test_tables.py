@@ -140,3 +140,36 @@ def test_pipelines_are_replaced(spark, tmp_path):
     with pytest.raises(OSError):
         MD.save_pipeline(Broken(), path)
     assert MD.load_pipeline(path).stages[0].labels == ["b"]
+
+
+def test_partitioned_writes_do_not_sort(spark, tmp_path, monkeypatch):
+    """A task holds a file per value open; with more values than files it sorts the rest, and nothing is lost."""
+    plans, path, key = [], str(tmp_path / "t"), "spark.sql.maxConcurrentOutputFileWriters"
+    before, publish = spark.conf.get(key), TB.replace
+
+    def spy(session, at, write, *a, **k):
+        plans.append(session.conf.get(key))
+        return publish(session, at, write, *a, **k)
+
+    monkeypatch.setattr(WR, "replace", spy)
+    for values in (2, 9):
+        df = spark.range(0, 4000, 1, 3).withColumn("v", F.concat(F.lit("v"), F.col("id") % values))
+        WR.write_predictions(df, path, COLUMNS, partition_by=["v"])
+        assert content(spark, path) == {f"v{k}": df.filter(f"id % {values} = {k}").count() for k in range(values)}
+        assert RD.read_parquet(spark, path).distinct().count() == 4000
+    assert plans == [str(TB.OPEN_FILES)] * 2 and spark.conf.get(key) == before
+    with pytest.raises(PySparkException):
+        WR.write_predictions(failing(spark, "x"), path, COLUMNS, partition_by=["v"])
+    assert spark.conf.get(key) == before and RD.read_parquet(spark, path).distinct().count() == 4000
+
+
+def test_writers_at_one_time_put_the_setting_back_once(spark):
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key)
+    first, second = TB.open_parts(spark), TB.open_parts(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(key) == str(TB.OPEN_FILES)
+    second.__exit__(None, None, None)
+    assert spark.conf.get(key) == before
