@@ -98,7 +98,8 @@ def _accuracy(label: str, predicted: Column) -> Column:
 def staged_grid(train: DataFrame, validation: DataFrame, test: DataFrame, spec: FeatureSpec,
                 configs: Sequence[TR.ModelConfig] | None = None, seed: int = 42,
                 layout_keys: Sequence[str] | None = None, layout_partitions: int | None = None,
-                short_params: bool = False, prepared: TR.Prepared | None = None, reliable: bool = False) -> Staged:
+                short_params: bool = False, prepared: TR.Prepared | None = None, reliable: bool = False,
+                layout_rows: int | None = None) -> Staged:
     """Fit, choose on ``validation``, score the chosen configuration on ``test``.
 
     An empty validation or test part is an error.
@@ -108,12 +109,14 @@ def staged_grid(train: DataFrame, validation: DataFrame, test: DataFrame, spec:
         raise ValueError("no configuration")
     own = prepared is None
     if own:
-        prepared = TR.prepare(train, spec, layout_keys, layout_partitions, reliable)
+        prepared = TR.prepare(train, spec, layout_keys, layout_partitions, reliable, layout_rows=layout_rows)
     try:
         longest: dict[TR.ModelConfig, TR.ModelConfig] = {}      # the fit that each configuration is read off
         for cfg in configs:
             like = [c for c in configs if (c.kind, c.depth, c.max_bins) == (cfg.kind, cfg.depth, cfg.max_bins)]
             longest[cfg] = max(like, key=lambda c: c.iters) if cfg.kind == TR.GBT else cfg
+        if prepared.layout and any(cfg.kind == TR.GBT for cfg in longest):
+            prepared.weighted()
         fitted, seconds = {}, {}
         for cfg in dict.fromkeys(longest.values()):
             began = time.perf_counter()

@@ -179,3 +179,39 @@ def test_the_training_oracle_notices_a_fit_on_the_hold_out(spark, sf_small):
     share = test.agg(F.avg((F.col("stress") != 3).cast("int"))).first()[0]
     got = [x.agg(F.avg((F.col("label") == F.col("prediction")).cast("int"))).first()[0] for x in (right, wrong)]
     assert math.isclose(got[0], share) and share < 0.9 and not math.isclose(got[1], share)
+
+
+def test_layout_grows_with_the_rows(spark):
+    df = spark.range(1000).select((F.col("id") % 2).alias("label"), (F.col("id") % 100).cast("double").alias("f1"))
+    for least, rows_each, want in ((2, 100, 10), (16, 100, 16), (None, 300, 4), (3, None, 3)):
+        prepared = TR.prepare(df, TR.FeatureSpec(numeric=("f1",)), ["label", "f1"], least, layout_rows=rows_each)
+        try:
+            assert prepared.train.rdd.getNumPartitions() == want
+            assert prepared.train.count() == 1000
+        finally:
+            prepared.unpersist()
+
+
+def test_boosting_reads_each_distinct_row_once(spark):
+    """The trees are those of a fit on every copy."""
+    df = spark.range(3000).select(F.when(F.col("id") % 60 % 7 > F.col("id") % 60 / 12, 1).otherwise(0).alias("label"),
+                                  (F.col("id") % 60 % 7).cast("double").alias("f1"), F.floor(F.sqrt(F.col("id") % 60)).cast("double").alias("f2"))
+    df = df.unionByName(df.filter("f1 = 3"))
+    cfg = TR.ModelConfig(TR.GBT, depth=3, iters=5)
+    prepared = TR.prepare(df, TR.FeatureSpec(numeric=("f1", "f2")), ["label", "f1", "f2"], 4)
+    try:
+        rows = prepared.weighted()
+        assert rows.count() == df.distinct().count() < 60
+        assert rows.agg(F.sum(TR.WEIGHT)).first()[0] == df.count()
+        got, want = TR.fit_classifier(prepared, cfg), TR.make_classifier(cfg, prepared.spec).fit(prepared.train)
+        assert got.getOrDefault("weightCol") == TR.WEIGHT
+        shape = [(t.numNodes, t.depth) for t in want.trees]
+        assert [(t.numNodes, t.depth) for t in got.trees] == shape and max(shape)[0] > 3
+        assert got.featureImportances.toArray() == pytest.approx(want.featureImportances.toArray(), abs=1e-9)
+        pairs = got.setPredictionCol("a").setProbabilityCol("pa").setRawPredictionCol("ra").transform(rows)
+        pairs = want.setPredictionCol("b").setProbabilityCol("pb").setRawPredictionCol("rb").transform(pairs)
+        assert all(abs(r.pa[1] - r.pb[1]) < 1e-9 for r in pairs.collect())
+        # a forest draws copies one by one
+        assert not TR.fit_classifier(prepared, TR.ModelConfig(TR.RF, depth=2, trees=2)).isSet("weightCol")
+    finally:
+        prepared.unpersist()
