@@ -23,7 +23,6 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
-from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame
@@ -32,6 +31,7 @@ from pyspark.sql import types as T
 
 from errlens.operators import train as TR
 from errlens.operators.features import FeatureSpec
+from errlens.operators.train import prefix
 from errlens.sources.readers import table_from_rows
 
 STAGED_SCHEMA = T.StructType([
@@ -54,25 +54,6 @@ class Staged:
     fits: int
 
 
-def prefix(model: GBTClassificationModel, iters: int) -> GBTClassificationModel:
-    """The boosted model after its first ``iters`` iterations; it can be saved like any other."""
-    weights = model.treeWeights
-    if not 1 <= iters <= len(weights):
-        raise ValueError(f"{iters} iterations of a model that has {len(weights)}")
-    java, sc = model._java_obj, SparkContext._active_spark_context
-    tree = sc._jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
-    trees, shares = sc._gateway.new_array(tree, iters), sc._gateway.new_array(sc._jvm.double, iters)
-    for k, t in enumerate(java.trees()[:iters]):
-        trees[k], shares[k] = t, float(weights[k])
-    made = sc._jvm.org.apache.spark.ml.classification.GBTClassificationModel(
-        f"{java.uid()}_{iters}", trees, shares, model.numFeatures, model.numClasses)
-    out = GBTClassificationModel(made)
-    out._resetUid(made.uid())
-    for name in ("FeaturesCol", "PredictionCol", "RawPredictionCol", "ProbabilityCol"):
-        getattr(out, f"set{name}")(getattr(model, f"get{name}")())
-    return out
-
-
 def stage_margins(df: DataFrame, model: GBTClassificationModel, stages: Sequence[int], features_col: str,
                   tag: str) -> tuple[DataFrame, dict[int, Column]]:
     """``df`` with a column of summed tree outputs between each two stages, and the margin of each stage.
@@ -111,10 +92,7 @@ def staged_grid(train: DataFrame, validation: DataFrame, test: DataFrame, spec:
     if own:
         prepared = TR.prepare(train, spec, layout_keys, layout_partitions, reliable, layout_rows=layout_rows)
     try:
-        longest: dict[TR.ModelConfig, TR.ModelConfig] = {}      # the fit that each configuration is read off
-        for cfg in configs:
-            like = [c for c in configs if (c.kind, c.depth, c.max_bins) == (cfg.kind, cfg.depth, cfg.max_bins)]
-            longest[cfg] = max(like, key=lambda c: c.iters) if cfg.kind == TR.GBT else cfg
+        longest = TR.longest_fits(configs)
         if prepared.layout and any(cfg.kind == TR.GBT for cfg in longest):
             prepared.weighted()
         fitted, seconds = {}, {}

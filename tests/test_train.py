@@ -215,3 +215,22 @@ def test_boosting_reads_each_distinct_row_once(spark):
         assert not TR.fit_classifier(prepared, TR.ModelConfig(TR.RF, depth=2, trees=2)).isSet("weightCol")
     finally:
         prepared.unpersist()
+
+
+def test_grid_reads_shorter_boosting_off_the_longest_fit(spark, split, monkeypatch):
+    """Accuracies and order are those of one fit each; a depth is fitted once, forests one by one."""
+    train, test = split
+    configs = TR.gbt_grid((2, 3), (1, 4), max_bins=64) + TR.rf_grid((2, 3), (2,), max_bins=64)
+    fits, fit = [], TR.fit_classifier
+    monkeypatch.setattr(TR, "fit_classifier", lambda prepared, cfg, seed=42: fits.append(cfg) or fit(prepared, cfg, seed))
+    prepared = TR.prepare(train, fx.SPEC, layout_keys=fx.LAYOUT_KEYS, layout_partitions=4)
+    try:
+        each = TR.run_grid(train, test, fx.SPEC, configs, prepared=prepared).orderBy("seq").collect()
+        assert fits == configs
+        fits.clear()
+        read = TR.run_grid(train, test, fx.SPEC, configs, prepared=prepared, prefixes=True, parallelism=2).orderBy("seq").collect()
+    finally:
+        prepared.unpersist()
+    assert sorted(c.label() for c in fits) == ["Depth:2, Iter:4", "Depth:3, Iter:4", "Trees:2, Depth:2", "Trees:3, Depth:2"]
+    assert [(r.seq, r.model, r.params, r.accuracy) for r in read] == [(r.seq, r.model, r.params, r.accuracy) for r in each]
+    assert len({r.accuracy for r in read[:4]}) > 1 and read[0].fit_time == read[1].fit_time != read[2].fit_time
