@@ -234,3 +234,45 @@ def test_grid_reads_shorter_boosting_off_the_longest_fit(spark, split, monkeypat
     assert sorted(c.label() for c in fits) == ["Depth:2, Iter:4", "Depth:3, Iter:4", "Trees:2, Depth:2", "Trees:3, Depth:2"]
     assert [(r.seq, r.model, r.params, r.accuracy) for r in read] == [(r.seq, r.model, r.params, r.accuracy) for r in each]
     assert len({r.accuracy for r in read[:4]}) > 1 and read[0].fit_time == read[1].fit_time != read[2].fit_time
+
+
+def test_a_grid_boosts_on_rows_of_bins(spark, monkeypatch):
+    """Rows that no split candidate tells apart are one weighted row; trees and accuracies are those of all the rows."""
+    n = 4000
+    df = spark.range(n).select(F.when((F.col("id") % 97 > 40) != (F.col("id") % 7 > 2), 1).otherwise(0).alias("label"),
+                               (F.col("id") % 97 / 3).alias("f1"), (F.col("id") % 7).cast("double").alias("f2"),
+                               (F.xxhash64("id") % 5 + F.col("id") / n).alias("f3"))
+    train, test = df, df.filter("f3 < 1")
+    spec, cfg = TR.FeatureSpec(numeric=("f1", "f2", "f3")), TR.ModelConfig(TR.GBT, depth=4, iters=6, max_bins=16)
+    prepared = TR.prepare(train, spec, ["label", "f1", "f2", "f3"], 4)
+    seen, fit = [], TR.fit_classifier
+    monkeypatch.setattr(TR, "fit_classifier", lambda p, c, seed=42: seen.append((p.weighted().count(), fit(p, c, seed))) or seen[-1][1])
+    try:
+        got = TR.run_grid(train, test, spec, [cfg], prepared=prepared).first()
+        rows = prepared.train.count()
+        assert seen[0][0] < rows * 0.8 and prepared.weighted().count() == rows
+        assert prepared.binned(16).weighted().agg(F.sum(TR.WEIGHT)).first()[0] == rows
+        plain = TR.make_classifier(cfg, spec).fit(prepared.train)
+        assert seen[0][1].featureImportances.toArray() == pytest.approx(plain.featureImportances.toArray(), abs=1e-9)
+        want = plain.transform(prepared.features(test)).agg(F.avg((F.col("label") == F.col("prediction")).cast("int"))).first()[0]
+        assert got.accuracy == want and 0.6 < want < 1
+        kept = prepared.binned(16).train
+    finally:
+        prepared.unpersist()
+    assert not kept.is_cached
+
+
+def test_bins_hold_what_trees_tell_apart(spark):
+    """A value on a candidate is below it, NaN above all, a constant has one bin; no more bins than asked for."""
+    import numpy as np
+    assert TR.split_candidates(np.array([2.0, 1.0, 2.0, 4.0, math.nan]), 8) == [1.5, 3.0]
+    assert TR.split_candidates(np.array([5.0, 5.0]), 8) == []
+    many = TR.split_candidates(np.arange(1000.0), 8)
+    assert 5 <= len(many) <= 7 and many == sorted(set(many))
+    rows = [(0.0, 1.5, 7.0), (0.0, 0.0, 7.0), (0.0, 1.6, 7.0), (1.0, math.nan, 7.0), (1.0, 9.0, 7.0)]
+    spec = TR.FeatureSpec(numeric=("a", "b"))
+    from pyspark.ml.feature import VectorAssembler
+    df = VectorAssembler(inputCols=["a", "b"], outputCol=spec.scaled_col, handleInvalid="keep").transform(
+        spark.createDataFrame(rows, "label double, a double, b double"))
+    got = TR.Bins([[1.5, 3.0], []]).count(df, spec).collect()
+    assert sorted((r.label, r.b0, r.b1, r[TR.WEIGHT]) for r in got) == [(0.0, 0.0, 0.0, 2.0), (0.0, 1.0, 0.0, 1.0), (1.0, 2.0, 0.0, 2.0)]
