@@ -276,3 +276,46 @@ def test_bins_hold_what_trees_tell_apart(spark):
         spark.createDataFrame(rows, "label double, a double, b double"))
     got = TR.Bins([[1.5, 3.0], []]).count(df, spec).collect()
     assert sorted((r.label, r.b0, r.b1, r[TR.WEIGHT]) for r in got) == [(0.0, 0.0, 0.0, 2.0), (0.0, 1.0, 0.0, 1.0), (1.0, 2.0, 0.0, 2.0)]
+
+
+def test_a_forest_cut_at_a_depth_is_the_forest_of_that_depth(spark, split, tmp_path):
+    """Same trees, leaf counts and probabilities as a fit with the smaller limit; other draws give other trees."""
+    train, test = split
+    prepared = TR.prepare(train, fx.SPEC, layout_keys=fx.LAYOUT_KEYS, layout_partitions=4)
+    try:
+        deep = TR.fit_classifier(prepared, TR.ModelConfig(TR.RF, depth=7, trees=6, max_bins=64))
+        for depth in (0, 1, 3, 5):
+            own = TR.fit_classifier(prepared, TR.ModelConfig(TR.RF, depth=depth, trees=6, max_bins=64))
+            cut = TR.shallower(deep, depth)
+            assert cut.toDebugString.split("\n")[1:] == own.toDebugString.split("\n")[1:]
+            assert max(t.depth for t in cut.trees) <= depth == cut.getMaxDepth() and (depth == 0 or deep.toDebugString != own.toDebugString)
+            assert cut.featureImportances.toArray() == pytest.approx(own.featureImportances.toArray(), abs=1e-12)
+            both = cut.setPredictionCol("a").setProbabilityCol("pa").setRawPredictionCol("ra").transform(prepared.features(test))
+            both = own.setPredictionCol("b").setProbabilityCol("pb").setRawPredictionCol("rb").transform(both)
+            assert both.filter("a <> b").isEmpty()
+            assert all(list(r.pa) == pytest.approx(list(r.pb), abs=1e-12) for r in both.select("pa", "pb").collect())
+        cut.write().overwrite().save(str(tmp_path / "cut"))
+        assert type(cut).load(str(tmp_path / "cut")).toDebugString.split("\n")[1:] == cut.toDebugString.split("\n")[1:]
+        with pytest.raises(ValueError):
+            TR.shallower(deep, -1)
+    finally:
+        prepared.unpersist()
+
+
+def test_grid_reads_shallower_forests_off_the_deepest_fit(spark, split, monkeypatch):
+    """Accuracies and order are those of one fit each; each number of trees is fitted once."""
+    train, test = split
+    configs = TR.rf_grid((2, 5), (2, 6, 4), max_bins=64) + [TR.ModelConfig(TR.RF, depth=3, trees=5, max_bins=32)]
+    fits, fit = [], TR.fit_classifier
+    monkeypatch.setattr(TR, "fit_classifier", lambda prepared, cfg, seed=42: fits.append(cfg) or fit(prepared, cfg, seed))
+    prepared = TR.prepare(train, fx.SPEC, layout_keys=fx.LAYOUT_KEYS, layout_partitions=4)
+    try:
+        each = TR.run_grid(train, test, fx.SPEC, configs, prepared=prepared).orderBy("seq").collect()
+        assert fits == configs
+        fits.clear()
+        read = TR.run_grid(train, test, fx.SPEC, configs, prepared=prepared, prefixes=True).orderBy("seq").collect()
+    finally:
+        prepared.unpersist()
+    assert [(c.trees, c.depth, c.max_bins) for c in fits] == [(2, 6, 64), (5, 6, 64), (5, 3, 32)]
+    assert [(r.seq, r.model, r.params, r.accuracy) for r in read] == [(r.seq, r.model, r.params, r.accuracy) for r in each]
+    assert len({r.accuracy for r in read}) > 2
