@@ -49,3 +49,22 @@ def test_scale_is_divide_by_sample_std_and_zero_std_gives_zero(spark):
     sd = statistics.stdev([1.0, 2.0, 4.0])
     assert [round(r.v[0], 12) for r in out] == [round(x / sd, 12) for x in (1.0, 2.0, 4.0)]
     assert [r.v[1] for r in out] == [0.0, 0.0, 0.0]
+
+
+def test_counted_rows_fit_the_stages_of_every_copy(spark):
+    """Labels and deviations from distinct rows with their copies are those of a fit on all rows."""
+    rows = [(2.0, 1e6 + 1, "F", 3), (3.5, 1e6 + 2, "M", 2), (3.5, 1e6 + 9, None, 40), (7.25, 1e6, "M", 1), (-1.0, 1e6, "X", 5)]
+    df = spark.createDataFrame(rows, "a double, b double, c string, n long").withColumn("one", F.lit(4.0))
+    spec = FeatureSpec(numeric=("a", "b", "one"), categorical=("c",))
+    every = df.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n", "col")
+    got, want = fit_features(df, spec, "n"), fit_features(every, spec)
+    assert [list(m.stages[0].labelsArray[0]) for m in (got, want)] == [["X", "F", "M"]] * 2
+    assert got.stages[-1].std.toArray() == pytest.approx(want.stages[-1].std.toArray(), rel=1e-9)
+    assert got.stages[-1].mean.toArray() == pytest.approx(want.stages[-1].mean.toArray(), rel=1e-12)
+    a, b = (sorted(r[0] for r in m.transform(df).select(vector_to_array(spec.scaled_col)).collect()) for m in (got, want))
+    assert [x for r in a for x in r] == pytest.approx([x for r in b for x in r], rel=1e-9)
+
+
+def test_counted_rows_that_are_one_row_have_no_deviation(spark):
+    df = spark.createDataFrame([(2.0, 7)], "a double, n long")
+    assert fit_features(df, FeatureSpec(numeric=("a",)), "n").stages[-1].std.toArray().tolist() == [0.0]

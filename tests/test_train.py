@@ -319,3 +319,93 @@ def test_grid_reads_shallower_forests_off_the_deepest_fit(spark, split, monkeypa
     assert [(c.trees, c.depth, c.max_bins) for c in fits] == [(2, 6, 64), (5, 6, 64), (5, 3, 32)]
     assert [(r.seq, r.model, r.params, r.accuracy) for r in read] == [(r.seq, r.model, r.params, r.accuracy) for r in each]
     assert len({r.accuracy for r in read}) > 2
+
+
+@pytest.fixture(scope="module")
+def copied(spark):
+    """Rows of many values of which few are told apart by 16 bins, each twice, and one 500 times."""
+    df = spark.range(4000).select(F.when((F.col("id") % 97 > 40) != (F.col("id") % 7 > 2), 1).otherwise(0).alias("label"),
+                                  (F.col("id") % 97 / 3).alias("f1"), (F.col("id") % 7).cast("double").alias("f2"),
+                                  ((F.col("id") % 7 > 2).cast("double") + F.col("id") / 4000).alias("f3"))
+    spec = TR.FeatureSpec(numeric=("f1", "f2", "f3"))
+    hot = df.orderBy("f1", "f3").limit(1).select("*", F.explode(F.sequence(F.lit(1), F.lit(498)))).drop("col")
+    return df.unionByName(df).unionByName(hot).cache(), spec
+
+
+def test_a_boosted_model_is_fitted_on_rows_of_bins_and_reads_features(spark, copied):
+    """No copy is laid out, fewer rows than distinct ones are read, and the saved model has thresholds of features."""
+    df, spec = copied
+    cfg = TR.ModelConfig(TR.GBT, depth=4, iters=6, max_bins=16)
+    prepared = TR.prepare(df, spec, ["label", "f1", "f2", "f3"], 4)
+    try:
+        got = TR.fit_classifier(prepared, cfg)
+        assert prepared._train is None and prepared.counted.count() == df.distinct().count()
+        binned = prepared.binned(16)
+        assert binned.train.count() == binned.rows < 0.8 * df.distinct().count() and prepared.rows == df.count() == prepared.train.count()
+        assert binned.train.agg(F.sum(TR.WEIGHT)).first()[0] == df.count()
+        plain = TR.make_classifier(cfg, spec).fit(prepared.train)
+        assert got.featureImportances.toArray() == pytest.approx(plain.featureImportances.toArray(), abs=1e-9)
+        both = got.setPredictionCol("a").setProbabilityCol("pa").setRawPredictionCol("ra").transform(prepared.features(df))
+        both = plain.setPredictionCol("b").setProbabilityCol("pb").setRawPredictionCol("rb").transform(both)
+        assert both.filter("a <> b").isEmpty()
+        assert both.filter(F.abs(vector_to_array("pa")[1] - vector_to_array("pb")[1]) > 1e-9).isEmpty()
+    finally:
+        prepared.unpersist()
+    assert not binned.train.is_cached and not prepared.counted.is_cached
+
+
+def test_a_forest_on_bins_draws_the_copies_of_a_row_together(spark, copied, monkeypatch):
+    """The draws have the mean and the variance of the copies; the forest does not depend on the input's partitions."""
+    df, spec = copied
+    monkeypatch.setattr(TR, "FOREST_ROWS", 0)
+    monkeypatch.setattr(TR, "FOREST_GAIN", 1)
+    cfg = TR.ModelConfig(TR.RF, depth=5, trees=12, max_bins=16)
+    seen = []
+    for rows in (df, df.repartition(7, "f2"), df.coalesce(1)):
+        prepared = TR.prepare(rows, spec, ["label", "f1", "f2", "f3"], 4)
+        try:
+            assert prepared.forests_on_bins(16)
+            model = TR.fit_classifier(prepared, cfg)
+            assert prepared._train is None and model.getNumTrees == 12 and model.getMaxDepth() == 5 and not model.isSet("weightCol")
+            seen.append(model.toDebugString.split("\n")[1:])
+            if len(seen) == 1:
+                drawn = TR._drawn(prepared.binned(16), range(400), 42).select(F.posexplode("_draws"))
+                copies = df.count()
+                mean, var = drawn.groupBy("pos").agg(F.sum("col").alias("n")).agg(F.avg("n"), F.var_samp("n")).first()
+                assert abs(mean - copies) < 5 * (copies / 400) ** 0.5 and 0.7 * copies < var < 1.4 * copies
+                plain = TR.make_classifier(cfg, spec).fit(prepared.train)
+                right = [m.transform(prepared.features(df)).agg(F.avg((F.col("label") == F.col("prediction")).cast("int"))).first()[0]
+                         for m in (model, plain)]
+                assert right[0] > 0.8 and abs(right[0] - right[1]) < 0.1
+                # in bins and in features the same
+                inside = TR.fit_classifier(prepared.binned(16), cfg)
+                assert inside.featureImportances.toArray() == pytest.approx(model.featureImportances.toArray(), abs=1e-12)
+                counted = prepared.binned(16).bins.count(prepared.features(df), spec)
+                by_bins = inside.transform(prepared.binned(16).bins.vectors(counted, spec)).groupBy("label", "prediction").agg(F.sum(TR.WEIGHT).cast("long"))
+                by_rows = model.transform(prepared.features(df)).groupBy("label", "prediction").count()
+                assert sorted(map(tuple, by_bins.collect())) == sorted(map(tuple, by_rows.collect()))
+        finally:
+            prepared.unpersist()
+    assert seen[0] == seen[1] == seen[2] and len({t for t in seen[0] if "If" in t}) > 12
+
+
+def test_a_grid_reads_forests_on_bins_off_one_fit(spark, copied, monkeypatch):
+    """Fewer trees are the beginning of more: accuracies are those of one fit each, and one fit serves the grid."""
+    df, spec = copied
+    monkeypatch.setattr(TR, "FOREST_ROWS", 0)
+    monkeypatch.setattr(TR, "FOREST_GAIN", 1)
+    configs = TR.rf_grid((3, 12, 1), (2, 6), max_bins=16)
+    fits, fit = [], TR.fit_classifier
+    monkeypatch.setattr(TR, "fit_classifier", lambda prepared, cfg, seed=42: fits.append(cfg) or fit(prepared, cfg, seed))
+    prepared = TR.prepare(df, spec, ["label", "f1", "f2", "f3"], 4)
+    try:
+        each = TR.run_grid(df, df, spec, configs, prepared=prepared).orderBy("seq").collect()
+        assert fits == configs
+        fits.clear()
+        read = TR.run_grid(df, df, spec, configs, prepared=prepared, prefixes=True).orderBy("seq").collect()
+        assert prepared._train is None
+    finally:
+        prepared.unpersist()
+    assert [(c.trees, c.depth) for c in fits] == [(12, 6), (1, 6)]
+    assert [(r.seq, r.params, r.accuracy) for r in read] == [(r.seq, r.params, r.accuracy) for r in each]
+    assert len({r.accuracy for r in read}) > 2
